@@ -29,18 +29,23 @@ def key_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
-def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str, *, max_of: Sequence[str] = (),
+def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *, max_of: Sequence[str] = (),
                    lag_of: Sequence[str] = (), block_size: int = DEFAULT_BLOCK,
                    keep_key: bool = False) -> DataFrame:
     """Add per-key running state in ``seq`` order.
 
+    ``seq`` is one numeric column or a list of columns (lexicographic order); blocks are
+    cut on the first one, so it must be numeric and non-decreasing along the order.
+
     For each ``m`` in ``max_of``: ``{m}_run_max`` (rows up to and including this one)
     and ``{m}_prev_max`` (rows before; null for the first row of the key).
     For each ``c`` in ``lag_of``: ``{c}_prev`` (value of the previous row; null for the first).
     Always: ``row_no`` (1-based position within the key).
     """
-    d = df.withColumn(KEY, key_struct(keys)).withColumn(BLOCK, F.floor(F.col(seq) / F.lit(block_size)))
-    w_in = Window.partitionBy(KEY, BLOCK).orderBy(seq)
+    order = [seq] if isinstance(seq, str) else list(seq)
+    order_key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    d = df.withColumn(KEY, key_struct(keys)).withColumn(BLOCK, F.floor(F.col(order[0]) / F.lit(block_size)))
+    w_in = Window.partitionBy(KEY, BLOCK).orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_before = w_in.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -53,7 +58,7 @@ def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str, *, max_of: Sequ
 
     aggs = [F.count(F.lit(1)).alias("_ccnt")]
     aggs += [F.max(m).alias(f"_cmax_{m}") for m in max_of]
-    aggs += [F.max_by(c, seq).alias(f"_clast_{c}") for c in lag_of]
+    aggs += [F.max_by(c, order_key).alias(f"_clast_{c}") for c in lag_of]
     summ = d.groupBy(KEY, BLOCK).agg(*aggs)
     w_blk = Window.partitionBy(KEY).orderBy(BLOCK)
     w_blk_before = w_blk.rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +84,7 @@ def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str, *, max_of: Sequ
     return out.drop(*drop)
 
 
-def previous_in_order(df: DataFrame, keys: Sequence[str], seq: str, cols: Sequence[str],
+def previous_in_order(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], cols: Sequence[str],
                       block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Previous row's ``cols`` per key in ``seq`` order (``{c}_prev``), hot-key safe."""
     return ordered_prefix(df, keys, seq, lag_of=cols, block_size=block_size)
