@@ -174,3 +174,43 @@ def feed_entities(spark, sf_dir):
 
 
 
+
+
+# --- merge split (FIXTURES.md "Merge split") ---------------------------------------------------------
+SOURCE_AGENCIES = ["A0", "A1"]
+TARGET_AGENCIES = ["A1", "A2", "A3", "A4"]
+
+
+def calendar_dates(spark, sf_dir):
+    o = _read(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("C"), F.substring("o_orderpriority", 1, 1)).alias("service_id")).distinct() \
+            .select("service_id", F.lit("20240101").alias("date"), F.lit("1").alias("exception_type"))
+
+
+def feed_info(spark, sf_dir, table: str):
+    t = _read(spark, sf_dir, table)
+    return t.groupBy().agg(F.lit("stopwise").alias("feed_publisher_name"), F.lit("en").alias("feed_lang"),
+                           F.count(F.lit(1)).cast("string").alias("feed_version"))
+
+
+def _gtfs_side(spark, sf_dir, agencies: list[str]) -> dict:
+    ag = agency(spark, sf_dir).where(F.col("agency_id").isin(agencies))
+    rt = routes(spark, sf_dir).join(ag.select("agency_id"), "agency_id", "left_semi")
+    tr = trips(spark, sf_dir).join(rt.select("route_id"), "route_id", "left_semi")
+    st = stop_times(spark, sf_dir).join(tr.select("trip_id"), "trip_id", "left_semi") \
+        .withColumn("arrival_time", F.col("arrival_seconds")).drop("arrival_seconds")
+    fr = frequencies(spark, sf_dir).join(tr.select("trip_id"), "trip_id", "left_semi")
+    return {"agency": ag, "routes": rt, "trips": tr, "stop_times": st, "frequencies": fr,
+            "stops": stops(spark, sf_dir), "calendar": calendar(spark, sf_dir), "shapes": shapes(spark, sf_dir),
+            "calendar_dates": calendar_dates(spark, sf_dir)}
+
+
+def gtfs_split(spark, sf_dir) -> tuple[dict, dict]:
+    """(source, target) schemas: source = agencies A0, A1 and what hangs off them, target
+    = A1..A4 likewise; stops, calendar, shapes, calendar_dates in both; transfers split
+    by id parity; one feed_info row each with the same publisher."""
+    src, tgt = _gtfs_side(spark, sf_dir, SOURCE_AGENCIES), _gtfs_side(spark, sf_dir, TARGET_AGENCIES)
+    t = transfers(spark, sf_dir)
+    src["transfers"], tgt["transfers"] = t.where(F.col("id") % 2 == 0), t.where(F.col("id") % 2 == 1)
+    src["feed_info"], tgt["feed_info"] = feed_info(spark, sf_dir, "region"), feed_info(spark, sf_dir, "nation")
+    return src, tgt
