@@ -214,3 +214,11 @@ def gtfs_split(spark, sf_dir) -> tuple[dict, dict]:
     src["transfers"], tgt["transfers"] = t.where(F.col("id") % 2 == 0), t.where(F.col("id") % 2 == 1)
     src["feed_info"], tgt["feed_info"] = feed_info(spark, sf_dir, "region"), feed_info(spark, sf_dir, "nation")
     return src, tgt
+
+
+def schedule(spark, sf_dir):
+    """Scheduled trip starts for every third trip: first stop time on 2024-01-01 (UTC+1), epoch ms."""
+    st = stop_times(spark, sf_dir)
+    k = F.substring("trip_id", 2, 20).cast("long")
+    return (st.where(k % 3 == 0).groupBy("trip_id")
+              .agg((F.lit(1704063600000) + F.min("arrival_seconds").cast("long") * 1000).alias("sched_start_ms")))
