@@ -136,7 +136,15 @@ def shape_segments(points: DataFrame, *, line: str = "line_id", order: str = "pt
 
 # --- projection ---------------------------------------------------------------------------------------
 
-def project_points(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, chunk: int = 256) -> np.ndarray:
+def _ecef(lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Earth-centred coordinates (m) on the WGS84 ellipsoid surface."""
+    e2 = geo.WGS84_F * (2 - geo.WGS84_F)
+    la, lo = np.radians(lat), np.radians(lon)
+    n = geo.WGS84_A / np.sqrt(1 - e2 * np.sin(la) ** 2)
+    return n * np.cos(la) * np.cos(lo), n * np.cos(la) * np.sin(lo), n * (1 - e2) * np.sin(la)
+
+
+def project_points(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, budget: int = 2_000_000) -> np.ndarray:
     """Distance along the line of the best segment match for each point (numpy kernel).
 
     Per segment AB: ``t = clamp(dAP / dAB, 0, 1)`` (radial, not the perpendicular foot),
@@ -144,53 +152,56 @@ def project_points(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, chunk: i
     the strictly smallest score wins, so the first segment wins ties; result =
     cum_start + t * dAB. No segment: 0.0.
 
-    Exact pruning: score >= dAP - t*dAB >= dAP - dAB (triangle inequality), so only
-    segments whose bound is within the best candidate's score get the full evaluation.
+    Exact pruning, two stages. By the triangle inequality score >= dAP - t*dAB >= dAP - dAB,
+    and the straight chord between A and P is never longer than the geodesic, so
+    ``chord(A, P) - dAB`` is a lower bound that costs a few multiplications. Segments whose
+    bound exceeds the score of the most promising segment cannot win; the survivors get
+    the geodesic ``dAP``, are pruned again, and only the rest get the full evaluation.
     """
     n, m = len(lat), len(seg)
     out = np.zeros(n, dtype=np.float64)
     if n == 0 or m == 0:
         return out
     seg = seg.sort_values("seg_idx", kind="stable")
-    alat, alon = seg["a_lat"].to_numpy(), seg["a_lon"].to_numpy()
-    blat, blon = seg["b_lat"].to_numpy(), seg["b_lon"].to_numpy()
-    dab, az, cum = seg["seg_len"].to_numpy(), seg["seg_az"].to_numpy(), seg["cum_start"].to_numpy()
+    alat, alon = seg["a_lat"].to_numpy(dtype=np.float64), seg["a_lon"].to_numpy(dtype=np.float64)
+    blat, blon = seg["b_lat"].to_numpy(dtype=np.float64), seg["b_lon"].to_numpy(dtype=np.float64)
+    dab = seg["seg_len"].to_numpy(dtype=np.float64)
+    az, cum = seg["seg_az"].to_numpy(dtype=np.float64), seg["cum_start"].to_numpy(dtype=np.float64)
+    ax, ay, az3 = _ecef(alat, alon)
+    px, py, pz = _ecef(lat, lon)
+
+    def score(r: np.ndarray, c: np.ndarray, dap: np.ndarray) -> np.ndarray:
+        tm = dab[c] * np.clip(dap / dab[c], 0.0, 1.0)
+        la, lo = geo.direct(alat[c], alon[c], az[c], tm)
+        sc, _ = geo.inverse(la, lo, lat[r], lon[r])
+        nan = np.isnan(sc)
+        if nan.any():
+            sb, _ = geo.inverse(blat[c[nan]], blon[c[nan]], lat[r[nan]], lon[r[nan]])
+            sc[nan] = sb
+        return np.where(np.isnan(sc), np.inf, sc)
+
+    chunk = max(1, min(n, budget // m))
     for lo in range(0, n, chunk):
         hi = min(n, lo + chunk)
-        plat = np.repeat(lat[lo:hi], m)
-        plon = np.repeat(lon[lo:hi], m)
         k = hi - lo
-        A = lambda x: np.tile(x, k)
-        dap, _ = geo.inverse(A(alat), A(alon), plat, plon)
-        dap = dap.reshape(k, m)
-        t = np.clip(dap / dab[None, :], 0.0, 1.0)
-        tm = dab[None, :] * t
-        lb = np.maximum(dap - dab[None, :], 0.0)
-        lb = np.where(np.isnan(lb), 0.0, lb)
-
-        def exact(rows, cols):
-            la, lo_ = geo.direct(alat[cols], alon[cols], az[cols], tm[rows, cols])
-            pl, po = lat[lo + rows], lon[lo + rows]
-            sc, _ = geo.inverse(la, lo_, pl, po)
-            nan = np.isnan(sc)
-            if nan.any():
-                sb, _ = geo.inverse(blat[cols[nan]], blon[cols[nan]], pl[nan], po[nan])
-                sc[nan] = sb
-            return sc
-
-        rows = np.arange(k)
+        rows = np.arange(lo, hi)
+        chord = np.sqrt((px[lo:hi, None] - ax[None, :]) ** 2 + (py[lo:hi, None] - ay[None, :]) ** 2
+                        + (pz[lo:hi, None] - az3[None, :]) ** 2)
+        lb = np.maximum(chord - dab[None, :], 0.0)
         first = np.argmin(lb, axis=1)
-        ub = exact(rows, first)
-        ub = np.where(np.isnan(ub), np.inf, ub)
-        cand = lb <= (ub[:, None] + PRUNE_SLACK_M)
-        r, c = np.nonzero(cand)
-        score = np.full((k, m), np.inf)
-        sc = exact(r, c)
-        score[r, c] = np.where(np.isnan(sc), np.inf, sc)
-        best = np.argmin(score, axis=1)
-        ok = np.isfinite(score[rows, best])
-        res = np.where(ok, cum[best] + tm[rows, best], 0.0)
-        out[lo:hi] = res
+        dap0, _ = geo.inverse(alat[first], alon[first], lat[rows], lon[rows])
+        ub = score(rows, first, dap0)
+        r, c = np.nonzero(lb <= ub[:, None] + PRUNE_SLACK_M)
+        dap, _ = geo.inverse(alat[c], alon[c], lat[lo + r], lon[lo + r])
+        keep = ~(np.maximum(dap - dab[c], 0.0) > ub[r] + PRUNE_SLACK_M)
+        r, c, dap = r[keep], c[keep], dap[keep]
+        full = np.full((k, m), np.inf)
+        full[r, c] = score(lo + r, c, dap)
+        tmat = np.zeros((k, m))
+        tmat[r, c] = dab[c] * np.clip(dap / dab[c], 0.0, 1.0)
+        best = np.argmin(full, axis=1)
+        ok = np.isfinite(full[np.arange(k), best])
+        out[lo:hi] = np.where(ok, cum[best] + tmat[np.arange(k), best], 0.0)
     return out
 
 
