@@ -25,3 +25,31 @@ def q_stream_arrivals(spark, sf_dir):
         stream = runner.read_files(spark, src, samples.schema)
         runner.run_available_now(stream_arrivals(stream, rt, KEYS), out, ckpt)
     return spark.read.parquet(out).select(*KEYS, "seq", "stop_id", "stop_sequence", "arrival_time_millis")
+
+
+# --- streaming de-duplication: must equal the batch operators -----------------------------------------
+
+from ..operators import ingest as ing  # noqa: E402
+from ..streaming.dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream  # noqa: E402
+from .ingest_queries import _ENT, _sql as _ing_sql  # noqa: E402
+
+
+@register("stream_dedup_snapshots", _ing_sql("SELECT feed, snapshot_no, header_ts FROM kept", "snaps", "nz", "kept"))
+def q_stream_dedup_snapshots(spark, sf_dir):
+    snaps = ing.snapshots_of(fx.feed_entities(spark, sf_dir))
+    root = runner.run_dir(spark, "stream_snapshots")
+    runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES)
+    runner.run_available_now(dedup_snapshots_stream(runner.read_files(spark, f"{root}/in", snaps.schema)),
+                             f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_dedup_vehicle_ts", _ing_sql(f"SELECT {_ENT} FROM d", "snaps", "nz", "kept", "f", "el", "d"))
+def q_stream_dedup_vehicle_ts(spark, sf_dir):
+    e = fx.feed_entities(spark, sf_dir)
+    f = ing.filter_vehicle_entities(ing.keep_snapshots(e, ing.dedup_snapshots(ing.snapshots_of(e)))).drop("has_vehicle")
+    root = runner.run_dir(spark, "stream_vehicle_ts")
+    runner.append_in_order(f, f"{root}/in", "snapshot_no", BATCHES)
+    runner.run_available_now(dedup_vehicle_ts_stream(runner.read_files(spark, f"{root}/in", f.schema)),
+                             f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
