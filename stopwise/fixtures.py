@@ -194,25 +194,34 @@ def feed_info(spark, sf_dir, table: str):
 
 
 def _gtfs_side(spark, sf_dir, agencies: list[str]) -> dict:
-    ag = agency(spark, sf_dir).where(F.col("agency_id").isin(agencies))
-    rt = routes(spark, sf_dir).join(ag.select("agency_id"), "agency_id", "left_semi")
-    tr = trips(spark, sf_dir).join(rt.select("route_id"), "route_id", "left_semi")
-    st = stop_times(spark, sf_dir).join(tr.select("trip_id"), "trip_id", "left_semi") \
-        .withColumn("arrival_time", F.col("arrival_seconds")).drop("arrival_seconds")
-    fr = frequencies(spark, sf_dir).join(tr.select("trip_id"), "trip_id", "left_semi")
-    return {"agency": ag, "routes": rt, "trips": tr, "stop_times": st, "frequencies": fr,
-            "stops": stops(spark, sf_dir), "calendar": calendar(spark, sf_dir), "shapes": shapes(spark, sf_dir),
-            "calendar_dates": calendar_dates(spark, sf_dir)}
-
-
-def gtfs_split(spark, sf_dir) -> tuple[dict, dict]:
+    """Builders (name -> zero-argument function) of one side of the split."""
+    b: dict = {}
+    b["agency"] = lambda: agency(spark, sf_dir).where(F.col("agency_id").isin(agencies))
+    b["routes"] = lambda: routes(spark, sf_dir).join(side["agency"].select("agency_id"), "agency_id", "left_semi")
+    b["trips"] = lambda: trips(spark, sf_dir).join(side["routes"].select("route_id"), "route_id", "left_semi")
+    b["stop_times"] = lambda: (stop_times(spark, sf_dir).join(side["trips"].select("trip_id"), "trip_id", "left_semi")
+                               .withColumn("arrival_time", F.col("arrival_seconds")).drop("arrival_seconds"))
+    b["frequencies"] = lambda: frequencies(spark, sf_dir).join(side["trips"].select("trip_id"), "trip_id", "left_semi")
+    b["stops"] = lambda: stops(spark, sf_dir)
+    b["calendar"] = lambda: calendar(spark, sf_dir)
+    b["shapes"] = lambda: shapes(spark, sf_dir)
+    b["calendar_dates"] = lambda: calendar_dates(spark, sf_dir)
+    from .operators.merge import LazySchema
+    side = LazySchema(b)
+    return b, side
+
+
+def gtfs_split(spark, sf_dir):
     """(source, target) schemas: source = agencies A0, A1 and what hangs off them, target
     = A1..A4 likewise; stops, calendar, shapes, calendar_dates in both; transfers split
-    by id parity; one feed_info row each with the same publisher."""
-    src, tgt = _gtfs_side(spark, sf_dir, SOURCE_AGENCIES), _gtfs_side(spark, sf_dir, TARGET_AGENCIES)
-    t = transfers(spark, sf_dir)
-    src["transfers"], tgt["transfers"] = t.where(F.col("id") % 2 == 0), t.where(F.col("id") % 2 == 1)
-    src["feed_info"], tgt["feed_info"] = feed_info(spark, sf_dir, "region"), feed_info(spark, sf_dir, "nation")
+    by id parity; one feed_info row each with the same publisher. Tables are built lazily."""
+    (sb, src), (tb, tgt) = _gtfs_side(spark, sf_dir, SOURCE_AGENCIES), _gtfs_side(spark, sf_dir, TARGET_AGENCIES)
+    sb["transfers"] = lambda: transfers(spark, sf_dir).where(F.col("id") % 2 == 0)
+    tb["transfers"] = lambda: transfers(spark, sf_dir).where(F.col("id") % 2 == 1)
+    sb["feed_info"] = lambda: feed_info(spark, sf_dir, "region")
+    tb["feed_info"] = lambda: feed_info(spark, sf_dir, "nation")
+    src._builders.update(sb)
+    tgt._builders.update(tb)
     return src, tgt
 
 

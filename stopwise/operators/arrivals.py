@@ -103,13 +103,13 @@ def previous_anchor(df: DataFrame, *, s_col: str = "s_now", ts_col: str = "ts_ms
 def attach_runtime(samples: DataFrame, runtime: DataFrame, on: Sequence[str]) -> DataFrame:
     """Join each sample to its trip's stop arrays (left join: unknown trip = no stops).
 
-    With ``on`` empty the runtime must be a single row (a global aggregate); it is then
-    broadcast on a constant key, which moves no sample rows.
+    With ``on`` empty the runtime must be a single row (a global aggregate, so the bound
+    is proven); it is attached as a scalar subquery, evaluated once, with no join.
     """
     if on:
         return samples.join(runtime, list(on), "left")
-    one = runtime.withColumn("_rt", F.lit(0))
-    return samples.withColumn("_rt", F.lit(0)).join(F.broadcast(one), "_rt", "left").drop("_rt")
+    from ..functions.scalars import with_scalars
+    return with_scalars(samples, runtime)
 
 
 def _count_le(arr: str, bound: Column) -> Column:

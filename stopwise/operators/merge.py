@@ -18,6 +18,7 @@ report then carries status ``error``.
 
 from __future__ import annotations
 
+from collections.abc import Mapping as AbcMapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -185,82 +186,122 @@ def new_id(table: Column, old: Column, salt: str, run_ms: int) -> Column:
     return F.concat(F.substring(table, 1, 2), F.lit("_"), h, F.lit("_"), F.lit(str(int(run_ms))))
 
 
-def id_mapping(source: Schema, salt: str, run_ms: int) -> DataFrame:
-    """(table_name, old_id, new_id), one row per distinct non-null source id."""
-    parts = []
-    for t, c in MAPPED:
-        if t in source:
-            ids = source[t].select(F.col(c).cast("string").alias("old_id")).where(F.col("old_id").isNotNull())
-            parts.append(ids.distinct().withColumn("table_name", F.lit(t)))
-    m = parts[0]
-    for p in parts[1:]:
-        m = m.unionByName(p)
-    return m.select("table_name", "old_id", new_id(F.col("table_name"), F.col("old_id"), salt, run_ms).alias("new_id"))
+class LazySchema(AbcMapping):
+    """A schema whose tables are built on first use (planning a table costs driver time)."""
+
+    def __init__(self, builders: dict):
+        self._builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
-def mapping_for(mapping: DataFrame, table: str, old: str, new: str) -> DataFrame:
-    return mapping.where(F.col("table_name") == table).select(F.col("old_id").alias(old), F.col("new_id").alias(new))
+class Mapping:
+    """Id mapping of a source schema, kept per table so a lookup reads only its own table."""
+
+    def __init__(self, source: Schema, salt: str, run_ms: int):
+        self.source, self.salt, self.run_ms = source, salt, run_ms
+        self.id_cols = {t: c for t, c in MAPPED if t in source}
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, t: str) -> DataFrame:
+        if t not in self._tables:
+            c = self.id_cols[t]
+            ids = self.source[t].select(F.col(c).cast("string").alias("old_id")).where(F.col("old_id").isNotNull())
+            self._tables[t] = ids.distinct().select(
+                F.lit(t).alias("table_name"), "old_id", new_id(F.lit(t), F.col("old_id"), self.salt, self.run_ms)
+                .alias("new_id"))
+        return self._tables[t]
+
+    def all(self) -> DataFrame:
+        """(table_name, old_id, new_id) for every mapped table."""
+        parts = [self.table(t) for t in self.id_cols]
+        m = parts[0]
+        for p in parts[1:]:
+            m = m.unionByName(p)
+        return m
+
+    def lookup(self, table: str) -> DataFrame | None:
+        if table not in self.id_cols:
+            return None
+        return self.table(table).select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new"))
+
+
+def id_mapping(source: Schema, salt: str, run_ms: int) -> DataFrame:
+    """(table_name, old_id, new_id), one row per distinct non-null source id."""
+    return Mapping(source, salt, run_ms).all()
 
 
-def _remap(df: DataFrame, mapping: DataFrame, table: str, col: str, how: str) -> DataFrame:
-    """Replace ``col`` by its new id through the ``table`` mapping (inner: unmapped rows drop)."""
-    m = mapping_for(mapping, table, "_old", "_new")
+def _remap(df: DataFrame, mapping: Mapping, table: str, col: str, how: str) -> DataFrame:
+    """Replace ``col`` by its new id through the ``table`` mapping (inner: unmapped rows drop;
+    left: unmapped become null). A mapping the source lacks maps nothing."""
+    m = mapping.lookup(table)
+    if m is None:
+        m = df.sparkSession.createDataFrame([], "_old string, _new string")
     j = df.join(m, df[col] == m["_old"], how)
     return j.drop(col, "_old").withColumnRenamed("_new", col)
 
 
 # --- step 3: per-table remaps ----------------------------------------------------------------------
 
-def remap_agency(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_agency(src: DataFrame, mapping: Mapping) -> DataFrame:
     return conform("agency", _remap(conform("agency", src), mapping, "agency", "agency_id", "inner"))
 
 
-def remap_routes(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_routes(src: DataFrame, mapping: Mapping) -> DataFrame:
     d = _remap(conform("routes", src), mapping, "routes", "route_id", "inner")
     return conform("routes", _remap(d, mapping, "agency", "agency_id", "left"))
 
 
-def remap_stops(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_stops(src: DataFrame, mapping: Mapping) -> DataFrame:
     d = _remap(conform("stops", src), mapping, "stops", "stop_id", "inner")
     return conform("stops", _remap(d, mapping, "stops", "parent_station", "left"))
 
 
-def remap_calendar(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_calendar(src: DataFrame, mapping: Mapping) -> DataFrame:
     return conform("calendar", _remap(conform("calendar", src), mapping, "calendar", "service_id", "inner"))
 
 
-def remap_calendar_dates(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_calendar_dates(src: DataFrame, mapping: Mapping) -> DataFrame:
     # Through the calendar mapping: services that exist only in calendar_dates drop.
     d = _remap(conform("calendar_dates", src), mapping, "calendar", "service_id", "inner")
     return conform("calendar_dates", d)
 
 
-def remap_shapes(src: DataFrame, mapping: DataFrame, max_id: DataFrame | int) -> DataFrame:
+def remap_shapes(src: DataFrame, mapping: Mapping, max_id: DataFrame | int) -> DataFrame:
     d = _remap(conform("shapes", src), mapping, "shapes", "shape_id", "inner").drop("id")
     d = surrogate_ids(d, "id", ["shape_id", "shape_pt_sequence", "lat", "lon", "shape_dist_traveled"], max_id)
     return conform("shapes", d)
 
 
-def remap_trips(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_trips(src: DataFrame, mapping: Mapping) -> DataFrame:
     d = _remap(conform("trips", src), mapping, "trips", "trip_id", "inner")
     d = _remap(d, mapping, "routes", "route_id", "inner")
     d = _remap(d, mapping, "calendar", "service_id", "inner")
     return conform("trips", _remap(d, mapping, "shapes", "shape_id", "left"))
 
 
-def remap_stop_times(src: DataFrame, mapping: DataFrame) -> DataFrame:
+def remap_stop_times(src: DataFrame, mapping: Mapping) -> DataFrame:
     d = _remap(conform("stop_times", src), mapping, "trips", "trip_id", "inner")
     return conform("stop_times", _remap(d, mapping, "stops", "stop_id", "inner"))
 
 
-def remap_frequencies(src: DataFrame, mapping: DataFrame, max_row: DataFrame | int) -> DataFrame:
+def remap_frequencies(src: DataFrame, mapping: Mapping, max_row: DataFrame | int) -> DataFrame:
     d = _remap(conform("frequencies", src), mapping, "trips", "trip_id", "inner").drop("frequencies_row")
     d = surrogate_ids(d, "frequencies_row", ["trip_id", "start_time", "end_time", "headway_secs", "exact_times"],
                       max_row)
     return conform("frequencies", d)
 
 
-def remap_transfers(src: DataFrame, mapping: DataFrame, max_id: DataFrame | int) -> DataFrame:
+def remap_transfers(src: DataFrame, mapping: Mapping, max_id: DataFrame | int) -> DataFrame:
     d = conform("transfers", src).drop("id")
     for col, table in (("from_stop_id", "stops"), ("to_stop_id", "stops"), ("from_route_id", "routes"),
                        ("to_route_id", "routes"), ("from_trip_id", "trips"), ("to_trip_id", "trips")):
@@ -354,7 +395,7 @@ def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sc
     if both("agency"):
         dup = duplicate_agencies(source, target)
         kept = apply_deletes(target, dup)
-    mapping = id_mapping(source, salt, run_ms)
+    mapping = Mapping(source, salt, run_ms)
     maxes = max_surrogates(target) if any(t in target for t in ("shapes", "frequencies", "transfers")) else None
     mx = lambda c: maxes.select(c) if maxes is not None else 0
 
@@ -387,8 +428,8 @@ def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sc
     for t, d in ins.items():
         tables[t] = conform(t, kept[t]).unionByName(d) if t in COLUMNS else kept[t].unionByName(d)
 
-    report = merge_report(spark, ins, target, dup, mapping, source_schema, target_schema)
-    return MergeResult(tables=tables, inserted=ins, kept=kept, mapping=mapping, duplicates=dup, report=report)
+    report = merge_report(spark, ins, target, dup, mapping.all(), source_schema, target_schema)
+    return MergeResult(tables=tables, inserted=ins, kept=kept, mapping=mapping.all(), duplicates=dup, report=report)
 
 
 def merge_report(spark: SparkSession, inserted: Schema, target: Schema, dup: DataFrame, mapping: DataFrame,

@@ -134,6 +134,45 @@ def shape_segments(points: DataFrame, *, line: str = "line_id", order: str = "pt
     return s.withColumn("cum_start", F.coalesce(F.sum("seg_len").over(wc), F.lit(0.0)))
 
 
+def line_segments(points: DataFrame, step_m: float, *, line: str = "line_id", order: str = "pt_order") -> DataFrame:
+    """Segments of the densified lines in one pass: the same result as
+    ``shape_segments(densify_polyline(points, step_m))`` without materialising points.
+
+    Each original segment AB (length d) is cut at t = k * step / d for k = 1.. while t < 1;
+    its pieces run from the point at t_j to the point at t_{j+1} (the last piece ends at
+    B exactly). ``seg_idx`` orders pieces by (original segment, piece).
+    """
+    w = Window.partitionBy(line).orderBy(order)
+    base = points.select(line, order, "lat", "lon").withColumn("_i", F.row_number().over(w) - 1)
+    seg = (base.withColumn("_blat", F.lead("lat").over(w)).withColumn("_blon", F.lead("lon").over(w))
+               .where(F.col("_blat").isNotNull()))
+    seg = seg.withColumn("_g", geo.geodesic_inverse(F.col("lat"), F.col("lon"), F.col("_blat"), F.col("_blon")))
+    d = F.col("_g.s12")
+    step = F.lit(float(step_m))
+    if step_m > 0:
+        n = F.when(F.isnan(d) | d.isNull() | (d <= step), F.lit(0)).otherwise(F.floor(d / step)).cast("int")
+        # interior points are those k in 1..n with k * step / d < 1
+        m = F.when(n > 0, n - F.when(n * step / d >= 1.0, 1).otherwise(0)).otherwise(0)
+    else:
+        m = F.lit(0)
+    seg = seg.withColumn("_m", m).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m"))))
+    t0 = F.col("_j") * step / d
+    t1 = (F.col("_j") + 1) * step / d
+    last = F.col("_j") == F.col("_m")
+    a_lat = F.when(F.col("_j") == 0, F.col("lat")).otherwise(F.col("lat") + (F.col("_blat") - F.col("lat")) * t0)
+    a_lon = F.when(F.col("_j") == 0, F.col("lon")).otherwise(F.col("lon") + (F.col("_blon") - F.col("lon")) * t0)
+    b_lat = F.when(last, F.col("_blat")).otherwise(F.col("lat") + (F.col("_blat") - F.col("lat")) * t1)
+    b_lon = F.when(last, F.col("_blon")).otherwise(F.col("lon") + (F.col("_blon") - F.col("lon")) * t1)
+    pieces = seg.select(line, (F.col("_i").cast("long") * F.lit(1 << 32) + F.col("_j")).alias("seg_idx"),
+                        a_lat.alias("a_lat"), a_lon.alias("a_lon"), b_lat.alias("b_lat"), b_lon.alias("b_lon"))
+    pieces = pieces.withColumn("_g", geo.geodesic_inverse(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"),
+                                                          F.col("b_lon")))
+    pieces = pieces.select(line, "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", F.col("_g.s12").alias("seg_len"),
+                           F.col("_g.azi1").alias("seg_az")).where(F.col("seg_len") != 0.0)
+    wc = Window.partitionBy(line).orderBy("seg_idx").rowsBetween(Window.unboundedPreceding, -1)
+    return pieces.withColumn("cum_start", F.coalesce(F.sum("seg_len").over(wc), F.lit(0.0)))
+
+
 # --- projection ---------------------------------------------------------------------------------------
 
 def _ecef(lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,8 +307,7 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
     ts = trip_stops(stop_times, stops)
     lines = line_of_trip(trips, shapes)
     pts = line_points(trips, shapes, ts)
-    dense = densify_polyline(pts, densify_step_m)
-    segs = shape_segments(dense)
+    segs = line_segments(pts, densify_step_m)
     stop_pts = (ts.join(lines, "trip_id", "inner")
                   .select("line_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).distinct())
     proj = project_along(stop_pts, segs, out="stop_s")

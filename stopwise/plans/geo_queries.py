@@ -151,9 +151,9 @@ def q_trip_runtime(spark, sf_dir):
                     F.round("z.stop_s", 3).alias("stop_s"), "sched_start_ms")
 
 
-def samples_on_lines(spark, sf_dir):
+def samples_on_lines(spark, sf_dir, built=None):
     """fx:positions with ids blanked to null, trip required, projected on their trip's line."""
-    _, lines, segs = runtime(spark, sf_dir)
+    _, lines, segs = built or runtime(spark, sf_dir)
     p = _samples(spark, sf_dir)
     p = p.join(lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
     p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
@@ -168,7 +168,7 @@ def q_project_along(spark, sf_dir):
 @register("arrivals_from_positions")
 def q_arrivals_from_positions(spark, sf_dir):
     """Raw coordinates to arrival events: project, then the batch detector per (agency, vehicle, trip)."""
-    rt, _, _ = runtime(spark, sf_dir)
-    s = samples_on_lines(spark, sf_dir).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
-    a = ar.detect_arrivals(s, rt.drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
+    built = runtime(spark, sf_dir)
+    s = samples_on_lines(spark, sf_dir, built).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
+    a = ar.detect_arrivals(s, built[0].drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
     return ar.arrival_events(a)

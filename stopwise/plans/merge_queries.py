@@ -75,6 +75,12 @@ def _split(spark, sf_dir):
     return fx.gtfs_split(spark, sf_dir)
 
 
+def _one(spark, sf_dir):
+    """(source, target, mapping) for queries that remap a single table."""
+    src, tgt = _split(spark, sf_dir)
+    return src, tgt, mg.Mapping(src, SALT, RUN_MS)
+
+
 def _plan(spark, sf_dir):
     src, tgt = _split(spark, sf_dir)
     return mg.plan_merge(spark, src, tgt, source_schema=SOURCE_SCHEMA, target_schema=TARGET_SCHEMA,
@@ -147,7 +153,8 @@ _NULL = "CAST(NULL AS VARCHAR)"
     f"SELECT m.new_id AS agency_id, s.agency_name, {', '.join(f'{_NULL} AS {c}' for c in mg.COLUMNS['agency'][2:])} "
     f"FROM src_agency s JOIN {_m('agency', 'm')} ON m.old_id = s.agency_id"))
 def q_merge_agency(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["agency"]
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_agency(src["agency"], m)
 
 
 @register("merge_routes", _sql(
@@ -155,7 +162,8 @@ def q_merge_agency(spark, sf_dir):
     f"FROM src_routes s JOIN {_m('routes', 'r')} ON r.old_id = s.route_id LEFT JOIN {_m('agency', 'a')} "
     "ON a.old_id = s.agency_id"))
 def q_merge_routes(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["routes"].select("route_id", "agency_id", "route_short_name", "route_type")
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_routes(src["routes"], m).select("route_id", "agency_id", "route_short_name", "route_type")
 
 
 @register("merge_stops", _sql(
@@ -163,21 +171,24 @@ def q_merge_routes(spark, sf_dir):
     f"FROM fx_stops s JOIN {_m('stops', 'm')} ON m.old_id = s.stop_id LEFT JOIN {_m('stops', 'p')} "
     "ON p.old_id = s.parent_station"))
 def q_merge_stops(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["stops"].select("stop_id", "stop_name", "stop_lat", "stop_lon",
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_stops(src["stops"], m).select("stop_id", "stop_name", "stop_lat", "stop_lon",
                                                          "parent_station")
 
 
 @register("merge_calendar", _sql(f"SELECT m.new_id AS service_id FROM fx_calendar s JOIN {_m('calendar', 'm')} "
                                  "ON m.old_id = s.service_id"))
 def q_merge_calendar(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["calendar"].select("service_id")
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_calendar(src["calendar"], m).select("service_id")
 
 
 @register("merge_calendar_dates", _sql(
     f"SELECT m.new_id AS service_id, s.date, s.exception_type FROM cal_dates s JOIN {_m('calendar', 'm')} "
     "ON m.old_id = s.service_id"))
 def q_merge_calendar_dates(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["calendar_dates"]
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_calendar_dates(src["calendar_dates"], m)
 
 
 _SHAPES_BODY = (
@@ -188,7 +199,8 @@ _SHAPES_BODY = (
 
 @register("merge_shapes", _sql(_SHAPES_BODY))
 def q_merge_shapes(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["shapes"].select("id", "shape_id", "shape_pt_sequence", "lat", "lon")
+    src, tgt, m = _one(spark, sf_dir)
+    return mg.remap_shapes(src["shapes"], m, mg.max_surrogates(tgt).select("max_shapes_id")).select("id", "shape_id", "shape_pt_sequence", "lat", "lon")
 
 
 @register("merge_trips", _sql(
@@ -196,7 +208,8 @@ def q_merge_shapes(spark, sf_dir):
     f"FROM src_trips s JOIN {_m('trips', 't')} ON t.old_id = s.trip_id JOIN {_m('routes', 'r')} ON r.old_id = s.route_id "
     f"JOIN {_m('calendar', 'c')} ON c.old_id = s.service_id LEFT JOIN {_m('shapes', 'h')} ON h.old_id = s.shape_id"))
 def q_merge_trips(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["trips"].select("trip_id", "route_id", "service_id", "shape_id")
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_trips(src["trips"], m).select("trip_id", "route_id", "service_id", "shape_id")
 
 
 @register("merge_stop_times", _sql(
@@ -204,7 +217,8 @@ def q_merge_trips(spark, sf_dir):
     f"FROM src_stop_times s JOIN {_m('trips', 't')} ON t.old_id = s.trip_id JOIN {_m('stops', 'p')} "
     "ON p.old_id = s.stop_id"))
 def q_merge_stop_times(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["stop_times"].select("trip_id", "arrival_time", "stop_id", "stop_sequence")
+    src, _, m = _one(spark, sf_dir)
+    return mg.remap_stop_times(src["stop_times"], m).select("trip_id", "arrival_time", "stop_id", "stop_sequence")
 
 
 @register("merge_frequencies", _sql(
@@ -212,7 +226,8 @@ def q_merge_stop_times(spark, sf_dir):
     "+ (SELECT max_frequencies_row FROM maxes) AS frequencies_row, t.new_id AS trip_id, s.headway_secs "
     f"FROM src_frequencies s JOIN {_m('trips', 't')} ON t.old_id = s.trip_id"))
 def q_merge_frequencies(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["frequencies"].select("frequencies_row", "trip_id", "headway_secs")
+    src, tgt, m = _one(spark, sf_dir)
+    return mg.remap_frequencies(src["frequencies"], m, mg.max_surrogates(tgt).select("max_frequencies_row")).select("frequencies_row", "trip_id", "headway_secs")
 
 
 _TRANSFERS_BODY = (
@@ -229,7 +244,8 @@ _TR_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ("from_stop_id", "to_stop_id",
     f"SELECT row_number() OVER (ORDER BY {_TR_ORDER}) + (SELECT max_transfers_id FROM maxes) AS id, * "
     f"FROM ({_TRANSFERS_BODY}) x"))
 def q_merge_transfers(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["transfers"].select(
+    src, tgt, m = _one(spark, sf_dir)
+    return mg.remap_transfers(src["transfers"], m, mg.max_surrogates(tgt).select("max_transfers_id")).select(
         "id", "from_stop_id", "to_stop_id", "from_route_id", "to_route_id", "from_trip_id", "to_trip_id")
 
 
@@ -238,7 +254,7 @@ def q_merge_transfers(spark, sf_dir):
     f"from_stop_id, to_stop_id FROM ({_TRANSFERS_BODY}) x"))
 def q_surrogate_keys(spark, sf_dir):
     src, tgt = _split(spark, sf_dir)
-    mapping = mg.id_mapping(src, SALT, RUN_MS)
+    mapping = mg.Mapping(src, SALT, RUN_MS)
     return mg.remap_transfers(src["transfers"], mapping, mg.max_surrogates(tgt).select("max_transfers_id")) \
         .select("id", "from_stop_id", "to_stop_id")
 
@@ -247,7 +263,8 @@ def q_surrogate_keys(spark, sf_dir):
     "SELECT * FROM src_feed_info s WHERE NOT EXISTS (SELECT 1 FROM tgt_feed_info t "
     "WHERE t.feed_publisher_name = s.feed_publisher_name)"))
 def q_merge_feed_info(spark, sf_dir):
-    return _plan(spark, sf_dir).inserted["feed_info"]
+    src, tgt, _ = _one(spark, sf_dir)
+    return mg.merge_feed_info(src["feed_info"], tgt["feed_info"], ["feed_publisher_name"])
 
 
 @register("enum_cast", _sql(

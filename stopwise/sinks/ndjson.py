@@ -27,10 +27,10 @@ def _normalize(c: Column, dt: T.DataType) -> Column:
     return c
 
 
-def dump_lines(df: DataFrame, *, topic: str | Column, partition: str | Column = F.lit(0), offset: str = "seq",
+def dump_lines(df: DataFrame, *, topic: str | Column, partition: int | str | Column = 0, offset: str = "seq",
                timestamp: str = "ts_ms", key: str | None = "record_key", value_cols: list[str] | None = None) -> DataFrame:
     """A one-column DataFrame ``line`` (plus ``offset`` for ordering) of dump lines."""
-    col = lambda x: F.col(x) if isinstance(x, str) else x
+    col = lambda x: F.col(x) if isinstance(x, str) else (F.lit(x) if isinstance(x, int) else x)
     fields = {f.name: f.dataType for f in df.schema.fields}
     vals = value_cols or [c for c in df.columns if c not in (offset, key)]
     value = F.struct(*[_normalize(F.col(c), fields[c]).alias(c) for c in vals])
