@@ -428,14 +428,22 @@ def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sc
     for t, d in ins.items():
         tables[t] = conform(t, kept[t]).unionByName(d) if t in COLUMNS else kept[t].unionByName(d)
 
-    report = merge_report(spark, ins, target, dup, mapping.all(), source_schema, target_schema)
+    report = merge_report(spark, ins, target, dup, mapping.all(), source_schema, target_schema,
+                          source_trips=source["trips"] if both("trips") else None)
     return MergeResult(tables=tables, inserted=ins, kept=kept, mapping=mapping.all(), duplicates=dup, report=report)
 
 
 def merge_report(spark: SparkSession, inserted: Schema, target: Schema, dup: DataFrame, mapping: DataFrame,
-                 source_schema: str, target_schema: str) -> DataFrame:
-    """One-row report: status, totals, counts, schema names (a global aggregate of a small union)."""
+                 source_schema: str, target_schema: str, source_trips: DataFrame | None = None) -> DataFrame:
+    """One-row report: status, totals, counts, schema names (a global aggregate of a small union).
+
+    Extra field ``trips_dropped``: source trips the inner joins left out (unmapped route or
+    service); their stop times and frequencies are still inserted, as in the reference.
+    """
     parts = [d.select(F.lit("migrated").alias("k")) for d in inserted.values()]
+    if source_trips is not None and "trips" in inserted:
+        parts.append(source_trips.select(F.lit("src_trips").alias("k")))
+        parts.append(inserted["trips"].select(F.lit("ins_trips").alias("k")))
     if "agency" in target and "agency" in inserted:
         parts.append(target["agency"].join(dup.select("agency_id"), "agency_id", "left_semi")
                      .select(F.lit("deleted").alias("k")))
@@ -452,6 +460,7 @@ def merge_report(spark: SparkSession, inserted: Schema, target: Schema, dup: Dat
         cnt("mapping").alias("id_mappings_created"),
         F.lit(source_schema).alias("source_schema"),
         F.lit(target_schema).alias("target_schema"),
+        (cnt("src_trips") - cnt("ins_trips")).alias("trips_dropped"),
     )
 
 

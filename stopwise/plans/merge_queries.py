@@ -300,7 +300,8 @@ _COUNTS = {
     "AS total_rows_migrated, CAST((SELECT count(*) FROM tgt_agency WHERE agency_id IN (SELECT agency_id FROM dup)) "
     f"AS INTEGER) AS duplicate_agencies_removed, {mg.TABLES_PROCESSED} AS tables_processed, "
     "CAST((SELECT count(*) FROM mapping) AS BIGINT) AS id_mappings_created, "
-    f"'{SOURCE_SCHEMA}' AS source_schema, '{TARGET_SCHEMA}' AS target_schema"))
+    f"'{SOURCE_SCHEMA}' AS source_schema, '{TARGET_SCHEMA}' AS target_schema, "
+    "CAST((SELECT count(*) FROM src_trips) - (" + _COUNTS["trips"] + ") AS BIGINT) AS trips_dropped"))
 def q_merge_report(spark, sf_dir):
     return _plan(spark, sf_dir).report
 

@@ -29,13 +29,16 @@ def _normalize(c: Column, dt: T.DataType) -> Column:
 
 def dump_lines(df: DataFrame, *, topic: str | Column, partition: int | str | Column = 0, offset: str = "seq",
                timestamp: str = "ts_ms", key: str | None = "record_key", value_cols: list[str] | None = None) -> DataFrame:
-    """A one-column DataFrame ``line`` (plus ``offset`` for ordering) of dump lines."""
+    """A one-column DataFrame ``line`` (plus ``offset`` for ordering) of dump lines.
+
+    ``topic`` is the topic name (or a Column); the other arguments name columns."""
     col = lambda x: F.col(x) if isinstance(x, str) else (F.lit(x) if isinstance(x, int) else x)
     fields = {f.name: f.dataType for f in df.schema.fields}
     vals = value_cols or [c for c in df.columns if c not in (offset, key)]
     value = F.struct(*[_normalize(F.col(c), fields[c]).alias(c) for c in vals])
     kcol = _normalize(F.col(key), fields[key]) if key else F.lit(None)
-    env = F.struct(col(topic).alias("topic"), col(partition).cast("int").alias("partition"),
+    tcol = F.lit(topic) if isinstance(topic, str) else topic
+    env = F.struct(tcol.alias("topic"), col(partition).cast("int").alias("partition"),
                    F.col(offset).cast("long").alias("offset"), F.col(timestamp).cast("long").alias("timestamp"),
                    kcol.alias("key"), value.alias("value"))
     return df.select(F.col(offset).alias("offset"), F.to_json(env, JSON_OPTIONS).alias("line"))
