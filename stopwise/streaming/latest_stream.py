@@ -1,8 +1,10 @@
 """Latest position per cache key as a stream, entries expiring 120 s after their last write.
 
-Keyed ValueState with a processing-time TTL: a key that receives no record for the TTL
-is forgotten (the cache entry expires); every record updates its key and is emitted as
-the key's new value (an upsert stream for a key-value sink, e.g. via foreachBatch).
+Keyed ValueState plus one processing-time timer per key: every record updates its key
+and is emitted as the key's new value (``expired`` = false); when a key receives no
+record for the TTL its timer fires, the state is cleared and a tombstone (``expired`` =
+true) is emitted. A key-value sink applies the stream as upserts and deletes, e.g.
+through ``foreachBatch``.
 """
 
 from __future__ import annotations
@@ -23,18 +25,31 @@ class LatestWithTtl(StatefulProcessor):
         self.schema, self.ttl_ms = schema, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("latest", self.schema, self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("latest", self.schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        last = pdf.iloc[[-1]]
+        last = pdf.iloc[[-1]].copy()
         self.state.update(tuple(last.iloc[0][f.name] for f in self.schema.fields))
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+        last["expired"] = False
         yield last
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        row = {f.name: [None] for f in self.schema.fields}
+        row["cache_key"] = [key[0]]
+        row["expired"] = [True]
+        yield pd.DataFrame(row)
+
 
 def latest_positions_stream(records: DataFrame, ttl_s: int = TTL_S) -> DataFrame:
     records.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     d = records.withColumn("cache_key", cache_key())
+    out = T.StructType(list(d.schema.fields) + [T.StructField("expired", T.BooleanType())])
     return d.groupBy("cache_key").transformWithStateInPandas(
-        statefulProcessor=LatestWithTtl(d.schema, ttl_s * 1000), outputStructType=d.schema, outputMode="Update",
+        statefulProcessor=LatestWithTtl(d.schema, ttl_s * 1000), outputStructType=out, outputMode="Update",
         timeMode="ProcessingTime")
