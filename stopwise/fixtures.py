@@ -27,9 +27,11 @@ def _ts_ms(df: DataFrame, col: str = "ts") -> Column:
 
 
 def _events_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # i = position of the event within its user; 1-based.
+    """Events with ``i`` = 1-based position within the user (row_number over user_id by
+    event_id), computed with the block-split scan so one busy user is not one task."""
+    from .functions.scan import ordered_prefix
     e = _read(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return e.withColumn("i", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")))
+    return ordered_prefix(e, ["user_id"], "event_id").withColumnRenamed("row_no", "i")
 
 
 def agency(spark, sf_dir):
