@@ -83,3 +83,24 @@ def q_stream_ingest_positions(spark, sf_dir):
     stream = runner.read_files(spark, f"{root}/in", snaps.schema)
     runner.run_available_now(ingest_stream(stream, NOW_S), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
+
+
+# --- raw positions to arrivals, streaming ------------------------------------------------------------
+
+from ..streaming.positions_stream import line_arrays, stream_arrivals_from_positions  # noqa: E402
+from . import geo_queries as gq  # noqa: E402
+
+
+@register("stream_arrivals_from_positions")
+def q_stream_arrivals_from_positions(spark, sf_dir):
+    """fx:positions as ordered micro-batches through projection and the keyed-state detector;
+    equals the batch ``arrivals_from_positions`` (checked in tests)."""
+    rt, trip_lines, segs = gq.runtime(spark, sf_dir)
+    samples = gq._samples(spark, sf_dir)
+    root = runner.run_dir(spark, "stream_positions")
+    runner.append_in_order(samples, f"{root}/in", "seq", BATCHES)
+    stream = runner.read_files(spark, f"{root}/in", samples.schema)
+    a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
+    runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
+    from ..operators import arrivals as ar
+    return ar.arrival_events(spark.read.parquet(f"{root}/out"))

@@ -32,3 +32,15 @@ def test_latest_positions_expire(spark, tmp_path):
         assert sorted(r.cache_key for r in expired) == ["vehpos:SL:T1", "vehpos:SL:T2"]
     finally:
         q.stop()
+
+
+def test_stream_from_positions_equals_batch(spark):
+    from stopwise.plans import registry
+    from .conftest import SF_SMALL
+    registry.load_all()
+    batch = registry.QUERIES["arrivals_from_positions"](spark, SF_SMALL)
+    stream = registry.QUERIES["stream_arrivals_from_positions"](spark, SF_SMALL)
+    from collections import Counter
+    a = Counter(tuple(r) for r in batch.collect())
+    b = Counter(tuple(r) for r in stream.select(*batch.columns).collect())
+    assert a == b and sum(a.values()) > 0
