@@ -191,7 +191,9 @@ def calendar_dates(spark, sf_dir):
 
 def feed_info(spark, sf_dir, table: str):
     t = _read(spark, sf_dir, table)
-    return t.groupBy().agg(F.lit("stopwise").alias("feed_publisher_name"), F.lit("en").alias("feed_lang"),
+    # The publisher (the conflict key) is derived from the data so that it is not a constant.
+    return t.groupBy().agg(F.concat(F.lit("stopwise-"), (F.count(F.lit(1)) > 0).cast("string"))
+                           .alias("feed_publisher_name"), F.lit("en").alias("feed_lang"),
                            F.count(F.lit(1)).cast("string").alias("feed_version"))
 
 

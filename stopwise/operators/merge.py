@@ -313,8 +313,12 @@ def remap_transfers(src: DataFrame, mapping: Mapping, max_id: DataFrame | int) -
 
 def merge_feed_info(src: DataFrame, tgt: DataFrame, key: list[str]) -> DataFrame:
     """Source rows whose key is not already in the target (insert ... on conflict do nothing)."""
-    s = src.select(*tgt.columns)
-    return s.join(tgt.select(*key), key, "left_anti").dropDuplicates(key)
+    s = src.select(*tgt.columns).join(tgt.select(*key), key, "left_anti")
+    # rows that conflict with each other: one is kept; null keys never conflict
+    null_key = F.lit(False)
+    for k in key:
+        null_key = null_key | F.col(k).isNull()
+    return s.where(~null_key).dropDuplicates(key).unionByName(s.where(null_key))
 
 
 # --- surrogate keys --------------------------------------------------------------------------------
@@ -338,10 +342,9 @@ def surrogate_ids(df: DataFrame, name: str, order: list[str], offset: DataFrame
     out = ranged.join(F.broadcast(starts), "_pid")
     out = out.withColumn(name, (F.col("_start") + F.col("_pos") + 1).cast("long")).drop("_pid", "_pos", "_start")
     if isinstance(offset, DataFrame):
-        # A one-row aggregate (the current max): broadcast on a constant key, nothing via the driver.
-        m = offset.select(F.col(offset.columns[0]).cast("long").alias("_off"), F.lit(0).alias("_c"))
-        out = out.withColumn("_c", F.lit(0)).join(F.broadcast(m), "_c").drop("_c")
-        return out.withColumn(name, F.col(name) + F.col("_off")).drop("_off")
+        # A one-row aggregate (the current max) as a scalar subquery: no join, nothing via the driver.
+        off = offset.select(F.col(offset.columns[0]).cast("long")).scalar()
+        return out.withColumn(name, F.col(name) + off)
     return out.withColumn(name, F.col(name) + F.lit(int(offset)))
 
 

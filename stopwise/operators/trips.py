@@ -288,7 +288,8 @@ def trip_schedule_start(trips: DataFrame, schedule: DataFrame | None = None) ->
 
 def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, stops: DataFrame,
                  schedule: DataFrame | None = None, densify_step_m: float = 10.0,
-                 for_trips: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 for_trips: DataFrame | None = None,
+                 materialize=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per trip: stops in order with their distance along the densified line, plus the
     scheduled start. Returns ``(runtime, line_of_trip, segments)`` where ``runtime`` has
     one row per trip (trip_id, line_id, stop_ids, stop_seqs, stop_s, stop_m, sched_start_ms).
@@ -296,6 +297,8 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
     ``for_trips`` (a DataFrame with ``trip_id``) limits the work to the trips samples ask
     for, like a memo filled on demand; shapes and stop times are cut to those trips
     before anything is densified. Stops are projected once per distinct (line, stop point).
+    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the lines and segments and to
+    the finished runtime, so each is computed once and later plans start from stored data.
     """
     from .arrivals import stop_runtime
     if for_trips is not None:
@@ -304,10 +307,11 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
         stop_times = stop_times.join(wanted, "trip_id", "left_semi")
         shapes = shapes.join(trips.select("shape_id").where(F.col("shape_id").isNotNull()).distinct(),
                              "shape_id", "left_semi")
-    ts = trip_stops(stop_times, stops)
-    lines = line_of_trip(trips, shapes)
+    keep = materialize or (lambda d: d)
+    ts = keep(trip_stops(stop_times, stops))
+    lines = keep(line_of_trip(trips, shapes))
     pts = line_points(trips, shapes, ts)
-    segs = line_segments(pts, densify_step_m)
+    segs = keep(line_segments(pts, densify_step_m))
     stop_pts = (ts.join(lines, "trip_id", "inner")
                   .select("line_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).distinct())
     proj = project_along(stop_pts, segs, out="stop_s")
@@ -318,7 +322,7 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
               .select("trip_id", "stop_id", "stop_sequence", "stop_s"))
     sched = trip_schedule_start(trips, schedule)
     rt = stop_runtime(ts_s.join(sched, "trip_id", "left"), ["trip_id"], schedule_start="sched_start_ms")
-    rt = rt.join(lines, "trip_id", "left")
+    rt = keep(rt.join(lines, "trip_id", "left"))
     return rt, lines, segs
 
 

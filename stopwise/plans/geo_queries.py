@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..session import cut_lineage
 from ..functions import geodesic as geo
 from ..operators import arrivals as ar
 from ..operators import ingest as ing
@@ -136,10 +137,11 @@ def _samples(spark, sf_dir):
 
 
 def runtime(spark, sf_dir):
-    """Trip runtime for the trips that fx:positions ask for."""
+    """Trip runtime for the trips that fx:positions ask for, stored (checkpointed to the
+    shared folder) as the reference keeps it in memory: computed once, read many times."""
     return tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
                            fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), densify_step_m=STEP_M,
-                           for_trips=_samples(spark, sf_dir))
+                           for_trips=_samples(spark, sf_dir), materialize=cut_lineage)
 
 
 @register("trip_runtime")
