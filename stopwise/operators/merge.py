@@ -207,27 +207,36 @@ class LazySchema(AbcMapping):
 class Mapping:
     """Id mapping of a source schema, kept per table so a lookup reads only its own table."""
 
-    def __init__(self, source: Schema, salt: str, run_ms: int):
+    def __init__(self, source: Schema, salt: str, run_ms: int, materialize=None):
         self.source, self.salt, self.run_ms = source, salt, run_ms
+        self.materialize = materialize
         self.id_cols = {t: c for t, c in MAPPED if t in source}
         self._tables: dict[str, DataFrame] = {}
+        self._all: DataFrame | None = None
+
+    def _build(self, t: str) -> DataFrame:
+        c = self.id_cols[t]
+        ids = self.source[t].select(F.col(c).cast("string").alias("old_id")).where(F.col("old_id").isNotNull())
+        return ids.distinct().select(F.lit(t).alias("table_name"), "old_id",
+                                     new_id(F.lit(t), F.col("old_id"), self.salt, self.run_ms).alias("new_id"))
 
     def table(self, t: str) -> DataFrame:
+        """One table's mapping: built on its own (lazy plans), or a filter of the stored
+        whole mapping when materialised (one job for all tables)."""
         if t not in self._tables:
-            c = self.id_cols[t]
-            ids = self.source[t].select(F.col(c).cast("string").alias("old_id")).where(F.col("old_id").isNotNull())
-            self._tables[t] = ids.distinct().select(
-                F.lit(t).alias("table_name"), "old_id", new_id(F.lit(t), F.col("old_id"), self.salt, self.run_ms)
-                .alias("new_id"))
+            self._tables[t] = (self.all().where(F.col("table_name") == t) if self.materialize
+                               else self._build(t))
         return self._tables[t]
 
     def all(self) -> DataFrame:
         """(table_name, old_id, new_id) for every mapped table."""
-        parts = [self.table(t) for t in self.id_cols]
-        m = parts[0]
-        for p in parts[1:]:
-            m = m.unionByName(p)
-        return m
+        if self._all is None:
+            parts = [self._build(t) for t in self.id_cols]
+            m = parts[0]
+            for p in parts[1:]:
+                m = m.unionByName(p)
+            self._all = self.materialize(m) if self.materialize else m
+        return self._all
 
     def lookup(self, table: str) -> DataFrame | None:
         if table not in self.id_cols:
@@ -385,7 +394,7 @@ class MergeResult:
 
 def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_schema: str, target_schema: str,
                run_ms: int, salt: str, feed_info_key: list[str] | None = None,
-               enum_labels: dict[str, list[str]] | None = None) -> MergeResult:
+               enum_labels: dict[str, list[str]] | None = None, materialize=None) -> MergeResult:
     """Lazy merge plan. Validation that needs data (enums, id collisions) is in :func:`validate`."""
     if source_schema is None or target_schema is None:
         raise MergeError("source_schema and target_schema must not be NULL", "P0001")
@@ -398,7 +407,7 @@ def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sc
     if both("agency"):
         dup = duplicate_agencies(source, target)
         kept = apply_deletes(target, dup)
-    mapping = Mapping(source, salt, run_ms)
+    mapping = Mapping(source, salt, run_ms, materialize)
     maxes = max_surrogates(target) if any(t in target for t in ("shapes", "frequencies", "transfers")) else None
     mx = lambda c: maxes.select(c) if maxes is not None else 0
 
@@ -474,13 +483,15 @@ def error_report(spark: SparkSession, message: str, code: str, source_schema: st
                                  "source_schema string, target_schema string")
 
 
-def validate(result: MergeResult, enum_labels: dict[str, list[str]] | None = None) -> list[str]:
+def validate(result: MergeResult, enum_labels: dict[str, list[str]] | None = None,
+             inserted: Schema | None = None) -> list[str]:
     """Data checks run as one distributed job: enum labels of inserted rows and new-id uniqueness.
 
-    Returns a list of problems (empty = valid). Only counts reach the driver.
+    ``inserted`` replaces the planned inserted rows (e.g. their staged copies). Returns a
+    list of problems (empty = valid); only the problem kinds reach the driver.
     """
     checks = []
-    for t, d in result.inserted.items():
+    for t, d in (inserted or result.inserted).items():
         if ENUM_COLUMNS.get(t):
             _, bad = enum_cast(d, t, enum_labels)
             checks.append(bad.select(F.lit(f"invalid enum label in {t}").alias("problem")))
@@ -493,28 +504,53 @@ def validate(result: MergeResult, enum_labels: dict[str, list[str]] | None = Non
     return [r["problem"] for r in u.groupBy("problem").count().collect()]
 
 
+ORIGIN = "_origin"
+
+
+def stage(spark: SparkSession, res: MergeResult, staging_dir: str) -> tuple[Schema, Schema]:
+    """Write every new table once under ``staging_dir`` (kept and inserted rows tagged by
+    origin, partitioned by it). Returns (staged tables, staged inserted rows)."""
+    tables, inserted = {}, {}
+    for t, kept in res.kept.items():
+        path = f"{staging_dir.rstrip('/')}/{t}"
+        k = conform(t, kept) if t in res.inserted and t in COLUMNS else kept
+        d = k.withColumn(ORIGIN, F.lit("kept"))
+        if t in res.inserted:
+            d = d.unionByName(res.inserted[t].withColumn(ORIGIN, F.lit("inserted")))
+        d.write.mode("overwrite").partitionBy(ORIGIN).parquet(path)
+        staged = spark.read.parquet(path)
+        tables[t] = staged.drop(ORIGIN)
+        if t in res.inserted:
+            inserted[t] = staged.where(F.col(ORIGIN) == "inserted").drop(ORIGIN)
+    return tables, inserted
+
+
 def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_schema: str, target_schema: str,
               run_ms: int, salt: str, staging_dir: str | None = None, feed_info_key: list[str] | None = None,
-              enum_labels: dict[str, list[str]] | None = None) -> tuple[Schema, DataFrame]:
-    """Plan, validate, then stage every table before handing them out (all or nothing).
-
-    Returns ``(tables, report)``. On any failure the target tables come back unchanged
-    and the report has status ``error``.
+              enum_labels: dict[str, list[str]] | None = None, result: list | None = None
+              ) -> tuple[Schema, DataFrame]:
+    """Plan, stage every table (with ``staging_dir``), validate, then hand them out (all or nothing).
+
+    With a staging folder each id mapping is materialised once (all remaps read it) and
+    each new table is written once; validation reads the staged rows. Returns ``(tables,
+    report)``. On any failure the target tables come back unchanged and the report has
+    status ``error``; staged files are left for inspection. ``result`` receives the plan.
     """
     try:
+        from ..session import cut_lineage
         res = plan_merge(spark, source, target, source_schema=source_schema, target_schema=target_schema,
-                         run_ms=run_ms, salt=salt, feed_info_key=feed_info_key, enum_labels=enum_labels)
-        problems = validate(res, enum_labels)
+                         run_ms=run_ms, salt=salt, feed_info_key=feed_info_key, enum_labels=enum_labels,
+                         materialize=cut_lineage if staging_dir else None)
+        if result is not None:
+            result.append(res)
+        if staging_dir:
+            # each table computed once: staged first, then checked on the stored rows
+            tables, staged_ins = stage(spark, res, staging_dir)
+            problems = validate(res, enum_labels, staged_ins)
+        else:
+            tables, problems = res.tables, validate(res, enum_labels)
         if problems:
             raise MergeError("; ".join(sorted(problems)), "22P02")
-        tables = res.tables
-        if staging_dir:
-            staged = {}
-            for t, d in tables.items():
-                path = f"{staging_dir.rstrip('/')}/{t}"
-                d.write.mode("overwrite").parquet(path)
-                staged[t] = spark.read.parquet(path)
-            tables = staged
         return tables, res.report
     except MergeError as e:
         return dict(target), error_report(spark, str(e), e.code, source_schema, target_schema)

@@ -327,18 +327,24 @@ _KEPT = {
     f"CAST(({_KEPT.get(t, _BEFORE[t])}) AS BIGINT) AS rows_kept, CAST(({q}) AS BIGINT) AS rows_inserted, "
     f"CAST(({_KEPT.get(t, _BEFORE[t])}) + ({q}) AS BIGINT) AS rows_after" for t, q in _COUNTS.items())))
 def q_merge_gtfs(spark, sf_dir):
-    """Whole merge: per table, target rows before, kept after the deletes, inserted, after."""
+    """Whole merge: plan, validate, stage every table in the shared folder, hand out. Per
+    table: target rows before, kept after the deletes, inserted, and rows of the staged table."""
+    from ..streaming.runner import run_dir
     src, tgt = _split(spark, sf_dir)
-    res = mg.plan_merge(spark, src, tgt, source_schema=SOURCE_SCHEMA, target_schema=TARGET_SCHEMA,
-                        run_ms=RUN_MS, salt=SALT, feed_info_key=["feed_publisher_name"])
+    plans: list = []
+    tables, report = mg.run_merge(spark, src, tgt, source_schema=SOURCE_SCHEMA, target_schema=TARGET_SCHEMA,
+                                  run_ms=RUN_MS, salt=SALT, staging_dir=run_dir(spark, "merge"),
+                                  feed_info_key=["feed_publisher_name"], result=plans)
+    if report.first()["status"] != "success":
+        raise RuntimeError(f"merge failed: {report.first().asDict()}")
+    res = plans[0]
     parts = []
     for t in _COUNTS:
         c = lambda d, n: d.select(F.lit(t).alias("table_name"), F.lit(n).alias("k"))
-        parts += [c(tgt[t], "before"), c(res.kept[t], "kept"), c(res.inserted[t], "inserted")]
+        parts += [c(tgt[t], "before"), c(res.kept[t], "kept"), c(res.inserted[t], "inserted"), c(tables[t], "after")]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     n = lambda k: F.count(F.when(F.col("k") == k, 1)).cast("long")
     return u.groupBy("table_name").agg(n("before").alias("rows_before"), n("kept").alias("rows_kept"),
-                                       n("inserted").alias("rows_inserted"),
-                                       (n("kept") + n("inserted")).alias("rows_after"))
+                                       n("inserted").alias("rows_inserted"), n("after").alias("rows_after"))
