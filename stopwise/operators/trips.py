@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geodesic as geo
-from ..functions.scan import DEFAULT_BLOCK
 
 PSEUDO_PREFIX = "trip:"
 # Points of one line per projection group at most.
@@ -327,5 +326,5 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
 
 
 __all__ = ["trip_stops", "trip_shape", "line_of_trip", "pseudo_shape", "line_points", "densify_polyline",
-           "shape_segments", "project_points", "project_along", "trip_schedule_start", "trip_runtime",
-           "DEFAULT_BLOCK"]
+           "shape_segments", "line_segments", "project_points", "project_along", "trip_schedule_start",
+           "trip_runtime"]

@@ -14,7 +14,7 @@ from ..sinks import ndjson as nd
 from ..sources import positions as ps
 from ..streaming import runner
 from ..streaming.arrivals_stream import stream_arrivals
-from .arrival_queries import FEED_AGENCY, KEYS, _CTE, _inputs, _sql as _arr_sql
+from .arrival_queries import FEED_AGENCY, KEYS, _inputs, _sql as _arr_sql
 from .oracle import with_fx
 from .registry import register
 from .. import fixtures as fx

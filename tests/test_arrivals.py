@@ -5,7 +5,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from stopwise.operators import arrivals as ar
 from stopwise.streaming.arrivals_stream import fold_key

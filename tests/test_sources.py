@@ -1,11 +1,9 @@
 """Feed decoding modes, malformed snapshots, the binaryFile landing folder, GTFS loading."""
 
 import gzip
-import os
 import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from stopwise.functions import gtfs_rt
 from stopwise.sources import feed as fd

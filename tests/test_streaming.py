@@ -2,7 +2,6 @@
 
 import time
 
-from pyspark.sql import functions as F
 
 from stopwise.streaming import runner
 from stopwise.streaming.latest_stream import latest_positions_stream
