@@ -41,7 +41,7 @@ def read_landing_folder(spark: SparkSession, path: str, stream: bool = False) ->
 
     The extension names the content encoding; ``fetched_at`` is the file time.
     """
-    r = spark.readStream if stream else spark.read
+    r = spark.readStream.option("maxFilesPerTrigger", 50) if stream else spark.read
     df = r.format("binaryFile").option("recursiveFileLookup", "true")
     if stream:
         df = df.schema("path string, modificationTime timestamp, length long, content binary")

@@ -43,3 +43,16 @@ def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") ->
     good = p.where(~bad_cond).select(*[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields])
     bad = p.where(bad_cond).select(F.col(value).alias("line"))
     return good, bad
+
+
+def read_positions_kafka(spark: SparkSession, bootstrap: str, topic: str, avro_schema_json: str,
+                         starting_offsets: str = "earliest") -> DataFrame:
+    """Position records from a broker topic with Avro values, where the ``kafka`` and
+    ``avro`` packages are on the classpath (they are not in this environment). ``seq`` is
+    the offset, so the stateful operators keep topic order per partition."""
+    from pyspark.sql.avro.functions import from_avro
+    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("subscribe", topic)
+           .option("startingOffsets", starting_offsets).load())
+    rec = raw.select(F.col("partition"), F.col("offset").alias("seq"), F.col("key").cast("string").alias("record_key"),
+                     from_avro(F.col("value"), avro_schema_json).alias("v"))
+    return rec.select("record_key", "partition", "seq", "v.*")
