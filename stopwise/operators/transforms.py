@@ -93,7 +93,8 @@ def header_to_field(df: DataFrame, mappings: Sequence[str], on: str = "value") -
     d = df
     for m in mappings:
         h, typ, field = m.split(":")
-        v = F.filter("headers", lambda x: x["key"] == F.lit(h))[0]["value"]
+        # get() is null for a missing header (plain indexing fails under ANSI mode)
+        v = F.get(F.filter("headers", lambda x: x["key"] == F.lit(h)), 0)["value"]
         d = d.withColumn(on, F.col(on).withField(field, v.cast(typ.lower())))
     return d
 

@@ -56,3 +56,11 @@ def test_identity_dedup_keeps_first_by_seq_on_a_hot_identity(spark):
     df = spark.createDataFrame(rows, "agency string, vehicle_id string, ts_ms long, seq long, x double")
     got = sorted(tuple(r) for r in lake.identity_dedup(df).collect())
     assert got == [("SL", "V1", 5, 0, 0.0), ("SL", "V2", 5, 9, 1.0)]
+
+
+def test_header_to_field_missing_header_is_null(spark):
+    df = spark.createDataFrame([(1,)], "x int").select(
+        F.lit("t").alias("topic"), F.struct(F.lit("a").alias("f")).alias("value"),
+        F.array(F.struct(F.lit("h1").alias("key"), F.lit("7").alias("value"))).alias("headers"))
+    out = tr.header_to_field(df, ["missing:STRING:m", "h1:INT:n"]).select("value.m", "value.n").first()
+    assert out.m is None and out.n == 7
