@@ -51,7 +51,8 @@ def read_landing_folder(spark: SparkSession, path: str, stream: bool = False) ->
     enc = F.coalesce(*[F.when(ext == k, F.lit(v)) for k, v in EXTENSION_ENCODING.items()], F.lit("identity"))
     return df.select(
         F.element_at(F.split("path", "/"), -2).alias("feed"),
-        F.regexp_extract(name, r"^(\d+)", 1).cast("long").alias("snapshot_no"),
+        # a file not named by its snapshot number gets a null number instead of failing the scan
+        F.regexp_extract(name, r"^(\d+)", 1).try_cast("long").alias("snapshot_no"),
         F.col("modificationTime").alias("fetched_at"),
         F.col("content").alias("body"),
         enc.alias("content_encoding"))
