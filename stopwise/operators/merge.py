@@ -507,21 +507,29 @@ def validate(result: MergeResult, enum_labels: dict[str, list[str]] | None = Non
 ORIGIN = "_origin"
 
 
-def stage(spark: SparkSession, res: MergeResult, staging_dir: str) -> tuple[Schema, Schema]:
+def stage(spark: SparkSession, res: MergeResult, staging_dir: str, parallel_jobs: int = 4) -> tuple[Schema, Schema]:
     """Write every new table once under ``staging_dir`` (kept and inserted rows tagged by
-    origin, partitioned by it). Returns (staged tables, staged inserted rows)."""
-    tables, inserted = {}, {}
-    for t, kept in res.kept.items():
+    origin, partitioned by it). The writes are independent Spark jobs, submitted from a few
+    driver threads so small tables share the cluster. Returns (staged tables, staged
+    inserted rows); the staged frames with their origin column are kept in
+    ``res.extras["staged"]``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(t: str) -> tuple[str, DataFrame]:
         path = f"{staging_dir.rstrip('/')}/{t}"
+        kept = res.kept[t]
         k = conform(t, kept) if t in res.inserted and t in COLUMNS else kept
         d = k.withColumn(ORIGIN, F.lit("kept"))
         if t in res.inserted:
             d = d.unionByName(res.inserted[t].withColumn(ORIGIN, F.lit("inserted")))
         d.write.mode("overwrite").partitionBy(ORIGIN).parquet(path)
-        staged = spark.read.parquet(path)
-        tables[t] = staged.drop(ORIGIN)
-        if t in res.inserted:
-            inserted[t] = staged.where(F.col(ORIGIN) == "inserted").drop(ORIGIN)
+        return t, spark.read.parquet(path)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        staged = dict(pool.map(write, list(res.kept)))
+    res.extras["staged"] = staged
+    tables = {t: d.drop(ORIGIN) for t, d in staged.items()}
+    inserted = {t: d.where(F.col(ORIGIN) == "inserted").drop(ORIGIN) for t, d in staged.items() if t in res.inserted}
     return tables, inserted
 
 

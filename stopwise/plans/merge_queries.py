@@ -337,14 +337,16 @@ def q_merge_gtfs(spark, sf_dir):
                                   feed_info_key=["feed_publisher_name"], result=plans)
     if report.first()["status"] != "success":
         raise RuntimeError(f"merge failed: {report.first().asDict()}")
-    res = plans[0]
+    staged = plans[0].extras["staged"]
+    # kept / inserted / after come from the staged files (partitioned by origin), not recomputed
     parts = []
     for t in _COUNTS:
-        c = lambda d, n: d.select(F.lit(t).alias("table_name"), F.lit(n).alias("k"))
-        parts += [c(tgt[t], "before"), c(res.kept[t], "kept"), c(res.inserted[t], "inserted"), c(tables[t], "after")]
+        parts.append(tgt[t].select(F.lit(t).alias("table_name"), F.lit("before").alias("k")))
+        parts.append(staged[t].select(F.lit(t).alias("table_name"), F.col(mg.ORIGIN).alias("k")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     n = lambda k: F.count(F.when(F.col("k") == k, 1)).cast("long")
     return u.groupBy("table_name").agg(n("before").alias("rows_before"), n("kept").alias("rows_kept"),
-                                       n("inserted").alias("rows_inserted"), n("after").alias("rows_after"))
+                                       n("inserted").alias("rows_inserted"),
+                                       (n("kept") + n("inserted")).alias("rows_after"))
