@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..operators import arrivals as ar
+from ..operators import ingest as ing
+from ..sources import feed as fd
 from ..streaming import runner
 from ..streaming.arrivals_stream import stream_arrivals
+from ..streaming.dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream
+from ..streaming.ingest_job import ingest_stream
+from ..streaming.positions_stream import line_arrays, stream_arrivals_from_positions
+from . import geo_queries as gq
 from .arrival_queries import DETECT_SQL, KEYS, _inputs
+from .ingest_queries import _ENT, _KEPT, _KEY, _RECORD, NOW_S
+from .ingest_queries import _sql as _ing_sql
+from .oracle import with_fx
 from .registry import register
 
 BATCHES = 4
@@ -29,10 +38,6 @@ def q_stream_arrivals(spark, sf_dir):
 
 # --- streaming de-duplication: must equal the batch operators -----------------------------------------
 
-from ..operators import ingest as ing  # noqa: E402
-from ..streaming.dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream  # noqa: E402
-from .ingest_queries import _ENT, _sql as _ing_sql  # noqa: E402
-
 
 @register("stream_dedup_snapshots", _ing_sql("SELECT feed, snapshot_no, header_ts FROM kept", "snaps", "nz", "kept"))
 def q_stream_dedup_snapshots(spark, sf_dir):
@@ -57,20 +62,6 @@ def q_stream_dedup_vehicle_ts(spark, sf_dir):
 
 # --- the whole ingest as one streaming query ------------------------------------------------------------
 
-from ..sources import feed as fd  # noqa: E402
-from .ingest_queries import NOW_S, _KEY, _RECORD, _KEPT  # noqa: E402
-from .oracle import with_fx  # noqa: E402
-
-
-def ingest_stream(snapshots, now_s: int):
-    """Snapshot stream -> position records: decode, parse, snapshot de-dup (state per
-    feed), explode, filter, vehicle de-dup (state per feed and vehicle), record."""
-    parsed = fd.parse_snapshots(fd.decode_body(snapshots)).where("parse_error IS NULL")
-    snaps = dedup_snapshots_stream(parsed.select("feed", "snapshot_no", "header_ts", "entities"))
-    ents = fd.explode_feed(snaps.withColumn("parse_error", F.lit(None).cast("string")))
-    ents = ing.filter_vehicle_entities(ents).drop("has_vehicle")
-    return ing.position_record(dedup_vehicle_ts_stream(ents), now_s=now_s, keep=("snapshot_no", "entity_idx"))
-
 
 @register("stream_ingest_positions", with_fx(f"SELECT snapshot_no, entity_idx, {_KEY}, {_RECORD} FROM d",
                                              "fx_feed_entities", extra=_KEPT))
@@ -87,9 +78,6 @@ def q_stream_ingest_positions(spark, sf_dir):
 
 # --- raw positions to arrivals, streaming ------------------------------------------------------------
 
-from ..streaming.positions_stream import line_arrays, stream_arrivals_from_positions  # noqa: E402
-from . import geo_queries as gq  # noqa: E402
-
 
 @register("stream_arrivals_from_positions")
 def q_stream_arrivals_from_positions(spark, sf_dir):
@@ -102,5 +90,4 @@ def q_stream_arrivals_from_positions(spark, sf_dir):
     stream = runner.read_files(spark, f"{root}/in", samples.schema)
     a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
     runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
-    from ..operators import arrivals as ar
     return ar.arrival_events(spark.read.parquet(f"{root}/out"))

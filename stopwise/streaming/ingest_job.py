@@ -5,11 +5,25 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import ingest as ing
 from ..sinks.lake import COMMIT_INTERVAL, PARTITION_BY
+from ..sources import feed as fd
 from ..sources.feed import read_landing_folder
+from .dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream
+
+
+def ingest_stream(snapshots: DataFrame, now_s: int) -> DataFrame:
+    """Snapshot stream -> position records: decode, parse, snapshot de-dup (state per
+    feed), explode, filter, vehicle de-dup (state per feed and vehicle), record."""
+    parsed = fd.parse_snapshots(fd.decode_body(snapshots)).where("parse_error IS NULL")
+    snaps = dedup_snapshots_stream(parsed.select("feed", "snapshot_no", "header_ts", "entities"))
+    ents = fd.explode_feed(snaps.withColumn("parse_error", F.lit(None).cast("string")))
+    ents = ing.filter_vehicle_entities(ents).drop("has_vehicle")
+    return ing.position_record(dedup_vehicle_ts_stream(ents), now_s=now_s, keep=("snapshot_no", "entity_idx"))
 
 
 def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, *, now_s: int | None = None,
@@ -17,7 +31,6 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
                  files_per_batch: int = 50) -> StreamingQuery:
     """Start the stream. ``now_s`` fixes the fallback timestamp for records without any
     (default: the wall clock when the job starts)."""
-    from ..plans.stream_queries import ingest_stream
     snaps = (read_landing_folder(spark, landing, stream=True))
     records = ingest_stream(snaps, now_s if now_s is not None else int(time.time()))
     w = (records.writeStream.format("parquet").option("checkpointLocation", checkpoint)
