@@ -46,6 +46,7 @@ def build_session(master: str | None = None, app: str = "stopwise",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -79,3 +80,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``stopwise`` importable in the Python workers (grouped pandas functions and
+    stateful processors unpickle code from it): zip the package once per application
+    and ``addPyFile`` it, which Spark distributes to every executor."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="stopwise-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    # Python runners started by the driver itself (streaming state handlers) take their
+    # environment from the context: put the same zip on their path.
+    existing = sc.environment.get("PYTHONPATH", "")
+    sc.environment["PYTHONPATH"] = path + (os.pathsep + existing if existing else "")
+    _SHIPPED.add(sc.applicationId)
