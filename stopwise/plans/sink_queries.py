@@ -11,6 +11,7 @@ from ..operators import arrivals as ar
 from ..sinks import lake as lk
 from ..sinks import latest as lt
 from ..sinks import ndjson as nd
+from ..sinks.events import event_key
 from ..sources import positions as ps
 from ..streaming import runner
 from ..streaming.arrivals_stream import stream_arrivals
@@ -149,8 +150,7 @@ def q_write_arrivals(spark, sf_dir):
     runner.append_in_order(samples, f"{root}/in", "seq", 2)
     stream = runner.read_files(spark, f"{root}/in", samples.schema)
     ev = ar.arrival_events(stream_arrivals(stream, rt, KEYS), agency=F.lit(FEED_AGENCY), trip_id="trip_no")
-    key = F.to_json(F.struct(F.col("agency"), F.col("vehicle_id").alias("vehicleId"), F.col("trip_id").alias("tripId")),
-                    {"ignoreNullFields": "false"})
-    runner.run_available_now(ev.select(key.alias("key"), *ev.columns), f"{root}/events", f"{root}/ckpt", fmt="json")
+    runner.run_available_now(ev.select(event_key().alias("key"), *ev.columns), f"{root}/events", f"{root}/ckpt",
+                             fmt="json")
     schema = T.StructType([T.StructField("key", T.StringType())] + list(ev.schema.fields))
     return spark.read.schema(schema).json(f"{root}/events")
