@@ -63,3 +63,18 @@ def test_ingest_job_from_raw_files(spark, tmp_path):
     want = ing.ingest_positions(ents, now_s=1735689600).drop("snapshot_no", "entity_idx")
     assert Counter(tuple(r[c] for c in sorted(want.columns)) for r in got.collect()) == \
         Counter(tuple(r[c] for c in sorted(want.columns)) for r in want.collect())
+
+
+def test_identity_dedup_stream_drops_copies(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stopwise.sinks.lake import identity_dedup_stream
+    src = str(tmp_path / "in")
+    rows = [("SL", "V1", 1000, 1), ("SL", "V1", 1000, 2), ("SL", "V2", 1000, 3), ("SL", "V1", 2000, 4)]
+    spark.createDataFrame(rows, "agency string, vehicle_id string, ts_ms long, seq long").coalesce(1).write.parquet(src)
+    stream = runner.read_files(spark, src, spark.read.parquet(src).schema).withColumn(
+        "event_time", F.timestamp_millis("ts_ms"))
+    out = str(tmp_path / "out")
+    runner.run_available_now(identity_dedup_stream(stream, "event_time"), out, str(tmp_path / "ckpt"))
+    got = sorted((r.vehicle_id, r.ts_ms) for r in spark.read.parquet(out).collect())
+    assert got == [("V1", 1000), ("V1", 2000), ("V2", 1000)]
