@@ -243,13 +243,56 @@ def project_points(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, budget:
     return out
 
 
+def planar_segments(points: DataFrame, *, line: str = "line_id", order: str = "pt_order") -> DataFrame:
+    """Segments with planar (lat/lon treated as x/y) lengths: the same columns as
+    ``shape_segments``; the azimuth is unused by the planar kernel and left null."""
+    w = Window.partitionBy(line).orderBy(order)
+    s = (points.select(line, order, "lat", "lon")
+               .withColumn("b_lat", F.lead("lat").over(w)).withColumn("b_lon", F.lead("lon").over(w))
+               .where(F.col("b_lat").isNotNull()))
+    dy, dx = F.col("b_lat") - F.col("lat"), F.col("b_lon") - F.col("lon")
+    s = s.select(line, F.col(order).alias("seg_idx"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"),
+                 "b_lat", "b_lon", F.sqrt(dy * dy + dx * dx).alias("seg_len"), F.lit(None).cast("double").alias("seg_az"))
+    s = s.where(F.col("seg_len") != 0.0)
+    wc = Window.partitionBy(line).orderBy("seg_idx").rowsBetween(Window.unboundedPreceding, -1)
+    return s.withColumn("cum_start", F.coalesce(F.sum("seg_len").over(wc), F.lit(0.0)))
+
+
+def project_points_planar(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, budget: int = 2_000_000) -> np.ndarray:
+    """The projection rule with a planar metric: t = clamp(|AP| / |AB|, 0, 1), candidate =
+    A + t (B - A), score = |candidate - P|, first segment wins ties, result = cum + t |AB|.
+    Only correctly rounded operations, so an SQL engine reproduces it exactly."""
+    n, m = len(lat), len(seg)
+    out = np.zeros(n, dtype=np.float64)
+    if n == 0 or m == 0:
+        return out
+    seg = seg.sort_values("seg_idx", kind="stable")
+    alat, alon = seg["a_lat"].to_numpy(np.float64), seg["a_lon"].to_numpy(np.float64)
+    blat, blon = seg["b_lat"].to_numpy(np.float64), seg["b_lon"].to_numpy(np.float64)
+    dab, cum = seg["seg_len"].to_numpy(np.float64), seg["cum_start"].to_numpy(np.float64)
+    chunk = max(1, min(n, budget // m))
+    for lo in range(0, n, chunk):
+        hi = min(n, lo + chunk)
+        pl, po = lat[lo:hi, None], lon[lo:hi, None]
+        dy, dx = pl - alat[None, :], po - alon[None, :]
+        t = np.clip(np.sqrt(dy * dy + dx * dx) / dab[None, :], 0.0, 1.0)
+        cy = alat[None, :] + t * (blat - alat)[None, :] - pl
+        cx = alon[None, :] + t * (blon - alon)[None, :] - po
+        score = np.sqrt(cy * cy + cx * cx)
+        best = np.argmin(score, axis=1)
+        rows = np.arange(hi - lo)
+        out[lo:hi] = cum[best] + dab[best] * t[rows, best]
+    return out
+
+
 def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_id", out: str = "s_now",
-                  block_on: str | None = None, block_size: int = PROJECT_BLOCK) -> DataFrame:
+                  block_on: str | None = None, block_size: int = PROJECT_BLOCK, metric: str = "wgs84") -> DataFrame:
     """Append ``out`` (distance along the line) to every row of ``points`` (needs lat, lon, line).
 
     Rows are grouped by (line, block) with ``block = floor(block_on / block_size)`` (or one
     block per line when ``block_on`` is None); the line's segments are sent to each of its
-    blocks. Points whose line has no segments get 0.0.
+    blocks. Points whose line has no segments get 0.0. ``metric="planar"`` switches to the
+    planar kernel (use segments from ``planar_segments``).
     """
     blk = F.floor(F.col(block_on) / F.lit(block_size)) if block_on else F.lit(0)
     pts = points.withColumn("_pblk", blk.cast("long"))
@@ -264,7 +307,8 @@ def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_i
     def fn(p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if len(p) == 0:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        vals = project_points(p["lat"].to_numpy(dtype=np.float64), p["lon"].to_numpy(dtype=np.float64), s)
+        kernel = project_points_planar if metric == "planar" else project_points
+        vals = kernel(p["lat"].to_numpy(dtype=np.float64), p["lon"].to_numpy(dtype=np.float64), s)
         p = p.copy()
         p[out] = vals
         return p

@@ -174,3 +174,55 @@ def q_arrivals_from_positions(spark, sf_dir):
     s = samples_on_lines(spark, sf_dir, built).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
     a = ar.detect_arrivals(s, built[0].drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
     return ar.arrival_events(a)
+
+
+# --- the projection rule with a planar metric: checkable by SQL ------------------------------------
+
+_PLANAR = {
+    "ts": _TS,
+    "samples": ("SELECT seq, trip_id, latitude AS lat, longitude AS lon FROM fx_positions "
+                "WHERE trip_id IS NOT NULL AND trip_id <> ''"),
+    "lines": ("SELECT t.trip_id, CASE WHEN t.shape_id IN (SELECT shape_id FROM fx_shapes) THEN t.shape_id "
+              "ELSE 'trip:' || t.trip_id END AS line_id FROM fx_trips t "
+              "WHERE t.trip_id IN (SELECT trip_id FROM samples)"),
+    "pts": ("SELECT shape_id AS line_id, CAST(shape_pt_sequence AS BIGINT) AS pt_order, lat, lon FROM fx_shapes "
+            "WHERE shape_id IN (SELECT line_id FROM lines) UNION ALL "
+            "SELECT l.line_id, CAST(ts.stop_pos AS BIGINT) AS pt_order, ts.stop_lat AS lat, ts.stop_lon AS lon "
+            "FROM ts JOIN lines l ON l.trip_id = ts.trip_id WHERE l.line_id LIKE 'trip:%'"),
+    "seg": ("SELECT line_id, pt_order AS seg_idx, lat AS a_lat, lon AS a_lon, lead(lat) OVER w AS b_lat, "
+            "lead(lon) OVER w AS b_lon FROM pts WINDOW w AS (PARTITION BY line_id ORDER BY pt_order)"),
+    "seg2": ("SELECT *, sqrt((b_lat - a_lat) * (b_lat - a_lat) + (b_lon - a_lon) * (b_lon - a_lon)) AS dab "
+             "FROM seg WHERE b_lat IS NOT NULL"),
+    "seg3": ("SELECT *, COALESCE(sum(dab) OVER (PARTITION BY line_id ORDER BY seg_idx ROWS BETWEEN UNBOUNDED "
+             "PRECEDING AND 1 PRECEDING), 0.0) AS cum FROM seg2 WHERE dab <> 0.0"),
+    "sl": ("SELECT s.seq, s.trip_id, COALESCE(l.line_id, '') AS line_id, s.lat, s.lon FROM samples s "
+           "LEFT JOIN lines l ON l.trip_id = s.trip_id"),
+    "pairs": ("SELECT sl.seq, g.seg_idx, g.cum, g.dab, g.a_lat, g.a_lon, g.b_lat, g.b_lon, sl.lat AS plat, "
+              "sl.lon AS plon, least(greatest(sqrt((sl.lat - g.a_lat) * (sl.lat - g.a_lat) + (sl.lon - g.a_lon) * "
+              "(sl.lon - g.a_lon)) / g.dab, 0.0), 1.0) AS t FROM sl JOIN seg3 g ON g.line_id = sl.line_id"),
+    "scored": ("SELECT seq, seg_idx, cum + dab * t AS s, sqrt((a_lat + t * (b_lat - a_lat) - plat) * "
+               "(a_lat + t * (b_lat - a_lat) - plat) + (a_lon + t * (b_lon - a_lon) - plon) * "
+               "(a_lon + t * (b_lon - a_lon) - plon)) AS score FROM pairs"),
+    "best": ("SELECT seq, s FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY score, seg_idx) AS rn "
+             "FROM scored) x WHERE rn = 1"),
+}
+
+
+@register("project_along_planar", _sql(
+    "SELECT sl.seq, sl.trip_id, sl.line_id, round(COALESCE(b.s, 0.0), 6) AS s_now FROM sl LEFT JOIN best b "
+    "ON b.seq = sl.seq", "fx_positions", "fx_trips", "fx_shapes", "fx_stop_times", "fx_stops", extra=_PLANAR))
+def q_project_along_planar(spark, sf_dir):
+    """The projection rule (radial t, first segment wins ties, cumulative start) with planar
+    distances on the raw lines of the trips the samples ask for, checked by SQL."""
+    samples = _samples(spark, sf_dir)
+    wanted = samples.select("trip_id").distinct()
+    trips = fx.trips(spark, sf_dir).join(wanted, "trip_id", "left_semi")
+    shapes = fx.shapes(spark, sf_dir).join(trips.select("shape_id").where(F.col("shape_id").isNotNull()).distinct(),
+                                           "shape_id", "left_semi")
+    ts = tp.trip_stops(fx.stop_times(spark, sf_dir).join(wanted, "trip_id", "left_semi"), fx.stops(spark, sf_dir))
+    lines = tp.line_of_trip(trips, shapes)
+    segs = tp.planar_segments(tp.line_points(trips, shapes, ts))
+    p = samples.join(lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
+    p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
+    out = tp.project_along(p, segs, block_on="seq", metric="planar")
+    return out.select("seq", "trip_id", "line_id", F.round("s_now", 6).alias("s_now"))
