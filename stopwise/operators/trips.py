@@ -332,7 +332,7 @@ def trip_schedule_start(trips: DataFrame, schedule: DataFrame | None = None) ->
 def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, stops: DataFrame,
                  schedule: DataFrame | None = None, densify_step_m: float = 10.0,
                  for_trips: DataFrame | None = None,
-                 materialize=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 materialize=None, metric: str = "wgs84") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per trip: stops in order with their distance along the densified line, plus the
     scheduled start. Returns ``(runtime, line_of_trip, segments)`` where ``runtime`` has
     one row per trip (trip_id, line_id, stop_ids, stop_seqs, stop_s, stop_m, sched_start_ms).
@@ -342,6 +342,7 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
     before anything is densified. Stops are projected once per distinct (line, stop point).
     ``materialize`` (e.g. ``session.cut_lineage``) is applied to the lines and segments and to
     the finished runtime, so each is computed once and later plans start from stored data.
+    ``metric="planar"`` builds raw planar segments instead (the SQL-checkable variant).
     """
     from .arrivals import stop_runtime
     if for_trips is not None:
@@ -354,10 +355,10 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
     ts = keep(trip_stops(stop_times, stops))
     lines = keep(line_of_trip(trips, shapes))
     pts = line_points(trips, shapes, ts)
-    segs = keep(line_segments(pts, densify_step_m))
+    segs = keep(planar_segments(pts) if metric == "planar" else line_segments(pts, densify_step_m))
     stop_pts = (ts.join(lines, "trip_id", "inner")
                   .select("line_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).distinct())
-    proj = project_along(stop_pts, segs, out="stop_s")
+    proj = project_along(stop_pts, segs, out="stop_s", metric=metric)
     pj = proj.select(F.col("line_id").alias("_pl"), F.col("lat").alias("_plat"), F.col("lon").alias("_plon"), "stop_s")
     ts_s = (ts.join(lines, "trip_id", "inner")
               .join(pj, (F.col("line_id") == F.col("_pl")) & (F.col("stop_lat") == F.col("_plat"))

@@ -10,6 +10,7 @@ from ..functions import geodesic as geo
 from ..operators import arrivals as ar
 from ..operators import ingest as ing
 from ..operators import trips as tp
+from ..functions.timecols import local_time_sql
 from .oracle import with_fx
 from .registry import register
 
@@ -18,8 +19,8 @@ SCHED = ("SELECT trip_id, 1704063600000 + min(arrival_seconds) * 1000 AS sched_s
          "WHERE CAST(substr(trip_id, 2) AS BIGINT) % 3 = 0 GROUP BY trip_id")
 
 
-def _sql(body: str, *names: str, extra: dict | None = None) -> str:
-    return with_fx(body, *names, extra=extra)
+def _sql(body: str, *names: str, extra: dict | None = None, recursive: bool = False) -> str:
+    return with_fx(body, *names, extra=extra, recursive=recursive)
 
 
 # --- geodesic kernel --------------------------------------------------------------------------------
@@ -226,3 +227,83 @@ def q_project_along_planar(spark, sf_dir):
     p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
     out = tp.project_along(p, segs, block_on="seq", metric="planar")
     return out.select("seq", "trip_id", "line_id", F.round("s_now", 6).alias("s_now"))
+
+
+# --- raw positions to arrival events with the planar metric: the whole composition, checked by SQL -----
+
+_PL2 = {k: _PLANAR[k] for k in ("ts", "samples", "lines", "pts", "seg", "seg2")}
+_PL2["samples"] = ("SELECT agency, NULLIF(vehicle_id, '') AS vehicle_id, trip_id, latitude AS lat, longitude AS lon, "
+                   "ts_ms, seq FROM fx_positions WHERE trip_id IS NOT NULL AND trip_id <> ''")
+_PL2["segn"] = ("SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY seg_idx) AS k FROM seg2 WHERE dab <> 0.0")
+# cumulative start as a sequential fold, the order of Spark's running window sum
+_PL2["cumr"] = ("SELECT line_id, k, dab, CAST(0.0 AS DOUBLE) AS cum FROM segn WHERE k = 1 UNION ALL "
+                "SELECT n.line_id, n.k, n.dab, c.cum + c.dab FROM cumr c JOIN segn n ON n.line_id = c.line_id "
+                "AND n.k = c.k + 1")
+_PL2["seg3"] = ("SELECT n.line_id, n.seg_idx, n.a_lat, n.a_lon, n.b_lat, n.b_lon, n.dab, c.cum FROM segn n "
+                "JOIN cumr c ON c.line_id = n.line_id AND c.k = n.k")
+_PL2["sl"] = ("SELECT s.agency, s.vehicle_id, s.trip_id, s.ts_ms, s.seq, COALESCE(l.line_id, '') AS line_id, s.lat, "
+              "s.lon FROM samples s LEFT JOIN lines l ON l.trip_id = s.trip_id")
+_PL2["stop_pts"] = ("SELECT DISTINCT l.line_id, ts.stop_lat AS lat, ts.stop_lon AS lon FROM ts JOIN lines l "
+                    "ON l.trip_id = ts.trip_id")
+
+
+def _proj(src: str, key: str) -> dict[str, str]:
+    """Planar projection CTEs for the points of ``src`` identified by the columns ``key``."""
+    return {
+        f"{src}_pairs": (f"SELECT {key}, g.seg_idx, g.cum, g.dab, g.a_lat, g.a_lon, g.b_lat, g.b_lon, x.lat AS plat, "
+                         "x.lon AS plon, least(greatest(sqrt((x.lat - g.a_lat) * (x.lat - g.a_lat) + (x.lon - g.a_lon) "
+                         f"* (x.lon - g.a_lon)) / g.dab, 0.0), 1.0) AS t FROM {src} x JOIN seg3 g "
+                         "ON g.line_id = x.line_id"),
+        f"{src}_scored": (f"SELECT {key.replace('x.', '')}, seg_idx, cum + dab * t AS s, sqrt((a_lat + t * (b_lat - a_lat) "
+                          "- plat) * (a_lat + t * (b_lat - a_lat) - plat) + (a_lon + t * (b_lon - a_lon) - plon) * "
+                          f"(a_lon + t * (b_lon - a_lon) - plon)) AS score FROM {src}_pairs"),
+        f"{src}_best": (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key.replace('x.', '')} ORDER BY "
+                        f"score, seg_idx) AS rn FROM {src}_scored) y WHERE rn = 1"),
+    }
+
+
+_PL2.update(_proj("sl", "x.seq"))
+_PL2.update(_proj("stop_pts", "x.line_id, x.lat, x.lon"))
+_PL2["stops_s"] = ("SELECT ts.trip_id, ts.stop_pos, ts.stop_id, ts.stop_sequence, COALESCE(b.s, 0.0) AS stop_s "
+                   "FROM ts JOIN lines l ON l.trip_id = ts.trip_id LEFT JOIN stop_pts_best b ON b.line_id = l.line_id "
+                   "AND b.lat = ts.stop_lat AND b.lon = ts.stop_lon")
+_PL2["stops_m"] = ("SELECT *, max(stop_s) OVER (PARTITION BY trip_id ORDER BY stop_pos ROWS BETWEEN UNBOUNDED "
+                   "PRECEDING AND CURRENT ROW) AS m FROM stops_s")
+_PL2["sched"] = SCHED
+_W2 = "PARTITION BY agency, vehicle_id, trip_id ORDER BY seq"
+_PL2["smp"] = ("SELECT sl.agency, sl.vehicle_id, sl.trip_id, sl.ts_ms, sl.seq, COALESCE(b.s, 0.0) AS s_now, "
+               "COALESCE(sc.sched_start_ms, -1) AS sched FROM sl LEFT JOIN sl_best b ON b.seq = sl.seq "
+               "LEFT JOIN sched sc ON sc.trip_id = sl.trip_id")
+_PL2["prog"] = (f"SELECT *, row_number() OVER ({_W2}) AS row_no, "
+                f"greatest(0.0, max(s_now) OVER ({_W2} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS progress, "
+                f"CASE WHEN row_number() OVER ({_W2}) = 1 THEN NULL ELSE greatest(0.0, max(s_now) OVER ({_W2} ROWS "
+                f"BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) END AS progress_prev, lag(ts_ms) OVER ({_W2}) AS ts_prev "
+                "FROM smp")
+_ANCHOR = "sched >= 0 AND sched <= ts_ms AND ts_ms - sched <= 1800000"
+_PL2["anc"] = (f"SELECT *, CASE WHEN row_no > 1 THEN progress_prev WHEN {_ANCHOR} THEN 0.0 ELSE s_now END AS s_prev, "
+               f"CASE WHEN row_no > 1 THEN ts_prev WHEN {_ANCHOR} THEN sched ELSE ts_ms END AS t1 FROM prog")
+_PL2["pas"] = ("SELECT a.*, st.stop_id, st.stop_sequence, st.stop_s, "
+               "NOT (st.stop_s + 0.0 < least(a.s_prev, a.s_now)) AS emitted, "
+               "CASE WHEN abs(a.s_now - a.s_prev) < 1e-6 THEN a.ts_ms ELSE a.t1 + CAST(floor(least(greatest("
+               "(st.stop_s - a.s_prev) / (a.s_now - a.s_prev), 0.0), 1.0) * (a.ts_ms - a.t1) + 0.5) AS BIGINT) END "
+               "AS arrival_time_millis FROM anc a JOIN stops_m st ON st.trip_id = a.trip_id "
+               "AND st.m <= a.progress + 0.0 AND NOT (a.row_no > 1 AND st.m <= a.progress_prev + 0.0)")
+
+
+@register("arrivals_from_positions_planar", _sql(
+    "SELECT agency, vehicle_id, trip_id, stop_id, CAST(stop_sequence AS INTEGER) AS stop_sequence, arrival_time_millis, "
+    + local_time_sql("arrival_time_millis", "arrival_time_local", "arrival_date", "arrival_prev_date")
+    + " FROM pas WHERE emitted", "fx_positions", "fx_trips", "fx_shapes", "fx_stop_times", "fx_stops", extra=_PL2,
+    recursive=True))
+def q_arrivals_from_positions_planar(spark, sf_dir):
+    """Raw positions to arrival events with planar distances: stops projected on each trip's
+    raw line, per-trip stop arrays, samples projected, then the batch detector."""
+    rt, lines, segs = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
+                                      fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), densify_step_m=STEP_M,
+                                      for_trips=_samples(spark, sf_dir), materialize=cut_lineage, metric="planar")
+    p = _samples(spark, sf_dir).join(lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
+    p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
+    s = tp.project_along(p, segs, block_on="seq", metric="planar").select(
+        "agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
+    a = ar.detect_arrivals(s, rt.drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
+    return ar.arrival_events(a)

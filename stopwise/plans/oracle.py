@@ -60,8 +60,10 @@ FX: dict[str, str] = {
 }
 
 
-def with_fx(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
-    """``WITH fx_a AS (...), ... <body>``; ``extra`` adds further named CTEs after the fixtures."""
+def with_fx(body: str, *names: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
+    """``WITH fx_a AS (...), ... <body>``; ``extra`` adds further named CTEs after the fixtures
+    (in dependency order); ``recursive`` allows a CTE to refer to itself."""
     parts = [f"{n} AS ({FX[n]})" for n in names]
     parts += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return (head + ",\n".join(parts) + "\n" + body) if parts else body
