@@ -290,11 +290,14 @@ _PL2["pas"] = ("SELECT a.*, st.stop_id, st.stop_sequence, st.stop_s, "
                "AND st.m <= a.progress + 0.0 AND NOT (a.row_no > 1 AND st.m <= a.progress_prev + 0.0)")
 
 
-@register("arrivals_from_positions_planar", _sql(
+PLANAR_EVENTS_SQL = _sql(
     "SELECT agency, vehicle_id, trip_id, stop_id, CAST(stop_sequence AS INTEGER) AS stop_sequence, arrival_time_millis, "
     + local_time_sql("arrival_time_millis", "arrival_time_local", "arrival_date", "arrival_prev_date")
     + " FROM pas WHERE emitted", "fx_positions", "fx_trips", "fx_shapes", "fx_stop_times", "fx_stops", extra=_PL2,
-    recursive=True))
+    recursive=True)
+
+
+@register("arrivals_from_positions_planar", PLANAR_EVENTS_SQL)
 def q_arrivals_from_positions_planar(spark, sf_dir):
     """Raw positions to arrival events with planar distances: stops projected on each trip's
     raw line, per-trip stop arrays, samples projected, then the batch detector."""

@@ -91,3 +91,22 @@ def q_stream_arrivals_from_positions(spark, sf_dir):
     a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
     runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
     return ar.arrival_events(spark.read.parquet(f"{root}/out"))
+
+
+@register("stream_arrivals_from_positions_planar", gq.PLANAR_EVENTS_SQL)
+def q_stream_arrivals_from_positions_planar(spark, sf_dir):
+    """The planar variant of the streaming raw-positions path, four ordered micro-batches;
+    the same SQL oracle as ``arrivals_from_positions_planar``."""
+    from ..session import cut_lineage
+    from ..operators import trips as tp
+    rt, trip_lines, segs = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir),
+                                           fx.stop_times(spark, sf_dir), fx.stops(spark, sf_dir),
+                                           fx.schedule(spark, sf_dir), for_trips=gq._samples(spark, sf_dir),
+                                           materialize=cut_lineage, metric="planar")
+    samples = gq._samples(spark, sf_dir)
+    root = runner.run_dir(spark, "stream_positions_planar")
+    runner.append_in_order(samples, f"{root}/in", "seq", BATCHES)
+    stream = runner.read_files(spark, f"{root}/in", samples.schema)
+    a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"), metric="planar")
+    runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
+    return ar.arrival_events(spark.read.parquet(f"{root}/out"))

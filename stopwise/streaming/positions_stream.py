@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.trips import project_points
+from ..operators.trips import project_points, project_points_planar
 from .arrivals_stream import stream_arrivals
 
 SEG_FIELDS = ["seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "seg_az", "cum_start"]
@@ -28,8 +28,10 @@ def line_arrays(segments: DataFrame, line: str = "line_id") -> DataFrame:
     return segments.groupBy(line).agg(F.sort_array(F.collect_list(F.struct(*SEG_FIELDS))).alias("_segs"))
 
 
-def project_stream(samples: DataFrame, lines: DataFrame, out: str = "s_now", line: str = "line_id") -> DataFrame:
+def project_stream(samples: DataFrame, lines: DataFrame, out: str = "s_now", line: str = "line_id",
+                   metric: str = "wgs84") -> DataFrame:
     """Append the distance along the line to a (streaming) DataFrame with lat, lon, line."""
+    kernel = project_points_planar if metric == "planar" else project_points
     j = samples.join(lines, line, "left")
     schema = T.StructType([f for f in samples.schema.fields] + [T.StructField(out, T.DoubleType())])
     cols = samples.columns
@@ -43,8 +45,7 @@ def project_stream(samples: DataFrame, lines: DataFrame, out: str = "s_now", lin
                     continue
                 seg = pd.DataFrame(list(segs), columns=SEG_FIELDS) if not isinstance(segs[0], dict) \
                     else pd.DataFrame(list(segs))
-                res[idx] = project_points(pdf["lat"].to_numpy(np.float64)[idx], pdf["lon"].to_numpy(np.float64)[idx],
-                                          seg)
+                res[idx] = kernel(pdf["lat"].to_numpy(np.float64)[idx], pdf["lon"].to_numpy(np.float64)[idx], seg)
             o = pdf[cols].copy()
             o[out] = res
             yield o
@@ -54,9 +55,9 @@ def project_stream(samples: DataFrame, lines: DataFrame, out: str = "s_now", lin
 
 def stream_arrivals_from_positions(positions: DataFrame, lines: DataFrame, trip_lines: DataFrame,
                                    runtime: DataFrame, keys: Sequence[str] = ("agency", "vehicle_id", "trip_id"),
-                                   ) -> DataFrame:
+                                   metric: str = "wgs84") -> DataFrame:
     """Position records (blank ids as null, trip required) -> projected -> keyed-state arrivals."""
     p = positions.join(trip_lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
     p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
-    s = project_stream(p, lines).select(*keys, "s_now", "ts_ms", "seq")
+    s = project_stream(p, lines, metric=metric).select(*keys, "s_now", "ts_ms", "seq")
     return stream_arrivals(s, runtime, list(keys), on=["trip_id"])
