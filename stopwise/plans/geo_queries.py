@@ -310,3 +310,27 @@ def q_arrivals_from_positions_planar(spark, sf_dir):
         "agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
     a = ar.detect_arrivals(s, rt.drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
     return ar.arrival_events(a)
+
+
+_RT_PL = {k: v for k, v in _PL2.items() if k in ("ts", "samples", "lines", "pts", "seg", "seg2", "segn", "cumr",
+                                                  "seg3", "stop_pts")}
+_RT_PL.update(_proj("stop_pts", "x.line_id, x.lat, x.lon"))
+_RT_PL["stops_s"] = _PL2["stops_s"]
+_RT_PL["sched"] = SCHED
+
+
+@register("trip_runtime_planar", _sql(
+    "SELECT s.trip_id, l.line_id, CAST(s.stop_pos AS INTEGER) AS stop_pos, s.stop_id, s.stop_s, "
+    "CAST(COALESCE(sc.sched_start_ms, -1) AS BIGINT) AS sched_start_ms FROM stops_s s "
+    "JOIN lines l ON l.trip_id = s.trip_id LEFT JOIN sched sc ON sc.trip_id = s.trip_id",
+    "fx_positions", "fx_trips", "fx_shapes", "fx_stop_times", "fx_stops", extra=_RT_PL, recursive=True))
+def q_trip_runtime_planar(spark, sf_dir):
+    """Per trip: stops in order with their planar distance along the trip's raw line, and
+    the scheduled start, for the trips the samples ask for."""
+    rt, _, _ = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
+                               fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), for_trips=_samples(spark, sf_dir),
+                               materialize=cut_lineage, metric="planar")
+    z = rt.select("trip_id", "line_id", "sched_start_ms",
+                  F.posexplode(F.arrays_zip("stop_ids", "stop_s")).alias("stop_pos", "z"))
+    return z.select("trip_id", "line_id", F.col("stop_pos").cast("int").alias("stop_pos"),
+                    F.col("z.stop_ids").alias("stop_id"), F.col("z.stop_s").alias("stop_s"), "sched_start_ms")
