@@ -43,9 +43,10 @@ def q_stream_arrivals(spark, sf_dir):
 def q_stream_dedup_snapshots(spark, sf_dir):
     snaps = ing.snapshots_of(fx.feed_entities(spark, sf_dir))
     root = runner.run_dir(spark, "stream_snapshots")
-    runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES)
-    runner.run_available_now(dedup_snapshots_stream(runner.read_files(spark, f"{root}/in", snaps.schema)),
-                             f"{root}/out", f"{root}/ckpt")
+    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
+        runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, parts)
+        runner.run_available_now(dedup_snapshots_stream(runner.read_files(spark, f"{root}/in", snaps.schema)),
+                                 f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
@@ -54,9 +55,10 @@ def q_stream_dedup_vehicle_ts(spark, sf_dir):
     e = fx.feed_entities(spark, sf_dir)
     f = ing.filter_vehicle_entities(ing.keep_snapshots(e, ing.dedup_snapshots(ing.snapshots_of(e)))).drop("has_vehicle")
     root = runner.run_dir(spark, "stream_vehicle_ts")
-    runner.append_in_order(f, f"{root}/in", "snapshot_no", BATCHES)
-    runner.run_available_now(dedup_vehicle_ts_stream(runner.read_files(spark, f"{root}/in", f.schema)),
-                             f"{root}/out", f"{root}/ckpt")
+    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
+        runner.append_in_order(f, f"{root}/in", "snapshot_no", BATCHES, parts)
+        runner.run_available_now(dedup_vehicle_ts_stream(runner.read_files(spark, f"{root}/in", f.schema)),
+                                 f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
@@ -66,13 +68,15 @@ def q_stream_dedup_vehicle_ts(spark, sf_dir):
 @register("stream_ingest_positions", with_fx(f"SELECT snapshot_no, entity_idx, {_KEY}, {_RECORD} FROM d",
                                              "fx_feed_entities", extra=_KEPT))
 def q_stream_ingest_positions(spark, sf_dir):
-    """Encoded snapshots (derived from fx:feed_entities) streamed in four ordered micro-batches
-    through the whole ingest; must equal the batch ``ingest_positions``."""
+    """Encoded snapshots (derived from fx:feed_entities) streamed in four ordered micro-batches,
+    with a restart after the second, through the whole ingest; must equal the batch
+    ``ingest_positions``."""
     snaps = fd.encode_snapshots(fx.feed_entities(spark, sf_dir))
     root = runner.run_dir(spark, "stream_ingest")
-    runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES)
-    stream = runner.read_files(spark, f"{root}/in", snaps.schema)
-    runner.run_available_now(ingest_stream(stream, NOW_S), f"{root}/out", f"{root}/ckpt")
+    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
+        runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, parts)
+        stream = runner.read_files(spark, f"{root}/in", snaps.schema)
+        runner.run_available_now(ingest_stream(stream, NOW_S), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
