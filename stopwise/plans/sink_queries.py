@@ -147,10 +147,11 @@ def q_write_arrivals(spark, sf_dir):
     """Streaming arrival events written exactly once (file sink + checkpoint) with a JSON key."""
     samples, rt = _inputs(spark, sf_dir)
     root = runner.run_dir(spark, "arrivals_out")
-    runner.append_in_order(samples, f"{root}/in", "seq", 2)
-    stream = runner.read_files(spark, f"{root}/in", samples.schema)
-    ev = ar.arrival_events(stream_arrivals(stream, rt, KEYS), agency=F.lit(FEED_AGENCY), trip_id="trip_no")
-    runner.run_available_now(ev.select(event_key().alias("key"), *ev.columns), f"{root}/events", f"{root}/ckpt",
-                             fmt="json")
+    for parts in (range(0, 1), range(1, 2)):  # a restart from the checkpoint in between
+        runner.append_in_order(samples, f"{root}/in", "seq", 2, parts)
+        stream = runner.read_files(spark, f"{root}/in", samples.schema)
+        ev = ar.arrival_events(stream_arrivals(stream, rt, KEYS), agency=F.lit(FEED_AGENCY), trip_id="trip_no")
+        runner.run_available_now(ev.select(event_key().alias("key"), *ev.columns), f"{root}/events",
+                                 f"{root}/ckpt", fmt="json")
     schema = T.StructType([T.StructField("key", T.StringType())] + list(ev.schema.fields))
     return spark.read.schema(schema).json(f"{root}/events")

@@ -90,10 +90,11 @@ def q_stream_arrivals_from_positions(spark, sf_dir):
     rt, trip_lines, segs = gq.runtime(spark, sf_dir)
     samples = gq._samples(spark, sf_dir)
     root = runner.run_dir(spark, "stream_positions")
-    runner.append_in_order(samples, f"{root}/in", "seq", BATCHES)
-    stream = runner.read_files(spark, f"{root}/in", samples.schema)
-    a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
-    runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
+    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
+        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, parts)
+        stream = runner.read_files(spark, f"{root}/in", samples.schema)
+        a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
+        runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
     return ar.arrival_events(spark.read.parquet(f"{root}/out"))
 
 
@@ -109,8 +110,10 @@ def q_stream_arrivals_from_positions_planar(spark, sf_dir):
                                            materialize=cut_lineage, metric="planar")
     samples = gq._samples(spark, sf_dir)
     root = runner.run_dir(spark, "stream_positions_planar")
-    runner.append_in_order(samples, f"{root}/in", "seq", BATCHES)
-    stream = runner.read_files(spark, f"{root}/in", samples.schema)
-    a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"), metric="planar")
-    runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
+    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
+        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, parts)
+        stream = runner.read_files(spark, f"{root}/in", samples.schema)
+        a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"),
+                                           metric="planar")
+        runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
     return ar.arrival_events(spark.read.parquet(f"{root}/out"))
