@@ -42,7 +42,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = build_session(f"local[{cpus}]", app="stopwise-bench", shuffle_partitions=cpus * 2,
+    spark = build_session(f"local[{cpus}]", app="stopwise-bench", shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", cpus * 2)),
                           extra={"spark.driver.memory": "16g"})
     registry.load_all()
     names = [n for n in HEADLINE if n in registry.QUERIES]
