@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-
 from .. import fixtures as fx
 from ..operators import arrivals as ar
 from ..operators import ingest as ing
+from ..operators import trips as tp
+from ..session import cut_lineage
 from ..sources import feed as fd
 from ..streaming import runner
 from ..streaming.arrivals_stream import stream_arrivals
@@ -29,7 +30,7 @@ def q_stream_arrivals(spark, sf_dir):
     samples, rt = _inputs(spark, sf_dir)
     root = runner.run_dir(spark, "stream_arrivals")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
-    for first_run, parts in ((True, range(0, 2)), (False, range(2, BATCHES))):
+    for parts in (range(0, 2), range(2, BATCHES)):
         runner.append_in_order(samples, src, "seq", BATCHES, parts)
         stream = runner.read_files(spark, src, samples.schema)
         runner.run_available_now(stream_arrivals(stream, rt, KEYS), out, ckpt)
@@ -102,8 +103,6 @@ def q_stream_arrivals_from_positions(spark, sf_dir):
 def q_stream_arrivals_from_positions_planar(spark, sf_dir):
     """The planar variant of the streaming raw-positions path, four ordered micro-batches;
     the same SQL oracle as ``arrivals_from_positions_planar``."""
-    from ..session import cut_lineage
-    from ..operators import trips as tp
     rt, trip_lines, segs = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir),
                                            fx.stop_times(spark, sf_dir), fx.stops(spark, sf_dir),
                                            fx.schedule(spark, sf_dir), for_trips=gq._samples(spark, sf_dir),

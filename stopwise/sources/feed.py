@@ -10,6 +10,7 @@ an error text, never a failed query.
 
 from __future__ import annotations
 
+import gzip
 import os
 import zlib
 
@@ -120,13 +121,12 @@ def bad_snapshots(parsed: DataFrame) -> DataFrame:
 
 @F.pandas_udf(T.BinaryType())
 def _encode_udf(header_ts: pd.Series, entities: pd.Series, encoding: pd.Series) -> pd.Series:
-    import gzip as _gz
     out = []
     for h, es, enc in zip(header_ts, entities, encoding):
         rows = sorted((dict(e) for e in es), key=lambda r: r["entity_idx"])
         raw = gtfs_rt.encode_snapshot(None if pd.isna(h) else int(h), rows)
         if enc == "gzip":
-            raw = _gz.compress(raw, mtime=0)
+            raw = gzip.compress(raw, mtime=0)
         elif enc == "deflate":
             raw = zlib.compress(raw)
         elif enc == "raw-deflate":
