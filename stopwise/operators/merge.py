@@ -562,3 +562,5 @@ def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sch
         return tables, res.report
     except MergeError as e:
         return dict(target), error_report(spark, str(e), e.code, source_schema, target_schema)
+    except Exception as e:  # noqa: BLE001 - like the reference, any failure becomes an error report
+        return dict(target), error_report(spark, f"{type(e).__name__}: {e}", "XX000", source_schema, target_schema)

@@ -87,3 +87,22 @@ def test_surrogate_ids_are_a_dense_rank(spark):
     out = mg.surrogate_ids(df, "sid", ["k"], 10, partitions=7)
     got = sorted((r.k, r.sid) for r in out.collect())
     assert got == [(k, k + 11) for k in range(1000)]
+
+
+def test_missing_optional_table_still_merges(spark, tmp_path):
+    src, tgt = _split(spark)
+    src = {k: src[k] for k in src if k != "frequencies"}
+    tables, report = mg.run_merge(spark, src, tgt, source_schema="a", target_schema="b", run_ms=RUN, salt=SALT,
+                                  feed_info_key=["feed_publisher_name"])
+    assert report.first().status == "success"
+    assert "frequencies" in tables  # the target's table stays, with its kept rows
+
+
+def test_any_failure_is_an_error_report(spark):
+    src, tgt = _split(spark)
+    tgt = {k: tgt[k] for k in tgt if k != "routes"}  # the dependent deletes need the routes
+    tables, report = mg.run_merge(spark, src, tgt, source_schema="a", target_schema="b", run_ms=RUN, salt=SALT,
+                                  feed_info_key=["feed_publisher_name"])
+    r = report.first()
+    assert r.status == "error" and r.source_schema == "a" and r.target_schema == "b"
+    assert all(tables[t] is tgt[t] for t in tgt)
