@@ -31,7 +31,7 @@ def key_struct(cols: Sequence[str]) -> Column:
 
 def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], *, max_of: Sequence[str] = (),
                    lag_of: Sequence[str] = (), block_size: int = DEFAULT_BLOCK,
-                   keep_key: bool = False) -> DataFrame:
+                   keep_key: bool = False, with_blocks: bool = False):
     """Add per-key running state in ``seq`` order.
 
     ``seq`` is one numeric column or a list of columns (lexicographic order); blocks are
@@ -41,6 +41,10 @@ def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str],
     and ``{m}_prev_max`` (rows before; null for the first row of the key).
     For each ``c`` in ``lag_of``: ``{c}_prev`` (value of the previous row; null for the first).
     Always: ``row_no`` (1-based position within the key).
+
+    ``keep_key`` keeps the struct key and block columns (``_key``, ``_blk``), by which the
+    result stays hash-partitioned. ``with_blocks`` also returns the per-block summary's
+    (``_key``, ``_blk``) pairs, one row per block, for joins aligned with that partitioning.
     """
     order = [seq] if isinstance(seq, str) else list(seq)
     order_key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -77,11 +81,12 @@ def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str],
                   .withColumn(f"{m}_prev_max", F.greatest(F.col(f"_lmaxb_{m}"), F.col(f"_pmax_{m}"))))
     for c in lag_of:
         out = out.withColumn(f"{c}_prev", F.when(first_in_block, F.col(f"_plast_{c}")).otherwise(F.col(f"_llag_{c}")))
-    drop = ["_lrn", "_pcnt", BLOCK] + [f"_lmax_{m}" for m in max_of] + [f"_lmaxb_{m}" for m in max_of]
+    drop = ["_lrn", "_pcnt"] + [f"_lmax_{m}" for m in max_of] + [f"_lmaxb_{m}" for m in max_of]
     drop += [f"_pmax_{m}" for m in max_of] + [f"_llag_{c}" for c in lag_of] + [f"_plast_{c}" for c in lag_of]
     if not keep_key:
-        drop.append(KEY)
-    return out.drop(*drop)
+        drop += [KEY, BLOCK]
+    out = out.drop(*drop)
+    return (out, summ.select(KEY, BLOCK)) if with_blocks else out
 
 
 def previous_in_order(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str], cols: Sequence[str],

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import with_scalars
-from ..functions.scan import DEFAULT_BLOCK, ordered_prefix
+from ..functions.scan import BLOCK, DEFAULT_BLOCK, KEY, ordered_prefix
 from ..functions.timecols import BUSINESS_ZONE, local_time_columns
 
 # Detector defaults.
@@ -75,16 +75,20 @@ def stop_runtime(stops: DataFrame, by: Sequence[str], *, stop_id: str = "stop_id
 
 
 def vehicle_progress(samples: DataFrame, keys: Sequence[str], *, seq: str = "seq", s_col: str = "s_now",
-                     ts_col: str = "ts_ms", block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                     ts_col: str = "ts_ms", block_size: int = DEFAULT_BLOCK, with_blocks: bool = False):
     """Add ``progress`` (P_i), ``progress_prev`` (P_{i-1}, null for the first sample),
-    ``ts_prev`` (previous sample's ts) and ``row_no``."""
-    d = ordered_prefix(samples, keys, seq, max_of=[s_col], lag_of=[ts_col], block_size=block_size)
+    ``ts_prev`` (previous sample's ts) and ``row_no``. ``with_blocks`` keeps the (key, block)
+    columns and also returns the blocks (see :func:`ordered_prefix`)."""
+    res = ordered_prefix(samples, keys, seq, max_of=[s_col], lag_of=[ts_col], block_size=block_size,
+                         keep_key=with_blocks, with_blocks=with_blocks)
+    d, blocks = res if with_blocks else (res, None)
     first = F.col("row_no") == 1
-    return (d.withColumn("progress", F.greatest(F.lit(0.0), F.col(f"{s_col}_run_max")))
-             .withColumn("progress_prev", F.when(first, F.lit(None).cast("double"))
-                         .otherwise(F.greatest(F.lit(0.0), F.col(f"{s_col}_prev_max"))))
-             .withColumnRenamed(f"{ts_col}_prev", "ts_prev")
-             .drop(f"{s_col}_run_max", f"{s_col}_prev_max"))
+    d = (d.withColumn("progress", F.greatest(F.lit(0.0), F.col(f"{s_col}_run_max")))
+          .withColumn("progress_prev", F.when(first, F.lit(None).cast("double"))
+                      .otherwise(F.greatest(F.lit(0.0), F.col(f"{s_col}_prev_max"))))
+          .withColumnRenamed(f"{ts_col}_prev", "ts_prev")
+          .drop(f"{s_col}_run_max", f"{s_col}_prev_max"))
+    return (d, blocks) if with_blocks else d
 
 
 def previous_anchor(df: DataFrame, *, s_col: str = "s_now", ts_col: str = "ts_ms",
@@ -112,6 +116,16 @@ def attach_runtime(samples: DataFrame, runtime: DataFrame, on: Sequence[str]) ->
     return with_scalars(samples, runtime)
 
 
+def attach_runtime_by_block(d: DataFrame, blocks: DataFrame, runtime: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join samples to their trip's stop arrays along the (key, block) partitioning they
+    already have: the runtime is first expanded to the few (key, block) groups that need
+    it (one row per block, from the scan's summary), so only that small side is shuffled.
+    ``on`` must be part of the key."""
+    kb = blocks.select(KEY, BLOCK, *[F.col(f"{KEY}.{c}").alias(c) for c in on])
+    rt = kb.join(runtime, list(on), "inner").drop(*on)
+    return d.join(rt, [KEY, BLOCK], "left").drop(KEY, BLOCK)
+
+
 def _count_le(arr: str, bound: Column) -> Column:
     return F.coalesce(F.size(F.filter(arr, lambda m: m <= bound)), F.lit(0))
 
@@ -139,8 +153,14 @@ def stop_passages(samples: DataFrame, runtime: DataFrame, keys: Sequence[str], *
     """Every consumed stop, one row per (sample, stop): ``stop_pos`` (0-based index),
     ``stop_id``, ``stop_sequence``, ``stop_s``, ``emitted`` and ``arrival_time_millis``."""
     validate_config(tolerance_m=tolerance_m, max_anchor_gap_ms=max_anchor_gap_ms)
-    d = vehicle_progress(samples, keys, seq=seq, s_col=s_col, ts_col=ts_col, block_size=block_size)
-    d = attach_runtime(d, runtime, on)
+    if on and set(on) <= set(keys):
+        # the trip is part of the key: join along the (key, block) partitioning, no reshuffle
+        d, blocks = vehicle_progress(samples, keys, seq=seq, s_col=s_col, ts_col=ts_col, block_size=block_size,
+                                     with_blocks=True)
+        d = attach_runtime_by_block(d, blocks, runtime, on)
+    else:
+        d = vehicle_progress(samples, keys, seq=seq, s_col=s_col, ts_col=ts_col, block_size=block_size)
+        d = attach_runtime(d, runtime, on)
     d = previous_anchor(d, s_col=s_col, ts_col=ts_col, max_anchor_gap_ms=max_anchor_gap_ms)
     d = consumed_range(d, tolerance_m)
     d = d.where(F.col("next_stop_idx") > F.col("lo"))
