@@ -40,20 +40,32 @@ def snapshots_of(entities: DataFrame) -> DataFrame:
     return entities.select("feed", "snapshot_no", "header_ts").distinct()
 
 
+def repeated_snapshots(snapshots: DataFrame) -> DataFrame:
+    """(feed, snapshot_no) of snapshots whose header ts is > 0 and equals the last non-zero
+    header ts of the feed: the ones the de-dup drops."""
+    nz = snapshots.where(F.col("header_ts") > 0).select("feed", "snapshot_no", "header_ts")
+    prev = previous_in_order(nz, ["feed"], "snapshot_no", ["header_ts"], block_size=SNAPSHOT_BLOCK)
+    return prev.where(F.col("header_ts_prev") == F.col("header_ts")).select("feed", "snapshot_no")
+
+
 def dedup_snapshots(snapshots: DataFrame) -> DataFrame:
     """Drop a snapshot whose header ts is > 0 and equals the last non-zero header ts of
     the feed; ts 0 always passes and leaves the last value as it was."""
-    nz = snapshots.where(F.col("header_ts") > 0).select("feed", "snapshot_no", "header_ts")
-    prev = previous_in_order(nz, ["feed"], "snapshot_no", ["header_ts"], block_size=SNAPSHOT_BLOCK)
-    repeated = prev.where(F.col("header_ts_prev") == F.col("header_ts")).select("feed", "snapshot_no")
     # The repeated set is usually tiny; AQE broadcasts it when its runtime size allows.
-    return snapshots.join(repeated, ["feed", "snapshot_no"], "left_anti")
+    return snapshots.join(repeated_snapshots(snapshots), ["feed", "snapshot_no"], "left_anti")
 
 
 def keep_snapshots(entities: DataFrame, kept: DataFrame) -> DataFrame:
     return entities.join(kept.select("feed", "snapshot_no"), ["feed", "snapshot_no"], "left_semi")
 
 
+def drop_snapshots(entities: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Entities minus those of repeated snapshots. The same rows as ``keep_snapshots`` with
+    the kept set, but the side that is joined is the (normally tiny) repeated set, which AQE
+    can broadcast, so the entities are not shuffled for it."""
+    return entities.join(repeated, ["feed", "snapshot_no"], "left_anti")
+
+
 def dedup_vehicle_ts(entities: DataFrame) -> DataFrame:
     """Drop an entity whose timestamp equals the previous one of the same vehicle (same
     feed), inside and across snapshots. Rows without vehicle id or timestamp pass and
@@ -108,8 +120,7 @@ def ingest_positions(entities: DataFrame, snapshots: DataFrame | None = None, *,
     Output keeps ``feed``, ``snapshot_no``, ``entity_idx`` as the feed order of the records.
     """
     snaps = snapshots if snapshots is not None else snapshots_of(entities)
-    kept = dedup_snapshots(snaps)
-    e = filter_vehicle_entities(keep_snapshots(entities, kept))
+    e = filter_vehicle_entities(drop_snapshots(entities, repeated_snapshots(snaps)))
     e = dedup_vehicle_ts(e)
     return position_record(e, agency=agency, now_s=now_s, zone=zone, keep=("snapshot_no", "entity_idx"))
 
