@@ -102,9 +102,9 @@ def fingerprints(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (_group_sums(tk.mix(h + np.uint64(1)), n).view(np.int64), _group_sums(tk.mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), n).view(np.int64))
 
 
-def set_rows(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, doc_id, n, k1, k2): the id (NO_ID for null), the set's size and its fingerprint."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
+def set_rows(docs: DataFrame, k: int, id_col: str, text_col: str, key_col: str) -> DataFrame:
+    """(key, doc_id, n, k1, k2): the row's join key (NO_ID for null), the set's size and its fingerprint."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(key_col).cast("long"), F.lit(NO_ID)).alias("key"),
                        F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,20 +165,23 @@ def sign(h: np.ndarray, n: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.nda
     return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
 
-def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
+def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None, id_col: str = "doc_id",
+                 text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """(key, doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
 
+    ``key_col`` names a column that finds a row's text again (the id by default).
     ``component_id`` is the smallest doc_id reachable by links (its own without words);
     ``n_links`` counts the verified links of the row's class that were needed to connect it."""
     t = threshold or Threshold()
     ship_package(docs.sparkSession)
-    sets = stored(set_rows(docs, k, id_col, text_col), "set-rows")
+    key_col = key_col or id_col
+    sets = stored(set_rows(docs, k, id_col, text_col, key_col), "set-rows")
     # Classes of equal sets. A class is named by 64 bits of its 128-bit fingerprint; the few
     # classes whose name another class has too (n^2 / 2^65 of them) take the other 64 bits.
     classes = stored(sets.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("key").alias("least_key"), F.min("doc_id").alias("least")), "set-classes")
     clash = [r.k1 for r in classes.groupBy("k1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").collect()]
     named = classes.withColumn("node", F.when(F.col("k1").isin(clash), F.col("k2")).otherwise(F.col("k1")) if clash else F.col("k1"))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).alias("text"))
+    texts = docs.select(F.coalesce(F.col(key_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).alias("text"))
 
     def names(h: np.ndarray, n: np.ndarray) -> np.ndarray:
         k1, k2 = fingerprints(h, n)
@@ -232,5 +235,5 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     found = grouped.join(least, "component").join(degree, "node", "left").select("n", "k1", "k2", "component_id", "n_links")
     return (sets.join(found, ["n", "k1", "k2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+            .select("key", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))

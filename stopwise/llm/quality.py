@@ -144,3 +144,13 @@ def score(features: DataFrame, model: Discriminant) -> DataFrame:
             yield pa.record_batch({"row": b.column("row"), "doc_id": b.column("doc_id"), "score": pa.array(model.score(x) if len(x) else np.empty(0))})
 
     return features.mapInArrow(run, "row long, doc_id long, score double")
+
+
+def keep(docs: DataFrame, model: Discriminant, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text scores ``least`` or more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [model.score(vectors(chunk_stats(c))) >= least for c in tk.chunks(b.column(text_col))]
+            yield b.filter(pa.array(np.concatenate(ok))) if ok else b
+
+    return docs.mapInArrow(run, docs.schema)

@@ -11,3 +11,45 @@ from pyspark.sql import functions as F
 
 from . import linking, near_join, phrase_index, quality
 from .shared import labels, stored, table_path
+
+KEY = "__stage_key"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Add a 64-bit key of (doc_id, text): the same in every read, also for null ids and repeated ids with other texts."""
+    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the discriminant, fitted on all labelled rows of ``docs``, scores 0.3 or more.
+
+    No document moves: the model travels to the tasks and filters rows where they are."""
+    model = quality.train(quality.featurize(docs), labels(spark, sf_dir))
+    return quality.keep(docs, model, 0.3)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, that with the smallest doc_id, of each group of near copies (5-word shingles, 0.8).
+
+    Texts without words are in no group. Rows equal in id and text count as copies."""
+    docs = keyed(docs)
+    near = stored(near_join.near_classes(docs, 5, near_join.Threshold(80, 100), key_col=KEY).where("n_shingles > 0"), "near")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    groups = near.groupBy("component_id").agg(first.alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    dropped = stored(near.join(groups, near.component_id.eqNullSafe(groups.component_id)).where("key <> first.key")
+                     .select(F.col("key").alias(KEY)).distinct(), "dropped")
+    twice = stored(near.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias(KEY)), "repeated")
+    kept = docs.join(linking.bounded(dropped), KEY, "left_anti")
+    if not twice.isEmpty():
+        twice = linking.bounded(twice)
+        kept = kept.join(twice, KEY, "left_anti").unionByName(kept.join(twice, KEY, "left_semi").dropDuplicates([KEY]))
+    return kept.drop(KEY)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of which a twentieth or more of the words lies in 13-word passages of the benchmark."""
+    docs = keyed(docs)
+    index = phrase_index.build_index(docs, id_col=KEY)
+    found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
+    bad = stored(phrase_index.contamination(index, found).where("contaminated").select(F.col("doc_id").alias(KEY)).distinct(), "contaminated")
+    return docs.join(linking.bounded(bad), KEY, "left_anti").drop(KEY)
