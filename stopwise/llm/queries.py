@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_join, phrase_index, quality, weak_rules
+from . import curriculum, kd_shards, near_join, oracles, phrase_index, quality, weak_rules
 from .shared import crc_fold, documents, labels, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op1_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = curriculum.document_sizes(documents(spark, sf_dir))
+    return curriculum.taken(curriculum.placed(sizes, curriculum.source_weights(sizes)))
+
+
 def op3_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_classes(documents(spark, sf_dir), 3, near_join.Threshold(90, 100)).drop("key")
 
@@ -39,5 +44,13 @@ def op8_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op3_near_join, op4_weak_rules, op8_phrase_decontamination)}
-ORACLES: dict[str, str] = {}
+def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kd_shards.with_slots(kd_shards.assign(kd_shards.slim(documents(spark, sf_dir)), 16))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op8_phrase_decontamination, op10_kd_shards)}
+ORACLES: dict[str, str] = {
+    "op2_curriculum_mix": oracles.CURRICULUM,
+    "op8_phrase_decontamination": oracles.PHRASES,
+}
