@@ -48,3 +48,13 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+WARC = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT digest, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN top IS NOT NULL AND (page_id IS NULL OR page_id < top) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN top IS NOT NULL AND (page_id IS NULL OR page_id < top) THEN top END AS refers_to
+FROM p LEFT JOIN g ON p.digest = g.digest
+"""

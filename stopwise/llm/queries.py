@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, kd_shards, near_join, oracles, phrase_index, quality, weak_rules
-from .shared import crc_fold, documents, labels, table_path
+from . import curriculum, kd_shards, near_join, oracles, phrase_index, quality, warc, weak_rules
+from .shared import crc_fold, documents, labels, ship_package, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,12 @@ def op4_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~failed & F.col("verdict")).alias("kept"), "p_good")
 
 
+def op5_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    path = warc.write_archives(warc.records(spark.read.parquet(table_path(sf_dir, "pages"))))
+    return warc.resolved(warc.read_archives(spark, path)).drop("digest_ok")
+
+
 def op8_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = phrase_index.build_index(documents(spark, sf_dir))
     found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
@@ -49,8 +55,10 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op8_phrase_decontamination, op10_kd_shards)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op5_warc_chain,
+                                                   op8_phrase_decontamination, op10_kd_shards)}
 ORACLES: dict[str, str] = {
     "op2_curriculum_mix": oracles.CURRICULUM,
+    "op5_warc_chain": oracles.WARC,
     "op8_phrase_decontamination": oracles.PHRASES,
 }
