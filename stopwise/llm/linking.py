@@ -14,6 +14,8 @@ from .shared import stored
 
 # A table of ids up to this many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+# A node that has more rows of other components to look at than this gets a cheaper allocation.
+PLAIN_COST = 64
 
 
 def bounded(ids: DataFrame) -> DataFrame:
@@ -56,15 +58,43 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
             .where("lo < hi and not hub.quiet").groupBy("sig", "node").agg(F.max("probes").alias("probes"), F.first("hub.node").alias("hub")))
 
 
+def allocated_candidates(index: DataFrame, label: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of different components, from a full index and the cheapest allocation per node.
+
+    ``index``: (sig, node, scheme, segment, deleted, need), one-deletion rows of every
+    segment included. Allocation 1 of a segment finds the nodes with the same part,
+    allocation 2 also those whose part differs by one element; allocations of a node add up to
+    ``need``. Costs are the numbers of rows found, other components only."""
+    sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
+    is_full, is_deleted = F.when(~F.col("deleted"), 1).otherwise(0), F.when(F.col("deleted"), 1).otherwise(0)
+    rows = stored(index.join(label, "node").withColumns({
+        "full_cost": F.sum(is_full).over(sig) - F.sum(is_full).over(same), "deleted_cost": F.sum(is_deleted).over(sig) - F.sum(is_deleted).over(same)}), "full-index")
+    one = F.sum(F.when(~F.col("deleted"), F.col("full_cost")).otherwise(0))
+    two = one + F.sum(F.when(F.col("deleted"), F.col("full_cost")).otherwise(F.col("deleted_cost")))
+    per_part = rows.groupBy("node", "scheme", "segment").agg(one.alias("one"), two.alias("two"), F.first("need").alias("need"))
+    # Units of allocation by price; the second unit of a part never comes before the first.
+    units = per_part.select("node", "scheme", "segment", "need", F.explode(F.array(
+        F.struct(F.col("one").alias("price"), F.lit(1).alias("unit")),
+        F.struct(F.greatest(F.col("two") - F.col("one"), F.col("one")).alias("price"), F.lit(2).alias("unit")))).alias("u"))
+    rank = F.row_number().over(Window.partitionBy("node", "scheme").orderBy("u.price", "u.unit", "segment"))
+    chosen = units.withColumn("rank", rank).where("rank <= need").groupBy("node", "scheme", "segment").agg(F.count(F.lit(1)).alias("v"))
+    live = rows.where("full_cost > 0 or deleted_cost > 0")
+    probes = live.join(chosen, ["node", "scheme", "segment"]).where("v = 2 or not deleted")
+    x, y = probes.alias("x"), live.alias("y")
+    fits = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & ~(F.col("x.deleted") & F.col("y.deleted")) & ((F.col("x.v") == 2) | ~F.col("y.deleted"))
+    return x.join(y, fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame, DataFrame], DataFrame],
-            sizes: DataFrame, compatible: Callable[[Column, Column], Column]) -> DataFrame:
+            full_index: Callable[[DataFrame], DataFrame] | None, sizes: DataFrame, compatible: Callable[[Column, Column], Column]) -> DataFrame:
     """Verified links (a, b) that connect every pair of nodes that shares a signature and verifies.
 
     ``rows``: (sig, node, probes). Round one tests each node against its signature's hub
     only, so a signature that many copies share costs one pair per copy. Nodes that this
-    connects need no further tests among themselves: round two tests the pairs of a
-    signature that are still in different components. Both rounds together decide
-    every candidate pair, as a linked pair is in one component either way."""
+    connects need no further tests among themselves. Round two tests what nodes with up to
+    ``PLAIN_COST`` rows to look at find in other components: a linear number of pairs. Pairs
+    of two more expensive nodes come from ``allocated_candidates`` (without a full index,
+    from their signatures too). Every candidate pair that links ends in one component."""
     members = stored(shared_signatures(rows), "members")
     content = stored(items(members.select("node").distinct()).dropDuplicates(["node"]), "items")
     known = stored(sizes.join(members.select("node").distinct(), "node", "left_semi"), "sizes")
@@ -78,13 +108,19 @@ def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Ca
     tested = stored(fitting(star), "pairs")
     links = stored(verify(tested, content), "links")
     label = components(links)
-    split = Window.partitionBy("sig")
-    open_ = stored(members.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
-                   .withColumns({"c_lo": F.min("c").over(split), "c_hi": F.max("c").over(split)}).where("c_lo < c_hi")
-                   .join(known, "node").select("sig", "node", "probes", "c", "n"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c"))
-                   & (F.col("x.probes") | F.col("y.probes")) & compatible(F.col("x.n"), F.col("y.n")))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
-    more = stored(verify(stored(rest, "pairs"), content), "links")
+    sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
+    rest = (members.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
+            .withColumn("others", F.count(F.lit(1)).over(sig) - F.count(F.lit(1)).over(same)).where("others > 0"))
+    cost = rest.groupBy("node").agg(F.sum(F.when(F.col("probes"), F.col("others")).otherwise(0)).alias("cost"))
+    open_ = stored(rest.join(cost, "node").select("sig", "node", "probes", "c", (F.col("cost") <= PLAIN_COST).alias("plain")), "open")
+    x, y = open_.where("probes and plain").alias("x"), open_.alias("y")
+    if full_index is None:
+        x = open_.where("probes").alias("x")
+    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")))
+             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+    if full_index is not None:
+        dear = stored(open_.where("not plain").select("node", "c").distinct(), "dear")
+        if not dear.isEmpty():
+            pairs = pairs.union(allocated_candidates(full_index(content.join(dear.select("node"), "node", "left_semi")), dear)).distinct()
+    more = stored(verify(stored(fitting(pairs.join(tested, ["a", "b"], "left_anti")), "pairs"), content), "links")
     return links.union(more)

@@ -14,10 +14,13 @@ segment 0 the one-deletion neighbourhood is indexed too: parts that differ by on
 there still meet, so that segment counts two in the pigeonhole sum.
 
 *Cost-based allocation.* A set of size n only needs allocations that add up to its own
-H(n) + 1. It gets them from its most selective parts, those with most elements: the
+H(n) + 1. It first gets them from its most selective parts, those with most elements: the
 expected length of a posting list falls with the size of the part, and empty parts, which
 unrelated sets share, come last. Parts with allocation 0 are indexed but do not probe.
-Two rows of a signature make a candidate only if one of them probes.
+Two rows of a signature make a candidate only if one of them probes. Sets whose probes turn
+out expensive (large families of similar sets that do not link) are signed once more with
+all one-deletion neighbourhoods, and get the cheapest allocation by *measured* posting
+lengths: 0 for the parts the family shares, 2 for those that are the set's own.
 
 *Exact verification.* Candidates are resolved in rounds (``linking.resolve``); a pair links
 when ``b * |A & B| >= a * |A u B|`` on the full sets.
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 
 from . import linking
 from . import textkernel as tk
-from .shared import ship_package, stored
+from .shared import concat_runs, ship_package, sliced, stored
 
 GROWTH = 1.5
 NO_ID = -(2**63)      # stands for a null id in joins
@@ -118,51 +121,60 @@ def set_rows(docs: DataFrame, k: int, id_col: str, text_col: str, key_col: str)
     return rows.mapInArrow(run, "key long, doc_id long, n long, k1 long, k2 long")
 
 
-def sign(h: np.ndarray, n: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signature rows of concatenated sets: (set number, signature, probes)."""
+@dataclass
+class Signatures:
+    """Signature rows of a list of sets. ``deleted`` rows sign a part less one element."""
+    who: np.ndarray        # number of the set
+    sig: np.ndarray
+    probes: np.ndarray
+    scheme: np.ndarray     # band
+    segment: np.ndarray
+    deleted: np.ndarray
+    need: np.ndarray       # what the set's allocations must add up to
+
+
+def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Signatures:
+    """Sign concatenated sorted sets of sizes ``n``.
+
+    ``every``: index the one-deletion neighbourhood of all segments, not of segment 0 only."""
     tops = band_tops(t, t.partner(int(n.max(initial=1))) + 1)
-    need = np.array([t.difference(int(u) + t.partner(int(u))) + 1 for u in tops], np.int64)     # segments of each band
-    band = np.searchsorted(tops, n)
+    segments = np.array([t.difference(int(u) + t.partner(int(u))) + 1 for u in tops], np.int64)
     reach = np.array([t.partner(int(u)) for u in tops], np.int64)
+    band = np.searchsorted(tops, n)
     below = (band > 0) & (n <= reach[np.maximum(band - 1, 0)])
+    need = ((t.b - t.a) * (n + n * t.b // t.a)) // (t.a + t.b) + 1
     ends = np.cumsum(n)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    own = np.array([t.difference(int(x) + t.partner(int(x))) + 1 for x in n], np.int64)
+    out: list[tuple] = []
     for scheme, who in ((band, np.flatnonzero(n > 0)), (band - 1, np.flatnonzero(below & (n > 0)))):
-        who = who[need[scheme[who]] > 1]         # one segment: only equal sets link
+        who = who[segments[scheme[who]] > 1]         # one segment: only equal sets link
         if not len(who):
             continue
-        m, size = need[scheme[who]], n[who]
-        from_ = ends[who] - size
-        at = np.repeat(from_ - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-        x = h[at]
-        mm = np.repeat(m, size)
-        seg = ((x >> np.uint64(32)) * mm.astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        m, size, sch = segments[scheme[who]], n[who], scheme[who]
+        x = h[concat_runs(ends[who] - size, size)]
+        seg = ((x >> np.uint64(32)) * np.repeat(m, size).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
         base = np.concatenate([[0], np.cumsum(m)])
-        slot = np.repeat(base[:-1], size) + seg                                  # sorted: hashes are sorted within a set
+        slot = np.repeat(base[:-1], size) + seg                                  # ascending: hashes are sorted within a set
         cards = np.bincount(slot, minlength=int(base[-1]))
         v = tk.mix(x + np.uint64(0x51ED270B))
         sums = _group_sums(v, cards)
         owner = np.repeat(np.arange(len(who)), m)
         number = np.arange(int(base[-1])) - base[owner]
-        tag = tk.mix((scheme[who][owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
+        tag = tk.mix((sch[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
         # Allocation: segment 0 counts two; then the largest parts until the set's own need is met.
         worth = np.where(number == 0, 2, 1)
         order = np.lexsort((-cards, owner))
-        gained = np.cumsum(worth[order])
-        before = gained - worth[order]
+        before = np.cumsum(worth[order]) - worth[order]
         before -= np.repeat(before[base[:-1]], m)
         probes = np.empty(len(order), bool)
-        probes[order] = before < own[who][owner[order]]
-        out.append((who[owner], tk.mix(sums + tag), probes))
-        # One-deletion neighbourhood of segment 0.
-        zero = np.flatnonzero(seg == 0)
-        s0 = slot[zero]
-        o0 = np.searchsorted(base, s0, "right") - 1
-        out.append((who[o0], tk.mix(sums[s0] - v[zero] + tag[s0]), probes[s0]))
+        probes[order] = before < need[who][owner[order]]
+        out.append((who[owner], tk.mix(sums + tag), probes, sch[owner], number, np.zeros(len(owner), bool)))
+        at = np.arange(len(x)) if every else np.flatnonzero(seg == 0)
+        sl = slot[at]
+        out.append((who[owner[sl]], tk.mix(sums[sl] - v[at] + tag[sl]), probes[sl], sch[owner[sl]], number[sl], np.ones(len(at), bool)))
     if not out:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
-    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+        out = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
+    cols = [np.concatenate([o[i] for o in out]) for i in range(6)]
+    return Signatures(*cols, need[cols[0]])
 
 
 def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None, id_col: str = "doc_id",
@@ -199,8 +211,8 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                 new &= ~np.isin(node, signed) & (n > 0)
                 signed = np.concatenate([signed, node[new]])
                 h, n, node = h[np.repeat(new, n)], n[new], node[new]
-                who, sig, probes = sign(h, n, t)
-                yield pa.record_batch({"sig": pa.array(sig.view(np.int64)), "node": pa.array(node[who]), "probes": pa.array(probes)})
+                s = sign(h, n, t)
+                yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node[s.who]), "probes": pa.array(s.probes)})
 
     def exact_sets(nodes: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +239,19 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                 .join(items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b"))
         return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long")
 
+    def full_index(items: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for part in sliced(b, 512):
+                    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("items")]
+                    s = sign(np.concatenate(sets), np.array([len(x) for x in sets], np.int64), t, every=True)
+                    node = part.column("node").to_numpy()[s.who]
+                    yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node), "scheme": pa.array(s.scheme), "segment": pa.array(s.segment),
+                                           "deleted": pa.array(s.deleted), "need": pa.array(s.need)})
+        return items.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
+
     links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, probes boolean"), exact_sets, verify,
-                            named.select("node", "n"), lambda x, y: F.least(x, y) * t.b >= F.greatest(x, y) * t.a)
+                            full_index, named.select("node", "n"), lambda x, y: F.least(x, y) * t.b >= F.greatest(x, y) * t.a)
     label = linking.components(links)
     grouped = named.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, kd_shards, near_join, oracles, phrase_index, quality, warc, weak_rules
+from . import curriculum, kd_shards, near_join, oracles, phrase_index, quality, toxicity, warc, weak_rules
 from .shared import crc_fold, documents, labels, ship_package, table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,13 @@ def op5_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(warc.read_archives(spark, path)).drop("digest_ok")
 
 
+def op7_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    net = toxicity.train(docs, labels(spark, sf_dir).where(crc_fold("doc_id", 3) != 1))
+    return toxicity.score(docs, net).select(
+        "doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = phrase_index.build_index(documents(spark, sf_dir))
     found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
@@ -55,7 +62,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op5_warc_chain,
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op5_warc_chain, op7_gru_toxicity,
                                                    op8_phrase_decontamination, op10_kd_shards)}
 ORACLES: dict[str, str] = {
     "op2_curriculum_mix": oracles.CURRICULUM,
