@@ -34,7 +34,7 @@ from . import textkernel as tk
 from .shared import batch_of, concat_runs, ship_package, stored
 
 WINDOW_WORDS = 13
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 BLOCK_WORDS = 200_000
 
 INDEX_DDL = ("segment long, doc_ids array<long>, doc_rows array<long>, doc_starts array<int>, doc_words array<int>, terms binary, "
@@ -277,6 +277,7 @@ def contamination(index: DataFrame, matches: DataFrame) -> DataFrame:
     """Per document row: n_words, n_hit (words inside any match), items (distinct, sorted), contaminated."""
     docs = index.select(F.explode(F.arrays_zip("doc_rows", "doc_ids", "doc_words")).alias("d")).select(
         F.col("d.doc_rows").alias("row"), F.col("d.doc_ids").alias("doc_id"), F.col("d.doc_words").cast("long").alias("n_words"))
+    matches = stored(matches, "phrase-matches")
     by_row = Window.partitionBy("row").orderBy("first_word", "end_word").rowsBetween(Window.unboundedPreceding, -1)
     spans = matches.select("row", "first_word", "end_word").distinct()
     hits = (spans.withColumn("seen", F.coalesce(F.max("end_word").over(by_row), F.lit(0)))
