@@ -16,6 +16,8 @@ STAGES = [
     ("quality", stages.drop_low_quality),
     ("near_copies", stages.drop_near_copies),
     ("benchmark", stages.drop_contaminated),
+    ("mix", stages.mix_sources),
+    ("shard", stages.shard),
 ]
 
 ORACLE_SQL = None

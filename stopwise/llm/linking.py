@@ -86,10 +86,11 @@ def allocated_candidates(index: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame, DataFrame], DataFrame],
-            full_index: Callable[[DataFrame], DataFrame] | None, sizes: DataFrame, compatible: Callable[[Column, Column], Column]) -> DataFrame:
+            full_index: Callable[[DataFrame], DataFrame] | None, sizes: Callable[[DataFrame], DataFrame], compatible: Callable[[Column, Column], Column]) -> DataFrame:
     """Verified links (a, b) that connect every pair of nodes that shares a signature and verifies.
 
-    ``rows``: (sig, node, probes). Round one tests each node against its signature's hub
+    ``rows``: (sig, node, probes). ``items`` gives the content of nodes, ``sizes`` (node, n) from
+    it; pairs whose sizes are not ``compatible`` are not verified. Round one tests each node against its signature's hub
     only, so a signature that many copies share costs one pair per copy. Nodes that this
     connects need no further tests among themselves. Round two tests what nodes with up to
     ``PLAIN_COST`` rows to look at find in other components: a linear number of pairs. Pairs
@@ -97,7 +98,7 @@ def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Ca
     from their signatures too). Every candidate pair that links ends in one component."""
     members = stored(shared_signatures(rows), "members")
     content = stored(items(members.select("node").distinct()).dropDuplicates(["node"]), "items")
-    known = stored(sizes.join(members.select("node").distinct(), "node", "left_semi"), "sizes")
+    known = stored(sizes(content), "sizes")
 
     def fitting(pairs: DataFrame) -> DataFrame:
         return (pairs.join(known.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")

@@ -251,7 +251,8 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
         return items.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
 
     links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, probes boolean"), exact_sets, verify,
-                            full_index, named.select("node", "n"), lambda x, y: F.least(x, y) * t.b >= F.greatest(x, y) * t.a)
+                            full_index, lambda content: content.select("node", (F.octet_length("items") / 8).cast("long").alias("n")),
+                            lambda x, y: F.least(x, y) * t.b >= F.greatest(x, y) * t.a)
     label = linking.components(links)
     grouped = named.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, kd_shards, near_join, oracles, phrase_index, quality, toxicity, warc, weak_rules
+from . import curriculum, kd_shards, line_dedup, near_join, oracles, phrase_index, quality, token_trie, toxicity, warc, weak_rules
 from .shared import crc_fold, documents, labels, ship_package, table_path
 
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"      # public vocabulary, read where it is
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +43,10 @@ def op5_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(warc.read_archives(spark, path)).drop("digest_ok")
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.fuzzy_lines(documents(spark, sf_dir))
+
+
 def op7_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     net = toxicity.train(docs, labels(spark, sf_dir).where(crc_fold("doc_id", 3) != 1))
@@ -57,13 +62,17 @@ def op8_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_token_trie(spark: SparkSession, sf_dir: str, model_file: str = MODEL_FILE) -> DataFrame:
+    return token_trie.token_counts(documents(spark, sf_dir), token_trie.Vocabulary.of(token_trie.read_pieces(model_file)))
+
+
 def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = kd_shards.with_slots(kd_shards.assign(kd_shards.slim(documents(spark, sf_dir)), 16))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op5_warc_chain, op7_gru_toxicity,
-                                                   op8_phrase_decontamination, op10_kd_shards)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op5_warc_chain, op6_fuzzy_lines, op7_gru_toxicity,
+                                                   op8_phrase_decontamination, op9_token_trie, op10_kd_shards)}
 ORACLES: dict[str, str] = {
     "op2_curriculum_mix": oracles.CURRICULUM,
     "op5_warc_chain": oracles.WARC,

@@ -1,7 +1,8 @@
 """Pipeline stages: each calls one operator and lets its decisions take effect.
 
-All but the last return exactly the rows they keep, with the columns they were given.
-Rows without an id have no place in an id join: a null id is matched null-safe.
+All but the last return the rows they keep with the columns they were given. Decisions meet
+their rows by a 64-bit key of id and text (``keyed``), so null and repeated ids are safe.
+Empty tables stay empty; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -9,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linking, near_join, phrase_index, quality
+from . import curriculum, kd_shards, linking, near_join, phrase_index, quality
 from .shared import labels, stored, table_path
 
-KEY = "__stage_key"
+KEY, POSITION = "__stage_key", "__stage_position"
+SHARDS = 16
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -53,3 +55,27 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
     bad = stored(phrase_index.contamination(index, found).where("contaminated").select(F.col("doc_id").alias(KEY)).distinct(), "contaminated")
     return docs.join(linking.bounded(bad), KEY, "left_anti").drop(KEY)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training mix: a row for every copy of a document that the curriculum takes, range-sorted by training position.
+
+    Documents are whole here: the copy that a source's target cuts is taken if at least half
+    of it is wanted. Rows equal in id and text share a place on the token line, so each of
+    their copies is a row."""
+    docs = keyed(docs)
+    sizes = curriculum.document_sizes(docs, id_col=KEY)
+    rows = curriculum.copies(curriculum.placed(sizes, curriculum.source_weights(sizes)))
+    taken = stored(rows.where("2 * words >= size").select(F.col("doc_id").alias(KEY), F.col("position").alias(POSITION)), "mix")
+    repeated = sizes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    if not repeated.isEmpty():
+        docs = docs.dropDuplicates([KEY])
+    small = taken.count() <= linking.BROADCAST_IDS
+    return (docs.join(F.broadcast(taken) if small else taken, KEY).repartitionByRange(POSITION, KEY).sortWithinPartitions(POSITION, KEY)
+            .drop(KEY, POSITION))
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot): sixteen shards of near-equal bytes."""
+    rows = kd_shards.with_slots(kd_shards.assign(kd_shards.slim(docs), SHARDS))
+    return rows.select("doc_id", "size", "text_crc32", "shard", "slot")
