@@ -34,6 +34,16 @@ def _events_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_prefix(e, ["user_id"], "event_id").withColumnRenamed("row_no", "i")
 
 
+def _keys_below(spark, sf_dir, name: str, key: str) -> Column:
+    """One more than the table's largest key (keys are dense from 0), as a scalar subquery."""
+    return _read(spark, sf_dir, name).agg((F.max(key) + 1).cast("long").alias("n")).scalar()
+
+
+def _trip_for(spark, sf_dir, user: Column, run: Column) -> Column:
+    """A trip of ``orders`` for a user's run number; spreads over all orders."""
+    return F.concat(F.lit("T"), _s((user * 97 + run) % _keys_below(spark, sf_dir, "orders", "o_orderkey")))
+
+
 def agency(spark, sf_dir):
     r = _read(spark, sf_dir, "region")
     return r.select(F.concat(F.lit("A"), _s(F.col("r_regionkey"))).alias("agency_id"),
@@ -66,13 +76,13 @@ def calendar(spark, sf_dir):
 
 
 def shapes(spark, sf_dir):
-    c = _read(spark, sf_dir, "customer").where(F.col("c_custkey") < 500)
+    """Every customer is a point; twenty in a row make a shape, so shapes grow with the table."""
     k = F.col("c_custkey")
-    return c.select((k + 1).alias("id"),
-                    F.concat(F.lit("H"), _s(k % 25)).alias("shape_id"),
-                    F.floor(k / 25).cast("int").alias("shape_pt_sequence"),
-                    (F.lit(59.0) + (k % 25).cast("double") / 32 + F.floor(k / 25) / 1024).alias("lat"),
-                    (F.lit(18.0) + F.floor(k / 25) / 2048).alias("lon"))
+    line, at = F.floor(k / 20).cast("long"), k % 20
+    return _read(spark, sf_dir, "customer").select(
+        (k + 1).alias("id"), F.concat(F.lit("H"), _s(line)).alias("shape_id"), at.cast("int").alias("shape_pt_sequence"),
+        (F.lit(59.0) + (line % 25).cast("double") / 32 + at.cast("double") / 1024).alias("lat"),
+        (F.lit(18.0) + at.cast("double") / 2048).alias("lon"))
 
 
 def trips(spark, sf_dir):
@@ -82,7 +92,7 @@ def trips(spark, sf_dir):
                     F.concat(F.lit("R"), _s(ck % 25)).alias("route_id"),
                     F.concat(F.lit("C"), F.substring("o_orderpriority", 1, 1)).alias("service_id"),
                     F.when(ck % 10 == 0, F.lit(None).cast("string"))
-                     .otherwise(F.concat(F.lit("H"), _s(ck % 25))).alias("shape_id"))
+                     .otherwise(F.concat(F.lit("H"), _s(F.floor(ck / 20).cast("long")))).alias("shape_id"))
 
 
 def stop_times(spark, sf_dir):
@@ -97,7 +107,7 @@ def stop_times(spark, sf_dir):
 
 
 def frequencies(spark, sf_dir):
-    o = _read(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 0)
+    o = _read(spark, sf_dir, "orders")
     return o.select((F.col("o_orderkey") + 1).alias("frequencies_row"),
                     F.concat(F.lit("T"), _s(F.col("o_orderkey"))).alias("trip_id"),
                     (F.lit(600) + F.col("o_custkey") % 5 * 60).cast("int").alias("headway_secs"))
@@ -107,13 +117,14 @@ def transfers(spark, sf_dir):
     p = _read(spark, sf_dir, "part")
     k = F.col("p_partkey")
     null_s = F.lit(None).cast("string")
+    n = _keys_below(spark, sf_dir, "supplier", "s_suppkey")
     return p.select((k + 1).alias("id"),
-                    F.concat(F.lit("S"), _s(k % 10)).alias("from_stop_id"),
-                    F.when(k % 7 == 0, null_s).otherwise(F.concat(F.lit("S"), _s((k + 1) % 10))).alias("to_stop_id"),
+                    F.concat(F.lit("S"), _s(k % n)).alias("from_stop_id"),
+                    F.when(k % 7 == 0, null_s).otherwise(F.concat(F.lit("S"), _s((k + 1) % n))).alias("to_stop_id"),
                     F.concat(F.lit("R"), _s(k % 25)).alias("from_route_id"),
                     F.when(k % 3 == 0, null_s).otherwise(F.concat(F.lit("R"), _s((k + 6) % 25))).alias("to_route_id"),
                     F.when(k % 4 == 0, F.concat(F.lit("T"), _s(k))).alias("from_trip_id"),
-                    null_s.alias("to_trip_id"))
+                    F.when(k % 6 == 0, F.concat(F.lit("T"), _s(k + 1))).alias("to_trip_id"))
 
 
 def positions(spark, sf_dir):
@@ -122,8 +133,7 @@ def positions(spark, sf_dir):
     return e.select(
         F.concat(F.lit("A"), _s(u % 5)).alias("agency"),
         F.when(ev % 41 == 0, F.lit("")).otherwise(F.concat(F.lit("V"), _s(u))).alias("vehicle_id"),
-        F.when(ev % 37 == 0, F.lit("")).otherwise(
-            F.concat(F.lit("T"), _s(((u * 7 + F.floor((i - 1) / 10)) % 400).cast("int")))).alias("trip_id"),
+        F.when(ev % 37 == 0, F.lit("")).otherwise(_trip_for(spark, sf_dir, u, F.floor((i - 1) / 10))).alias("trip_id"),
         (F.lit(59.0) + (u % 25).cast("double") / 32 + ((i - 1) % 10).cast("double") / 512
          + (ev % 7).cast("double") / 2048).alias("latitude"),
         (F.lit(18.0) + ((i - 1) % 10).cast("double") / 1024).alias("longitude"),
@@ -137,16 +147,26 @@ def sample_progress(spark, sf_dir):
     return e.select(
         F.concat(F.lit("V"), _s(u)).alias("vehicle_id"),
         F.floor((i - 1) / 10).cast("int").alias("trip_no"),
+        _trip_for(spark, sf_dir, u, F.floor((i - 1) / 10)).alias("trip_id"),
         ((i - 1) % 10 * 200 + ev % 7 * 50).cast("double").alias("s_now"),
         _ts_ms(e).alias("ts_ms"),
         ev.alias("seq"))
 
 
 def stop_progress(spark, sf_dir):
-    # Bounded by its filter: at most 11 rows at any scale.
-    p = _read(spark, sf_dir, "part").where(F.col("p_partkey") < 12)
-    k = F.col("p_partkey")
-    return p.select(k.cast("int").alias("stop_idx"), (k * 175 + k % 3 * 250).cast("double").alias("stop_s"))
+    """Stops of every trip with their distance along its line (not always ascending)."""
+    st = stop_times(spark, sf_dir)
+    k = F.substring("stop_id", 2, 20).cast("long")
+    return st.select("trip_id", F.concat(F.col("stop_id"), F.lit("/"), _s(F.col("stop_sequence"))).alias("stop_id"), "stop_sequence",
+                     (F.col("stop_sequence") * 175 + k % 3 * 250).cast("double").alias("stop_s"))
+
+
+def sample_schedule(spark, sf_dir):
+    """Scheduled start of every third sampled trip: up to 49 minutes before its first sample, so
+    some lie inside and some outside the anchor limit."""
+    k = F.substring("trip_id", 2, 20).cast("long")
+    return (sample_progress(spark, sf_dir).where(k % 3 == 0).groupBy("trip_id")
+            .agg(F.min("ts_ms").alias("first_ms")).select("trip_id", (F.col("first_ms") - k % 50 * 60000).alias("sched_start_ms")))
 
 
 def feed_entities(spark, sf_dir):
@@ -155,6 +175,7 @@ def feed_entities(spark, sf_dir):
     e = _read(spark, sf_dir, "events").select("event_id", "user_id")
     ev, u = F.col("event_id"), F.col("user_id")
     snap = F.floor(ev / 20)
+    has = ev % 31 != 0      # the other entities carry no vehicle, so nothing of it
     lat = F.when(ev % 11 == 0, F.lit(None).cast("double")).otherwise(F.lit(59.0) + u.cast("double") / 1024)
     return e.select(
         F.lit("vehicle-positions").alias("feed"),
@@ -163,16 +184,18 @@ def feed_entities(spark, sf_dir):
          .otherwise((F.lit(1704067200) + F.floor(ev / 40) * 10).cast("long")).alias("header_ts"),
         (ev % 20).cast("int").alias("entity_idx"),
         F.concat(F.lit("E"), _s(ev)).alias("entity_id"),
-        F.when(ev % 17 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("V"), _s(u % 12))).alias("vehicle_id"),
+        F.when(ev % 17 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("V"), _s(u))).alias("vehicle_id"),
         F.when(ev % 13 == 0, F.lit(None).cast("long"))
          .when(ev % 29 == 0, F.lit(0).cast("long"))
          .otherwise((F.lit(1704067200) + F.floor(ev / 60) * 30).cast("long")).alias("entity_ts"),
         lat.alias("lat"),
         F.when(lat.isNull(), F.lit(None).cast("double"))
          .otherwise(F.lit(18.0) + (ev % 20).cast("double") / 1024).alias("lon"),
-        F.when(ev % 23 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("T"), _s(u % 50))).alias("trip_id"),
-        F.lit(True).alias("has_vehicle"),
-    )
+        F.when(ev % 23 == 0, F.lit(None).cast("string")).otherwise(_trip_for(spark, sf_dir, u, snap)).alias("trip_id"),
+        has.alias("has_vehicle"),
+    ).select("feed", "snapshot_no", "header_ts", "entity_idx", "entity_id",
+             *[F.when(F.col("has_vehicle"), F.col(c)).alias(c) for c in ("vehicle_id", "entity_ts", "lat", "lon", "trip_id")],
+             "has_vehicle")
 
 
 
@@ -189,12 +212,11 @@ def calendar_dates(spark, sf_dir):
             .select("service_id", F.lit("20240101").alias("date"), F.lit("1").alias("exception_type"))
 
 
-def feed_info(spark, sf_dir, table: str):
+def feed_info(spark, sf_dir, table: str, key: str):
+    """A publisher per region or nation; small keys are in both tables, larger ones in one."""
     t = _read(spark, sf_dir, table)
-    # The publisher (the conflict key) is derived from the data so that it is not a constant.
-    return t.groupBy().agg(F.concat(F.lit("stopwise-"), (F.count(F.lit(1)) > 0).cast("string"))
-                           .alias("feed_publisher_name"), F.lit("en").alias("feed_lang"),
-                           F.count(F.lit(1)).cast("string").alias("feed_version"))
+    return t.select(F.concat(F.lit("publisher-"), _s(F.col(key) * 3 % 7), F.lit("-"), _s(F.col(key))).alias("feed_publisher_name"),
+                    F.lit("en").alias("feed_lang"), F.concat(F.lit(table + "-"), _s(F.col(key))).alias("feed_version"))
 
 
 def _gtfs_side(spark, sf_dir, agencies: list[str]) -> dict:
@@ -217,12 +239,12 @@ def _gtfs_side(spark, sf_dir, agencies: list[str]) -> dict:
 def gtfs_split(spark, sf_dir):
     """(source, target) schemas: source = agencies A0, A1 and what hangs off them, target
     = A1..A4 likewise; stops, calendar, shapes, calendar_dates in both; transfers split
-    by id parity; one feed_info row each with the same publisher. Tables are built lazily."""
+    by id parity; feed_info rows of which some publishers are in both. Tables are built lazily."""
     (sb, src), (tb, tgt) = _gtfs_side(spark, sf_dir, SOURCE_AGENCIES), _gtfs_side(spark, sf_dir, TARGET_AGENCIES)
     sb["transfers"] = lambda: transfers(spark, sf_dir).where(F.col("id") % 2 == 0)
     tb["transfers"] = lambda: transfers(spark, sf_dir).where(F.col("id") % 2 == 1)
-    sb["feed_info"] = lambda: feed_info(spark, sf_dir, "region")
-    tb["feed_info"] = lambda: feed_info(spark, sf_dir, "nation")
+    sb["feed_info"] = lambda: feed_info(spark, sf_dir, "nation", "n_nationkey")
+    tb["feed_info"] = lambda: feed_info(spark, sf_dir, "region", "r_regionkey")
     src._builders.update(sb)
     tgt._builders.update(tb)
     return src, tgt

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 # Rows of one key per task at most (seq values are dense positions like offsets).
 DEFAULT_BLOCK = 1 << 20
 
+# Block of rows whose order value is null: before all others.
+NULL_BLOCK = -(1 << 62)
+
 KEY = "_key"
 BLOCK = "_blk"
 
@@ -35,7 +38,8 @@ def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str],
     """Add per-key running state in ``seq`` order.
 
     ``seq`` is one numeric column or a list of columns (lexicographic order); blocks are
-    cut on the first one, so it must be numeric and non-decreasing along the order.
+    cut on the first one, so it must be numeric and non-decreasing along the order. Rows
+    with a null ``seq`` are kept: they come before all others.
 
     For each ``m`` in ``max_of``: ``{m}_run_max`` (rows up to and including this one)
     and ``{m}_prev_max`` (rows before; null for the first row of the key).
@@ -47,8 +51,10 @@ def ordered_prefix(df: DataFrame, keys: Sequence[str], seq: str | Sequence[str],
     (``_key``, ``_blk``) pairs, one row per block, for joins aligned with that partitioning.
     """
     order = [seq] if isinstance(seq, str) else list(seq)
-    order_key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    d = df.withColumn(KEY, key_struct(keys)).withColumn(BLOCK, F.floor(F.col(order[0]) / F.lit(block_size)))
+    order_key = F.struct(*order)      # a struct is never null itself, so max_by sees every row
+    # Rows without an order value come first, in a block of their own (a null block would match nothing).
+    block = F.coalesce(F.floor(F.col(order[0]) / F.lit(block_size)).cast("long"), F.lit(NULL_BLOCK))
+    d = df.withColumn(KEY, key_struct(keys)).withColumn(BLOCK, block)
     w_in = Window.partitionBy(KEY, BLOCK).orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_before = w_in.rowsBetween(Window.unboundedPreceding, -1)

@@ -84,7 +84,11 @@ DEFAULT_ENUM_LABELS: dict[str, list[str]] = {
 }
 
 TABLES_PROCESSED = 11
+
+# Column names of the static files where the tables' differ.
+FILE_NAMES = {"shapes": {"shape_pt_lat": "lat", "shape_pt_lon": "lon"}}
 HEX_CHARS = 10
+NULL_SPREAD = 4096
 
 Schema = dict[str, DataFrame]
 
@@ -96,12 +100,17 @@ class MergeError(Exception):
 
 
 def conform(table: str, df: DataFrame) -> DataFrame:
-    """Select the table's columns in order; absent ones become null strings, extra ones are dropped."""
+    """The table's columns in order; absent ones become null strings. Names that the static files
+    use are mapped to the table's, and columns beyond the list follow unchanged."""
     cols = COLUMNS.get(table)
     if cols is None:
         return df
+    for name, ours in FILE_NAMES.get(table, {}).items():
+        if name in df.columns and ours not in df.columns:
+            df = df.withColumnRenamed(name, ours)
     have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in cols])
+    return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in cols],
+                     *[F.col(c) for c in df.columns if c not in cols])
 
 
 # --- step 0: surrogate maxima --------------------------------------------------------------------
@@ -258,8 +267,14 @@ def _remap(df: DataFrame, mapping: Mapping, table: str, col: str, how: str) -> D
     m = mapping.lookup(table)
     if m is None:
         m = df.sparkSession.createDataFrame([], "_old string, _new string")
-    j = df.join(m, df[col] == m["_old"], how)
-    return j.drop(col, "_old").withColumnRenamed("_new", col)
+    if how == "left":
+        # Null keys match nothing; spread over many values that match nothing either, they do not meet in one task.
+        spread = F.concat(F.lit("\x00"), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD)).cast("string"))
+        df = df.withColumn("_find", F.coalesce(F.col(col).cast("string"), spread))
+    else:
+        df = df.withColumn("_find", F.col(col))
+    j = df.join(m, df["_find"] == m["_old"], how)
+    return j.drop(col, "_old", "_find").withColumnRenamed("_new", col)
 
 
 # --- step 3: per-table remaps ----------------------------------------------------------------------
@@ -343,11 +358,14 @@ def surrogate_ids(df: DataFrame, name: str, order: list[str], offset: DataFrame
     then holds (partition id, position in partition). Per-partition counts (one row per
     partition, a bound fixed by the partition count) give each partition its start.
     ``order`` should be a unique key (ties get ids in an arbitrary but single run order).
+    The ranged rows are materialised once: counts and ids taken from two runs of the range
+    partitioning could be cut at different, separately sampled borders.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_pos", mid - F.shiftleft(F.col("_pid").cast("long"), 33))
+    ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
@@ -441,7 +459,8 @@ def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sc
 
     tables = dict(kept)
     for t, d in ins.items():
-        tables[t] = conform(t, kept[t]).unionByName(d) if t in COLUMNS else kept[t].unionByName(d)
+        # Neither side loses columns: what only one side has is null in the other's rows.
+        tables[t] = (conform(t, kept[t]) if t in COLUMNS else kept[t]).unionByName(d, allowMissingColumns=True)
 
     report = merge_report(spark, ins, target, dup, mapping.all(), source_schema, target_schema,
                           source_trips=source["trips"] if both("trips") else None)

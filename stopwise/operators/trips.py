@@ -290,19 +290,27 @@ def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_i
                   block_on: str | None = None, block_size: int = PROJECT_BLOCK, metric: str = "wgs84") -> DataFrame:
     """Append ``out`` (distance along the line) to every row of ``points`` (needs lat, lon, line).
 
-    Rows are grouped by (line, block) with ``block = floor(block_on / block_size)`` (or one
-    block per line when ``block_on`` is None); the line's segments are sent to each of its
-    blocks. Points whose line has no segments get 0.0. ``metric="planar"`` switches to the
-    planar kernel (use segments from ``planar_segments``).
+    Rows are grouped by line; a line with more than ``block_size`` points is dealt over
+    ``ceil(points / block_size)`` blocks by a hash of ``block_on`` (the coordinates when None),
+    and its segments are sent to each. So segments are copied once per line plus once per
+    ``block_size`` points, whatever the range of ``block_on``. Points whose line has no segments
+    get 0.0. ``metric="planar"`` switches to the planar kernel (use segments from
+    ``planar_segments``).
     """
-    blk = F.floor(F.col(block_on) / F.lit(block_size)) if block_on else F.lit(0)
-    pts = points.withColumn("_pblk", blk.cast("long"))
+    spread = F.xxhash64(block_on) if block_on else F.xxhash64("lat", "lon")
+    # Only lines over the limit, at most points / block_size of them, are joined back.
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("long")
+    many = points.groupBy(F.col(line).alias("_kl")).agg(blocks.alias("_kb")).where("_kb > 1")
+    pts = (points.join(many, points[line] == many["_kl"], "left")
+           .withColumn("_pblk", F.coalesce(F.pmod(spread, F.col("_kb")), F.lit(0)).cast("long")).drop("_kl", "_kb"))
     # Fresh column instances on the segment side, so the two cogroup sides share no lineage.
-    keys = pts.select(F.col(line).alias("_kl"), F.col("_pblk").alias("_kb")).distinct()
+    many_lines = many.select(F.col("_kl").alias("_ml"), F.col("_kb").alias("_mb"))
     segs = segments.select(F.col(line).alias("_kl"), "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len",
-                           "seg_az", "cum_start").join(keys, "_kl", "inner")
-    segs = segs.select(F.col("_kl").alias(line), (F.col("_kb") + 0).alias("_pblk"), "seg_idx", "a_lat", "a_lon",
-                       "b_lat", "b_lon", "seg_len", "seg_az", "cum_start")
+                           "seg_az", "cum_start")
+    segs = segs.join(many_lines, segs["_kl"] == many_lines["_ml"], "left").withColumn(
+        "_pblk", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_mb"), F.lit(1)) - 1)))
+    segs = segs.select(F.col("_kl").alias(line), "_pblk", "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "seg_az",
+                       "cum_start")
     schema = T.StructType(pts.schema.fields + [T.StructField(out, T.DoubleType())])
 
     def fn(p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:

@@ -36,10 +36,10 @@ _SPLIT = {
     "tgt_transfers": "SELECT * FROM fx_transfers WHERE id % 2 = 1",
     "cal_dates": ("SELECT DISTINCT 'C' || substr(o_orderpriority, 1, 1) AS service_id, '20240101' AS date, "
                   "'1' AS exception_type FROM orders"),
-    "src_feed_info": ("SELECT 'stopwise-' || CAST(count(*) > 0 AS VARCHAR) AS feed_publisher_name, 'en' AS feed_lang, "
-                      "CAST(count(*) AS VARCHAR) AS feed_version FROM region"),
-    "tgt_feed_info": ("SELECT 'stopwise-' || CAST(count(*) > 0 AS VARCHAR) AS feed_publisher_name, 'en' AS feed_lang, "
-                      "CAST(count(*) AS VARCHAR) AS feed_version FROM nation"),
+    "src_feed_info": ("SELECT 'publisher-' || n_nationkey * 3 % 7 || '-' || n_nationkey AS feed_publisher_name, 'en' AS feed_lang, "
+                      "'nation-' || n_nationkey AS feed_version FROM nation"),
+    "tgt_feed_info": ("SELECT 'publisher-' || r_regionkey * 3 % 7 || '-' || r_regionkey AS feed_publisher_name, 'en' AS feed_lang, "
+                      "'region-' || r_regionkey AS feed_version FROM region"),
     "dup": ("SELECT DISTINCT agency_id, agency_name FROM tgt_agency t WHERE EXISTS "
             "(SELECT 1 FROM src_agency s WHERE s.agency_name = t.agency_name)"),
     "dup_routes": "SELECT route_id FROM tgt_routes WHERE agency_id IN (SELECT agency_id FROM dup)",

@@ -26,11 +26,14 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import arrival_queries  # noqa: F401
-    for mod in ("ingest_queries", "merge_queries", "geo_queries", "sink_queries", "source_queries", "transform_queries",
-                "stream_queries", "sql_queries"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
+    from . import (  # noqa: F401
+        arrival_queries,
+        geo_queries,
+        ingest_queries,
+        merge_queries,
+        sink_queries,
+        source_queries,
+        sql_queries,
+        stream_queries,
+        transform_queries,
+    )

@@ -15,7 +15,7 @@ from ..sinks.events import event_key
 from ..sources import positions as ps
 from ..streaming import runner
 from ..streaming.arrivals_stream import stream_arrivals
-from .arrival_queries import FEED_AGENCY, KEYS, _inputs, _sql as _arr_sql
+from .arrival_queries import FEED_AGENCY, KEYS, ON, TOLERANCE, _inputs, _sql as _arr_sql
 from .oracle import with_fx
 from .registry import register
 from .. import fixtures as fx
@@ -139,18 +139,18 @@ def q_evolve_schema(spark, sf_dir):
 
 @register("write_arrivals", _arr_sql(
     "SELECT '{\"agency\":\"" + FEED_AGENCY + "\",\"vehicleId\":\"' || vehicle_id || '\",\"tripId\":\"' || "
-    "CAST(trip_no AS VARCHAR) || '\"}' AS key, '" + FEED_AGENCY + "' AS agency, vehicle_id, CAST(trip_no AS VARCHAR) "
-    "AS trip_id, stop_id, stop_sequence, arrival_time_millis, "
+    "trip_id || '\"}' AS key, '" + FEED_AGENCY + "' AS agency, vehicle_id, "
+    "trip_id, stop_id, stop_sequence, arrival_time_millis, "
     + local_time_sql("arrival_time_millis", "arrival_time_local", "arrival_date", "arrival_prev_date")
     + " FROM p WHERE emitted", "p"))
 def q_write_arrivals(spark, sf_dir):
     """Streaming arrival events written exactly once (file sink + checkpoint) with a JSON key."""
     samples, rt = _inputs(spark, sf_dir)
     root = runner.run_dir(spark, "arrivals_out")
-    for parts in (range(0, 1), range(1, 2)):  # a restart from the checkpoint in between
-        runner.append_in_order(samples, f"{root}/in", "seq", 2, parts)
+    for p in range(2):  # a restart from the checkpoint in between
+        runner.append_in_order(samples, f"{root}/in", "seq", 2, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", samples.schema)
-        ev = ar.arrival_events(stream_arrivals(stream, rt, KEYS), agency=F.lit(FEED_AGENCY), trip_id="trip_no")
+        ev = ar.arrival_events(stream_arrivals(stream, rt, KEYS, on=ON, tolerance_m=TOLERANCE), agency=F.lit(FEED_AGENCY))
         runner.run_available_now(ev.select(event_key().alias("key"), *ev.columns), f"{root}/events",
                                  f"{root}/ckpt", fmt="json")
     schema = T.StructType([T.StructField("key", T.StringType())] + list(ev.schema.fields))

@@ -14,7 +14,7 @@ from ..streaming.dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_st
 from ..streaming.ingest_job import ingest_stream
 from ..streaming.positions_stream import line_arrays, stream_arrivals_from_positions
 from . import geo_queries as gq
-from .arrival_queries import DETECT_SQL, KEYS, _inputs
+from .arrival_queries import DETECT_SQL, KEYS, ON, TOLERANCE, _inputs
 from .ingest_queries import _ENT, _KEPT, _KEY, _RECORD, NOW_S
 from .ingest_queries import _sql as _ing_sql
 from .oracle import with_fx
@@ -25,15 +25,15 @@ BATCHES = 4
 
 @register("stream_arrivals", DETECT_SQL)
 def q_stream_arrivals(spark, sf_dir):
-    """fx:sample_progress as four ordered micro-batches, with a restart after the second;
+    """fx:sample_progress as four ordered micro-batches, with a restart after each;
     must equal ``detect_arrivals`` row for row."""
     samples, rt = _inputs(spark, sf_dir)
     root = runner.run_dir(spark, "stream_arrivals")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
-    for parts in (range(0, 2), range(2, BATCHES)):
-        runner.append_in_order(samples, src, "seq", BATCHES, parts)
+    for p in range(BATCHES):
+        runner.append_in_order(samples, src, "seq", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, src, samples.schema)
-        runner.run_available_now(stream_arrivals(stream, rt, KEYS), out, ckpt)
+        runner.run_available_now(stream_arrivals(stream, rt, KEYS, on=ON, tolerance_m=TOLERANCE), out, ckpt)
     return spark.read.parquet(out).select(*KEYS, "seq", "stop_id", "stop_sequence", "arrival_time_millis")
 
 
@@ -44,8 +44,8 @@ def q_stream_arrivals(spark, sf_dir):
 def q_stream_dedup_snapshots(spark, sf_dir):
     snaps = ing.snapshots_of(fx.feed_entities(spark, sf_dir))
     root = runner.run_dir(spark, "stream_snapshots")
-    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
-        runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, parts)
+    for p in range(BATCHES):  # a restart from the checkpoint after each range
+        runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, range(p, p + 1))
         runner.run_available_now(dedup_snapshots_stream(runner.read_files(spark, f"{root}/in", snaps.schema)),
                                  f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
@@ -56,8 +56,8 @@ def q_stream_dedup_vehicle_ts(spark, sf_dir):
     e = fx.feed_entities(spark, sf_dir)
     f = ing.filter_vehicle_entities(ing.keep_snapshots(e, ing.dedup_snapshots(ing.snapshots_of(e)))).drop("has_vehicle")
     root = runner.run_dir(spark, "stream_vehicle_ts")
-    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
-        runner.append_in_order(f, f"{root}/in", "snapshot_no", BATCHES, parts)
+    for p in range(BATCHES):  # a restart from the checkpoint after each range
+        runner.append_in_order(f, f"{root}/in", "snapshot_no", BATCHES, range(p, p + 1))
         runner.run_available_now(dedup_vehicle_ts_stream(runner.read_files(spark, f"{root}/in", f.schema)),
                                  f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
@@ -70,12 +70,12 @@ def q_stream_dedup_vehicle_ts(spark, sf_dir):
                                              "fx_feed_entities", extra=_KEPT))
 def q_stream_ingest_positions(spark, sf_dir):
     """Encoded snapshots (derived from fx:feed_entities) streamed in four ordered micro-batches,
-    with a restart after the second, through the whole ingest; must equal the batch
+    with a restart after each, through the whole ingest; must equal the batch
     ``ingest_positions``."""
     snaps = fd.encode_snapshots(fx.feed_entities(spark, sf_dir))
     root = runner.run_dir(spark, "stream_ingest")
-    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
-        runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, parts)
+    for p in range(BATCHES):  # a restart from the checkpoint after each range
+        runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", snaps.schema)
         runner.run_available_now(ingest_stream(stream, NOW_S), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
@@ -91,8 +91,8 @@ def q_stream_arrivals_from_positions(spark, sf_dir):
     rt, trip_lines, segs = gq.runtime(spark, sf_dir)
     samples = gq._samples(spark, sf_dir)
     root = runner.run_dir(spark, "stream_positions")
-    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
-        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, parts)
+    for p in range(BATCHES):  # a restart from the checkpoint after each range
+        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", samples.schema)
         a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
         runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
@@ -109,8 +109,8 @@ def q_stream_arrivals_from_positions_planar(spark, sf_dir):
                                            materialize=cut_lineage, metric="planar")
     samples = gq._samples(spark, sf_dir)
     root = runner.run_dir(spark, "stream_positions_planar")
-    for parts in (range(0, 2), range(2, BATCHES)):  # a restart from the checkpoint in between
-        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, parts)
+    for p in range(BATCHES):  # a restart from the checkpoint after each range
+        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", samples.schema)
         a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"),
                                            metric="planar")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -129,15 +131,22 @@ def q_set_null(spark, sf_dir):
     return tr.set_null(_frame(spark, sf_dir), "key").select("offset", "key")
 
 
-@register("timestamp_now")
+def _now_between(value, started: float):
+    """Whether a processing time lies between the start of the query's construction and now."""
+    return value.between(F.lit(int(started * 1000)), F.unix_millis(F.current_timestamp()))
+
+
+@register("timestamp_now", _sql("SELECT seq AS offset, TRUE AS is_now FROM fx_positions"))
 def q_timestamp_now(spark, sf_dir):
-    return tr.timestamp_now(_frame(spark, sf_dir)).select("offset", "timestamp")
+    started = time.time()
+    return tr.timestamp_now(_frame(spark, sf_dir)).select("offset", _now_between(F.col("timestamp"), started).alias("is_now"))
 
 
-@register("timestamp_now_field")
+@register("timestamp_now_field", _sql("SELECT seq AS offset, TRUE AS is_now FROM fx_positions"))
 def q_timestamp_now_field(spark, sf_dir):
+    started = time.time()
     d = tr.timestamp_now_field(_frame(spark, sf_dir), ["processed_at"])
-    return d.select("offset", F.col("value.processed_at").alias("processed_at"))
+    return d.select("offset", _now_between(F.unix_millis("value.processed_at"), started).alias("is_now"))
 
 
 @register("to_json_value", _sql(

@@ -53,7 +53,8 @@ def build_session(master: str | None = None, app: str = "stopwise",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the setting is absent (tests on one machine) a scratch folder is made.
+    Only when the setting is absent and the master is local (tests on one machine) a scratch
+    folder is made; on a cluster its absence is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="stopwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

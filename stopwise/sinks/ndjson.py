@@ -2,7 +2,7 @@
 
 Nested structs become objects in field order, nulls stay ``null``, binary values become
 ``{"data": <base64>, "encoding": "base64"}`` (the key order the reference's hash map
-produces), dates and timestamps their string form; arrays and maps pass as they are.
+produces), dates and timestamps their string form; numbers (decimals too), arrays and maps pass as they are.
 Lines are appended as text part files under a folder whose name ends in ``.ndjson``.
 """
 
@@ -22,7 +22,7 @@ def _normalize(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.StructType):
         return F.when(c.isNull(), F.lit(None)).otherwise(
             F.struct(*[_normalize(c[f.name], f.dataType).alias(f.name) for f in dt.fields]))
-    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)):
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return c.cast("string")
     return c
 

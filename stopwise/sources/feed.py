@@ -37,12 +37,12 @@ PARSED_TYPE = T.StructType([T.StructField("header_ts", T.LongType()),
 DECODED_TYPE = T.StructType([T.StructField("payload", T.BinaryType()), T.StructField("error", T.StringType())])
 
 
-def read_landing_folder(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+def read_landing_folder(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int = 50) -> DataFrame:
     """Snapshots from raw files ``<path>/<feed>/<snapshot_no>.<ext>`` (binaryFile source).
 
     The extension names the content encoding; ``fetched_at`` is the file time.
     """
-    r = spark.readStream.option("maxFilesPerTrigger", 50) if stream else spark.read
+    r = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
     df = r.format("binaryFile").option("recursiveFileLookup", "true")
     if stream:
         df = df.schema("path string, modificationTime timestamp, length long, content binary")
@@ -52,8 +52,8 @@ def read_landing_folder(spark: SparkSession, path: str, stream: bool = False) ->
     enc = F.coalesce(*[F.when(ext == k, F.lit(v)) for k, v in EXTENSION_ENCODING.items()], F.lit("identity"))
     return df.select(
         F.element_at(F.split("path", "/"), -2).alias("feed"),
-        # a file not named by its snapshot number gets a null number instead of failing the scan
-        F.regexp_extract(name, r"^(\d+)", 1).try_cast("long").alias("snapshot_no"),
+        # a file not named by its snapshot number is ordered by its time
+        F.coalesce(F.regexp_extract(name, r"^(\d+)", 1).try_cast("long"), F.unix_millis("modificationTime")).alias("snapshot_no"),
         F.col("modificationTime").alias("fetched_at"),
         F.col("content").alias("body"),
         enc.alias("content_encoding"))

@@ -31,7 +31,7 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
                  files_per_batch: int = 50) -> StreamingQuery:
     """Start the stream. ``now_s`` fixes the fallback timestamp for records without any
     (default: the wall clock when the job starts)."""
-    snaps = (read_landing_folder(spark, landing, stream=True))
+    snaps = read_landing_folder(spark, landing, stream=True, files_per_batch=files_per_batch)
     records = ingest_stream(snaps, now_s if now_s is not None else int(time.time()))
     w = (records.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy(*PARTITION_BY).outputMode("append"))

@@ -20,19 +20,23 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 def append_in_order(df: DataFrame, path: str, order_col: str, parts: int, which: range | None = None,
                     fmt: str = "parquet") -> None:
-    """Append ``df`` to ``path`` as ``parts`` consecutive ranges of ``order_col``, one write
-    (one file) per range and in order, so a file stream sees them as ordered micro-batches."""
+    """Append ranges ``which`` (default all) of ``parts`` consecutive ranges of ``order_col`` to
+    ``path``, each as as many files as the frame has partitions.
+
+    A stream that runs to completion after each range sees the ranges as ordered micro-batches."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         return
     width = (hi - lo) // parts + 1
     part = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width))
     for p in (which if which is not None else range(parts)):
-        df.where(part == p).coalesce(1).write.mode("append").format(fmt).save(path)
+        df.where(part == p).write.mode("append").format(fmt).save(path)
 
 
-def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path))
+def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Stream of a folder's files; without a limit a run takes all new files as one micro-batch."""
+    r = spark.readStream.format(fmt).schema(schema)
+    return (r.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else r).load(path)
 
 
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
