@@ -79,7 +79,7 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
         return pairs.join(x, "a").join(y, "b").where(b * common >= a * (F.size("x") + F.size("y") - common)).select("a", "b")
 
     links = linking.resolve(band_rows(lines), items, verify, None, lambda content: content.select("node", F.size("items").alias("n")),
-                            lambda m, n: b * F.least(m, n) >= a * F.greatest(m, n))
+                            lambda x, y: b * F.least(f"{x}.n", f"{y}.n") >= a * F.greatest(f"{x}.n", f"{y}.n"))
     return linking.components(links)
 
 

@@ -58,7 +58,10 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
             .where("lo < hi and not hub.quiet").groupBy("sig", "node").agg(F.max("probes").alias("probes"), F.first("hub.node").alias("hub")))
 
 
-def allocated_candidates(index: DataFrame, label: DataFrame) -> DataFrame:
+Fit = Callable[[str, str], Column]       # two aliases -> whether their nodes may link, from the columns of ``known``
+
+
+def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, fit: Fit) -> DataFrame:
     """Candidate pairs (a, b) of different components, from a full index and the cheapest allocation per node.
 
     ``index``: (sig, node, scheme, segment, deleted, need), one-deletion rows of every
@@ -80,17 +83,17 @@ def allocated_candidates(index: DataFrame, label: DataFrame) -> DataFrame:
     chosen = units.withColumn("rank", rank).where("rank <= need").groupBy("node", "scheme", "segment").agg(F.count(F.lit(1)).alias("v"))
     live = rows.where("full_cost > 0 or deleted_cost > 0")
     probes = live.join(chosen, ["node", "scheme", "segment"]).where("v = 2 or not deleted")
-    x, y = probes.alias("x"), live.alias("y")
-    fits = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & ~(F.col("x.deleted") & F.col("y.deleted")) & ((F.col("x.v") == 2) | ~F.col("y.deleted"))
+    x, y = probes.join(known, "node").alias("x"), live.join(known, "node").alias("y")
+    fits = fit("x", "y") & (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & ~(F.col("x.deleted") & F.col("y.deleted")) & ((F.col("x.v") == 2) | ~F.col("y.deleted"))
     return x.join(y, fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame, DataFrame], DataFrame],
-            full_index: Callable[[DataFrame], DataFrame] | None, sizes: Callable[[DataFrame], DataFrame], compatible: Callable[[Column, Column], Column]) -> DataFrame:
+            full_index: Callable[[DataFrame], DataFrame] | None, traits: Callable[[DataFrame], DataFrame], fit: Fit) -> DataFrame:
     """Verified links (a, b) that connect every pair of nodes that shares a signature and verifies.
 
-    ``rows``: (sig, node, probes). ``items`` gives the content of nodes, ``sizes`` (node, n) from
-    it; pairs whose sizes are not ``compatible`` are not verified. Round one tests each node against its signature's hub
+    ``rows``: (sig, node, probes). ``items`` gives the content of nodes, ``traits`` (node and
+    short columns) comes from it; pairs whose traits do not ``fit`` cannot link and are left out. Round one tests each node against its signature's hub
     only, so a signature that many copies share costs one pair per copy. Nodes that this
     connects need no further tests among themselves. Round two tests what nodes with up to
     ``PLAIN_COST`` rows to look at find in other components: a linear number of pairs. Pairs
@@ -98,12 +101,11 @@ def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Ca
     from their signatures too). Every candidate pair that links ends in one component."""
     members = stored(shared_signatures(rows), "members")
     content = stored(items(members.select("node").distinct()).dropDuplicates(["node"]), "items")
-    known = stored(sizes(content), "sizes")
+    known = stored(traits(content), "traits")
 
     def fitting(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(known.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
-                .join(known.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-                .where(compatible(F.col("n_a"), F.col("n_b"))).select("a", "b"))
+        x, y = known.alias("x"), known.alias("y")
+        return (pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & fit("x", "y")).select("a", "b"))
 
     star = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     tested = stored(fitting(star), "pairs")
@@ -122,6 +124,6 @@ def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Ca
     if full_index is not None:
         dear = stored(open_.where("not plain").select("node", "c").distinct(), "dear")
         if not dear.isEmpty():
-            pairs = pairs.union(allocated_candidates(full_index(content.join(dear.select("node"), "node", "left_semi")), dear)).distinct()
+            pairs = pairs.union(allocated_candidates(full_index(content.join(dear.select("node"), "node", "left_semi")), dear, known, fit)).distinct()
     more = stored(verify(stored(fitting(pairs.join(tested, ["a", "b"], "left_anti")), "pairs"), content), "links")
     return links.union(more)

@@ -22,7 +22,8 @@ out expensive (large families of similar sets that do not link) are signed once
 all one-deletion neighbourhoods, and get the cheapest allocation by *measured* posting
 lengths: 0 for the parts the family shares, 2 for those that are the set's own.
 
-*Exact verification.* Candidates are resolved in rounds (``linking.resolve``); a pair links
+*Exact verification.* A 64-byte parity sketch rules out candidates that must differ in more
+than H elements, inside the joins that make them. The others are resolved in rounds (``linking.resolve``); a pair links
 when ``b * |A & B| >= a * |A u B|`` on the full sets.
 
 Defined results: null or empty text, or one without words, has an empty set and links with
@@ -37,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import linking
@@ -45,6 +46,7 @@ from . import textkernel as tk
 from .shared import concat_runs, ship_package, sliced, stored
 
 GROWTH = 1.5
+SKETCH_WORDS = 8
 NO_ID = -(2**63)      # stands for a null id in joins
 
 
@@ -177,6 +179,19 @@ def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Sig
     return Signatures(*cols, need[cols[0]])
 
 
+def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of SKETCH_WORDS 64-bit words per set: bit j is the parity of the elements hashed to j.
+
+    Two sketches differ in at most as many bits as their sets have elements apart, so a pair
+    whose sketches differ in more than H bits cannot link: an exact filter of 64 bytes a set."""
+    bits = 64 * SKETCH_WORDS
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    at = (tk.mix(flat + np.uint64(77)) % np.uint64(bits)).astype(np.int64)
+    parity = (np.bincount(owner * bits + at, minlength=len(sets) * bits) & 1).astype(np.uint8).reshape(len(sets), bits)
+    return np.packbits(parity, axis=1).view(np.int64)
+
+
 def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None, id_col: str = "doc_id",
                  text_col: str = "text", key_col: str | None = None) -> DataFrame:
     """(key, doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
@@ -250,9 +265,24 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                                            "deleted": pa.array(s.deleted), "need": pa.array(s.need)})
         return items.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
 
+    def traits(content: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for part in sliced(b, 512):
+                    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("items")]
+                    words = parity_sketches(sets)
+                    yield pa.record_batch({"node": part.column("node"), "n": pa.array(np.array([len(x) for x in sets], np.int64)),
+                                           **{f"p{i}": pa.array(words[:, i].copy()) for i in range(SKETCH_WORDS)}})
+        return content.mapInArrow(run, "node long, n long, " + ", ".join(f"p{i} long" for i in range(SKETCH_WORDS)))
+
+    def fit(x: str, y: str) -> Column:
+        n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
+        apart = sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(1, SKETCH_WORDS)),
+                    F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
+        return (F.least(n1, n2) * t.b >= F.greatest(n1, n2) * t.a) & ((t.a + t.b) * apart <= (t.b - t.a) * (n1 + n2))
+
     links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, probes boolean"), exact_sets, verify,
-                            full_index, lambda content: content.select("node", (F.octet_length("items") / 8).cast("long").alias("n")),
-                            lambda x, y: F.least(x, y) * t.b >= F.greatest(x, y) * t.a)
+                            full_index, traits, fit)
     label = linking.components(links)
     grouped = named.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
