@@ -4,8 +4,7 @@ Each rule looks at whole-text statistics and either votes (junk rules vote bad,
 rules vote good, 1) or abstains (0). The votes of all documents are counted by pattern (at
 most 2^rules patterns, whatever the corpus size), and expectation-maximisation over those
 counts estimates how often each rule votes on good and on bad documents (its accuracy),
-and the share of good documents. An abstention says nothing: junk of one kind passes every
-rule that looks for another kind. A document's posterior probability of being good then
+and the share of good documents. A document's posterior probability of being good then
 decides, instead of "all rules must pass".
 
 Defined results: a null or empty text has no words: every rate rule abstains; an empty
@@ -51,10 +50,10 @@ RULES = (
     Rule("monotony", -1, "n_words >= 40 and ln(n_distinct_words) <= 0.5 * ln(n_words)"),
     Rule("run_on", -1, "n_words >= 200 and n_words > 150 * (n_stops + 1)"),
     # A prose rule votes only where no kind of junk shows, so that it never speaks for junk of another kind.
-    Rule("plain_prose", 1, "n_symbols <= 0.05 * n_words and n_shouts <= 0.05 * n_words and n_upper_words <= 0.25 * n_words "
-                           "and n_repeat_words <= 0.05 * n_words and n_echo_words <= 0.1 * n_words"),
-    Rule("sentences", 1, "n_stops > 0 and n_words <= 60 * n_stops and n_words >= 3 * n_stops and n_symbols <= 0.05 * n_words "
-                         "and n_upper_words <= 0.25 * n_words and n_repeat_words <= 0.05 * n_words and n_echo_words <= 0.1 * n_words"),
+    Rule("plain_prose", 1, "n_symbols <= 0.1 * n_words and n_shouts <= 0.15 * n_words and n_upper_words <= 0.4 * n_words "
+                           "and n_repeat_words <= 0.2 * n_words and n_echo_words <= 0.2 * n_words"),
+    Rule("sentences", 1, "n_stops > 0 and n_words <= 100 * n_stops and n_words >= 1.5 * n_stops and n_symbols <= 0.1 * n_words "
+                         "and n_upper_words <= 0.4 * n_words and n_repeat_words <= 0.2 * n_words and n_echo_words <= 0.2 * n_words"),
 )
 
 
@@ -85,8 +84,8 @@ class VoteModel:
     rates: np.ndarray      # rules x (bad, good)
 
     def log_odds(self) -> np.ndarray:
-        """What a vote of each rule adds to the log odds of good."""
-        return np.log(self.rates[:, 1]) - np.log(self.rates[:, 0])
+        """rules x (abstains, votes): what each adds to the log odds of good."""
+        return np.log(np.column_stack([(1 - self.rates[:, 1]) / (1 - self.rates[:, 0]), self.rates[:, 1] / self.rates[:, 0]]))
 
 
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, smooth: float = 1.0) -> VoteModel:
@@ -102,7 +101,8 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
         prior = float((n @ good + smooth) / (n.sum() + 2 * smooth))
         for k, w in enumerate((n * (1 - good), n * good)):
             rates[:, k] = (fired.T @ w + smooth) / (w.sum() + 2 * smooth)
-        odds = np.log(prior / (1 - prior)) + fired @ (np.log(rates[:, 1]) - np.log(rates[:, 0]))
+        voted, silent = np.log(rates[:, 1] / rates[:, 0]), np.log((1 - rates[:, 1]) / (1 - rates[:, 0]))
+        odds = np.log(prior / (1 - prior)) + fired @ voted + (~fired) @ silent
         new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
         done = np.abs(new - good).max(initial=0) < 1e-9
         good = new
@@ -124,7 +124,7 @@ def posterior(model: VoteModel, rules: tuple[Rule, ...] = RULES) -> Column:
     """P(good | votes) as a column over the vote columns."""
     odds = F.lit(float(np.log(model.prior / (1 - model.prior))))
     for r, add in zip(rules, model.log_odds(), strict=True):
-        odds = odds + F.when(F.col(f"vote_{r.name}") != 0, float(add)).otherwise(0.0)
+        odds = odds + F.when(F.col(f"vote_{r.name}") != 0, float(add[1])).otherwise(float(add[0]))
     return 1 / (1 + F.exp(-odds))
 
 
