@@ -86,7 +86,8 @@ def _with_state(rows: DataFrame, nodes: list[Node]) -> DataFrame:
 def _narrow(rows: DataFrame, nodes: list[Node]) -> None:
     """One pass over all nodes in ``nodes``: go on in the bin that holds the quantile."""
     upto = Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    inside = F.floor((F.col("searched").cast("decimal(38,0)") - F.col("lo")) / F.col("width")).cast("long")
+    # Whole-number division: a rounded quotient could name the bin after the right one.
+    inside = F.expr("(cast(searched as decimal(38,0)) - lo) div width")
     sums = (_with_state(rows, nodes).where("searched between lo and hi").groupBy("node", inside.alias("bin"))
             .agg(F.sum("size").alias("b"), F.first("need").alias("need")).withColumn("upto", F.sum("b").over(upto)))
     got = sums.groupBy("node").agg(F.min(F.when(F.col("upto") >= F.col("need"), F.struct("bin", "upto", "b"))).alias("at"),
