@@ -286,17 +286,8 @@ def project_points_planar(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, b
     return out
 
 
-def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_id", out: str = "s_now",
-                  block_on: str | None = None, block_size: int = PROJECT_BLOCK, metric: str = "wgs84") -> DataFrame:
-    """Append ``out`` (distance along the line) to every row of ``points`` (needs lat, lon, line).
-
-    Rows are grouped by line; a line with more than ``block_size`` points is dealt over
-    ``ceil(points / block_size)`` blocks by a hash of ``block_on`` (the coordinates when None),
-    and its segments are sent to each. So segments are copied once per line plus once per
-    ``block_size`` points, whatever the range of ``block_on``. Points whose line has no segments
-    get 0.0. ``metric="planar"`` switches to the planar kernel (use segments from
-    ``planar_segments``).
-    """
+def deal_lines(points: DataFrame, segments: DataFrame, line: str, block_on: str | None, block_size: int) -> tuple[DataFrame, DataFrame]:
+    """``points`` and ``segments`` with the block (``_pblk``) in which they meet (see :func:`project_along`)."""
     spread = F.xxhash64(block_on) if block_on else F.xxhash64("lat", "lon")
     # Only lines over the limit, at most points / block_size of them, are joined back.
     blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("long")
@@ -311,6 +302,21 @@ def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_i
         "_pblk", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_mb"), F.lit(1)) - 1)))
     segs = segs.select(F.col("_kl").alias(line), "_pblk", "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "seg_az",
                        "cum_start")
+    return pts, segs
+
+
+def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_id", out: str = "s_now",
+                  block_on: str | None = None, block_size: int = PROJECT_BLOCK, metric: str = "wgs84") -> DataFrame:
+    """Append ``out`` (distance along the line) to every row of ``points`` (needs lat, lon, line).
+
+    Rows are grouped by line; a line with more than ``block_size`` points is dealt over
+    ``ceil(points / block_size)`` blocks by a hash of ``block_on`` (the coordinates when None),
+    and its segments are sent to each. So segments are copied once per line plus once per
+    ``block_size`` points, whatever the range of ``block_on``. Points whose line has no segments
+    get 0.0. ``metric="planar"`` switches to the planar kernel (use segments from
+    ``planar_segments``).
+    """
+    pts, segs = deal_lines(points, segments, line, block_on, block_size)
     schema = T.StructType(pts.schema.fields + [T.StructField(out, T.DoubleType())])
 
     def fn(p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:

@@ -106,3 +106,24 @@ def test_any_failure_is_an_error_report(spark):
     r = report.first()
     assert r.status == "error" and r.source_schema == "a" and r.target_schema == "b"
     assert all(tables[t] is tgt[t] for t in tgt)
+
+
+def test_surrogate_ids_are_dense_with_a_payload_outside_the_order(spark):
+    df = spark.range(0, 200_000, 1, 7).select((F.xxhash64("id") % 10**9).alias("k"), F.col("id"), F.concat(F.lit("p"), F.col("id")).alias("payload"))
+    r = mg.surrogate_ids(df, "sid", ["k", "id"], 5, partitions=9).agg(
+        F.min("sid"), F.max("sid"), F.countDistinct("sid"), F.count(F.lit(1))).first()
+    assert tuple(r) == (6, 200_005, 200_000, 200_000)
+
+
+def test_merge_keeps_columns_of_both_sides_and_reads_file_names(spark):
+    kept = mg.conform("shapes", spark.createDataFrame([("H1", 0, 1.5, 2.5, "loc")], "shape_id string, shape_pt_sequence int, shape_pt_lat double, shape_pt_lon double, shape_pt_loc string"))
+    r = kept.first()
+    assert (r.lat, r.lon, r.shape_pt_loc) == (1.5, 2.5, "loc")
+
+
+def test_null_keys_stay_null_after_a_left_remap(spark):
+    src = {"routes": spark.createDataFrame([("R1", "A1")], "route_id string, agency_id string")}
+    mapping = mg.Mapping(src, SALT, RUN)
+    df = spark.createDataFrame([(1, "R1"), (2, None), (3, "R9")], "n int, route_id string")
+    got = {r.n: r.route_id for r in mg._remap(df, mapping, "routes", "route_id", "left").collect()}
+    assert got[2] is None and got[3] is None and got[1].startswith("ro_")

@@ -24,8 +24,20 @@ def test_no_nested_loop_or_cartesian(spark, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_filters_reach_the_scan(spark):
+def test_scans_read_only_used_columns(spark):
     df = se.queries()["detect_arrivals"](spark, SF_SMALL)
     explained = df._jdf.queryExecution().toString()
-    assert "PushedFilters: [IsNotNull(p_partkey), LessThan(p_partkey,12)]" in explained
-    assert "ReadSchema: struct<p_partkey:bigint>" in explained
+    schemas = [x.split(">")[0] for x in explained.split("ReadSchema: struct<")[1:]]
+    assert schemas and all(not c.startswith(("o_total", "l_comment", "o_comment", "properties", "event_type")) for x in schemas for c in x.split(","))
+
+
+def test_segments_are_copied_per_line_not_per_sequence_range(spark):
+    """A sixteen times wider sequence range moves no more segment rows."""
+    from stopwise.operators import trips as tp
+    segs = spark.createDataFrame([("a", i, 59 + i / 1000, 18.0, 59 + (i + 1) / 1000, 18.0, 111.2, 0.0, i * 111.2) for i in range(30)],
+                                 "line_id string, seg_idx long, a_lat double, a_lon double, b_lat double, b_lon double, seg_len double, seg_az double, cum_start double")
+    for step in (1, 16 << 16):
+        pts = spark.createDataFrame([("a" if i % 4 else "b", i * step, 59 + i / 8000, 18.001) for i in range(200)], "line_id string, seq long, lat double, lon double")
+        dealt, copies = tp.deal_lines(pts, segs, "line_id", "seq", 50)
+        assert dealt.count() == 200 and copies.count() == 30 * 3          # 150 points of line a in blocks of 50
+        assert tp.project_along(pts, segs, block_on="seq", block_size=50).count() == 200

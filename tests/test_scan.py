@@ -26,3 +26,10 @@ def test_ordered_prefix_equals_windows(spark, block):
     a = sorted(tuple(r) for r in got.select(*cols).fillna("~", ["k1", "k2"]).collect())
     b = sorted(tuple(r) for r in want.select(*cols).fillna("~", ["k1", "k2"]).collect())
     assert a == b
+
+
+def test_rows_without_an_order_value_are_kept_first(spark):
+    rows = [("a", None, 1.0, 7), ("a", 5, 2.0, 8), ("a", 1, 3.0, 9), ("b", None, 4.0, 1), (None, 2, 5.0, 2)]
+    df = spark.createDataFrame(rows, "k string, seq long, v double, t long")
+    got = {(r.k, r.seq): (r.row_no, r.v_run_max, r.t_prev) for r in ordered_prefix(df, ["k"], "seq", max_of=["v"], lag_of=["t"], block_size=2).collect()}
+    assert got == {("a", None): (1, 1.0, None), ("a", 1): (2, 3.0, 7), ("a", 5): (3, 3.0, 9), ("b", None): (1, 4.0, None), (None, 2): (1, 5.0, None)}
