@@ -541,7 +541,7 @@ def stage(spark: SparkSession, res: MergeResult, staging_dir: str, parallel_jobs
         k = conform(t, kept) if t in res.inserted and t in COLUMNS else kept
         d = k.withColumn(ORIGIN, F.lit("kept"))
         if t in res.inserted:
-            d = d.unionByName(res.inserted[t].withColumn(ORIGIN, F.lit("inserted")))
+            d = d.unionByName(res.inserted[t].withColumn(ORIGIN, F.lit("inserted")), allowMissingColumns=True)
         d.write.mode("overwrite").partitionBy(ORIGIN).parquet(path)
         return t, spark.read.parquet(path)
 
@@ -574,6 +574,9 @@ def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sch
             # each table computed once: staged first, then checked on the stored rows
             tables, staged_ins = stage(spark, res, staging_dir)
             problems = validate(res, enum_labels, staged_ins)
+            # counted from the staged rows, so no remap runs twice
+            res.report = merge_report(spark, staged_ins, target, res.duplicates, res.mapping, source_schema, target_schema,
+                                      source_trips=source["trips"] if "trips" in source and "trips" in target else None)
         else:
             tables, problems = res.tables, validate(res, enum_labels)
         if problems:
@@ -583,3 +586,21 @@ def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sch
         return dict(target), error_report(spark, str(e), e.code, source_schema, target_schema)
     except Exception as e:  # noqa: BLE001 - like the reference, any failure becomes an error report
         return dict(target), error_report(spark, f"{type(e).__name__}: {e}", "XX000", source_schema, target_schema)
+
+
+# --- publishing ------------------------------------------------------------------------------------
+
+def publish(spark: SparkSession, pointer: str, run_ms: int, staging_dir: str, tables: list[str]) -> None:
+    """Make a staged merge the current version: one row is appended to the ``pointer`` folder.
+
+    The row's file appears by a single rename when the write commits, so readers see either
+    all tables of the old version or all of the new one."""
+    row = spark.createDataFrame([(run_ms, staging_dir, tables)], "run_ms long, staging_dir string, tables array<string>")
+    row.coalesce(1).write.mode("append").json(pointer)
+
+
+def published(spark: SparkSession, pointer: str) -> Schema:
+    """The tables of the latest published version."""
+    versions = spark.read.schema("run_ms long, staging_dir string, tables array<string>").json(pointer)
+    v = versions.agg(F.max_by(F.struct("staging_dir", "tables"), "run_ms").alias("v")).first().v
+    return {t: spark.read.parquet(f"{v.staging_dir.rstrip('/')}/{t}").drop(ORIGIN) for t in v.tables}

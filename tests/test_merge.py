@@ -127,3 +127,20 @@ def test_null_keys_stay_null_after_a_left_remap(spark):
     df = spark.createDataFrame([(1, "R1"), (2, None), (3, "R9")], "n int, route_id string")
     got = {r.n: r.route_id for r in mg._remap(df, mapping, "routes", "route_id", "left").collect()}
     assert got[2] is None and got[3] is None and got[1].startswith("ro_")
+
+
+def test_publish_swaps_all_tables_at_once(spark, tmp_path):
+    src, tgt = _split(spark)
+    pointer = f"{tmp_path}/pointer"
+    for run in (RUN, RUN + 1):
+        staging = f"{tmp_path}/stage-{run}"
+        tables, report = mg.run_merge(spark, src, tgt, source_schema="a", target_schema="b", run_ms=run, salt=SALT,
+                                      staging_dir=staging, feed_info_key=["feed_publisher_name"])
+        assert report.first().status != "error"
+        mg.publish(spark, pointer, run, staging, list(tables))
+    now = mg.published(spark, pointer)
+    assert now.keys() == tables.keys()
+    assert now["agency"].where(F.col("agency_id").endswith(f"_{RUN + 1}")).count() == 2
+    # a failing merge publishes nothing, so the current version stays
+    _, report = mg.run_merge(spark, src, tgt, source_schema="a", target_schema="a", run_ms=RUN + 2, salt=SALT)
+    assert report.first().status == "error" and mg.published(spark, pointer)["trips"].count() == tables["trips"].count()
