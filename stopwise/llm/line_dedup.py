@@ -5,8 +5,9 @@ the line) that start at each word, in lower case. Shingles anchored at word star
 the text, as all shingles do, at a sixth of their number. Lines that are equal, letter case
 aside, are one node. Every node has ``BANDS * ROWS`` minima, each of its shingle hashes under
 another random bit flip; nodes that agree on a band are candidates. At similarity 0.8 a pair
-agrees on at least one of 10 bands of 3 with probability 0.9988. Candidates are verified by
-exact Jaccard similarity of the shingle sets, and verified links form components
+agrees on at least one of 10 bands of 3 with probability 0.9992. Pairs that must differ in too
+many shingles by their parity sketches (two sketches differ in at most as many bits as the
+sets have elements apart) are left out inside the candidate joins; the others are verified by exact Jaccard similarity of the shingle sets, and verified links form components
 (``linking``). Of each component the first occurrence is kept: smallest doc_id, then row,
 then line number.
 
@@ -29,6 +30,7 @@ from .shared import stored
 
 SHINGLE = 12
 BANDS, ROWS = 10, 3
+SKETCH_WORDS = 4         # a power of two
 WORD = r"[^\x20\x09-\x0D]"
 PIECES = rf"(?s)(?<!{WORD})(?=({WORD}.{{0,{SHINGLE - 1}}}))"
 
@@ -78,8 +80,18 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
         common = F.size(F.array_intersect("x", "y"))
         return pairs.join(x, "a").join(y, "b").where(b * common >= a * (F.size("x") + F.size("y") - common)).select("a", "b")
 
-    links = linking.resolve(band_rows(lines), items, verify, None, lambda content: content.select("node", F.size("items").alias("n")),
-                            lambda x, y: b * F.least(f"{x}.n", f"{y}.n") >= a * F.greatest(f"{x}.n", f"{y}.n"))
+    def traits(content: DataFrame) -> DataFrame:
+        # The set's size and its parity sketch: bit j is the parity of the hashes that fall on j.
+        one = content.select("node", F.explode("items").alias("h"))
+        word = lambda w: F.expr(f"bit_xor(if(shiftright(h, 6) & {SKETCH_WORDS - 1} = {w}, shiftleft(1L, cast(h & 63 as int)), 0L))")
+        return one.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[word(w).alias(f"p{w}") for w in range(SKETCH_WORDS)])
+
+    def fit(x: str, y: str) -> Column:
+        n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
+        bits = [F.bit_count(F.col(f"{x}.p{w}").bitwiseXOR(F.col(f"{y}.p{w}"))) for w in range(SKETCH_WORDS)]
+        return (b * F.least(n1, n2) >= a * F.greatest(n1, n2)) & ((a + b) * sum(bits[1:], bits[0]) <= (b - a) * (n1 + n2))
+
+    links = linking.resolve(band_rows(lines), items, verify, None, traits, fit)
     return linking.components(links)
 
 

@@ -115,15 +115,17 @@ def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Ca
     rest = (members.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
             .withColumn("others", F.count(F.lit(1)).over(sig) - F.count(F.lit(1)).over(same)).where("others > 0"))
     cost = rest.groupBy("node").agg(F.sum(F.when(F.col("probes"), F.col("others")).otherwise(0)).alias("cost"))
-    open_ = stored(rest.join(cost, "node").select("sig", "node", "probes", "c", (F.col("cost") <= PLAIN_COST).alias("plain")), "open")
+    traits_of = [c for c in known.columns if c != "node"]
+    open_ = stored(rest.join(cost, "node").join(known, "node").select(
+        "sig", "node", "probes", "c", (F.col("cost") <= PLAIN_COST).alias("plain"), *traits_of), "open")
     x, y = open_.where("probes and plain").alias("x"), open_.alias("y")
     if full_index is None:
         x = open_.where("probes").alias("x")
-    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")))
+    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & fit("x", "y"))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     if full_index is not None:
         dear = stored(open_.where("not plain").select("node", "c").distinct(), "dear")
         if not dear.isEmpty():
             pairs = pairs.union(allocated_candidates(full_index(content.join(dear.select("node"), "node", "left_semi")), dear, known, fit)).distinct()
-    more = stored(verify(stored(fitting(pairs.join(tested, ["a", "b"], "left_anti")), "pairs"), content), "links")
+    more = stored(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), content), "links")
     return links.union(more)
