@@ -18,9 +18,9 @@ BROADCAST_IDS = 1_000_000
 PLAIN_COST = 64
 
 
-def bounded(ids: DataFrame) -> DataFrame:
-    """Broadcast a stored one-column id table if its counted size allows, else leave the join to Spark."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def bounded(rows: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """Broadcast a stored narrow table if it has at most ``limit`` rows, else leave the join to Spark."""
+    return F.broadcast(rows) if rows.count() <= limit else rows
 
 
 def components(links: DataFrame) -> DataFrame:

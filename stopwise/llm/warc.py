@@ -26,11 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import linking
 from .shared import scratch, stored
 
 MAGIC = "WARC/1.1\r\n"
 MIN_REVISIT = 1000
 RECORDS_PER_FILE = 20_000
+WIDE_ROWS = 100_000         # record heads (some hundred bytes each) up to this many are broadcast
 
 
 def records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
@@ -43,7 +45,7 @@ def records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     shared = stored(slim.where(F.col("n") >= min_revisit).groupBy("payload_digest").agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("c"))
                     .where("c > 1 and first_id is not null").drop("c"), "warc-shared")
     later = (F.col("page_id").isNull() | (F.col("page_id") < F.col("first_id"))) & F.col("first_id").isNotNull()
-    return (p.join(shared, "payload_digest", "left")
+    return (p.join(linking.bounded(shared), "payload_digest", "left")
             .withColumn("record_type", F.when(later, "revisit").otherwise("response"))
             .withColumn("refers_to", F.when(later, F.col("first_id"))).drop("first_id"))
 
@@ -68,26 +70,28 @@ def write_archives(recs: DataFrame, path: str | None = None) -> str:
     return path
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, file_size, off, value): what follows each magic, up to the next one, with the magic's byte offset.
+def pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(at, value) and (at, file, file_size, off, head) of what follows each magic, up to the next one.
 
-    Bytes before a file's first magic belong to no record."""
+    ``off`` is the magic's byte offset, ``head`` the text up to the first blank line (null
+    without one). Bytes before a file's first magic belong to no record. The payloads are
+    stored once; everything else works on the narrow table."""
     # The reader yields, per split and in file order, what lies between two magics.
     raw = (spark.read.option("lineSep", MAGIC).text(path)
            .select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("_metadata.file_size").alias("file_size"),
-                   F.monotonically_increasing_id().alias("at"), F.octet_length("value").cast("long").alias("n"), "value"))
-    raw = stored(raw, "warc-pieces")
+                   F.monotonically_increasing_id().alias("at"), F.octet_length("value").cast("long").alias("n"),
+                   F.when(F.instr("value", "\r\n\r\n") > 0, F.substring_index("value", "\r\n\r\n", 1)).alias("head"), "value"))
+    raw = stored(raw, "warc-pieces", compression="zstd")
     step = F.lit(len(MAGIC))
-    slim = raw.select("file", "split", "at", "n")
+    slim = raw.drop("value")
     totals = slim.groupBy("file", "split").agg(F.sum(F.col("n") + step).alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.withColumn("base", F.coalesce(F.sum("bytes").over(before), F.lit(0))).drop("bytes")
     inside = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    offs = slim.withColumn("up", F.coalesce(F.sum(F.col("n") + step).over(inside), F.lit(0))).join(bases, ["file", "split"])
     # The text of piece i starts after the magic that ends piece i - 1.
-    start = F.col("base") + F.col("up")
-    return stored(raw.join(offs.select("at", start.alias("start")), "at").where("start > 0").select(
-        "file", "file_size", (F.col("start") - step).alias("off"), "value"), "warc-offsets")
+    offs = (slim.withColumn("up", F.coalesce(F.sum(F.col("n") + step).over(inside), F.lit(0))).join(bases, ["file", "split"])
+            .withColumn("start", F.col("base") + F.col("up")).where("start > 0"))
+    return raw.select("at", "value"), stored(offs.select("at", "file", "file_size", (F.col("start") - step).alias("off"), "head"), "warc-offsets")
 
 
 def _head(name: str) -> Column:
@@ -95,12 +99,10 @@ def _head(name: str) -> Column:
     return F.when(found != "", found)
 
 
-def candidates(cut: DataFrame) -> DataFrame:
+def candidates(offsets: DataFrame) -> DataFrame:
     """Pieces that parse as record heads, with the successor offset their length declares."""
-    head = F.substring_index("value", "\r\n\r\n", 1)
-    c = cut.where("instr(value, '\r\n\r\n') > 0").select("file", "file_size", "off", head.alias("head"))
     size = _head("Content-Length")
-    c = c.where(size.rlike("^[0-9]{1,15}$") & _head("WARC-Type").isNotNull())
+    c = offsets.where(F.col("head").isNotNull() & size.rlike("^[0-9]{1,15}$") & _head("WARC-Type").isNotNull())
     body = F.col("off") + len(MAGIC) + F.octet_length("head") + 4
     return (c.withColumn("length", size.cast("long")).withColumn("body", body.cast("long")).withColumn("succ", F.col("body") + F.col("length") + 4)
             .where("succ <= file_size"))
@@ -128,17 +130,18 @@ def reachable(links: DataFrame) -> DataFrame:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, record_type, refers_to, url, payload, declared_digest, declared_bytes) of every record on a chain."""
-    cut = pieces(spark, path)
-    found = stored(candidates(cut), "warc-candidates")
-    on = found.join(reachable(found.select("file", "off", "succ")), ["file", "off"], "left_semi")
+    raw, offsets = pieces(spark, path)
+    found = stored(candidates(offsets), "warc-candidates")
+    on = stored(found.join(reachable(found.select("file", "off", "succ")), ["file", "off"], "left_semi"), "warc-records")
     # Most records are one piece; a payload that holds the magic has more, which follow in offset order.
     order = Window.partitionBy("file").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
-    owner = (cut.select("file", "off").join(on.select("file", "off", F.col("off").alias("own")), ["file", "off"], "left")
-             .withColumn("own", F.last("own", ignorenulls=True).over(order)).where("own is not null and own <> off"))
-    rest = (cut.join(owner, ["file", "off"]).groupBy("file", "own")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "value"))), lambda s: F.concat(F.lit(MAGIC), s["value"])), "").alias("rest"))
-            .select("file", F.col("own").alias("off"), "rest"))
-    whole = cut.select("file", "off", "value").join(on, ["file", "off"]).join(rest, ["file", "off"], "left")
+    owner = (offsets.select("at", "file", "off").join(on.select("at", F.col("at").alias("own")), "at", "left")
+             .withColumn("own", F.last("own", ignorenulls=True).over(order)).where("own is not null and own <> at"))
+    owner = stored(owner.select("at", "off", "own"), "warc-owners")
+    rest = (raw.join(linking.bounded(owner), "at").groupBy("own")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "value"))), lambda s: F.concat(F.lit(MAGIC), s["value"])), "").alias("rest")))
+    whole = raw.join(linking.bounded(on, WIDE_ROWS), "at").join(rest, F.col("at") == F.col("own"), "left") if not owner.isEmpty() else (
+        raw.join(linking.bounded(on, WIDE_ROWS), "at").withColumn("rest", F.lit("")))
     tail = F.concat(F.col("value"), F.coalesce("rest", F.lit(""))).cast("binary")
     payload = F.substring(tail, (F.octet_length("head") + 5).cast("int"), F.col("length").cast("int"))
     page = lambda name: F.regexp_extract(_head(name), r"<urn:page:(-?\d+)>", 1).cast("long")
