@@ -72,17 +72,18 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
         ids = linking.bounded(stored(nodes, "line-ids"))
         pieces = F.regexp_extract_all("line", F.lit(PIECES), F.lit(1))
         return (lines.select(_node().alias("node"), "line").join(ids, "node", "left_semi")
-                .select("node", F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))).alias("items")))
+                .select("node", F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))).alias("items")).dropDuplicates(["node"]))
 
-    def verify(pairs: DataFrame, content: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame, known: DataFrame) -> DataFrame:
+        content = stored(items(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "line-sets")
         x = content.select(F.col("node").alias("a"), F.col("items").alias("x"))
         y = content.select(F.col("node").alias("b"), F.col("items").alias("y"))
         common = F.size(F.array_intersect("x", "y"))
         return pairs.join(x, "a").join(y, "b").where(b * common >= a * (F.size("x") + F.size("y") - common)).select("a", "b")
 
-    def traits(content: DataFrame) -> DataFrame:
+    def traits(nodes: DataFrame) -> DataFrame:
         # The set's size and its parity sketch: bit j is the parity of the hashes that fall on j.
-        one = content.select("node", F.explode("items").alias("h"))
+        one = items(nodes).select("node", F.explode("items").alias("h"))
         word = lambda w: F.expr(f"bit_xor(if(shiftright(h, 6) & {SKETCH_WORDS - 1} = {w}, shiftleft(1L, cast(h & 63 as int)), 0L))")
         return one.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[word(w).alias(f"p{w}") for w in range(SKETCH_WORDS)])
 
@@ -91,7 +92,7 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
         bits = [F.bit_count(F.col(f"{x}.p{w}").bitwiseXOR(F.col(f"{y}.p{w}"))) for w in range(SKETCH_WORDS)]
         return (b * F.least(n1, n2) >= a * F.greatest(n1, n2)) & ((a + b) * sum(bits[1:], bits[0]) <= (b - a) * (n1 + n2))
 
-    links = linking.resolve(band_rows(lines), items, verify, None, traits, fit)
+    links = linking.resolve(band_rows(lines), traits, fit, verify)
     return linking.components(links)
 
 

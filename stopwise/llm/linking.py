@@ -88,44 +88,39 @@ def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, f
     return x.join(y, fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def resolve(rows: DataFrame, items: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame, DataFrame], DataFrame],
-            full_index: Callable[[DataFrame], DataFrame] | None, traits: Callable[[DataFrame], DataFrame], fit: Fit) -> DataFrame:
+def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit, verify: Callable[[DataFrame, DataFrame], DataFrame],
+            full_index: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Verified links (a, b) that connect every pair of nodes that shares a signature and verifies.
 
-    ``rows``: (sig, node, probes). ``items`` gives the content of nodes, ``traits`` (node and
-    short columns) comes from it; pairs whose traits do not ``fit`` cannot link and are left out. Round one tests each node against its signature's hub
-    only, so a signature that many copies share costs one pair per copy. Nodes that this
-    connects need no further tests among themselves. Round two tests what nodes with up to
-    ``PLAIN_COST`` rows to look at find in other components: a linear number of pairs. Pairs
-    of two more expensive nodes come from ``allocated_candidates`` (without a full index,
-    from their signatures too). Every candidate pair that links ends in one component."""
+    ``rows``: (sig, node, probes). ``traits`` gives (node, short columns) of nodes; pairs whose
+    traits do not ``fit`` cannot link and are left out. ``verify(pairs, known)`` returns the pairs
+    that link. Round one tests each node against its signature's hub only, so a signature that
+    many copies share costs one pair per copy. Nodes that this connects need no further
+    tests among themselves. Round two tests what nodes with up to ``PLAIN_COST`` rows to look
+    at find in other components: a linear number of pairs. Pairs of two more expensive nodes
+    come from ``allocated_candidates`` (without a full index, from their signatures too). Every
+    candidate pair that links ends in one component."""
     members = stored(shared_signatures(rows), "members")
-    content = stored(items(members.select("node").distinct()).dropDuplicates(["node"]), "items")
-    known = stored(traits(content), "traits")
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        x, y = known.alias("x"), known.alias("y")
-        return (pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & fit("x", "y")).select("a", "b"))
-
+    known = stored(traits(members.select("node").distinct()), "traits")
+    short = known.select(*[c for c, kind in known.dtypes if kind != "binary"])
+    x, y = short.alias("x"), short.alias("y")
     star = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    tested = stored(fitting(star), "pairs")
-    links = stored(verify(tested, content), "links")
+    tested = stored(star.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & fit("x", "y")).select("a", "b"), "pairs")
+    links = stored(verify(tested, known), "links")
     label = components(links)
     sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
     rest = (members.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
             .withColumn("others", F.count(F.lit(1)).over(sig) - F.count(F.lit(1)).over(same)).where("others > 0"))
     cost = rest.groupBy("node").agg(F.sum(F.when(F.col("probes"), F.col("others")).otherwise(0)).alias("cost"))
-    traits_of = [c for c in known.columns if c != "node"]
-    open_ = stored(rest.join(cost, "node").join(known, "node").select(
+    traits_of = [c for c in short.columns if c != "node"]
+    open_ = stored(rest.join(cost, "node").join(short, "node").select(
         "sig", "node", "probes", "c", (F.col("cost") <= PLAIN_COST).alias("plain"), *traits_of), "open")
-    x, y = open_.where("probes and plain").alias("x"), open_.alias("y")
-    if full_index is None:
-        x = open_.where("probes").alias("x")
+    x, y = open_.where("probes and plain" if full_index else "probes").alias("x"), open_.alias("y")
     pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & fit("x", "y"))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     if full_index is not None:
         dear = stored(open_.where("not plain").select("node", "c").distinct(), "dear")
         if not dear.isEmpty():
-            pairs = pairs.union(allocated_candidates(full_index(content.join(dear.select("node"), "node", "left_semi")), dear, known, fit)).distinct()
-    more = stored(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), content), "links")
+            pairs = pairs.union(allocated_candidates(full_index(dear.select("node")), dear, short, fit)).distinct()
+    more = stored(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), known), "links")
     return links.union(more)

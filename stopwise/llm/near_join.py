@@ -192,6 +192,21 @@ def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(parity, axis=1).view(np.int64)
 
 
+def wide_sketch(x: np.ndarray) -> bytes:
+    """Parity sketch of four to eight bits per element (a power of two, at least 512)."""
+    bits = max(512, 1 << int(np.ceil(np.log2(4 * max(len(x), 1)))))
+    at = (tk.mix(x + np.uint64(78)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two wide sketches differ; the longer one is folded to the shorter's length first."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None, id_col: str = "doc_id",
                  text_col: str = "text", key_col: str | None = None) -> DataFrame:
     """(key, doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
@@ -229,32 +244,68 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                 s = sign(h, n, t)
                 yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node[s.who]), "probes": pa.array(s.probes)})
 
-    def exact_sets(nodes: DataFrame) -> DataFrame:
+    def sets_of(nodes: DataFrame, give, ddl: str) -> DataFrame:
+        """One row per node from ``give(names, hashes, sizes)``, over the texts of one row of each class."""
+        keys = stored(named.join(nodes, "node", "left_semi").select(F.col("least_key").alias("key")).distinct(), "keys")
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for c in tk.chunks(b.column("text")):
                     h, n = document_sets(c, k)
-                    cut = np.cumsum(n)
-                    yield pa.record_batch({"node": pa.array(names(h, n)), "items": pa.array(
-                        [h[e - m: e].tobytes() for e, m in zip(cut, n, strict=True)], pa.binary())})
-        keys = stored(named.join(nodes, "node", "left_semi").select(F.col("least_key").alias("key")).distinct(), "keys")
-        return texts.join(linking.bounded(keys), "key", "left_semi").select("text").mapInArrow(run, "node long, items binary")
+                    if n.any():
+                        n = n[n > 0]
+                        yield pa.record_batch(give(names(h, n), h, n))
+        out = stored(texts.join(linking.bounded(keys), "key", "left_semi").select("text").mapInArrow(run, ddl), "sets")
+        # Rows that repeat an id give a node twice, or another text's.
+        counted = out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("node").alias("nodes")).first()
+        return out if counted["rows"] == counted["nodes"] else stored(out.dropDuplicates(["node"]), "sets")
+
+    def exact_sets(nodes: DataFrame) -> DataFrame:
+        def give(node: np.ndarray, h: np.ndarray, n: np.ndarray) -> dict:
+            cut = np.cumsum(n)
+            return {"node": pa.array(node), "items": pa.array([h[e - m: e].tobytes() for e, m in zip(cut, n, strict=True)], pa.binary())}
+        return sets_of(nodes, give, "node long, items binary")
+
+    def traits(nodes: DataFrame) -> DataFrame:
+        def give(node: np.ndarray, h: np.ndarray, n: np.ndarray) -> dict:
+            cut = np.cumsum(n)
+            sets = [h[e - m: e] for e, m in zip(cut, n, strict=True)]
+            words = parity_sketches(sets)
+            return {"node": pa.array(node), "n": pa.array(n), **{f"p{i}": pa.array(words[:, i].copy()) for i in range(SKETCH_WORDS)},
+                    "wide": pa.array([wide_sketch(x) for x in sets], pa.binary())}
+        return sets_of(nodes, give, "node long, n long, " + ", ".join(f"p{i} long" for i in range(SKETCH_WORDS)) + ", wide binary")
 
-    def verify(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    def fit(x: str, y: str) -> Column:
+        n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
+        apart = sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(1, SKETCH_WORDS)),
+                    F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
+        return (F.least(n1, n2) * t.b >= F.greatest(n1, n2) * t.a) & ((t.a + t.b) * apart <= (t.b - t.a) * (n1 + n2))
+
+    def filtered(pairs: DataFrame, content: DataFrame, value: str, test) -> DataFrame:
+        """The pairs whose two values pass ``test``."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                keep = np.zeros(b.num_rows, bool)
-                for i, (x, y) in enumerate(zip(b.column("items_a"), b.column("items_b"), strict=True)):
-                    x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                    both = np.sort(np.concatenate([x, y]))
-                    common = int((both[1:] == both[:-1]).sum())
-                    keep[i] = t.linked(common, len(both) - common)
-                yield pa.record_batch({"a": b.column("a").filter(pa.array(keep)), "b": b.column("b").filter(pa.array(keep))})
-        both = (pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-                .join(items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b"))
-        return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long")
-
-    def full_index(items: DataFrame) -> DataFrame:
+                keep = [test(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), m, n) for x, y, m, n in zip(
+                    b.column("va"), b.column("vb"), b.column("na").to_pylist(), b.column("nb").to_pylist(), strict=True)]
+                yield pa.record_batch({c: b.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")})
+        size = F.col("n") if "n" in content.columns else (F.octet_length(value) / 8).cast("long")
+        x = content.select(F.col("node").alias("a"), F.col(value).alias("va"), size.alias("na"))
+        y = content.select(F.col("node").alias("b"), F.col(value).alias("vb"), size.alias("nb"))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "va", "vb", "na", "nb").mapInArrow(run, "a long, b long")
+
+    def verify(pairs: DataFrame, known: DataFrame) -> DataFrame:
+        def near(x: np.ndarray, y: np.ndarray, m: int, n: int) -> bool:
+            return sketch_distance(x, y) <= t.difference(m + n)
+
+        def linked(x: np.ndarray, y: np.ndarray, m: int, n: int) -> bool:
+            both = np.sort(np.concatenate([x, y]))
+            common = int((both[1:] == both[:-1]).sum())
+            return bool(t.linked(common, m + n - common))
+        likely = stored(filtered(pairs, known, "wide", near), "likely")
+        content = exact_sets(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        return filtered(likely, content, "items", linked)
+
+    def full_index(nodes: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for part in sliced(b, 512):
@@ -263,26 +314,9 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                     node = part.column("node").to_numpy()[s.who]
                     yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node), "scheme": pa.array(s.scheme), "segment": pa.array(s.segment),
                                            "deleted": pa.array(s.deleted), "need": pa.array(s.need)})
-        return items.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
-
-    def traits(content: DataFrame) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for part in sliced(b, 512):
-                    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("items")]
-                    words = parity_sketches(sets)
-                    yield pa.record_batch({"node": part.column("node"), "n": pa.array(np.array([len(x) for x in sets], np.int64)),
-                                           **{f"p{i}": pa.array(words[:, i].copy()) for i in range(SKETCH_WORDS)}})
-        return content.mapInArrow(run, "node long, n long, " + ", ".join(f"p{i} long" for i in range(SKETCH_WORDS)))
-
-    def fit(x: str, y: str) -> Column:
-        n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
-        apart = sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(1, SKETCH_WORDS)),
-                    F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
-        return (F.least(n1, n2) * t.b >= F.greatest(n1, n2) * t.a) & ((t.a + t.b) * apart <= (t.b - t.a) * (n1 + n2))
+        return exact_sets(nodes).mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
 
-    links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, probes boolean"), exact_sets, verify,
-                            full_index, traits, fit)
+    links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, probes boolean"), traits, fit, verify, full_index)
     label = linking.components(links)
     grouped = named.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
