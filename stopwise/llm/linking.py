@@ -30,6 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     neighbour until only stars remain. A node's neighbours are never gathered, only their
     minimum (combined map-side), so a hub with any number of links is safe."""
     edges = stored(links.select("a", "b").where("a <> b").distinct(), "edges")
+    if edges.isEmpty():
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     seen = None
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
