@@ -56,12 +56,12 @@ def _flips() -> list[int]:
 
 
 def band_rows(lines: DataFrame) -> DataFrame:
-    """(sig, node, probes): one row per band of every distinct line."""
+    """(sig, node, meta): one row per band of every distinct line."""
     one = lines.select(_node().alias("node"), F.explode(F.regexp_extract_all("line", F.lit(PIECES), F.lit(1))).alias("s")).select(
         "node", F.shiftrightunsigned(F.xxhash64("s"), 32).alias("h"))
     minima = one.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(f).cast("long"))).alias(f"m{i}") for i, f in enumerate(_flips())])
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
-    return minima.select(F.explode(bands).alias("sig"), "node", F.lit(True).alias("probes"))
+    return minima.select(F.explode(bands).alias("sig"), "node", F.lit(0).cast("long").alias("meta"))
 
 
 def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataFrame:

@@ -14,8 +14,10 @@ from .shared import stored
 
 # A table of ids up to this many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
-# A node that has more rows of other components to look at than this gets a cheaper allocation.
+# A node that has more rows of other components to look at than this, and than so many times
+# its size, gets a cheaper allocation.
 PLAIN_COST = 64
+PLAIN_SIZES = 2
 
 
 def bounded(rows: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
@@ -51,13 +53,33 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
-    """Rows (sig, node, probes) of signatures that two or more nodes have and one of them probes, with the signature's ``hub``.
+    """(sig, node, meta, others) of signatures that two or more nodes have; a row occurs once.
 
-    The hub is the smallest probing node. One shuffle by signature; a row occurs once."""
+    One shuffle by signature. ``others``: how many other nodes have it."""
     by_sig = Window.partitionBy("sig")
-    first = F.min(F.struct((~F.col("probes")).alias("quiet"), F.col("node"))).over(by_sig)
-    return (rows.repartition("sig").withColumns({"hub": first, "lo": F.min("node").over(by_sig), "hi": F.max("node").over(by_sig)})
-            .where("lo < hi and not hub.quiet").groupBy("sig", "node").agg(F.max("probes").alias("probes"), F.first("hub.node").alias("hub")))
+    return (rows.repartition("sig").withColumns({"lo": F.min("node").over(by_sig), "hi": F.max("node").over(by_sig)}).where("lo < hi")
+            .groupBy("sig", "node").agg(F.max("meta").alias("meta"))
+            .withColumn("others", F.count(F.lit(1)).over(by_sig) - 1))
+
+
+def probing(members: DataFrame) -> DataFrame:
+    """(sig, node, probes, hub): which rows probe, and the smallest probing node of each signature that has one.
+
+    ``meta`` is 4 * spare + 2 * scheme + first: a node's rows of one scheme may leave out
+    ``spare`` units, dearest first. The rows with ``first`` (one segment and its one-deletion
+    neighbourhood) are worth two units together, every other row one."""
+    scheme, first, spare = F.shiftright("meta", 1).bitwiseAND(1), F.col("meta").bitwiseAND(1), F.shiftright("meta", 2)
+    rows = members.withColumns({"scheme": scheme, "first": first})
+    part = Window.partitionBy("node", "scheme", "first")
+    rows = rows.withColumn("cost", F.when(F.col("first") == 1, F.sum("others").over(part)).otherwise(F.col("others")))
+    # Units up to and including this row and its equals; the first segment's rows come together and count two.
+    dearest = Window.partitionBy("node", "scheme").orderBy(F.col("cost").desc(), "first")
+    units = F.sum(1 - F.col("first")).over(dearest) + 2 * F.max("first").over(dearest)
+    probes = units > spare
+    by_sig = Window.partitionBy("sig")
+    hub = F.min(F.struct((~F.col("probes")).alias("quiet"), F.col("node"))).over(by_sig)
+    return (rows.withColumn("probes", probes).withColumn("hub", hub).where("not hub.quiet")
+            .select("sig", "node", "probes", F.col("hub.node").alias("hub")))
 
 
 Fit = Callable[[str, str], Column]       # two aliases -> whether their nodes may link, from the columns of ``known``
@@ -91,23 +113,31 @@ def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, f
 
 
 def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit, verify: Callable[[DataFrame, DataFrame], DataFrame],
-            full_index: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+            full_index: Callable[[DataFrame], DataFrame] | None = None, fine: Fit | None = None) -> DataFrame:
     """Verified links (a, b) that connect every pair of nodes that shares a signature and verifies.
 
-    ``rows``: (sig, node, probes). ``traits`` gives (node, short columns) of nodes; pairs whose
-    traits do not ``fit`` cannot link and are left out. ``verify(pairs, known)`` returns the pairs
+    ``rows``: (sig, node, meta), see :func:`probing`. ``traits`` gives (node, n, short columns) of
+    nodes; pairs whose traits do not ``fit`` cannot link and are left out inside the candidate
+    joins, those that do not pass ``fine`` (columns q...) right after. ``verify(pairs, known)`` returns the pairs
     that link. Round one tests each node against its signature's hub only, so a signature that
     many copies share costs one pair per copy. Nodes that this connects need no further
-    tests among themselves. Round two tests what nodes with up to ``PLAIN_COST`` rows to look
-    at find in other components: a linear number of pairs. Pairs of two more expensive nodes
+    tests among themselves. Round two tests what nodes find in other components by their own
+    signatures, if that is at most ``PLAIN_COST`` rows or twice the node's size ``n`` (about
+    the rows of its full index): a number linear in the input. Pairs of two more expensive nodes
     come from ``allocated_candidates`` (without a full index, from their signatures too). Every
     candidate pair that links ends in one component."""
-    members = stored(shared_signatures(rows), "members")
+    members = stored(probing(stored(shared_signatures(rows), "shared")), "members")
     known = stored(traits(members.select("node").distinct()), "traits")
-    short = known.select(*[c for c, kind in known.dtypes if kind != "binary"])
-    x, y = short.alias("x"), short.alias("y")
+    narrow = known.select(*[c for c, kind in known.dtypes if kind != "binary"])
+    short = narrow.select(*[c for c in narrow.columns if not c.startswith("q")])
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        both = fit("x", "y") & fine("x", "y") if fine else fit("x", "y")
+        return (pairs.join(narrow.alias("x"), F.col("a") == F.col("x.node"))
+                .join(narrow.alias("y"), (F.col("b") == F.col("y.node")) & both).select("a", "b"))
+
     star = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    tested = stored(star.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & fit("x", "y")).select("a", "b"), "pairs")
+    tested = stored(fitting(star), "pairs")
     links = stored(verify(tested, known), "links")
     label = components(links)
     sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
@@ -116,7 +146,7 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
     cost = rest.groupBy("node").agg(F.sum(F.when(F.col("probes"), F.col("others")).otherwise(0)).alias("cost"))
     traits_of = [c for c in short.columns if c != "node"]
     open_ = stored(rest.join(cost, "node").join(short, "node").select(
-        "sig", "node", "probes", "c", (F.col("cost") <= PLAIN_COST).alias("plain"), *traits_of), "open")
+        "sig", "node", "probes", "c", (F.col("cost") <= F.greatest(F.lit(PLAIN_COST), PLAIN_SIZES * F.col("n"))).alias("plain"), *traits_of), "open")
     x, y = open_.where("probes and plain" if full_index else "probes").alias("x"), open_.alias("y")
     pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & fit("x", "y"))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
@@ -124,5 +154,6 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
         dear = stored(open_.where("not plain").select("node", "c").distinct(), "dear")
         if not dear.isEmpty():
             pairs = pairs.union(allocated_candidates(full_index(dear.select("node")), dear, short, fit)).distinct()
-    more = stored(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), known), "links")
+    pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    more = stored(verify(stored(fitting(pairs) if fine else pairs, "pairs"), known), "links")
     return links.union(more)

@@ -14,16 +14,15 @@ segment 0 the one-deletion neighbourhood is indexed too: parts that differ by on
 there still meet, so that segment counts two in the pigeonhole sum.
 
 *Cost-based allocation.* A set of size n only needs allocations that add up to its own
-H(n) + 1. It first gets them from its most selective parts, those with most elements: the
-expected length of a posting list falls with the size of the part, and empty parts, which
-unrelated sets share, come last. Parts with allocation 0 are indexed but do not probe.
-Two rows of a signature make a candidate only if one of them probes. Sets whose probes turn
-out expensive (large families of similar sets that do not link) are signed once more with
-all one-deletion neighbourhoods, and get the cheapest allocation by *measured* posting
-lengths: 0 for the parts the family shares, 2 for those that are the set's own.
-
-*Exact verification.* A 64-byte parity sketch rules out candidates that must differ in more
-than H elements, inside the joins that make them. The others are resolved in rounds (``linking.resolve``); a pair links
+H(n) + 1; bands have an eighth more segments than that needs. All parts are indexed, and the
+measured length of a part's posting list is its cost: a set leaves out the dearest parts it can
+spare (empty parts, parts of passages that many documents share). Two rows of a signature make
+a candidate only if one of them probes. Sets that still probe expensively (families of similar
+sets that do not link) are signed once more with all one-deletion neighbourhoods, and
+allocate 0, 1 or 2 to each segment by measured posting lengths.
+
+*Exact verification.* Parity sketches of 64 and 256 bytes, then of half a byte to a byte per
+element, rule out candidates that must differ in more than H elements. The others are resolved in rounds (``linking.resolve``); a pair links
 when ``b * |A & B| >= a * |A u B|`` on the full sets.
 
 Defined results: null or empty text, or one without words, has an empty set and links with
@@ -46,7 +45,7 @@ from . import textkernel as tk
 from .shared import concat_runs, ship_package, sliced, stored
 
 GROWTH = 1.5
-SKETCH_WORDS = 8
+SKETCH_WORDS, FINE_WORDS = 8, 32
 NO_ID = -(2**63)      # stands for a null id in joins
 
 
@@ -128,11 +127,11 @@ class Signatures:
     """Signature rows of a list of sets. ``deleted`` rows sign a part less one element."""
     who: np.ndarray        # number of the set
     sig: np.ndarray
-    probes: np.ndarray
     scheme: np.ndarray     # band
     segment: np.ndarray
     deleted: np.ndarray
     need: np.ndarray       # what the set's allocations must add up to
+    spare: np.ndarray      # what they add up to beyond that if every segment probes
 
 
 def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Signatures:
@@ -140,7 +139,8 @@ def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Sig
 
     ``every``: index the one-deletion neighbourhood of all segments, not of segment 0 only."""
     tops = band_tops(t, t.partner(int(n.max(initial=1))) + 1)
-    segments = np.array([t.difference(int(u) + t.partner(int(u))) + 1 for u in tops], np.int64)
+    least = np.array([t.difference(int(u) + t.partner(int(u))) + 1 for u in tops], np.int64)
+    segments = np.where(least > 1, least + least // 8 + 1, 1)      # a few more than needed, so that some can be left out
     reach = np.array([t.partner(int(u)) for u in tops], np.int64)
     band = np.searchsorted(tops, n)
     below = (band > 0) & (n <= reach[np.maximum(band - 1, 0)])
@@ -162,29 +162,25 @@ def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Sig
         owner = np.repeat(np.arange(len(who)), m)
         number = np.arange(int(base[-1])) - base[owner]
         tag = tk.mix((sch[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
-        # Allocation: segment 0 counts two; then the largest parts until the set's own need is met.
-        worth = np.where(number == 0, 2, 1)
-        order = np.lexsort((-cards, owner))
-        before = np.cumsum(worth[order]) - worth[order]
-        before -= np.repeat(before[base[:-1]], m)
-        probes = np.empty(len(order), bool)
-        probes[order] = before < need[who][owner[order]]
-        out.append((who[owner], tk.mix(sums + tag), probes, sch[owner], number, np.zeros(len(owner), bool)))
+        # Segment 0 counts two, so all segments together are worth m + 1.
+        spare = m + 1 - need[who]
+        out.append((who[owner], tk.mix(sums + tag), sch[owner], number, np.zeros(len(owner), bool), spare[owner]))
         at = np.arange(len(x)) if every else np.flatnonzero(seg == 0)
         sl = slot[at]
-        out.append((who[owner[sl]], tk.mix(sums[sl] - v[at] + tag[sl]), probes[sl], sch[owner[sl]], number[sl], np.ones(len(at), bool)))
+        out.append((who[owner[sl]], tk.mix(sums[sl] - v[at] + tag[sl]), sch[owner[sl]], number[sl], np.ones(len(at), bool), spare[owner[sl]]))
     if not out:
-        out = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
-    cols = [np.concatenate([o[i] for o in out]) for i in range(6)]
-    return Signatures(*cols, need[cols[0]])
+        none = np.empty(0, np.int64)
+        out = [(none, none.view(np.uint64), none, none, none.astype(bool), none)]
+    who, sig, scheme, segment, deleted, spare = (np.concatenate([o[i] for o in out]) for i in range(6))
+    return Signatures(who, sig, scheme, segment, deleted, need[who], spare)
 
 
-def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of SKETCH_WORDS 64-bit words per set: bit j is the parity of the elements hashed to j.
+def parity_sketches(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """One row of 64-bit ``words`` per set: bit j is the parity of the elements hashed to j.
 
     Two sketches differ in at most as many bits as their sets have elements apart, so a pair
-    whose sketches differ in more than H bits cannot link: an exact filter of 64 bytes a set."""
-    bits = 64 * SKETCH_WORDS
+    whose sketches differ in more than H bits cannot link: an exact filter."""
+    bits = 64 * words
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     at = (tk.mix(flat + np.uint64(77)) % np.uint64(bits)).astype(np.int64)
@@ -242,7 +238,9 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                 signed = np.concatenate([signed, node[new]])
                 h, n, node = h[np.repeat(new, n)], n[new], node[new]
                 s = sign(h, n, t)
-                yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node[s.who]), "probes": pa.array(s.probes)})
+                # spare, band parity and segment 0 in one number
+                meta = s.spare * 4 + (s.scheme & 1) * 2 + (s.segment == 0)
+                yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node[s.who]), "meta": pa.array(meta)})
 
     def sets_of(nodes: DataFrame, give, ddl: str) -> DataFrame:
         """One row per node from ``give(names, hashes, sizes)``, over the texts of one row of each class."""
@@ -270,16 +268,23 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
         def give(node: np.ndarray, h: np.ndarray, n: np.ndarray) -> dict:
             cut = np.cumsum(n)
             sets = [h[e - m: e] for e, m in zip(cut, n, strict=True)]
-            words = parity_sketches(sets)
+            words, fine_words = parity_sketches(sets, SKETCH_WORDS), parity_sketches(sets, FINE_WORDS)
             return {"node": pa.array(node), "n": pa.array(n), **{f"p{i}": pa.array(words[:, i].copy()) for i in range(SKETCH_WORDS)},
-                    "wide": pa.array([wide_sketch(x) for x in sets], pa.binary())}
-        return sets_of(nodes, give, "node long, n long, " + ", ".join(f"p{i} long" for i in range(SKETCH_WORDS)) + ", wide binary")
+                    **{f"q{i}": pa.array(fine_words[:, i].copy()) for i in range(FINE_WORDS)}, "wide": pa.array([wide_sketch(x) for x in sets], pa.binary())}
+        return sets_of(nodes, give, "node long, n long, " + ", ".join(f"p{i} long" for i in range(SKETCH_WORDS)) + ", "
+                       + ", ".join(f"q{i} long" for i in range(FINE_WORDS)) + ", wide binary")
+
+    def apart(x: str, y: str, name: str, words: int) -> Column:
+        """Whether the sketches differ in few enough bits."""
+        bits = [F.bit_count(F.col(f"{x}.{name}{i}").bitwiseXOR(F.col(f"{y}.{name}{i}"))) for i in range(words)]
+        return (t.a + t.b) * sum(bits[1:], bits[0]) <= (t.b - t.a) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
     def fit(x: str, y: str) -> Column:
         n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
-        apart = sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(1, SKETCH_WORDS)),
-                    F.bit_count(F.col(f"{x}.p0").bitwiseXOR(F.col(f"{y}.p0"))))
-        return (F.least(n1, n2) * t.b >= F.greatest(n1, n2) * t.a) & ((t.a + t.b) * apart <= (t.b - t.a) * (n1 + n2))
+        return (F.least(n1, n2) * t.b >= F.greatest(n1, n2) * t.a) & apart(x, y, "p", SKETCH_WORDS)
+
+    def fine(x: str, y: str) -> Column:
+        return apart(x, y, "q", FINE_WORDS)
 
     def filtered(pairs: DataFrame, content: DataFrame, value: str, test) -> DataFrame:
         """The pairs whose two values pass ``test``."""
@@ -316,7 +321,7 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                                            "deleted": pa.array(s.deleted), "need": pa.array(s.need)})
         return exact_sets(nodes).mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
 
-    links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, probes boolean"), traits, fit, verify, full_index)
+    links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, meta long"), traits, fit, verify, full_index, fine)
     label = linking.components(links)
     grouped = named.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))

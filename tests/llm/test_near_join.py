@@ -90,9 +90,16 @@ def test_every_linked_pair_shares_a_probed_signature():
             if not t.linked(common, len(x) + len(y) - common) or (lose == gain == 0):
                 continue
             s = near_join.sign(np.concatenate([x, y]), np.array([len(x), len(y)]), t)
-            first, second = s.who == 0, s.who == 1
-            both = np.intersect1d(s.sig[first], s.sig[second])
-            assert np.isin(s.sig[s.probes], both).any()
+            shared = np.intersect1d(s.sig[s.who == 0], s.sig[s.who == 1])
+            # Whatever parts a set leaves out within its spare units, a shared one is left.
+            for who in (0, 1):
+                for scheme in np.unique(s.scheme):
+                    mine = (s.who == who) & (s.scheme == scheme) & np.isin(s.sig, shared)
+                    other = (s.who != who) & (s.scheme == scheme)
+                    if not other.any() or not (s.who[s.scheme == scheme] == who).any():
+                        continue
+                    found = np.unique(s.segment[mine])
+                    assert sum(2 if seg == 0 else 1 for seg in found) > s.spare[(s.who == who) & (s.scheme == scheme)][0]
 
 
 def test_empty_table_and_nulls(spark):
