@@ -37,6 +37,7 @@ WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BITS, CHAR_BITS = 16, 15
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2000, 3000, 20_000
+BLOCK = 4096               # windows run at once
 TOXIC_SHARE = 0.1          # assumed share for the log odds
 F32 = np.float32
 
@@ -92,6 +93,28 @@ def read_words(c: tk.Chunk) -> Words:
     return Words((u >> np.uint64(64 - WORD_BITS)).astype(np.int32), grams, gram_first, gram_count, windows.astype(np.int32), owner)
 
 
+def join_words(parts: list[Words], texts: list[int]) -> Words:
+    """Several chunks' words as one; a word of two chunks is in it twice. ``texts``: texts of each chunk."""
+    words = np.cumsum([0] + [len(p.bucket) for p in parts])
+    grams = np.cumsum([0] + [len(p.grams) for p in parts])
+    before = np.cumsum([0, *texts])
+    return Words(np.concatenate([p.bucket for p in parts]), np.concatenate([p.grams for p in parts]),
+                 np.concatenate([p.gram_first + g for p, g in zip(parts, grams, strict=False)]), np.concatenate([p.gram_count for p in parts]),
+                 np.concatenate([np.where(p.windows == len(p.bucket), words[-1], p.windows + w).astype(np.int32) for p, w in zip(parts, words, strict=False)]),
+                 np.concatenate([p.owner + t for p, t in zip(parts, before, strict=False)]))
+
+
+def subset(w: Words, rows: np.ndarray) -> Words:
+    """The named windows and only their words."""
+    used, inverse = np.unique(w.windows[rows], return_inverse=True)
+    pad = len(used) > 0 and used[-1] == len(w.bucket)
+    used = used[:-1] if pad else used
+    count = w.gram_count[used]
+    first = np.cumsum(count) - count
+    at = np.repeat(w.gram_first[used] - first, count) + np.arange(int(count.sum()))
+    return Words(w.bucket[used], w.grams[at], first, count, inverse.reshape(len(rows), -1).astype(np.int32), w.owner[rows])
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -137,15 +160,21 @@ class Network:
             out[t] = h
         return out
 
-    def logits(self, w: Words, rows: np.ndarray | None = None, keep: dict | None = None) -> np.ndarray:
-        """Logit of each window (all, or the rows named)."""
-        win = w.windows if rows is None else w.windows[rows]
+    def logits(self, w: Words, keep: dict | None = None) -> np.ndarray:
+        """Logit of each window."""
         x = self.vectors(w)
+        pf, pb = x @ self.p["Wf"] + self.p["bf"], x @ self.p["Wb"] + self.p["bb"]
+        if keep is not None:
+            return self._window_logits(w, w.windows, x, pf, pb, keep)
+        parts = [self._window_logits(w, w.windows[i: i + BLOCK], x, pf, pb, None) for i in range(0, len(w.windows), BLOCK)]
+        return np.concatenate(parts) if parts else np.empty(0, F32)
+
+    def _window_logits(self, w: Words, win: np.ndarray, x: np.ndarray, pf: np.ndarray, pb: np.ndarray, keep: dict | None) -> np.ndarray:
         idx = win.T                                                       # steps x windows
         mask = (idx != len(w.bucket)).astype(F32)[:, :, None]
         tape_f, tape_b = ([], []) if keep is not None else (None, None)
-        hf = self._run((x @ self.p["Wf"] + self.p["bf"])[idx], mask, self.p["Uf"], tape_f)
-        hb = self._run((x @ self.p["Wb"] + self.p["bb"])[idx[::-1]], mask[::-1], self.p["Ub"], tape_b)[::-1]
+        hf = self._run(pf[idx], mask, self.p["Uf"], tape_f)
+        hb = self._run(pb[idx[::-1]], mask[::-1], self.p["Ub"], tape_b)[::-1]
         h = np.concatenate([hf, hb], 2)
         e = np.tanh(h @ self.p["Wa"] + self.p["ba"])
         score = (e @ self.p["va"]) + (mask[:, :, 0] - 1) * 30
@@ -157,11 +186,9 @@ class Network:
             keep.update(x=x, idx=idx, mask=mask, h=h, e=e, alpha=alpha, pooled=pooled, f=tape_f, b=tape_b)
         return pooled @ self.p["wo"] + self.p["bo"][0]
 
-    def document_logits(self, w: Words, n: int, block: int = 4096) -> np.ndarray:
+    def document_logits(self, w: Words, n: int) -> np.ndarray:
         out = np.full(n, -np.inf)
-        parts = [self.logits(w, np.arange(i, min(i + block, len(w.owner)))) for i in range(0, len(w.owner), block)]
-        if parts:
-            np.maximum.at(out, w.owner, np.concatenate(parts))
+        np.maximum.at(out, w.owner, self.logits(w))
         return out
 
     def score_chunk(self, c: tk.Chunk) -> np.ndarray:
@@ -195,7 +222,8 @@ def _back(proj_grad: np.ndarray, d_out: np.ndarray, tape: list, u: np.ndarray, d
 def gradients(net: Network, w: Words, rows: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Weighted cross-entropy of the windows and its gradient by array name."""
     k: dict = {}
-    z = net.logits(w, rows, k)
+    w = subset(w, rows)
+    z = net.logits(w, k)
     prob = _sigmoid(z)
     loss = float(-(weight * np.where(y, np.log(prob + 1e-7), np.log(1 - prob + 1e-7))).sum() / weight.sum())
     dz = ((prob - y) * weight / weight.sum()).astype(F32)
@@ -244,12 +272,16 @@ def _step(net: Network, g: dict[str, np.ndarray], rate: float) -> None:
         net.p[name] -= (rate * (m / (1 - 0.9 ** st["t"])) / (np.sqrt(v / (1 - 0.999 ** st["t"])) + 1e-8)).astype(F32)
 
 
-def _odds(bucket: np.ndarray, text: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log ratio of a bucket's toxic texts to those expected at its overall frequency."""
+def _count(bucket: np.ndarray, text: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
+    """Texts that hold each bucket: clean ones, toxic ones."""
     seen = np.unique(text.astype(np.int64) * size + bucket)
     t, b = seen // size, seen % size
-    hit = np.bincount(b[toxic[t]], minlength=size)
-    other = np.bincount(b[~toxic[t]], minlength=size) * ((1 - TOXIC_SHARE) / TOXIC_SHARE * max(toxic.sum(), 1) / max((~toxic).sum(), 1))
+    return np.stack([np.bincount(b[~toxic[t]], minlength=size), np.bincount(b[toxic[t]], minlength=size)])
+
+
+def _odds(clean: np.ndarray, hit: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Smoothed log ratio of a bucket's toxic texts to those expected at its overall frequency."""
+    other = clean * ((1 - TOXIC_SHARE) / TOXIC_SHARE * max(toxic.sum(), 1) / max((~toxic).sum(), 1))
     return np.log((hit + 1) / ((hit + other) * TOXIC_SHARE + 1)).astype(F32)
 
 
@@ -266,20 +298,30 @@ def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 2, epochs: int = 4, ba
     if toxic.all() or not toxic.any():
         net.constant = float(toxic.mean()) if len(toxic) else 0.0
         return net
-    whole = next(iter(tk.chunks(texts, 1 << 40)))
-    w = read_words(whole)
-    # Log odds by words and character grams, per text.
-    n, steps = w.windows.shape
-    word_at, text_at = w.windows.ravel(), np.repeat(w.owner, steps)
-    ok = word_at < len(w.bucket)
-    pair = np.unique(text_at[ok].astype(np.int64) * len(w.bucket) + word_at[ok])
-    text_at, word_at = pair // len(w.bucket), pair % len(w.bucket)
-    net.word_odds = _odds(w.bucket[word_at], text_at, toxic, 1 << WORD_BITS)
-    count = w.gram_count[word_at]
-    at = np.repeat(w.gram_first[word_at] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-    net.char_odds = _odds(w.grams[at], np.repeat(text_at, count), toxic, 1 << CHAR_BITS)
-    x = net.vectors(w)
-    looks = (x[:, -3] + x[:, -2])[w.windows].max(1)
+    # Chunk by chunk: texts that hold each word and each character gram.
+    parts, sizes = [], []
+    words, grams = np.zeros((2, 1 << WORD_BITS)), np.zeros((2, 1 << CHAR_BITS))
+    for c in tk.chunks(texts):
+        part = read_words(c)
+        y = toxic[c.lo: c.hi]
+        word_at, text_at = part.windows.ravel(), np.repeat(part.owner, WINDOW)
+        ok = word_at < len(part.bucket)
+        pair = np.unique(text_at[ok].astype(np.int64) * max(len(part.bucket), 1) + word_at[ok])
+        text_at, word_at = pair // max(len(part.bucket), 1), pair % max(len(part.bucket), 1)
+        words += _count(part.bucket[word_at], text_at, y, 1 << WORD_BITS)
+        count = part.gram_count[word_at]
+        at = np.repeat(part.gram_first[word_at] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        grams += _count(part.grams[at], np.repeat(text_at, count), y, 1 << CHAR_BITS)
+        parts.append(part)
+        sizes.append(c.n)
+    net.word_odds, net.char_odds = _odds(*words, toxic), _odds(*grams, toxic)
+    looks = []
+    for part in parts:
+        x = net.vectors(part)
+        looks.append((x[:, -3] + x[:, -2])[part.windows].max(1))
+    looks = np.concatenate(looks)
+    w = join_words(parts, sizes)
+    n = len(w.owner)
     is_toxic = toxic[w.owner]
     for _ in range(rounds):
         order = np.lexsort((-looks, w.owner))
@@ -288,12 +330,12 @@ def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 2, epochs: int = 4, ba
         rows = np.flatnonzero(np.where(is_toxic, rank < 1, (rank < 2) | (rng.random(n) < 0.05)))
         y = is_toxic[rows].astype(F32)
         weight = np.where(y > 0, 1 / max(y.sum(), 1), 1 / max((1 - y).sum(), 1)).astype(F32) * len(rows)
-        parts = max(1, -(-len(rows) // batch))
-        passes = max(epochs, -(-min_steps // parts))
+        batches = max(1, -(-len(rows) // batch))
+        passes = max(epochs, -(-min_steps // batches))
         for i in range(passes):
-            for part in np.array_split(rng.permutation(len(rows)), parts):
-                _step(net, gradients(net, w, rows[part], y[part], weight[part])[1], rate * (1 - 0.9 * i / passes))
-        looks = np.concatenate([net.logits(w, np.arange(i, min(i + 4096, n))) for i in range(0, n, 4096)])
+            for some in np.array_split(rng.permutation(len(rows)), batches):
+                _step(net, gradients(net, w, rows[some], y[some], weight[some])[1], rate * (1 - 0.9 * i / passes))
+        looks = np.concatenate([net.logits(part) for part in parts])
     # Calibration of document logits, classes weighted to the assumed share.
     z = np.full(len(toxic), -np.inf)
     np.maximum.at(z, w.owner, looks)
