@@ -32,6 +32,8 @@ HEADLINE = [
     "merge_transfers",        # six left joins + surrogate keys
     "trip_runtime",           # geometry: densify + project stops
     "arrivals_from_positions",  # raw coordinates to arrivals
+    "project_along",          # projection alone
+    "stream_arrivals",        # keyed state over ordered micro-batches
     "latest_positions",
     "federated_sql",
 ]
