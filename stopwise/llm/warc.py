@@ -32,7 +32,6 @@ from .shared import scratch, stored
 MAGIC = "WARC/1.1\r\n"
 MIN_REVISIT = 1000
 RECORDS_PER_FILE = 20_000
-WIDE_ROWS = 100_000         # record heads (some hundred bytes each) up to this many are broadcast
 
 
 def records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
@@ -70,17 +69,26 @@ def write_archives(recs: DataFrame, path: str | None = None) -> str:
     return path
 
 
+def _head(name: str) -> Column:
+    found = F.regexp_extract(F.col("head"), rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
+    return F.when(found != "", found)
+
+
 def pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(at, value) and (at, file, file_size, off, head) of what follows each magic, up to the next one.
+    """(at, value) and (at, file, file_size, off, head_bytes, length) of what follows each magic, up to the next one.
 
-    ``off`` is the magic's byte offset, ``head`` the text up to the first blank line (null
-    without one). Bytes before a file's first magic belong to no record. The payloads are
-    stored once; everything else works on the narrow table."""
+    ``off`` is the magic's byte offset; ``head_bytes`` and the declared ``length`` are null where
+    the piece does not parse as a record head. Bytes before a file's first magic belong to no
+    record. The payloads are stored once; everything else works on the narrow columns."""
     # The reader yields, per split and in file order, what lies between two magics.
+    head = F.when(F.instr("value", "\r\n\r\n") > 0, F.substring_index("value", "\r\n\r\n", 1))
+    size = _head("Content-Length")
+    valid = size.rlike("^[0-9]{1,15}$") & _head("WARC-Type").isNotNull()
     raw = (spark.read.option("lineSep", MAGIC).text(path)
            .select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("_metadata.file_size").alias("file_size"),
-                   F.monotonically_increasing_id().alias("at"), F.octet_length("value").cast("long").alias("n"),
-                   F.when(F.instr("value", "\r\n\r\n") > 0, F.substring_index("value", "\r\n\r\n", 1)).alias("head"), "value"))
+                   F.monotonically_increasing_id().alias("at"), "value").withColumn("head", head)
+           .select("file", "split", "file_size", "at", F.octet_length("value").cast("long").alias("n"),
+                   F.when(valid, F.octet_length("head")).cast("int").alias("head_bytes"), F.when(valid, size.cast("long")).alias("length"), "value"))
     raw = stored(raw, "warc-pieces", compression="zstd")
     step = F.lit(len(MAGIC))
     slim = raw.drop("value")
@@ -91,21 +99,13 @@ def pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     # The text of piece i starts after the magic that ends piece i - 1.
     offs = (slim.withColumn("up", F.coalesce(F.sum(F.col("n") + step).over(inside), F.lit(0))).join(bases, ["file", "split"])
             .withColumn("start", F.col("base") + F.col("up")).where("start > 0"))
-    return raw.select("at", "value"), stored(offs.select("at", "file", "file_size", (F.col("start") - step).alias("off"), "head"), "warc-offsets")
-
-
-def _head(name: str) -> Column:
-    found = F.regexp_extract(F.col("head"), rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
-    return F.when(found != "", found)
+    return raw.select("at", "value"), stored(offs.select("at", "file", "file_size", (F.col("start") - step).alias("off"), "head_bytes", "length"), "warc-offsets")
 
 
 def candidates(offsets: DataFrame) -> DataFrame:
     """Pieces that parse as record heads, with the successor offset their length declares."""
-    size = _head("Content-Length")
-    c = offsets.where(F.col("head").isNotNull() & size.rlike("^[0-9]{1,15}$") & _head("WARC-Type").isNotNull())
-    body = F.col("off") + len(MAGIC) + F.octet_length("head") + 4
-    return (c.withColumn("length", size.cast("long")).withColumn("body", body.cast("long")).withColumn("succ", F.col("body") + F.col("length") + 4)
-            .where("succ <= file_size"))
+    succ = F.col("off") + len(MAGIC) + F.col("head_bytes") + 4 + F.col("length") + 4
+    return offsets.where("length is not null").withColumn("succ", succ).where("succ <= file_size")
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, record_type, refers_to, url, payload, declared_digest, declared_bytes) of every record on a chain."""
     raw, offsets = pieces(spark, path)
     found = stored(candidates(offsets), "warc-candidates")
-    on = stored(found.join(reachable(found.select("file", "off", "succ")), ["file", "off"], "left_semi"), "warc-records")
+    on = stored(found.join(reachable(found.select("file", "off", "succ")), ["file", "off"], "left_semi").select("at", "head_bytes", "length"), "warc-records")
     # Most records are one piece; a payload that holds the magic has more, which follow in offset order.
     order = Window.partitionBy("file").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
     owner = (offsets.select("at", "file", "off").join(on.select("at", F.col("at").alias("own")), "at", "left")
@@ -140,10 +140,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     owner = stored(owner.select("at", "off", "own"), "warc-owners")
     rest = (raw.join(linking.bounded(owner), "at").groupBy("own")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "value"))), lambda s: F.concat(F.lit(MAGIC), s["value"])), "").alias("rest")))
-    whole = raw.join(linking.bounded(on, WIDE_ROWS), "at").join(rest, F.col("at") == F.col("own"), "left") if not owner.isEmpty() else (
-        raw.join(linking.bounded(on, WIDE_ROWS), "at").withColumn("rest", F.lit("")))
+    whole = raw.join(linking.bounded(on), "at").join(rest, F.col("at") == F.col("own"), "left") if not owner.isEmpty() else (
+        raw.join(linking.bounded(on), "at").withColumn("rest", F.lit("")))
+    whole = whole.withColumn("head", F.substring_index("value", "\r\n\r\n", 1))
     tail = F.concat(F.col("value"), F.coalesce("rest", F.lit(""))).cast("binary")
-    payload = F.substring(tail, (F.octet_length("head") + 5).cast("int"), F.col("length").cast("int"))
+    payload = F.substring(tail, F.col("head_bytes") + 5, F.col("length").cast("int"))
     page = lambda name: F.regexp_extract(_head(name), r"<urn:page:(-?\d+)>", 1).cast("long")
     return whole.select(page("WARC-Record-ID").alias("page_id"), _head("WARC-Type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"),
                         _head("WARC-Target-URI").alias("url"), payload.alias("payload"),
