@@ -36,8 +36,8 @@ SHAPES = ((1.5, 1.0, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
 
 
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc_id, source, size) of every document, stored: later passes read no texts."""
-    return stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+    """(doc_id, row, source, size) of every document, stored: later passes read no texts. ``row`` is unique."""
+    return stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(source_col).cast("string").alias("source"),
                               F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sizes")
 
 
@@ -105,21 +105,27 @@ def placed(sizes: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFrame:
     upto = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (joined.groupBy("place", "bucket").agg(F.sum("size").alias("words"))
               .withColumn("base", F.coalesce(F.sum("words").over(upto), F.lit(0))).drop("words"))
-    inside = Window.partitionBy("place", "bucket").orderBy("lot", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("place", "bucket").orderBy("lot", "size", "doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     wanted = F.floor("target")
     copy = lambda c: F.greatest(F.lit(0), F.least(F.col("size"), wanted - (F.col("start") + c * F.col("source_size"))))
     return joined.join(starts, ["place", "bucket"]).withColumn("start", start).withColumn("gives", F.array(*[copy(c).cast("long") for c in range(cap)]))
 
 
-def taken(placed_docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken): words the mix takes of each document, repeats counted."""
-    return placed_docs.select("doc_id", "size", "source_size", "target", F.aggregate("gives", F.lit(0).cast("long"), lambda a, x: a + x).alias("taken"))
-
-
 def copies(placed_docs: DataFrame) -> DataFrame:
-    """(doc_id, copy, words, position): one row per copy that gives words, range-sorted by training position."""
-    rows = placed_docs.select("doc_id", "size", "start", "source_size", "target", "curve", "demand", F.posexplode("gives").alias("copy", "words")).where("words > 0")
+    """(doc_id, row, copy, size, words, position): one row per copy that gives words, range-sorted by training position."""
+    rows = placed_docs.select("doc_id", "row", "size", "start", "source_size", "target", "curve", "demand", F.posexplode("gives").alias("copy", "words")).where("words > 0")
     share = (F.col("start") + F.col("copy") * F.col("source_size")) / F.col("target")
-    return (rows.select("doc_id", "copy", "size", "words", time_of(share, F.col("curve"), F.col("demand")).alias("position"))
+    return (rows.select("doc_id", "row", "copy", "size", "words", time_of(share, F.col("curve"), F.col("demand")).alias("position"))
             .repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id", "copy"))
+
+
+def taken(placed_docs: DataFrame) -> DataFrame:
+    """(doc_id, size, source_size, target, taken): words that the scheduled copies take of each document, repeats counted.
+
+    The schedule (``copies``) is written out, positions and order included; a document that no
+    copy takes has 0. Rows meet their copies by ``row``, so null and repeated ids are safe."""
+    docs = stored(placed_docs, "placed")
+    per_row = stored(copies(docs), "copies").groupBy("row").agg(F.sum("words").alias("taken"))
+    return (docs.select("row", "doc_id", "size", "source_size", "target").join(per_row, "row", "left")
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))

@@ -37,6 +37,23 @@ def test_mix_meets_targets(spark, monkeypatch):
     assert sum(w for _, w in order) == sum(r.taken for r in got)
 
 
+def test_taken_words_are_those_of_the_scheduled_copies(spark, monkeypatch):
+    """What ``taken`` gives follows the positioned copies, row by row for null and repeated ids."""
+    rows = [(i if i % 4 else None, "w " * (i % 5 + 1), "en", f"s{i % 3}") for i in range(60)] + [(7, "a b", "de", "s1")] * 3
+    sizes = curriculum.document_sizes(table(spark, rows))
+    placed = curriculum.stored(curriculum.placed(sizes, curriculum.source_weights(sizes)), "placed")
+    whole = curriculum.copies
+    monkeypatch.setattr(curriculum, "copies", lambda p: whole(p).where("position < 0.5"))
+    want = {}
+    for r in whole(placed).collect():
+        if r.position < 0.5:
+            want[r.row] = want.get(r.row, 0) + r.words
+    got = curriculum.taken(placed).collect()
+    want = [(r.doc_id or -1, r["size"], want.get(r.row, 0)) for r in placed.collect()]
+    assert sorted((r.doc_id or -1, r["size"], r.taken) for r in got) == sorted(want)
+    assert any(t == 0 for *_, t in want) and any(t > 0 for *_, t in want)
+
+
 def test_positions_follow_the_schedule(spark):
     """An early source's copies lie before a late one's, by the integral of the weights."""
     from pyspark.sql import functions as F
