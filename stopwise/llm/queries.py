@@ -27,7 +27,7 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_join.near_classes(documents(spark, sf_dir), 3, near_join.Threshold(90, 100)).drop("key")
+    return near_join.near_classes(documents(spark, sf_dir), 3, near_join.Threshold(90, 100)).drop("key", "component")
 
 
 def op4_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

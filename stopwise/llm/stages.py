@@ -37,8 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     docs = keyed(docs)
     near = stored(near_join.near_classes(docs, 5, near_join.Threshold(80, 100), key_col=KEY).where("n_shingles > 0"), "near")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    groups = near.groupBy("component_id").agg(first.alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    dropped = stored(near.join(groups, near.component_id.eqNullSafe(groups.component_id)).where("key <> first.key")
+    groups = near.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    dropped = stored(near.join(groups, "component").where("key <> first.key")
                      .select(F.col("key").alias(KEY)).distinct(), "dropped")
     twice = stored(near.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias(KEY)), "repeated")
     kept = docs.join(linking.bounded(dropped), KEY, "left_anti")

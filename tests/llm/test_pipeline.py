@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from stopwise.llm import stages
 
@@ -33,3 +35,23 @@ def test_stages_on_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
         stage(spark, docs, SF_SMALL).collect()
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    """Groups are those of the texts, whatever the ids: one row of each is left, that with the smallest id (null last)."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(40):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(60)]
+        for _ in range(rng.choice((1, 1, 2, 3))):
+            text = list(base)
+            if rng.random() < 0.7:
+                text[-1] = f"x{rng.randrange(10**6)}"      # 55 of 57 shingles are common
+            rows.append((rng.choice((None, None, 1, 2, g)), " ".join(text), "en", "a", 1, str(g)))
+    rows.append((1, rows[0][1], "en", "a", 1, "0"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = stages.drop_near_copies(spark, docs, SF_SMALL).collect()
+    want = {}
+    for i, _, _, _, _, g in rows:
+        want[g] = min(want.get(g, (True, 0)), (i is None, i or 0))
+    assert sorted((r.row, (r.doc_id is None, r.doc_id or 0)) for r in left) == sorted(want.items())
