@@ -1,8 +1,7 @@
 """Fuzzy line de-duplication by MinHash, with DataFrame operations only.
 
-A line's set holds its character shingles: the ``SHINGLE`` code points (fewer at the end of
-the line) that start at each word, in lower case. Shingles anchored at word starts move with
-the text, as all shingles do, at a sixth of their number. Lines that are equal, letter case
+A line's set holds its character shingles: the ``SHINGLE`` code points that start at each
+position, in lower case; a shorter line is one shingle. Lines that are equal, letter case
 aside, are one node. Every node has ``BANDS * ROWS`` minima, each of its shingle hashes under
 another random bit flip; nodes that agree on a band are candidates. At similarity 0.8 a pair
 agrees on at least one of 10 bands of 3 with probability 0.9992. Pairs that must differ in too
@@ -32,7 +31,10 @@ SHINGLE = 12
 BANDS, ROWS = 10, 3
 SKETCH_WORDS = 4         # a power of two
 WORD = r"[^\x20\x09-\x0D]"
-PIECES = rf"(?s)(?<!{WORD})(?=({WORD}.{{0,{SHINGLE - 1}}}))"
+# A line is read in stretches of STRETCH shingle starts, each with the code points its last
+# shingle reaches: finding a position walks the text, so it must not start at the line's head.
+STRETCH = 32
+STRETCHES = rf"(?s)(?=(\A.{{1,{STRETCH + SHINGLE - 1}}}|.{{{SHINGLE},{STRETCH + SHINGLE - 1}}})).{{1,{STRETCH}}}"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -46,6 +48,14 @@ def _node() -> Column:
     return F.xxhash64("line")
 
 
+def shingle_hashes(lines: DataFrame) -> DataFrame:
+    """(node, h): a row per shingle of every line, repeats included."""
+    parts = lines.select(_node().alias("node"), F.explode(F.regexp_extract_all("line", F.lit(STRETCHES), F.lit(1))).alias("part"))
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length("part") - (SHINGLE - 1), F.lit(1)))
+    return (parts.select("node", "part", F.explode(starts).alias("at"))
+            .select("node", F.xxhash64(F.substring("part", F.col("at"), F.lit(SHINGLE))).alias("h")))
+
+
 def _flips() -> list[int]:
     """Fixed pseudo-random 32-bit numbers, one per minimum."""
     x, out = 0x2545F491, []
@@ -57,8 +67,7 @@ def _flips() -> list[int]:
 
 def band_rows(lines: DataFrame) -> DataFrame:
     """(sig, node, meta): one row per band of every distinct line."""
-    one = lines.select(_node().alias("node"), F.explode(F.regexp_extract_all("line", F.lit(PIECES), F.lit(1))).alias("s")).select(
-        "node", F.shiftrightunsigned(F.xxhash64("s"), 32).alias("h"))
+    one = shingle_hashes(lines).select("node", F.shiftrightunsigned("h", 32).alias("h"))
     minima = one.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(f).cast("long"))).alias(f"m{i}") for i, f in enumerate(_flips())])
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
     return minima.select(F.explode(bands).alias("sig"), "node", F.lit(0).cast("long").alias("meta"))
@@ -70,9 +79,8 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
 
     def items(nodes: DataFrame) -> DataFrame:
         ids = linking.bounded(stored(nodes, "line-ids"))
-        pieces = F.regexp_extract_all("line", F.lit(PIECES), F.lit(1))
-        return (lines.select(_node().alias("node"), "line").join(ids, "node", "left_semi")
-                .select("node", F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))).alias("items")).dropDuplicates(["node"]))
+        chosen = lines.withColumn("node", _node()).join(ids, "node", "left_semi").dropDuplicates(["node"])
+        return shingle_hashes(chosen).groupBy("node").agg(F.collect_set("h").alias("items"))
 
     def verify(pairs: DataFrame, known: DataFrame) -> DataFrame:
         content = stored(items(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "line-sets")

@@ -53,6 +53,39 @@ def test_fuzzy_lines_equal_brute_force(spark):
     assert cut[900] is None and "Common LINE here" in cut[0] and "Common LINE here" not in cut[1]
 
 
+def full_shingles(line):
+    low = line.lower()
+    return {low[i: i + line_dedup.SHINGLE] for i in range(max(len(low) - line_dedup.SHINGLE + 1, 1))}
+
+
+def test_fuzzy_lines_equal_brute_force_on_every_position(spark):
+    """Lines without spaces, long words and code points beyond 16 bits, compared beyond their first 12 code points."""
+    rng = random.Random(8)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    texts = ["https://example.com/a", "https://example.com/b", "2024-01-01T00:00:01", "2024-01-01T00:00:02", "\U0001F600" * 30 + "x", "\U0001F600" * 30 + "y"]
+    for chars, n in (("0123456789abcdef", 64), ("的一是在不了有和人这中大为上个国我以要他時來用們", 150), ("ab\U00020000\U00020001 ", 90), ("abcdefgh", 400)):
+        for _ in range(5):
+            base = draw(chars, n)
+            texts += [base, base[:12] + draw(chars, n - 12).rstrip() + "a", base[: n - 4] + draw("xyz", 4), base[: n // 2] + "Q" + base[n // 2:]]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(900, "short"), (901, "SHORT"), (902, "x" * 11), (903, "x" * 12), (904, "x" * 13)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.first_doc_id for r in line_dedup.fuzzy_lines(df).collect()}
+    sets = [full_shingles(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a in range(len(docs)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if 10 * common >= 8 * (len(sets[a]) + len(sets[b]) - common):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert got == {i: docs[root(x)][0] for x, (i, _) in enumerate(docs)}
+    assert (got[2], got[3]) == (2, 3)
+
+
 def test_no_lines(spark):
     assert line_dedup.fuzzy_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
