@@ -17,7 +17,8 @@ Test items travel in blocks of at most ``block_words`` words, so what reaches a
 once does not grow with the number of items; every block meets every segment.
 
 Defined results: a null or empty text has no tokens (it is in the document table with 0
-words and never hit); an item without words has no window; equal rows are each judged
+words and never hit); an item without words has no window; items without an id hit like
+others and count together as one unnamed item of ``n_items``, not of ``items``; equal rows are each judged
 on their own; extra columns of either input are ignored.
 """
 
@@ -206,7 +207,7 @@ def test_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int =
             for c, h, counts in _words(b.column("text")):
                 cut = np.concatenate([[0], np.cumsum(counts)])
                 for i in range(c.n):
-                    if not counts[i] or not b.column("item_id")[c.lo + i].is_valid:
+                    if not counts[i]:
                         continue
                     if ids and sum(map(len, words)) + counts[i] > block_words:
                         yield block()
@@ -274,7 +275,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, slop: int, id_col: str
 
 
 def contamination(index: DataFrame, matches: DataFrame) -> DataFrame:
-    """Per document row: n_words, n_hit (words inside any match), items (distinct, sorted), contaminated."""
+    """Per document row: n_words, n_hit (words inside any match), items (distinct, sorted), n_items (one more if an item without an id matches), contaminated."""
     docs = index.select(F.explode(F.arrays_zip("doc_rows", "doc_ids", "doc_words")).alias("d")).select(
         F.col("d.doc_rows").alias("row"), F.col("d.doc_ids").alias("doc_id"), F.col("d.doc_words").cast("long").alias("n_words"))
     matches = stored(matches, "phrase-matches")
@@ -282,8 +283,10 @@ def contamination(index: DataFrame, matches: DataFrame) -> DataFrame:
     spans = matches.select("row", "first_word", "end_word").distinct()
     hits = (spans.withColumn("seen", F.coalesce(F.max("end_word").over(by_row), F.lit(0)))
             .groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("end_word") - F.greatest("first_word", "seen"))).alias("n_hit")))
-    named = matches.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    named = matches.groupBy("row").agg(
+        F.array_sort(F.collect_set("item_id")).alias("items"), F.max(F.col("item_id").isNull().cast("long")).alias("unnamed"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     return (docs.join(hits.join(named, "row"), "row", "left")
-            .select("row", "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+            .select("row", "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                    (F.size(F.coalesce("items", F.array().cast("array<string>"))).cast("long") + F.coalesce("unnamed", F.lit(0).cast("long"))).alias("n_items"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))))

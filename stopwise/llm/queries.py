@@ -58,7 +58,7 @@ def op8_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = phrase_index.build_index(documents(spark, sf_dir))
     found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
     return phrase_index.contamination(index, found).select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 

@@ -35,6 +35,14 @@ def test_contamination_equals_brute_force(spark, monkeypatch):
         assert got == want
 
 
+def test_items_without_id_hit(spark):
+    d = spark.createDataFrame([(1, "a b c"), (2, "x y"), (3, "a b y"), (4, "z")], "doc_id long, text string")
+    b = spark.createDataFrame([(None, "a b"), (None, "b c"), (7, "y")], "item_id long, text string")
+    index = phrase_index.build_index(d)
+    got = sorted((r.doc_id, r.n_hit, r["items"], r.n_items, r.contaminated) for r in phrase_index.contamination(index, phrase_index.phrase_matches(index, b)).collect())
+    assert got == [(1, 3, [], 1, True), (2, 1, ["7"], 1, True), (3, 3, ["7"], 2, True), (4, 0, [], 0, False)]
+
+
 def test_proximity(spark):
     docs = [(1, "alpha x x beta"), (2, "beta alpha"), (3, "alpha " + "x " * 9 + "beta"), (4, "alpha"), (5, "beta")]
     d = spark.createDataFrame(docs, "doc_id long, text string")
