@@ -205,12 +205,13 @@ def sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
 
 def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None, id_col: str = "doc_id",
                  text_col: str = "text", key_col: str | None = None) -> DataFrame:
-    """(key, doc_id, n_shingles, component, component_id, n_links) of every row of ``docs``.
+    """(key, doc_id, n_shingles, component, component_id, n_tree_links) of every row of ``docs``.
 
     ``key_col`` names a column that finds a row's text again (the id by default).
     ``component`` names the component (null without words), also where ids are null or repeated;
     ``component_id`` is the smallest doc_id reachable by links (its own without words);
-    ``n_links`` counts the verified links of the row's class that were needed to connect it."""
+    ``n_tree_links`` counts the verified links of the row's class that were tested to connect it,
+    not all links it has."""
     t = threshold or Threshold()
     ship_package(docs.sparkSession)
     key_col = key_col or id_col
@@ -326,8 +327,8 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
     label = linking.components(links)
     grouped = named.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    found = grouped.join(least, "component").join(degree, "node", "left").select("n", "k1", "k2", "component", "component_id", "n_links")
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_tree_links"))
+    found = grouped.join(least, "component").join(degree, "node", "left").select("n", "k1", "k2", "component", "component_id", "n_tree_links")
     return (sets.join(found, ["n", "k1", "k2"], "left")
             .select("key", "doc_id", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    F.coalesce("n_tree_links", F.lit(0)).cast("long").alias("n_tree_links")))

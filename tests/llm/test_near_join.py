@@ -110,6 +110,13 @@ def test_empty_table_and_nulls(spark):
     assert got == [(-1, 2, 5), (-1, 2, 5), (5, 2, 5), (6, 0, 6), (6, 0, 6)]
 
 
+def test_link_counts_are_named_for_the_tree(spark):
+    df = spark.createDataFrame([(1, "a b c d", 0), (2, "x y z", 0)], SCHEMA)
+    got = near_join.near_classes(df)
+    assert got.columns == ["key", "doc_id", "n_shingles", "component", "component_id", "n_tree_links"]
+    assert [r.n_tree_links for r in got.collect()] == [0, 0]
+
+
 def test_hub_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (3, 20), (30, 20), (40, 41)]
     got = {r.node: r.component for r in linking.components(spark.createDataFrame(links, "a long, b long")).collect()}
