@@ -58,3 +58,30 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
   CASE WHEN top IS NOT NULL AND (page_id IS NULL OR page_id < top) THEN top END AS refers_to
 FROM p LEFT JOIN g ON p.digest = g.digest
 """
+
+
+def cover_lloyd(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Plain Lloyd on whole numbers, one pair of CTEs per round."""
+    sql = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS rid, vec_id, label, [CAST(floor({scale} * x) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0)""",
+           f"""comps AS MATERIALIZED (
+  SELECT rid, (i - 1) // (n // {parts}) AS part, (i - 1) % (n // {parts}) AS pos, x
+  FROM (SELECT rid, len(v) AS n, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM kept))""",
+           f"book0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, pos, x FROM comps WHERE rid <= {entries})"]
+    for k in range(rounds + 1):
+        sql.append(f"""near{k} AS MATERIALIZED (
+  SELECT rid, part, min((e, entry)) AS best FROM (
+    SELECT c.rid, c.part, b.entry, sum((c.x - b.x) * (c.x - b.x)) AS e FROM comps c JOIN book{k} b USING (part, pos) GROUP BY ALL) GROUP BY ALL)""")
+        if k < rounds:
+            sql.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN (
+    SELECT part, entry, pos, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (
+      SELECT n.part, n.best[2] AS entry, c.pos, sum(c.x) AS s, count(*) AS n FROM near{k} n JOIN comps c USING (rid, part) GROUP BY ALL)) m
+  USING (part, entry, pos))""")
+    sql.append(f"""coded AS MATERIALIZED (
+  SELECT rid, string_agg(printf('%02x', CAST(best[2] AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM near{rounds} GROUP BY rid)""")
+    return "WITH " + ",\n".join(sql) + f"""
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM kept k JOIN coded c USING (rid)"""
