@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_lloyd, curriculum, kd_shards, line_dedup, near_join, oracles, phrase_index, quality, token_links, token_trie, toxicity, warc, weak_rules
+from . import cover_lloyd, curriculum, kd_shards, line_dedup, near_join, oracles, phrase_index, quality, secret_crf, token_links, token_trie, toxicity, warc, weak_rules
 from .shared import crc_fold, documents, labels, ship_package, table_path
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"      # public vocabularies, read where they are
@@ -72,6 +72,11 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secret_crf.digest(secret_crf.find_secrets(docs, secret_crf.train(docs)))
+
+
 def op12_token_links(spark: SparkSession, sf_dir: str, a_file: str = BYTE_FILE, b_file: str = MODEL_FILE) -> DataFrame:
     return token_links.link_statistics(token_links.align_documents(documents(spark, sf_dir), a_file, b_file), a_file, b_file)
 
@@ -83,7 +88,7 @@ def op13_cover_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_quality_discriminant, op2_curriculum_mix, op3_near_join, op4_weak_rules, op5_warc_chain, op6_fuzzy_lines, op7_gru_toxicity,
-                                                   op8_phrase_decontamination, op9_token_trie, op10_kd_shards, op12_token_links,
+                                                   op8_phrase_decontamination, op9_token_trie, op10_kd_shards, op11_secret_crf, op12_token_links,
                                                    op13_cover_lloyd)}
 ORACLES: dict[str, str] = {
     "op2_curriculum_mix": oracles.CURRICULUM,
