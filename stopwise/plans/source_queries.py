@@ -73,22 +73,97 @@ _LOAD_FX = ("fx_agency", "fx_routes", "fx_stops", "fx_calendar", "fx_shapes", "f
             "fx_frequencies", "fx_transfers")
 
 
-@register("gtfs_static_load", with_fx(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(count(DISTINCT {k}) AS BIGINT) AS keys "
-    f"FROM fx_{t}" for t, k in (("agency", "agency_id"), ("routes", "route_id"), ("stops", "stop_id"),
-                                ("calendar", "service_id"), ("shapes", "shape_id"), ("trips", "trip_id"),
-                                ("stop_times", "trip_id"), ("frequencies", "trip_id"), ("transfers", "from_stop_id"))),
-    *_LOAD_FX))
+def _clock(seconds):
+    """``h:mm:ss`` of seconds since midnight, hours past 24 included."""
+    return F.format_string("%d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60)
+
+
+def _land_feed(spark, sf_dir, root):
+    """The fixture tables as GTFS files in the shapes feeds come in: columns in any order, missing and unknown ones, a byte
+    order mark, values with quotes and line breaks, files with different headers, rows that do not fit."""
+    t = _gtfs_tables(spark, sf_dir)
+
+    def number(c):
+        return F.substring(c, 2, 20).cast("long")
+
+    def write(name, df, mode="errorifexists"):
+        df.write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/{name}.txt")
+
+    write("agency", t["agency"].select("agency_name", F.concat(F.lit("logo-"), "agency_id").alias("agency_logo"), "agency_id"))
+    write("routes", t["routes"].select("route_type", "route_short_name", "route_id", "agency_id"))
+    k = number("stop_id")
+    write("stops", t["stops"].select(
+        F.when(k % 50 == 49, F.lit("north")).otherwise(F.col("stop_lat").cast("string")).alias("\ufeffstop_lat"), "parent_station",
+        F.when(k % 3 == 0, F.concat("stop_name", F.lit(' "'), "stop_id", F.lit('",\n\nnext line'))).otherwise(F.col("stop_name")).alias("Stop_Name"),
+        "stop_id", "stop_lon"))
+    write("calendar", t["calendar"].select(F.lit("20240101").alias("start_date"), "service_id"))
+    odd = number("shape_id") % 2 == 1
+    write("shapes", t["shapes"].where(odd).select("shape_pt_lon", "shape_id", "shape_pt_lat", "shape_pt_sequence"))
+    write("shapes", t["shapes"].where(~odd).select("shape_pt_sequence", "shape_pt_lat", "shape_pt_lon", "shape_id"), "append")
+    write("trips", t["trips"].select("shape_id", "trip_id", "service_id", "route_id"))
+    n = number("trip_id")
+    sequence = F.col("stop_sequence").cast("string")
+    write("stop_times", t["stop_times"].select(
+        "stop_id", _clock(F.col("arrival_seconds") + 21600).alias("arrival_time"),
+        F.when((n % 40 == 0) & (F.col("stop_sequence") == 2), F.concat(sequence, F.lit("nd"))).otherwise(sequence).alias("stop_sequence"), "trip_id"))
+    write("frequencies", t["frequencies"].select(
+        F.when(n % 100 == 7, F.lit("often")).otherwise(F.col("headway_secs").cast("string")).alias("headway_secs"),
+        F.when(n % 100 == 8, F.lit("6 am")).otherwise(_clock(F.lit(90060) + n % 60)).alias("start_time"), "trip_id"))
+    write("transfers", t["transfers"].select("to_trip_id", "to_route_id", "to_stop_id", "from_trip_id", "from_route_id", "from_stop_id"))
+
+
+# What the loaded columns hold, as SQL over the fixture tables; columns that are not named are null.
+_LOADED = {
+    "agency": {"agency_id": "agency_id", "agency_name": "agency_name"},
+    "routes": {c: c for c in ("route_id", "agency_id", "route_short_name", "route_type")},
+    "stops": {"stop_id": "stop_id", "stop_lat": "stop_lat", "stop_lon": "stop_lon", "parent_station": "parent_station",
+              "stop_name": """CASE WHEN CAST(substr(stop_id, 2) AS BIGINT) % 3 = 0 THEN stop_name || ' "' || stop_id || '",' || chr(10) || chr(10) || 'next line' ELSE stop_name END"""},
+    "calendar": {"service_id": "service_id", "start_date": "'20240101'"},
+    "shapes": {"shape_id": "shape_id", "shape_pt_lat": "lat", "shape_pt_lon": "lon", "shape_pt_sequence": "shape_pt_sequence"},
+    "trips": {c: c for c in ("route_id", "service_id", "trip_id", "shape_id")},
+    "stop_times": {"trip_id": "trip_id", "stop_id": "stop_id", "stop_sequence": "stop_sequence", "arrival_seconds": "arrival_seconds + 21600",
+                   "arrival_time": "printf('%d:%02d:%02d', (arrival_seconds + 21600) // 3600, (arrival_seconds + 21600) // 60 % 60, (arrival_seconds + 21600) % 60)"},
+    "frequencies": {"trip_id": "trip_id", "headway_secs": "headway_secs", "start_time": "'25:01:' || lpad(CAST(CAST(substr(trip_id, 2) AS BIGINT) % 60 AS VARCHAR), 2, '0')",
+                    "start_seconds": "90060 + CAST(substr(trip_id, 2) AS BIGINT) % 60"},
+    "transfers": {c: c for c in ("from_stop_id", "to_stop_id", "from_route_id", "to_route_id", "from_trip_id", "to_trip_id")},
+}
+_MISFIT = {"stops": {"stop_lat": "CAST(substr(stop_id, 2) AS BIGINT) % 50 = 49"},
+           "stop_times": {"stop_sequence": "CAST(substr(trip_id, 2) AS BIGINT) % 40 = 0 AND stop_sequence = 2"},
+           "frequencies": {"headway_secs": "CAST(substr(trip_id, 2) AS BIGINT) % 100 = 7",
+                           "start_time": "CAST(substr(trip_id, 2) AS BIGINT) % 100 = 8"}}
+
+
+def _loaded_columns(table):
+    return [(c, k == gl.D) for c, k in gl.SCHEMAS[table]] + [(c, False) for c in gl.TIMES.get(table, {}).values()]
+
+
+def _loaded_sql():
+    parts = []
+    for t, columns in _LOADED.items():
+        cells = []
+        for c, real in _loaded_columns(t):
+            x = columns.get(c, "NULL")
+            cells.append(f"coalesce(CAST({f'CAST({x} * 1048576 AS BIGINT)' if real else x} AS VARCHAR), '-')")
+        fits = " AND ".join(f"NOT ({m})" for m in _MISFIT.get(t, {}).values()) or "TRUE"
+        parts.append(f"SELECT '{t}' AS table_name, {f' || chr(124) || '.join(cells)} AS content FROM fx_{t} WHERE {fits}")
+        parts += [f"SELECT 'rejects' AS table_name, '{t}.{c}=' || CAST(count(*) AS VARCHAR) AS content FROM fx_{t} WHERE {m} HAVING count(*) > 0" for c, m in _MISFIT.get(t, {}).items()]
+    parts.append("SELECT 'extra' AS table_name, agency_id || '=logo-' || agency_id AS content FROM fx_agency")
+    return " UNION ALL ".join(parts)
+
+
+@register("gtfs_static_load", with_fx(_loaded_sql(), *_LOAD_FX))
 def q_gtfs_static_load(spark, sf_dir):
-    """Write the fixture tables as GTFS text files, load them back with explicit schemas."""
+    """GTFS files read by header name: every column of every row, rejected rows counted per column, unknown columns apart."""
     root = runner.run_dir(spark, "gtfs")
-    gl.write_gtfs(_gtfs_tables(spark, sf_dir), root)
-    t = gl.load_gtfs(spark, root)
-    keys = {"agency": "agency_id", "routes": "route_id", "stops": "stop_id", "calendar": "service_id",
-            "shapes": "shape_id", "trips": "trip_id", "stop_times": "trip_id", "frequencies": "trip_id",
-            "transfers": "from_stop_id"}
-    parts = [t[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
-                      F.countDistinct(k).alias("keys")) for n, k in keys.items()]
+    _land_feed(spark, sf_dir, root)
+    feed = gl.read_feed(spark, root)
+    parts = []
+    for t in _LOADED:
+        cells = [F.coalesce((F.floor(F.col(c) * 1048576) if real else F.col(c)).cast("string"), F.lit("-")) for c, real in _loaded_columns(t)]
+        parts.append(feed.tables[t].select(F.lit(t).alias("table_name"), F.concat_ws("|", *cells).alias("content")))
+    report = feed.reject_report().groupBy("table_name", "column").agg(F.sum("rows").alias("n"))
+    parts.append(report.select(F.lit("rejects").alias("table_name"), F.concat("table_name", F.lit("."), "column", F.lit("="), F.col("n").cast("string")).alias("content")))
+    parts.append(feed.extras["agency"].select(F.lit("extra").alias("table_name"), F.concat("agency_id", F.lit("="), F.col("extra")["agency_logo"]).alias("content")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)

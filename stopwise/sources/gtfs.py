@@ -1,17 +1,32 @@
 """Static GTFS tables: load the ``*.txt`` CSV files of a feed folder into typed DataFrames.
 
-Known file names are read with explicit schemas (no inference); unknown files are
-ignored. ``require_dependencies`` fails when a table that another loaded table
+*Columns by name.* GTFS fixes column names, not their order. Every file's own header line says
+which column is which: known names become typed columns wherever they stand, missing ones are null,
+unknown ones are kept apart (``Loaded.extras``). Files of one table may have different headers.
+
+*Records.* A quoted value may hold line breaks. Files are read as lines, in splits; a line begins
+a record when the quotes before it in its file are even in number. One summary row per split
+(how many lines of it hold an odd number) carries that parity across splits, so a file of any size
+is read by many tasks, and only the pieces of broken records are shuffled. Files whose lines are
+all balanced skip this.
+
+*Rejects.* A row that does not fit (too few or too many values, an unbalanced quote, a value that is no
+number, time or date, a missing key; an empty value is null, quoted or not) leaves the table and is kept with the columns that do not fit and its text
+(``Loaded.rejects``). Times of day may pass 24:00:00 and come as seconds besides the text.
+
+Unknown files are ignored. ``require_dependencies`` fails when a table that another loaded table
 refers to is missing, and ``orphan_report`` counts dangling foreign keys per relation
 with anti joins.
 """
 
 from __future__ import annotations
 
+import csv
 import os
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,24 +101,173 @@ def check_dependencies(present: set[str]) -> list[str]:
     return problems
 
 
-def load_gtfs(spark: SparkSession, folder: str, require_dependencies: bool = True) -> dict[str, DataFrame]:
-    """Typed DataFrames for the known GTFS files of ``folder``; other files are ignored.
+# Columns that hold a time of day (h:mm:ss, also past 24 h) or a date (yyyymmdd), and each table's key.
+TIMES = {"stop_times": {"arrival_time": "arrival_seconds", "departure_time": "departure_seconds"},
+         "frequencies": {"start_time": "start_seconds", "end_time": "end_seconds"}}
+DATES = {"calendar": ["start_date", "end_date"], "calendar_dates": ["date"], "feed_info": ["feed_start_date", "feed_end_date"]}
+KEYS = {"routes": "route_id", "stops": "stop_id", "calendar": "service_id", "calendar_dates": "service_id", "shapes": "shape_id",
+        "trips": "trip_id", "stop_times": "trip_id", "frequencies": "trip_id"}
+CORRUPT = "_corrupt_record"
+#: A quoted value with more line breaks than this is an unbalanced quote; its lines are rejected one by one.
+MAX_RECORD_LINES = 1000
+
+
+@dataclass
+class Loaded:
+    """A feed as loaded: typed ``tables``; ``extras``, per table with unknown columns its typed columns and a map ``extra``;
+    ``rejects`` (table_name, file, bad_columns, _corrupt_record)."""
+    tables: dict[str, DataFrame]
+    extras: dict[str, DataFrame] = field(default_factory=dict)
+    rejects: DataFrame | None = None
+
+    def reject_report(self) -> DataFrame:
+        """Rejected rows per table, file and column that does not fit."""
+        return (self.rejects.select("table_name", "file", F.explode("bad_columns").alias("column"))
+                .groupBy("table_name", "file", "column").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file, block, pos``: lines with their file, their split's first byte and their order in the split."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    return raw.select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+
+
+def _odd(value: str = "value") -> Column:
+    """1 when a line holds an odd number of quotes."""
+    return ((F.length(value) - F.length(F.replace(F.col(value), F.lit('"'), F.lit("")))) % 2).cast("int")
+
+
+def header_names(line: str | None) -> list[str]:
+    """Column names of a header line; a repeated name keeps its first place only (later ones get a suffix)."""
+    names: list[str] = []
+    for n in next(csv.reader([(line or "").removeprefix("\ufeff")]), []):
+        n = n.strip().lower()
+        while n in names:
+            n += "_"
+        names.append(n)
+    return names
+
+
+def whole_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> DataFrame:
+    """``file, value``: records of lines whose quoted values may hold line breaks (a prefix scan of quote parities).
 
-    A known file that is absent is simply not in the result (its path fails to resolve).
-    """
-    tables = {}
+    Lines of a record that stays open for more than ``max_lines`` lines come one by one."""
+    odd = lines.withColumn("odd", _odd())
+    # One row per split: its parity, and (from the parity before it) how many records begin in it.
+    per_file = Window.partitionBy("file").orderBy("block")
+    split = Window.partitionBy("file", "block").orderBy("pos")
+    before = per_file.rowsBetween(Window.unboundedPreceding, -1)
+    carry = (odd.groupBy("file", "block").agg(F.sum("odd").alias("n"))
+             .select(F.col("file").alias("f"), F.col("block").alias("b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("carried")))
+    inside = (odd.join(carry, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).drop("f", "b")
+              .withColumn("open", (F.col("carried") + F.coalesce(F.sum("odd").over(split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2))
+    whole = inside.where((F.col("open") == 0) & (F.col("odd") == 0)).select("file", "value")
+    # Pieces of broken records: a record is named by the line that begins it.
+    piece = inside.where((F.col("open") == 1) | (F.col("odd") == 1)).withColumn("begins", F.col("open") == 0)
+    begun = (piece.groupBy("file", "block").agg(F.sum(F.col("begins").cast("long")).alias("k"))
+             .select(F.col("file").alias("f"), F.col("block").alias("b"), F.coalesce(F.sum("k").over(before), F.lit(0)).alias("earlier")))
+    named = (piece.join(begun, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).drop("f", "b")
+             .withColumn("record", F.col("earlier") + F.sum(F.col("begins").cast("long")).over(split)))
+    sizes = named.groupBy("file", "record").agg(F.count(F.lit(1)).alias("size"))
+    long_ones = sizes.where(F.col("size") > max_lines).select("file", "record")
+    joined = (named.join(long_ones, ["file", "record"], "left_anti").groupBy("file", "record")
+              .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts"))
+              .select("file", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value")))
+    single = named.join(long_ones, ["file", "record"], "left_semi").select("file", "value")
+    return whole.unionByName(joined).unionByName(single)
+
+
+def _seconds(time: Column) -> Column:
+    """Seconds of ``h:mm:ss`` (hours may pass 24), null for anything else."""
+    t = F.trim(time)
+    ok = t.rlike(r"^\d{1,4}:[0-5]\d:[0-5]\d$")
+    return F.when(ok, F.split_part(t, F.lit(":"), F.lit(1)).cast("int") * 3600 + F.split_part(t, F.lit(":"), F.lit(2)).cast("int") * 60
+                  + F.split_part(t, F.lit(":"), F.lit(3)).cast("int"))
+
+
+def _parsed(table: str, records: DataFrame, header: list[str]) -> DataFrame:
+    """Typed columns, ``extra``, ``file``, ``bad_columns`` and the record's text, from the records of files with one header."""
+    schema = T.StructType([T.StructField(f"c{i}", S) for i in range(max(len(header), 1))] + [T.StructField(CORRUPT, S)])
+    row = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "quote": '"'})
+    at = {n: F.col(f"r.c{i}") for i, n in enumerate(header)}
+    records = records.select("file", "value", row.alias("r"))
+    columns, bad = [], [F.when(F.col(f"r.{CORRUPT}").isNotNull() | F.col("r").isNull(), F.lit("*"))]
+    for name, kind in SCHEMAS[table]:
+        text = at.get(name, F.lit(None).cast(S))
+        value = text if kind == S else F.trim(text).try_cast(kind)
+        columns.append(value.alias(name))
+        if name in at and kind != S:
+            bad.append(F.when(text.isNotNull() & (value.isNull() | F.isnan(value.cast("double"))), F.lit(name)))
+    for name, out in TIMES.get(table, {}).items():
+        text = at.get(name, F.lit(None).cast(S))
+        columns.append(_seconds(text).alias(out))
+        bad.append(F.when(text.isNotNull() & _seconds(text).isNull(), F.lit(name)))
+    for name in DATES.get(table, []):
+        if name in at:
+            bad.append(F.when(at[name].isNotNull() & ~F.trim(at[name]).rlike(r"^\d{8}$"), F.lit(name)))
+    if table in KEYS:
+        bad.append(F.when(at.get(KEYS[table], F.lit(None)).isNull(), F.lit(KEYS[table])))
+    known = {n for n, _ in SCHEMAS[table]}
+    unknown = [n for n in header if n not in known]
+    extra = F.map_from_arrays(F.array(*(F.lit(n) for n in unknown)), F.array(*(at[n] for n in unknown))) if unknown else F.lit(None).cast("map<string,string>")
+    return records.select(*columns, extra.alias("extra"), "file", F.array_distinct(F.array_compact(F.array(*bad))).alias("bad_columns"), F.col("value").alias(CORRUPT))
+
+
+def _load_table(spark: SparkSession, table: str, path: str) -> tuple[DataFrame, list[str]]:
+    """All rows of a table's files, and its unknown columns. One pass reads the headers and counts quotes (one row per split)."""
+    lines = _lines(spark, path)
+    splits = lines.groupBy("file", "block").agg(F.sum(_odd()).alias("odd"), F.min_by("value", "pos").alias("first"))
+    files = (splits.groupBy("file").agg(F.max("odd").alias("odd"), F.min_by("first", "block").alias("header"))
+             .collect())                                     # one row per file, like Spark's own listing
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for f in files:
+        groups.setdefault((f.header, f.odd > 0), []).append(f.file)
+    parts, unknown = [], []
+    for (line, broken), names in sorted(groups.items()):
+        mine = lines if len(groups) == 1 else lines.where(F.col("file").isin(names))
+        records = whole_records(mine) if broken else mine.select("file", "value")
+        header = header_names(line)
+        unknown += [n for n in header if n not in unknown and n not in {c for c, _ in SCHEMAS[table]}]
+        parts.append(_parsed(table, records.where((F.col("value") != line) & (F.col("value") != "")), header))
+    if not parts:
+        parts = [_parsed(table, lines.select("file", "value"), [])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, unknown
+
+
+def read_feed(spark: SparkSession, folder: str, require_dependencies: bool = True) -> Loaded:
+    """The known GTFS files of ``folder`` (see the module's text); other files are ignored.
+
+    A known file that is absent is simply not in the result (its path fails to resolve). A file
+    without a line is an empty table. Lines equal to their file's header are skipped wherever they stand."""
+    rows: dict[str, DataFrame] = {}
+    unknown: dict[str, list[str]] = {}
     for t in SCHEMAS:
         try:
-            tables[t] = spark.read.csv(os.path.join(folder, f"{t}.txt"), header=True, schema=schema_of(t),
-                                       mode="PERMISSIVE")
+            rows[t], unknown[t] = _load_table(spark, t, os.path.join(folder, f"{t}.txt"))
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
     if require_dependencies:
-        problems = check_dependencies(set(tables))
+        problems = check_dependencies(set(rows))
         if problems:
             raise MissingDependency("; ".join(problems))
-    return tables
+    fits = {t: df.where(F.size("bad_columns") == 0) for t, df in rows.items()}
+    kept = {t: [c for c, _ in SCHEMAS[t]] + list(TIMES.get(t, {}).values()) for t in rows}
+    rejects = [df.where(F.size("bad_columns") > 0).select(F.lit(t).alias("table_name"), "file", "bad_columns", CORRUPT) for t, df in rows.items()]
+    rejected = rejects[0] if rejects else spark.createDataFrame([], f"table_name string, file string, bad_columns array<string>, {CORRUPT} string")
+    for r in rejects[1:]:
+        rejected = rejected.unionByName(r)
+    return Loaded({t: df.select(*kept[t]) for t, df in fits.items()},
+                  {t: df.select(*kept[t], "extra") for t, df in fits.items() if unknown[t]}, rejected)
+
+
+def load_gtfs(spark: SparkSession, folder: str, require_dependencies: bool = True) -> dict[str, DataFrame]:
+    """Typed DataFrames for the known GTFS files of ``folder``: the ``tables`` of :func:`read_feed`."""
+    return read_feed(spark, folder, require_dependencies).tables
 
 
 def write_gtfs(tables: dict[str, DataFrame], folder: str) -> None:
@@ -112,7 +276,7 @@ def write_gtfs(tables: dict[str, DataFrame], folder: str) -> None:
         cols = [c for c, _ in SCHEMAS.get(t, [])] or df.columns
         have = set(df.columns)
         out = df.select(*[F.col(c).cast("string") if c in have else F.lit(None).cast("string").alias(c) for c in cols])
-        out.write.mode("overwrite").option("header", True).csv(os.path.join(folder, f"{t}.txt"))
+        out.write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(folder, f"{t}.txt"))
 
 
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
