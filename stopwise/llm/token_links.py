@@ -7,7 +7,7 @@ lies a group, and its last A and B tokens are linked.
 *Segments.* Both vocabularies split a text wherever a space follows a character that is not white
 space, so the tokens of a text are those of its segments, in order. (``Aligner`` checks that the piece
 vocabulary has no piece that runs on across such a border; with one that has, whole texts are the
-segments.) A chunk of texts is reduced to its distinct segments, which are tokenized and aligned once.
+segments.) A chunk of texts is reduced to its distinct segments (by 64-bit hashes), which are tokenized and aligned once.
 
 *Identity map.* ``same[a]`` is the B id with the bytes of A's token a, or -1. A group of one token on either
 side with ``b == same[a]`` is regular: its link is told by ``a`` alone and is counted in a vector as
@@ -30,8 +30,8 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +44,8 @@ from . import textkernel as tk
 from .shared import concat_runs, ship_package, stored
 
 CHUNK = 2 << 20
-KEPT_SEGMENTS = 100_000      # segments whose alignment a worker remembers; then it starts anew
-KEPT_BYTES = 256             # longer segments are not remembered
+JOINED = 1 << 16             # bytes of segments that are encoded as one string
+KEPT_SEGMENTS = 200_000      # segments whose alignment a worker remembers; beyond that it starts anew
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -55,15 +55,26 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-@dataclass(frozen=True)
-class Aligned:
-    """A segment: token counts, its groups as text, regular A ids, irregular pairs."""
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    regular: list[int]
-    irregular: list[int]
+@dataclass
+class Segments:
+    """Aligned segments, as arrays over segments and, where it says so, end to end over their contents."""
+    hashes: np.ndarray
+    fits: np.ndarray             # both tokenizers give the bytes back
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    said: np.ndarray             # tokens in the order of the groups' text (4 * id + place in MARKS), end to end
+    regular: np.ndarray          # A ids of regular links, end to end
+    n_regular: np.ndarray
+    irregular: np.ndarray        # pairs of irregular links, end to end
+    n_irregular: np.ndarray
+
+    @classmethod
+    def none(cls) -> Segments:
+        return cls(np.empty(0, np.uint64), np.empty(0, bool), *(np.empty(0, np.int64) for _ in range(8)))
+
+    def plus(self, other: Segments) -> Segments:
+        return Segments(*(np.concatenate([getattr(self, f.name), getattr(other, f.name)]) for f in fields(self)))
 
 
 class Aligner:
@@ -91,7 +102,8 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
         self.lone_space = self.b.encode("a ")[len(self.b.encode("a")):]
-        self.known: dict[bytes, Aligned | None] = {}
+        self.digits, self.digit_count = _decimals(max(len(self.a_bytes), len(self.b_bytes)))
+        self.known = Segments.none()
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -108,54 +120,102 @@ class Aligner:
         first[starts] = True
         return np.flatnonzero(first)
 
-    def align(self, segments: list[bytes]) -> list[Aligned | None]:
-        """Alignment of each segment; None where a tokenizer does not give the bytes back."""
-        known = self.known
-        if len(known) > KEPT_SEGMENTS:
-            known.clear()
-        new = [s for s in segments if s not in known]
-        fresh = dict(zip(new, self._align(new), strict=True))
-        out = [known[s] if s in known else fresh[s] for s in segments]
-        known.update((s, x) for s, x in fresh.items() if len(s) <= KEPT_BYTES)
-        return out
-
-    def _align(self, segments: list[bytes]) -> list[Aligned | None]:
-        texts = [s.decode(errors="replace") for s in segments]
-        by_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        by_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
-        by_b = [self.lone_space if s == b" " else ids for s, ids in zip(segments, by_b, strict=True)]
-        whole = [b"".join(map(self.a_bytes.__getitem__, x)) == s == b"".join(map(self.b_bytes.__getitem__, y))
-                 for s, x, y in zip(segments, by_a, by_b, strict=True)]
-        out: list[Aligned | None] = [None] * len(segments)
-        good = [i for i, ok in enumerate(whole) if ok]
-        if not good:
-            return out
-        # All good segments end to end: token ends, and the cuts they share.
-        x = np.fromiter(itertools.chain.from_iterable(by_a[i] for i in good), np.int64)
-        y = np.fromiter(itertools.chain.from_iterable(by_b[i] for i in good), np.int64)
+    def _joins(self, segment: bytes) -> bool:
+        """Whether another segment may follow this one in one string without changing the tokens of either."""
+        return (self.separable and segment[-1] not in _SPACE_BYTES and (len(segment) < 2 or segment[-2] != 0xC2)
+                and (len(segment) < 3 or not 0xE1 <= segment[-3] <= 0xE3) and b"\xe2\x96\x81" not in segment)
+
+    def tokens(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``fits``, A ids end to end, their number per segment, the same for B; segments that do not fit have no tokens.
+
+        Segments that may stand side by side are encoded as one string of up to ``JOINED`` bytes and cut again at their ends."""
+        runs: list[list[int]] = []
+        size = JOINED
+        for i, s in enumerate(segments):
+            joins = self._joins(s)
+            if not joins or size + len(s) > JOINED:
+                runs.append([i])
+                size = len(s) if joins else JOINED
+            else:
+                runs[-1].append(i)
+                size += len(s)
+        while True:
+            strings = [b"".join(segments[i] for i in r) for r in runs]
+            texts = [s.decode(errors="replace") for s in strings]
+            by_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)] if texts else []
+            by_b = self.b.encode([t[1:] for t in texts], num_threads=1) if texts else []
+            by_b = [self.lone_space if s == b" " else ids for s, ids in zip(strings, by_b, strict=True)]
+            good = [b"".join(map(self.a_bytes.__getitem__, x)) == s == b"".join(map(self.b_bytes.__getitem__, y)) for s, x, y in zip(strings, by_a, by_b, strict=True)]
+            if all(ok or len(r) == 1 for ok, r in zip(good, runs, strict=True)):
+                break
+            runs = [q for ok, r in zip(good, runs, strict=True) for q in ([r] if ok else [[i] for i in r])]    # find the segment that does not fit
+        fits = np.zeros(len(segments), bool)
+        order = [i for r in runs for i in r]
+        if order != list(range(len(segments))):
+            raise AssertionError("segments stay in order")
+        fits[[i for ok, r in zip(good, runs, strict=True) if ok for i in r]] = True
+        ends = np.cumsum(np.array([len(s) for s in segments], np.int64) * fits)
+        out: list[np.ndarray] = [fits]
+        for encoded, length in ((by_a, self.a_len), (by_b, self.b_len)):
+            ids = np.fromiter(itertools.chain.from_iterable(x for x, ok in zip(encoded, good, strict=True) if ok), np.int64)
+            out += [ids, np.diff(np.searchsorted(np.cumsum(length[ids]), ends, "right"), prepend=0)]
+        return tuple(out)
+
+    def align(self, segments: list[bytes], hashes: np.ndarray) -> Segments:
+        fits, x, n_a, y, n_b = self.tokens(segments)
+        k = len(segments)
+        if not len(x):
+            zero = np.zeros(k, np.int64)
+            none = np.empty(0, np.int64)
+            return Segments(hashes, fits, zero, zero, zero, none, none, zero, none, zero)
+        # All segments end to end: token ends, and the cuts they share.
         ends_x, ends_y = np.cumsum(self.a_len[x]), np.cumsum(self.b_len[y])
         cuts = np.intersect1d(ends_x, ends_y, assume_unique=True)
         last_x, last_y = np.searchsorted(ends_x, cuts), np.searchsorted(ends_y, cuts)
-        size_x, size_y = np.diff(last_x, prepend=-1), np.diff(last_y, prepend=-1)
+        one = (np.diff(last_x, prepend=-1) == 1) & (np.diff(last_y, prepend=-1) == 1)
         a, b = x[last_x], y[last_y]
-        regular = (size_x == 1) & (size_y == 1) & (self.same[a] == b)
-        pair = a * len(self.b_bytes) + b
-        borders = np.searchsorted(cuts, np.cumsum([len(segments[i]) for i in good]))
-        names_x, names_y = list(map(str, x.tolist())), list(map(str, y.tolist()))
-        texts_of = [f"{','.join(names_x[i - n + 1: i + 1])}|{','.join(names_y[j - m + 1: j + 1])}"
-                    for i, n, j, m in zip(last_x.tolist(), size_x.tolist(), last_y.tolist(), size_y.tolist(), strict=True)]
-        a_list, pair_list, reg_list = a.tolist(), pair.tolist(), regular.tolist()
-        lo = 0
-        for i, hi in zip(good, (borders + 1).tolist(), strict=True):
-            at = range(lo, hi)
-            out[i] = Aligned(len(by_a[i]), len(by_b[i]), hi - lo, ";".join(texts_of[lo:hi]),
-                             [a_list[k] for k in at if reg_list[k]], [pair_list[k] for k in at if not reg_list[k]])
-            lo = hi
-        return out
+        regular = one & (self.same[a] == b)
+        owner = np.searchsorted(np.cumsum(n_a), last_x, "right")
+        # A group's text: its A tokens, then its B tokens, each with the mark that follows it.
+        group_x, group_y = np.searchsorted(cuts, ends_x), np.searchsorted(cuts, ends_y)
+        said = np.empty(len(x) + len(y), np.int64)
+        at_x, at_y = np.arange(len(x)), np.arange(len(y))
+        said[at_x + np.concatenate([[0], last_y[:-1] + 1])[group_x]] = 4 * x + (last_x[group_x] == at_x) * MARKS.index(b"|")
+        said[at_y + (last_x + 1)[group_y]] = 4 * y + (last_y[group_y] == at_y) * MARKS.index(b";")
+        return Segments(hashes, fits, n_a, n_b, np.bincount(owner, minlength=k), said, a[regular], np.bincount(owner[regular], minlength=k),
+                        (a * len(self.b_bytes) + b)[~regular], np.bincount(owner[~regular], minlength=k))
+
+    def lookup(self, hashes: np.ndarray, segment: Callable[[int], bytes]) -> tuple[Segments, np.ndarray]:
+        """Aligned segments and where in them each asked hash stands; ``segment(i)`` gives the bytes of the i-th asked one."""
+        if len(self.known.hashes) > KEPT_SEGMENTS:
+            self.known = Segments.none()
+        order = np.argsort(self.known.hashes)
+        at = np.searchsorted(self.known.hashes, hashes, sorter=order)
+        place = order[np.minimum(at, len(order) - 1)] if len(order) else np.zeros(len(hashes), np.int64)
+        new = np.flatnonzero(self.known.hashes[place] != hashes) if len(order) else np.arange(len(hashes))
+        place[new] = len(order) + np.arange(len(new))
+        self.known = self.known.plus(self.align([segment(i) for i in new.tolist()], hashes[new]))
+        return self.known, place
+
+
+MARKS = b",|;"
+
+
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Left-aligned decimal digits of 0 .. n-1 with room for a mark, and how many digits each has."""
+    width = len(str(n - 1))
+    numbers = np.arange(n)
+    count = np.searchsorted(10 ** np.arange(1, width), numbers, "right") + 1
+    out = np.zeros((n, width + 1), np.uint8)
+    for i in range(width):
+        has = count > i
+        out[has, i] = 48 + numbers[has] // 10 ** (count[has] - 1 - i) % 10
+    return out, count
 
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+_SPACE_BYTES = frozenset(np.flatnonzero(_SPACE).tolist())
 _LOADED: dict[str, Aligner] = {}
 
 
@@ -189,15 +249,9 @@ class ChunkLinks:
     pair_counts: np.ndarray
 
 
-def _ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.array([len(x) for x in lists], np.int64)
-    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(n.sum())), n
-
-
 def link_chunk(c: tk.Chunk, aligner: Aligner) -> ChunkLinks:
     """Alignment of a chunk's texts."""
     starts = c.offsets[:-1] + np.arange(c.n)
-    sizes = np.diff(c.offsets)
     data = np.full(len(c.data) + c.n, 0x20, np.uint8)
     inner = np.ones(len(data), bool)
     inner[starts] = False
@@ -205,30 +259,31 @@ def link_chunk(c: tk.Chunk, aligner: Aligner) -> ChunkLinks:
     spaced = tk.Chunk(0, c.n, data, np.append(starts, len(data)))
     first = aligner.cuts(data, starts)
     end = np.append(first[1:], len(data))
-    _, sample, which = np.unique(spaced.span_hashes(first, end), return_index=True, return_inverse=True)
+    hashes, sample, which = np.unique(spaced.span_hashes(first, end), return_index=True, return_inverse=True)
     raw = data.tobytes()
-    found = aligner.align([raw[s:e] for s, e in zip(first[sample].tolist(), end[sample].tolist(), strict=True)])
-    per_text = np.diff(np.searchsorted(first, np.append(starts, len(data))))
+    lo, hi = first[sample].tolist(), end[sample].tolist()
+    known, place = aligner.lookup(hashes, lambda i: raw[lo[i]: hi[i]])
+    which = place[which]
+    per_text = np.diff(np.searchsorted(first, spaced.offsets))
     owner = np.repeat(np.arange(c.n), per_text)
-    lost = np.array([x is None for x in found], bool)
-    empty = sizes == 0
-    if len(which):
-        empty |= np.bincount(owner[lost[which]], minlength=c.n).astype(bool)
+    empty = np.diff(c.offsets) == 0
+    empty |= np.bincount(owner[~known.fits[which]], minlength=c.n).astype(bool)
     live = ~empty[owner]
-    blank = Aligned(0, 0, 0, "", [], [])
-    found = [x or blank for x in found]
-    n_a, n_b, n_groups = (np.bincount(owner, np.array([getattr(x, f) for x in found], np.int64)[which] * live, c.n).astype(np.int64) for f in ("n_a", "n_b", "n_groups"))
-    groups = np.array([x.groups for x in found], object)[which].tolist()
-    ends = np.cumsum(per_text).tolist()
-    digest = ["" if e else hashlib.sha256(";".join(groups[hi - n: hi]).encode()).hexdigest() for e, hi, n in zip(empty.tolist(), ends, per_text.tolist(), strict=True)]
-
-    def gathered(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        flat, n = _ragged(lists)
+    n_a, n_b, n_groups = (np.bincount(owner, x[which] * live, c.n).astype(np.int64) for x in (known.n_a, known.n_b, known.n_groups))
+
+    def gathered(flat: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         take = n[which] * live
         return flat[concat_runs((np.cumsum(n) - n)[which], take)], np.cumsum(np.bincount(owner, take, c.n).astype(np.int64))
 
-    regular, regular_ends = gathered([x.regular for x in found])
-    pair, codes_ends = gathered([x.irregular for x in found])
+    said, said_ends = gathered(known.said, known.n_a + known.n_b)
+    digits = aligner.digits[said >> 2]
+    size = aligner.digit_count[said >> 2]
+    digits[np.arange(len(said)), size] = np.frombuffer(MARKS, np.uint8)[said & 3]
+    text = digits[np.arange(digits.shape[1]) <= size[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(size + 1)])[said_ends].tolist()
+    digest = ["" if e else hashlib.sha256(text[x: y - 1]).hexdigest() for e, x, y in zip(empty.tolist(), [0, *ends], ends, strict=False)]
+    regular, regular_ends = gathered(known.regular, known.n_regular)
+    pair, codes_ends = gathered(known.irregular, known.n_irregular)
     pairs, codes, counts = np.unique(pair, return_inverse=True, return_counts=True)
     return ChunkLinks(n_a, n_b, n_groups, digest, regular, regular_ends, codes, codes_ends, pairs, counts)
 
