@@ -3,11 +3,12 @@
 A *line* is what a trip's samples are projected on: its shape's points, or, when the
 trip has no shape points, its stops in sequence (``pseudo_shape``). Lines are keyed by
 ``line_id`` (``shape_id`` or ``trip:<trip_id>``) so trips that share a shape share its
-densified segments and stop projections.
+stop projections.
 
 Geodesics run in numpy inside Arrow batches (``functions.geodesic``). The projection
 of many points on a line is a cogroup on (line_id, block): each group holds at most a
-block of points plus the line's segments, so one busy trip is spread over many tasks.
+block of points plus the line's row, so one busy trip is spread over many tasks. Points are
+projected by ``operators.lines``: a bounding tree over the line's original segments.
 """
 
 from __future__ import annotations
@@ -20,12 +21,11 @@ from pyspark.sql import types as T
 
 from ..functions import geodesic as geo
 from .arrivals import stop_runtime
+from .lines import METRICS
 
 PSEUDO_PREFIX = "trip:"
 # Points of one line per projection group at most.
 PROJECT_BLOCK = 1 << 16
-# Slack for the pruning bound; geodesic rounding is orders of magnitude smaller.
-PRUNE_SLACK_M = 1e-6
 
 
 # --- stop and shape lists ---------------------------------------------------------------------------
@@ -134,201 +134,65 @@ def shape_segments(points: DataFrame, *, line: str = "line_id", order: str = "pt
     return s.withColumn("cum_start", F.coalesce(F.sum("seg_len").over(wc), F.lit(0.0)))
 
 
-def line_segments(points: DataFrame, step_m: float, *, line: str = "line_id", order: str = "pt_order") -> DataFrame:
-    """Segments of the densified lines in one pass: the same result as
-    ``shape_segments(densify_polyline(points, step_m))`` without materialising points.
-
-    Each original segment AB (length d) is cut at t = k * step / d for k = 1.. while t < 1;
-    its pieces run from the point at t_j to the point at t_{j+1} (the last piece ends at
-    B exactly). ``seg_idx`` orders pieces by (original segment, piece).
-    """
-    w = Window.partitionBy(line).orderBy(order)
-    base = points.select(line, order, "lat", "lon").withColumn("_i", F.row_number().over(w) - 1)
-    seg = (base.withColumn("_blat", F.lead("lat").over(w)).withColumn("_blon", F.lead("lon").over(w))
-               .where(F.col("_blat").isNotNull()))
-    seg = seg.withColumn("_g", geo.geodesic_inverse(F.col("lat"), F.col("lon"), F.col("_blat"), F.col("_blon")))
-    d = F.col("_g.s12")
-    step = F.lit(float(step_m))
-    if step_m > 0:
-        n = F.when(F.isnan(d) | d.isNull() | (d <= step), F.lit(0)).otherwise(F.floor(d / step)).cast("int")
-        # interior points are those k in 1..n with k * step / d < 1
-        m = F.when(n > 0, n - F.when(n * step / d >= 1.0, 1).otherwise(0)).otherwise(0)
-    else:
-        m = F.lit(0)
-    seg = seg.withColumn("_m", m).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m"))))
-    t0 = F.col("_j") * step / d
-    t1 = (F.col("_j") + 1) * step / d
-    last = F.col("_j") == F.col("_m")
-    a_lat = F.when(F.col("_j") == 0, F.col("lat")).otherwise(F.col("lat") + (F.col("_blat") - F.col("lat")) * t0)
-    a_lon = F.when(F.col("_j") == 0, F.col("lon")).otherwise(F.col("lon") + (F.col("_blon") - F.col("lon")) * t0)
-    b_lat = F.when(last, F.col("_blat")).otherwise(F.col("lat") + (F.col("_blat") - F.col("lat")) * t1)
-    b_lon = F.when(last, F.col("_blon")).otherwise(F.col("lon") + (F.col("_blon") - F.col("lon")) * t1)
-    pieces = seg.select(line, (F.col("_i").cast("long") * F.lit(1 << 32) + F.col("_j")).alias("seg_idx"),
-                        a_lat.alias("a_lat"), a_lon.alias("a_lon"), b_lat.alias("b_lat"), b_lon.alias("b_lon"))
-    pieces = pieces.withColumn("_g", geo.geodesic_inverse(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"),
-                                                          F.col("b_lon")))
-    pieces = pieces.select(line, "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", F.col("_g.s12").alias("seg_len"),
-                           F.col("_g.azi1").alias("seg_az")).where(F.col("seg_len") != 0.0)
-    wc = Window.partitionBy(line).orderBy("seg_idx").rowsBetween(Window.unboundedPreceding, -1)
-    return pieces.withColumn("cum_start", F.coalesce(F.sum("seg_len").over(wc), F.lit(0.0)))
-
-
 # --- projection ---------------------------------------------------------------------------------------
 
-def _ecef(lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Earth-centred coordinates (m) on the WGS84 ellipsoid surface."""
-    e2 = geo.WGS84_F * (2 - geo.WGS84_F)
-    la, lo = np.radians(lat), np.radians(lon)
-    n = geo.WGS84_A / np.sqrt(1 - e2 * np.sin(la) ** 2)
-    return n * np.cos(la) * np.cos(lo), n * np.cos(la) * np.sin(lo), n * (1 - e2) * np.sin(la)
-
+def line_table(points: DataFrame, *, line: str = "line_id", order: str = "pt_order") -> DataFrame:
+    """One row per line with its points in order: line, ``line_lat``, ``line_lon`` (arrays)."""
+    in_order = F.sort_array(F.collect_list(F.struct(order, "lat", "lon")))
+    return (points.groupBy(line).agg(in_order.alias("_pts"))
+            .select(line, F.transform("_pts", lambda p: p["lat"]).alias("line_lat"), F.transform("_pts", lambda p: p["lon"]).alias("line_lon")))
 
-def project_points(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, budget: int = 2_000_000) -> np.ndarray:
-    """Distance along the line of the best segment match for each point (numpy kernel).
 
-    Per segment AB: ``t = clamp(dAP / dAB, 0, 1)`` (radial, not the perpendicular foot),
-    candidate = direct(A, azAB, t * dAB), score = dist(candidate, P) (NaN: dist(B, P));
-    the strictly smallest score wins, so the first segment wins ties; result =
-    cum_start + t * dAB. No segment: 0.0.
-
-    Exact pruning, two stages. By the triangle inequality score >= dAP - t*dAB >= dAP - dAB,
-    and the straight chord between A and P is never longer than the geodesic, so
-    ``chord(A, P) - dAB`` is a lower bound that costs a few multiplications. Segments whose
-    bound exceeds the score of the most promising segment cannot win; the survivors get
-    the geodesic ``dAP``, are pruned again, and only the rest get the full evaluation.
-    """
-    n, m = len(lat), len(seg)
-    out = np.zeros(n, dtype=np.float64)
-    if n == 0 or m == 0:
-        return out
-    seg = seg.sort_values("seg_idx", kind="stable")
-    alat, alon = seg["a_lat"].to_numpy(dtype=np.float64), seg["a_lon"].to_numpy(dtype=np.float64)
-    blat, blon = seg["b_lat"].to_numpy(dtype=np.float64), seg["b_lon"].to_numpy(dtype=np.float64)
-    dab = seg["seg_len"].to_numpy(dtype=np.float64)
-    az, cum = seg["seg_az"].to_numpy(dtype=np.float64), seg["cum_start"].to_numpy(dtype=np.float64)
-    ax, ay, az3 = _ecef(alat, alon)
-    px, py, pz = _ecef(lat, lon)
-
-    def score(r: np.ndarray, c: np.ndarray, dap: np.ndarray) -> np.ndarray:
-        tm = dab[c] * np.clip(dap / dab[c], 0.0, 1.0)
-        la, lo = geo.direct(alat[c], alon[c], az[c], tm)
-        sc, _ = geo.inverse(la, lo, lat[r], lon[r])
-        nan = np.isnan(sc)
-        if nan.any():
-            sb, _ = geo.inverse(blat[c[nan]], blon[c[nan]], lat[r[nan]], lon[r[nan]])
-            sc[nan] = sb
-        return np.where(np.isnan(sc), np.inf, sc)
-
-    chunk = max(1, min(n, budget // m))
-    for lo in range(0, n, chunk):
-        hi = min(n, lo + chunk)
-        k = hi - lo
-        rows = np.arange(lo, hi)
-        chord = np.sqrt((px[lo:hi, None] - ax[None, :]) ** 2 + (py[lo:hi, None] - ay[None, :]) ** 2
-                        + (pz[lo:hi, None] - az3[None, :]) ** 2)
-        lb = np.maximum(chord - dab[None, :], 0.0)
-        first = np.argmin(lb, axis=1)
-        dap0, _ = geo.inverse(alat[first], alon[first], lat[rows], lon[rows])
-        ub = score(rows, first, dap0)
-        r, c = np.nonzero(lb <= ub[:, None] + PRUNE_SLACK_M)
-        dap, _ = geo.inverse(alat[c], alon[c], lat[lo + r], lon[lo + r])
-        keep = ~(np.maximum(dap - dab[c], 0.0) > ub[r] + PRUNE_SLACK_M)
-        r, c, dap = r[keep], c[keep], dap[keep]
-        full = np.full((k, m), np.inf)
-        full[r, c] = score(lo + r, c, dap)
-        tmat = np.zeros((k, m))
-        tmat[r, c] = dab[c] * np.clip(dap / dab[c], 0.0, 1.0)
-        best = np.argmin(full, axis=1)
-        ok = np.isfinite(full[np.arange(k), best])
-        out[lo:hi] = np.where(ok, cum[best] + tmat[np.arange(k), best], 0.0)
-    return out
-
-
-def planar_segments(points: DataFrame, *, line: str = "line_id", order: str = "pt_order") -> DataFrame:
-    """Segments with planar (lat/lon treated as x/y) lengths: the same columns as
-    ``shape_segments``; the azimuth is unused by the planar kernel and left null."""
-    w = Window.partitionBy(line).orderBy(order)
-    s = (points.select(line, order, "lat", "lon")
-               .withColumn("b_lat", F.lead("lat").over(w)).withColumn("b_lon", F.lead("lon").over(w))
-               .where(F.col("b_lat").isNotNull()))
-    dy, dx = F.col("b_lat") - F.col("lat"), F.col("b_lon") - F.col("lon")
-    s = s.select(line, F.col(order).alias("seg_idx"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"),
-                 "b_lat", "b_lon", F.sqrt(dy * dy + dx * dx).alias("seg_len"), F.lit(None).cast("double").alias("seg_az"))
-    s = s.where(F.col("seg_len") != 0.0)
-    wc = Window.partitionBy(line).orderBy("seg_idx").rowsBetween(Window.unboundedPreceding, -1)
-    return s.withColumn("cum_start", F.coalesce(F.sum("seg_len").over(wc), F.lit(0.0)))
+def to_digits(x: np.ndarray, digits: int | None) -> np.ndarray:
+    """Metres to so many decimal digits, halves up; None leaves them as they are."""
+    return x if digits is None else np.floor(x * 10 ** digits + 0.5) / 10 ** digits
 
 
-def project_points_planar(lat: np.ndarray, lon: np.ndarray, seg: pd.DataFrame, budget: int = 2_000_000) -> np.ndarray:
-    """The projection rule with a planar metric: t = clamp(|AP| / |AB|, 0, 1), candidate =
-    A + t (B - A), score = |candidate - P|, first segment wins ties, result = cum + t |AB|.
-    Only correctly rounded operations, so an SQL engine reproduces it exactly."""
-    n, m = len(lat), len(seg)
-    out = np.zeros(n, dtype=np.float64)
-    if n == 0 or m == 0:
-        return out
-    seg = seg.sort_values("seg_idx", kind="stable")
-    alat, alon = seg["a_lat"].to_numpy(np.float64), seg["a_lon"].to_numpy(np.float64)
-    blat, blon = seg["b_lat"].to_numpy(np.float64), seg["b_lon"].to_numpy(np.float64)
-    dab, cum = seg["seg_len"].to_numpy(np.float64), seg["cum_start"].to_numpy(np.float64)
-    chunk = max(1, min(n, budget // m))
-    for lo in range(0, n, chunk):
-        hi = min(n, lo + chunk)
-        pl, po = lat[lo:hi, None], lon[lo:hi, None]
-        dy, dx = pl - alat[None, :], po - alon[None, :]
-        t = np.clip(np.sqrt(dy * dy + dx * dx) / dab[None, :], 0.0, 1.0)
-        cy = alat[None, :] + t * (blat - alat)[None, :] - pl
-        cx = alon[None, :] + t * (blon - alon)[None, :] - po
-        score = np.sqrt(cy * cy + cx * cx)
-        best = np.argmin(score, axis=1)
-        rows = np.arange(hi - lo)
-        out[lo:hi] = cum[best] + dab[best] * t[rows, best]
-    return out
-
-
-def deal_lines(points: DataFrame, segments: DataFrame, line: str, block_on: str | None, block_size: int) -> tuple[DataFrame, DataFrame]:
-    """``points`` and ``segments`` with the block (``_pblk``) in which they meet (see :func:`project_along`)."""
+def deal_lines(points: DataFrame, lines: DataFrame, line: str, block_on: str | None, block_size: int) -> tuple[DataFrame, DataFrame]:
+    """``points`` and ``lines`` with the block (``_pblk``) in which they meet (see :func:`project_along`)."""
     spread = F.xxhash64(block_on) if block_on else F.xxhash64("lat", "lon")
     # Only lines over the limit, at most points / block_size of them, are joined back.
     blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("long")
     many = points.groupBy(F.col(line).alias("_kl")).agg(blocks.alias("_kb")).where("_kb > 1")
     pts = (points.join(many, points[line] == many["_kl"], "left")
            .withColumn("_pblk", F.coalesce(F.pmod(spread, F.col("_kb")), F.lit(0)).cast("long")).drop("_kl", "_kb"))
-    # Fresh column instances on the segment side, so the two cogroup sides share no lineage.
+    # Fresh column instances on the line side, so the two cogroup sides share no lineage.
     many_lines = many.select(F.col("_kl").alias("_ml"), F.col("_kb").alias("_mb"))
-    segs = segments.select(F.col(line).alias("_kl"), "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len",
-                           "seg_az", "cum_start")
-    segs = segs.join(many_lines, segs["_kl"] == many_lines["_ml"], "left").withColumn(
+    rest = [c for c in lines.columns if c != line]
+    side = lines.select(F.col(line).alias("_kl"), *rest)
+    side = side.join(many_lines, side["_kl"] == many_lines["_ml"], "left").withColumn(
         "_pblk", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_mb"), F.lit(1)) - 1)))
-    segs = segs.select(F.col("_kl").alias(line), "_pblk", "seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "seg_az",
-                       "cum_start")
-    return pts, segs
+    return pts, side.select(F.col("_kl").alias(line), "_pblk", *rest)
 
 
-def project_along(points: DataFrame, segments: DataFrame, *, line: str = "line_id", out: str = "s_now",
-                  block_on: str | None = None, block_size: int = PROJECT_BLOCK, metric: str = "wgs84") -> DataFrame:
-    """Append ``out`` (distance along the line) to every row of ``points`` (needs lat, lon, line).
+def project_along(points: DataFrame, lines: DataFrame, *, step_m: float = 10.0, line: str = "line_id", out: str = "s_now",
+                  block_on: str | None = None, block_size: int = PROJECT_BLOCK, digits: int | None = None,
+                  metric: str = "wgs84") -> DataFrame:
+    """Append ``out`` (distance along the densified line) to every row of ``points`` (needs lat, lon, line).
 
-    Rows are grouped by line; a line with more than ``block_size`` points is dealt over
-    ``ceil(points / block_size)`` blocks by a hash of ``block_on`` (the coordinates when None),
-    and its segments are sent to each. So segments are copied once per line plus once per
+    ``lines`` has one row per line (:func:`line_table`); its pieces of ``step_m`` metres are arithmetic inside
+    :class:`.lines.Line`, no row is made for them. Rows are grouped by line; a line with more than ``block_size``
+    points is dealt over ``ceil(points / block_size)`` blocks by a hash of ``block_on`` (the
+    coordinates when None), and its row is sent to each. So a line is copied once plus once per
     ``block_size`` points, whatever the range of ``block_on``. Points whose line has no segments
-    get 0.0. ``metric="planar"`` switches to the planar kernel (use segments from
-    ``planar_segments``).
+    get 0.0. ``digits``: keep so many decimals (3: millimetres), so that a sample on a stop has the stop's distance.
+    ``metric="planar"`` takes the original segments in the plane.
     """
-    pts, segs = deal_lines(points, segments, line, block_on, block_size)
+    pts, side = deal_lines(points, lines, line, block_on, block_size)
     schema = T.StructType(pts.schema.fields + [T.StructField(out, T.DoubleType())])
 
     def fn(p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if len(p) == 0:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        kernel = project_points_planar if metric == "planar" else project_points
-        vals = kernel(p["lat"].to_numpy(dtype=np.float64), p["lon"].to_numpy(dtype=np.float64), s)
+        along = np.zeros(len(p))
+        if len(s):
+            geometry = METRICS[metric](s["line_lat"].iloc[0], s["line_lon"].iloc[0], step_m)
+            along = to_digits(geometry.project(p["lat"].to_numpy(dtype=np.float64), p["lon"].to_numpy(dtype=np.float64)), digits)
         p = p.copy()
-        p[out] = vals
+        p[out] = along
         return p
 
-    res = pts.groupBy(line, "_pblk").cogroup(segs.groupBy(line, "_pblk")).applyInPandas(fn, schema)
+    res = pts.groupBy(line, "_pblk").cogroup(side.groupBy(line, "_pblk")).applyInPandas(fn, schema)
     return res.drop("_pblk")
 
 
@@ -344,20 +208,31 @@ def trip_schedule_start(trips: DataFrame, schedule: DataFrame | None = None) ->
                                                .alias("sched_start_ms"))
 
 
+def runtime_of_trips(trips: DataFrame, stops: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
+    """The detector's row of every trip of ``trips``: its stop arrays (empty without stops) and scheduled start.
+
+    ``stops``: trip_id, stop_id, stop_sequence, stop_s. A trip without stop times still anchors its first
+    sample at its scheduled start, so it keeps its row."""
+    rt = stop_runtime(stops, ["trip_id"]).drop("sched_start_ms")
+    all_trips = trip_schedule_start(trips.select("trip_id"), schedule).join(rt, "trip_id", "left")
+    kinds = {f.name: f.dataType for f in rt.schema.fields}
+    return all_trips.select("trip_id", *(F.coalesce(c, F.array().cast(kinds[c])).alias(c) for c in ("stop_ids", "stop_seqs", "stop_s", "stop_m")), "sched_start_ms")
+
+
 def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, stops: DataFrame,
                  schedule: DataFrame | None = None, densify_step_m: float = 10.0,
                  for_trips: DataFrame | None = None,
-                 materialize=None, metric: str = "wgs84") -> tuple[DataFrame, DataFrame, DataFrame]:
+                 materialize=None, metric: str = "wgs84", digits: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per trip: stops in order with their distance along the densified line, plus the
-    scheduled start. Returns ``(runtime, line_of_trip, segments)`` where ``runtime`` has
-    one row per trip (trip_id, line_id, stop_ids, stop_seqs, stop_s, stop_m, sched_start_ms).
+    scheduled start. Returns ``(runtime, line_of_trip, lines)`` where ``runtime`` has
+    one row per trip (trip_id, line_id, stop_ids, stop_seqs, stop_s, stop_m, sched_start_ms), also for
+    trips without stops, and ``lines`` one row per line (:func:`line_table`).
 
     ``for_trips`` (a DataFrame with ``trip_id``) limits the work to the trips samples ask
-    for, like a memo filled on demand; shapes and stop times are cut to those trips
-    before anything is densified. Stops are projected once per distinct (line, stop point).
-    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the lines and segments and to
+    for, like a memo filled on demand; shapes and stop times are cut to those trips first.
+    Stops are projected once per distinct (line, stop point).
+    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the lines and to
     the finished runtime, so each is computed once and later plans start from stored data.
-    ``metric="planar"`` builds raw planar segments instead (the SQL-checkable variant).
     """
     if for_trips is not None:
         wanted = for_trips.select("trip_id").where(F.col("trip_id").isNotNull()).distinct()
@@ -367,23 +242,20 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
                              "shape_id", "left_semi")
     keep = materialize or (lambda d: d)
     ts = keep(trip_stops(stop_times, stops))
-    lines = keep(line_of_trip(trips, shapes))
+    of_trip = keep(line_of_trip(trips, shapes))
     pts = line_points(trips, shapes, ts)
-    segs = keep(planar_segments(pts) if metric == "planar" else line_segments(pts, densify_step_m))
-    stop_pts = (ts.join(lines, "trip_id", "inner")
-                  .select("line_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).distinct())
-    proj = project_along(stop_pts, segs, out="stop_s", metric=metric)
+    lines = keep(line_table(pts))
+    on_line = ts.join(of_trip, "trip_id", "inner")
+    stop_pts = on_line.select("line_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).distinct()
+    proj = project_along(stop_pts, lines, step_m=densify_step_m, out="stop_s", digits=digits, metric=metric)
     pj = proj.select(F.col("line_id").alias("_pl"), F.col("lat").alias("_plat"), F.col("lon").alias("_plon"), "stop_s")
-    ts_s = (ts.join(lines, "trip_id", "inner")
-              .join(pj, (F.col("line_id") == F.col("_pl")) & (F.col("stop_lat") == F.col("_plat"))
-                    & (F.col("stop_lon") == F.col("_plon")), "inner")
-              .select("trip_id", "stop_id", "stop_sequence", "stop_s"))
-    sched = trip_schedule_start(trips, schedule)
-    rt = stop_runtime(ts_s.join(sched, "trip_id", "left"), ["trip_id"], schedule_start="sched_start_ms")
-    rt = keep(rt.join(lines, "trip_id", "left"))
-    return rt, lines, segs
+    ts_s = (on_line.join(pj, (F.col("line_id") == F.col("_pl")) & (F.col("stop_lat") == F.col("_plat"))
+                         & (F.col("stop_lon") == F.col("_plon")), "inner")
+            .select("trip_id", "stop_id", "stop_sequence", "stop_s"))
+    rt = keep(runtime_of_trips(trips, ts_s, schedule).join(of_trip, "trip_id", "left"))
+    return rt, of_trip, lines
 
 
 __all__ = ["trip_stops", "trip_shape", "line_of_trip", "pseudo_shape", "line_points", "densify_polyline",
-           "shape_segments", "line_segments", "project_points", "project_along", "trip_schedule_start",
-           "trip_runtime"]
+           "shape_segments", "line_table", "project_along", "trip_schedule_start",
+           "runtime_of_trips", "trip_runtime"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions.timecols import local_time_sql
 from ..operators import arrivals as ar
+from ..operators import trips as tp
 from .oracle import with_fx
 from .registry import register
 
@@ -23,9 +24,9 @@ FEED_AGENCY = "SL"
 
 def _inputs(spark, sf_dir):
     samples = fx.sample_progress(spark, sf_dir)
-    st = fx.stop_progress(spark, sf_dir).join(fx.sample_schedule(spark, sf_dir), "trip_id", "left")
     wanted = samples.select("trip_id").distinct()
-    return samples, ar.stop_runtime(st.join(wanted, "trip_id", "left_semi"), ["trip_id"], schedule_start="sched_start_ms")
+    st = fx.stop_progress(spark, sf_dir).join(wanted, "trip_id", "left_semi")
+    return samples, tp.runtime_of_trips(wanted, st, fx.sample_schedule(spark, sf_dir))
 
 
 # --- oracle building blocks -------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -137,44 +138,145 @@ def _samples(spark, sf_dir):
     return ing.require_trip(ing.blank_to_null(fx.positions(spark, sf_dir)))
 
 
-def runtime(spark, sf_dir):
+DIGITS = 3      # distances along a line in whole millimetres
+
+
+def runtime(spark, sf_dir, metric="wgs84"):
     """Trip runtime for the trips that fx:positions ask for, stored (checkpointed to the
     shared folder) as the reference keeps it in memory: computed once, read many times."""
     return tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
                            fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), densify_step_m=STEP_M,
-                           for_trips=_samples(spark, sf_dir), materialize=cut_lineage)
+                           for_trips=_samples(spark, sf_dir), materialize=cut_lineage, metric=metric,
+                           digits=DIGITS if metric == "wgs84" else None)
+
+
+# Distances on the ellipsoid as SQL. Pieces are made for every tenth of a kilometre first and, near a point, one by
+# one; the pieces before a place are added up by Gauss-Legendre quadrature of the curve's length.
+_A2, _E2 = geo.WGS84_A, geo.WGS84_F * (2 - geo.WGS84_F)
+_NODES = ", ".join(f"({float(x)!r}, {float(w)!r})" for x, w in zip(*np.polynomial.legendre.leggauss(8), strict=True))
+KNOT = 64
+
+
+def _xyz(lat: str, lon: str) -> str:
+    n = f"({_A2!r} / sqrt(1 - {_E2!r} * power(sin(radians({lat})), 2)))"
+    return (f"{n} * cos(radians({lat})) * cos(radians({lon})) AS x, {n} * cos(radians({lat})) * sin(radians({lon})) AS y, "
+            f"{n} * (1 - {_E2!r}) * sin(radians({lat})) AS z")
+
+
+def _speed(t: str) -> str:
+    phi = f"(radians(a_lat) + ({t}) * radians(b_lat - a_lat))"
+    w = f"(1 - {_E2!r} * power(sin({phi}), 2))"
+    return (f"sqrt(power({_A2!r} * (1 - {_E2!r}) / ({w} * sqrt({w})) * radians(b_lat - a_lat), 2) "
+            f"+ power({_A2!r} / sqrt({w}) * cos({phi}) * radians(b_lon - a_lon), 2))")
+
+
+def _place(j: str) -> str:
+    """Coordinates of the beginning of piece ``j`` (the segment's end for j = n)."""
+    t = f"({j}) * {STEP_M} / d"
+    return ", ".join(f"CASE WHEN {j} = 0 THEN a_{c} WHEN {j} >= n THEN b_{c} ELSE a_{c} + (b_{c} - a_{c}) * ({t}) END" for c in ("lat", "lon"))
+
+
+_LINES_SQL = {
+    "ts": _TS,
+    "samples": ("SELECT agency, NULLIF(vehicle_id, '') AS vehicle_id, trip_id, latitude AS lat, longitude AS lon, "
+                "ts_ms, seq FROM fx_positions WHERE trip_id IS NOT NULL AND trip_id <> ''"),
+    "lines": ("SELECT t.trip_id, CASE WHEN t.shape_id IN (SELECT shape_id FROM fx_shapes) THEN t.shape_id "
+              "ELSE 'trip:' || t.trip_id END AS line_id FROM fx_trips t "
+              "WHERE t.trip_id IN (SELECT trip_id FROM samples)"),
+    "pts": ("SELECT shape_id AS line_id, CAST(shape_pt_sequence AS BIGINT) AS pt_order, lat, lon FROM fx_shapes "
+            "WHERE shape_id IN (SELECT line_id FROM lines) UNION ALL "
+            "SELECT l.line_id, CAST(ts.stop_pos AS BIGINT) AS pt_order, ts.stop_lat AS lat, ts.stop_lon AS lon "
+            "FROM ts JOIN lines l ON l.trip_id = ts.trip_id WHERE l.line_id LIKE 'trip:%'"),
+    "raw": ("SELECT line_id, pt_order AS seg_idx, lat AS a_lat, lon AS a_lon, lead(lat) OVER w AS b_lat, "
+            "lead(lon) OVER w AS b_lon FROM pts WINDOW w AS (PARTITION BY line_id ORDER BY pt_order)"),
+    "raw2": "SELECT * FROM raw WHERE b_lat IS NOT NULL",
+    **geo.inverse_sql("raw2", "a_lat", "a_lon", "b_lat", "b_lon", "line_id, seg_idx, a_lat, a_lon, b_lat, b_lon", "s"),
+    "segs": (f"SELECT line_id, seg_idx, a_lat, a_lon, b_lat, b_lon, s_s12 AS d, CASE WHEN s_s12 <= {STEP_M} THEN 1 ELSE CAST(floor(s_s12 / {STEP_M}) AS BIGINT) "
+             f"- CASE WHEN floor(s_s12 / {STEP_M}) * {STEP_M} / s_s12 >= 1.0 THEN 1 ELSE 0 END + 1 END AS n FROM s_out WHERE s_s12 > 0"),
+    "arcs": (f"SELECT line_id, seg_idx, sum({_speed('(1 + gx) / 2')} * gw) / 2 AS arc FROM segs, (VALUES {_NODES}) g(gx, gw) GROUP BY line_id, seg_idx"),
+    "line_segs": ("SELECT segs.*, COALESCE(sum(CASE WHEN n = 1 THEN d ELSE arc END) OVER (PARTITION BY line_id ORDER BY seg_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS cum "
+                  "FROM segs JOIN arcs USING (line_id, seg_idx)"),
+    "knots": f"SELECT *, {_xyz('k_lat', 'k_lon')} FROM (SELECT line_id, seg_idx, k, {_place('k').replace(' END, ', ' END AS k_lat, ', 1)} AS k_lon "
+             f"FROM (SELECT *, unnest(range(0, n, {KNOT})) AS k FROM line_segs) q) q2",
+}
+
+
+def _on_lines(src: str, key: str) -> dict[str, str]:
+    """CTEs that project the points of ``src`` (line_id, lat, lon, ``key``) on their lines; the last, ``{src}_best``, has ``s``."""
+    p = src
+    chord = "sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2) + power(a.z - b.z, 2))"
+    return {
+        f"{p}_at": f"SELECT DISTINCT line_id, {key}, lat, lon, {_xyz('lat', 'lon')} FROM {src}",
+        # Knots that may begin a run of pieces with the nearest one; then its pieces; then those that may score least.
+        f"{p}_k": f"SELECT a.line_id, {key}, a.lat AS p_lat, a.lon AS p_lon, a.x AS px, a.y AS py, a.z AS pz, b.seg_idx, b.k, {chord} AS far FROM {p}_at a JOIN knots b ON a.line_id = b.line_id".replace(key, ", ".join(f"a.{c.strip()}" for c in key.split(","))),
+        f"{p}_near": f"SELECT * FROM (SELECT *, min(far) OVER (PARTITION BY line_id, {key}) AS least FROM {p}_k) q WHERE far <= least * 1.001 + {KNOT * STEP_M * 1.1 + 40}",
+        f"{p}_run": (f"SELECT q.line_id, {key}, p_lat, p_lon, px, py, pz, q.seg_idx, unnest(range(q.k, least(q.k + {KNOT}, n))) AS j, a_lat, a_lon, b_lat, b_lon, d, n, cum "
+                     f"FROM {p}_near q JOIN line_segs USING (line_id, seg_idx)"),
+        f"{p}_ab": f"SELECT * EXCLUDE (a_lat, a_lon, b_lat, b_lon), a_lat AS s_lat, a_lon AS s_lon, b_lat AS e_lat, b_lon AS e_lon, {_place('j').replace(' END, ', ' END AS a_lat, ', 1)} AS a_lon, "
+                   f"{_place('(j + 1)').replace(' END, ', ' END AS b_lat, ', 1)} AS b_lon FROM {p}_run",
+        f"{p}_end": f"SELECT * EXCLUDE (x, y, z), sqrt(power(x - px, 2) + power(y - py, 2) + power(z - pz, 2)) AS far FROM (SELECT *, {_xyz('b_lat', 'b_lon')} FROM {p}_ab) q",
+        f"{p}_few": (f"SELECT * FROM (SELECT *, min(12660000 * asin(far / 12660000) + CASE WHEN far < 50 THEN 12 ELSE 0.001 END) OVER (PARTITION BY line_id, {key}) AS most FROM {p}_end) q "
+                     "WHERE far < 50 OR 13000000 * asin(far / 13000000) <= most + 0.001"),
+        **geo.inverse_sql(f"{p}_few", "a_lat", "a_lon", "b_lat", "b_lon", f"line_id, {key}, p_lat, p_lon, seg_idx, j, s_lat, s_lon, e_lat, e_lon, a_lat, a_lon, d, n, cum", f"{p}_i"),
+        f"{p}_len": f"SELECT * FROM {p}_i_out WHERE {p}_i_s12 > 0",
+        **geo.inverse_sql(f"{p}_len", "a_lat", "a_lon", "p_lat", "p_lon", f"line_id, {key}, p_lat, p_lon, seg_idx, j, s_lat, s_lon, e_lat, e_lon, a_lat, a_lon, d, n, cum, {p}_i_s12, {p}_i_azi1", f"{p}_r"),
+        f"{p}_t": f"SELECT *, {p}_i_s12 * least(greatest({p}_r_s12 / {p}_i_s12, 0.0), 1.0) AS along FROM {p}_r_out",
+        **geo.direct_sql(f"{p}_t", "a_lat", "a_lon", f"{p}_i_azi1", "along", f"line_id, {key}, p_lat, p_lon, seg_idx, j, s_lat, s_lon, e_lat, e_lon, d, n, cum, along", f"{p}_d"),
+        **geo.inverse_sql(f"{p}_d_out", f"{p}_d_lat2", f"{p}_d_lon2", "p_lat", "p_lon", f"line_id, {key}, seg_idx, j, s_lat, s_lon, e_lat, e_lon, d, n, cum, along", f"{p}_c"),
+        f"{p}_win": (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line_id, {key} ORDER BY seg_idx, j) AS rn FROM (SELECT *, min({p}_c_s12) OVER (PARTITION BY line_id, {key}) AS least "
+                     f"FROM {p}_c_out) q WHERE {p}_c_s12 <= least + 1e-6) q2 WHERE rn = 1"),
+        f"{p}_before": (f"SELECT line_id, {key}, sum({_speed('t * (1 + gx) / 2')} * gw) * any_value(t) / 2 AS arc FROM "
+                        f"(SELECT line_id, {key}, s_lat AS a_lat, s_lon AS a_lon, e_lat AS b_lat, e_lon AS b_lon, j * {STEP_M} / d AS t FROM {p}_win) q, (VALUES {_NODES}) g(gx, gw) GROUP BY line_id, {key}"),
+        f"{p}_best": f"SELECT line_id, {key}, floor((cum + arc + along) * 1000 + 0.5) / 1000 AS s FROM {p}_win JOIN {p}_before USING (line_id, {key})",
+    }
+
+
+_WGS = dict(_LINES_SQL)
+_WGS["sl"] = ("SELECT s.agency, s.vehicle_id, s.trip_id, s.ts_ms, s.seq, COALESCE(l.line_id, '') AS line_id, s.lat, "
+              "s.lon FROM samples s LEFT JOIN lines l ON l.trip_id = s.trip_id")
+_WGS["stop_pts"] = ("SELECT DISTINCT l.line_id, ts.stop_lat AS lat, ts.stop_lon AS lon, ts.stop_lat AS k_lat, ts.stop_lon AS k_lon FROM ts JOIN lines l "
+                    "ON l.trip_id = ts.trip_id")
+_ON_SAMPLES, _ON_STOPS = _on_lines("sl", "seq"), _on_lines("stop_pts", "k_lat, k_lon")
+_GEO_FX = ("fx_positions", "fx_trips", "fx_shapes", "fx_stop_times", "fx_stops")
+_STOPS_S = ("SELECT ts.trip_id, ts.stop_pos, ts.stop_id, ts.stop_sequence, COALESCE(b.s, 0.0) AS stop_s "
+            "FROM ts JOIN lines l ON l.trip_id = ts.trip_id LEFT JOIN stop_pts_best b ON b.line_id = l.line_id "
+            "AND b.k_lat = ts.stop_lat AND b.k_lon = ts.stop_lon")
 
 
-@register("trip_runtime")
+@register("trip_runtime", _sql(
+    "SELECT s.trip_id, l.line_id, CAST(s.stop_pos AS INTEGER) AS stop_pos, s.stop_id, s.stop_s, "
+    "CAST(COALESCE(sc.sched_start_ms, -1) AS BIGINT) AS sched_start_ms FROM lines l "
+    "LEFT JOIN stops_s s ON l.trip_id = s.trip_id LEFT JOIN sched sc ON sc.trip_id = s.trip_id".replace("SELECT s.trip_id", "SELECT l.trip_id").replace("sc.trip_id = s.trip_id", "sc.trip_id = l.trip_id"),
+    *_GEO_FX, extra={**_WGS, **_ON_STOPS, "stops_s": _STOPS_S, "sched": SCHED}))
 def q_trip_runtime(spark, sf_dir):
+    """Every sampled trip's stops with their distance along its line; a trip without stops has one row without a stop."""
     rt, _, _ = runtime(spark, sf_dir)
     z = rt.select("trip_id", "line_id", "sched_start_ms",
-                  F.posexplode(F.arrays_zip("stop_ids", "stop_s")).alias("stop_pos", "z"))
-    return z.select("trip_id", "line_id", "stop_pos", F.col("z.stop_ids").alias("stop_id"),
-                    F.round("z.stop_s", 3).alias("stop_s"), "sched_start_ms")
+                  F.posexplode_outer(F.arrays_zip("stop_ids", "stop_s")).alias("stop_pos", "z"))
+    return z.select("trip_id", "line_id", "stop_pos", F.col("z.stop_ids").alias("stop_id"), F.col("z.stop_s").alias("stop_s"), "sched_start_ms")
 
 
-def samples_on_lines(spark, sf_dir, built=None):
+def samples_on_lines(spark, sf_dir, built=None, metric="wgs84"):
     """fx:positions with ids blanked to null, trip required, projected on their trip's line."""
-    _, lines, segs = built or runtime(spark, sf_dir)
+    _, of_trip, lines = built or runtime(spark, sf_dir, metric)
     p = _samples(spark, sf_dir)
-    p = p.join(lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
+    p = p.join(of_trip, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
     p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
-    return tp.project_along(p, segs, block_on="seq")
+    return tp.project_along(p, lines, step_m=STEP_M, block_on="seq", metric=metric, digits=DIGITS if metric == "wgs84" else None)
 
 
-@register("project_along")
+@register("project_along", _sql(
+    "SELECT sl.seq, sl.trip_id, sl.line_id, COALESCE(b.s, 0.0) AS s_now FROM sl LEFT JOIN sl_best b ON b.seq = sl.seq",
+    *_GEO_FX, extra={**{k: v for k, v in _WGS.items() if k != "stop_pts"}, **_ON_SAMPLES}))
 def q_project_along(spark, sf_dir):
-    return samples_on_lines(spark, sf_dir).select("seq", "trip_id", "line_id", F.round("s_now", 3).alias("s_now"))
-
-
-@register("arrivals_from_positions")
-def q_arrivals_from_positions(spark, sf_dir):
-    """Raw coordinates to arrival events: project, then the batch detector per (agency, vehicle, trip)."""
-    built = runtime(spark, sf_dir)
-    s = samples_on_lines(spark, sf_dir, built).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
-    a = ar.detect_arrivals(s, built[0].drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
-    return ar.arrival_events(a)
+    """Every sample's distance along its trip's densified line; only the lines are prepared, no stop is projected."""
+    samples = _samples(spark, sf_dir)
+    wanted = samples.select("trip_id").distinct()
+    trips = fx.trips(spark, sf_dir).join(wanted, "trip_id", "left_semi")
+    shapes = fx.shapes(spark, sf_dir).join(trips.select("shape_id").where(F.col("shape_id").isNotNull()).distinct(), "shape_id", "left_semi")
+    ts = tp.trip_stops(fx.stop_times(spark, sf_dir).join(wanted, "trip_id", "left_semi"), fx.stops(spark, sf_dir))
+    built = None, tp.line_of_trip(trips, shapes), tp.line_table(tp.line_points(trips, shapes, ts))
+    return samples_on_lines(spark, sf_dir, built).select("seq", "trip_id", "line_id", "s_now")
 
 
 # --- the projection rule with a planar metric: checkable by SQL ------------------------------------
@@ -221,15 +323,12 @@ def q_project_along_planar(spark, sf_dir):
     shapes = fx.shapes(spark, sf_dir).join(trips.select("shape_id").where(F.col("shape_id").isNotNull()).distinct(),
                                            "shape_id", "left_semi")
     ts = tp.trip_stops(fx.stop_times(spark, sf_dir).join(wanted, "trip_id", "left_semi"), fx.stops(spark, sf_dir))
-    lines = tp.line_of_trip(trips, shapes)
-    segs = tp.planar_segments(tp.line_points(trips, shapes, ts))
-    p = samples.join(lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
-    p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
-    out = tp.project_along(p, segs, block_on="seq", metric="planar")
+    built = None, tp.line_of_trip(trips, shapes), tp.line_table(tp.line_points(trips, shapes, ts))
+    out = samples_on_lines(spark, sf_dir, built, "planar")
     return out.select("seq", "trip_id", "line_id", F.round("s_now", 6).alias("s_now"))
 
 
-# --- raw positions to arrival events with the planar metric: the whole composition, checked by SQL -----
+# --- raw positions to arrival events: the whole composition, checked by SQL in both metrics -----
 
 _PL2 = {k: _PLANAR[k] for k in ("ts", "samples", "lines", "pts", "seg", "seg2")}
 _PL2["samples"] = ("SELECT agency, NULLIF(vehicle_id, '') AS vehicle_id, trip_id, latitude AS lat, longitude AS lon, "
@@ -290,26 +389,30 @@ _PL2["pas"] = ("SELECT a.*, st.stop_id, st.stop_sequence, st.stop_s, "
                "AND st.m <= a.progress + 0.0 AND NOT (a.row_no > 1 AND st.m <= a.progress_prev + 0.0)")
 
 
-PLANAR_EVENTS_SQL = _sql(
-    "SELECT agency, vehicle_id, trip_id, stop_id, CAST(stop_sequence AS INTEGER) AS stop_sequence, arrival_time_millis, "
-    + local_time_sql("arrival_time_millis", "arrival_time_local", "arrival_date", "arrival_prev_date")
-    + " FROM pas WHERE emitted", "fx_positions", "fx_trips", "fx_shapes", "fx_stop_times", "fx_stops", extra=_PL2,
-    recursive=True)
+_EVENTS = ("SELECT agency, vehicle_id, trip_id, stop_id, CAST(stop_sequence AS INTEGER) AS stop_sequence, arrival_time_millis, "
+           + local_time_sql("arrival_time_millis", "arrival_time_local", "arrival_date", "arrival_prev_date") + " FROM pas WHERE emitted")
+PLANAR_EVENTS_SQL = _sql(_EVENTS, *_GEO_FX, extra=_PL2, recursive=True)
+EVENTS_SQL = _sql(_EVENTS, *_GEO_FX, extra={**_WGS, **_ON_SAMPLES, **_ON_STOPS, "stops_s": _STOPS_S,
+                                            **{k: _PL2[k] for k in ("stops_m", "sched", "smp", "prog", "anc", "pas")}})
+
+
+def events_from_positions(spark, sf_dir, metric="wgs84"):
+    """Stops projected on each trip's line, per-trip stop arrays, samples projected, then the batch detector."""
+    built = runtime(spark, sf_dir, metric)
+    s = samples_on_lines(spark, sf_dir, built, metric).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
+    return ar.arrival_events(ar.detect_arrivals(s, built[0].drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"]))
+
+
+@register("arrivals_from_positions", EVENTS_SQL)
+def q_arrivals_from_positions(spark, sf_dir):
+    """Raw coordinates to arrival events: project, then the batch detector per (agency, vehicle, trip)."""
+    return events_from_positions(spark, sf_dir)
 
 
 @register("arrivals_from_positions_planar", PLANAR_EVENTS_SQL)
 def q_arrivals_from_positions_planar(spark, sf_dir):
-    """Raw positions to arrival events with planar distances: stops projected on each trip's
-    raw line, per-trip stop arrays, samples projected, then the batch detector."""
-    rt, lines, segs = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
-                                      fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), densify_step_m=STEP_M,
-                                      for_trips=_samples(spark, sf_dir), materialize=cut_lineage, metric="planar")
-    p = _samples(spark, sf_dir).join(lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
-    p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
-    s = tp.project_along(p, segs, block_on="seq", metric="planar").select(
-        "agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
-    a = ar.detect_arrivals(s, rt.drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"])
-    return ar.arrival_events(a)
+    """The same with planar distances on the raw lines."""
+    return events_from_positions(spark, sf_dir, "planar")
 
 
 _RT_PL = {k: v for k, v in _PL2.items() if k in ("ts", "samples", "lines", "pts", "seg", "seg2", "segn", "cumr",
@@ -327,9 +430,7 @@ _RT_PL["sched"] = SCHED
 def q_trip_runtime_planar(spark, sf_dir):
     """Per trip: stops in order with their planar distance along the trip's raw line, and
     the scheduled start, for the trips the samples ask for."""
-    rt, _, _ = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
-                               fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), for_trips=_samples(spark, sf_dir),
-                               materialize=cut_lineage, metric="planar")
+    rt, _, _ = runtime(spark, sf_dir, "planar")
     z = rt.select("trip_id", "line_id", "sched_start_ms",
                   F.posexplode(F.arrays_zip("stop_ids", "stop_s")).alias("stop_pos", "z"))
     return z.select("trip_id", "line_id", F.col("stop_pos").cast("int").alias("stop_pos"),

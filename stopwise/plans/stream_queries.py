@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixtures as fx
 from ..operators import arrivals as ar
 from ..operators import ingest as ing
-from ..operators import trips as tp
 from ..session import cut_lineage
 from ..sources import feed as fd
 from ..streaming import runner
-from ..streaming.arrivals_stream import stream_arrivals
+from ..streaming.arrivals_stream import Projection, stream_arrivals
 from ..streaming.dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream
 from ..streaming.ingest_job import ingest_stream
-from ..streaming.positions_stream import line_arrays, stream_arrivals_from_positions
+from ..streaming.positions_stream import stream_arrivals_from_positions, trip_table
 from . import geo_queries as gq
 from .arrival_queries import DETECT_SQL, KEYS, ON, TOLERANCE, _inputs
 from .ingest_queries import _ENT, _KEPT, _KEY, _RECORD, NOW_S
@@ -26,8 +27,9 @@ BATCHES = 4
 @register("stream_arrivals", DETECT_SQL)
 def q_stream_arrivals(spark, sf_dir):
     """fx:sample_progress as four ordered micro-batches, with a restart after each;
-    must equal ``detect_arrivals`` row for row."""
+    must equal ``detect_arrivals`` row for row. The runtime is stored once for all starts."""
     samples, rt = _inputs(spark, sf_dir)
+    rt = cut_lineage(rt)
     root = runner.run_dir(spark, "stream_arrivals")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
     for p in range(BATCHES):
@@ -84,35 +86,49 @@ def q_stream_ingest_positions(spark, sf_dir):
 # --- raw positions to arrivals, streaming ------------------------------------------------------------
 
 
-@register("stream_arrivals_from_positions")
-def q_stream_arrivals_from_positions(spark, sf_dir):
-    """fx:positions as ordered micro-batches through projection and the keyed-state detector;
-    equals the batch ``arrivals_from_positions`` (checked in tests)."""
-    rt, trip_lines, segs = gq.runtime(spark, sf_dir)
+def _stream_positions(spark, sf_dir, metric="wgs84"):
+    rt, _, lines = gq.runtime(spark, sf_dir, metric)
+    trips = cut_lineage(trip_table(rt, lines))
+    how = Projection(gq.STEP_M, metric, gq.DIGITS if metric == "wgs84" else None)
     samples = gq._samples(spark, sf_dir)
     root = runner.run_dir(spark, "stream_positions")
     for p in range(BATCHES):  # a restart from the checkpoint after each range
         runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", samples.schema)
-        a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"))
-        runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
+        runner.run_available_now(stream_arrivals_from_positions(stream, trips, projection=how), f"{root}/out", f"{root}/ckpt")
     return ar.arrival_events(spark.read.parquet(f"{root}/out"))
 
 
+@register("stream_arrivals_from_positions", gq.EVENTS_SQL)
+def q_stream_arrivals_from_positions(spark, sf_dir):
+    """fx:positions as ordered micro-batches through projection and the keyed-state detector;
+    equals the batch ``arrivals_from_positions``."""
+    return _stream_positions(spark, sf_dir)
+
+
 @register("stream_arrivals_from_positions_planar", gq.PLANAR_EVENTS_SQL)
 def q_stream_arrivals_from_positions_planar(spark, sf_dir):
-    """The planar variant of the streaming raw-positions path, four ordered micro-batches;
-    the same SQL oracle as ``arrivals_from_positions_planar``."""
-    rt, trip_lines, segs = tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir),
-                                           fx.stop_times(spark, sf_dir), fx.stops(spark, sf_dir),
-                                           fx.schedule(spark, sf_dir), for_trips=gq._samples(spark, sf_dir),
-                                           materialize=cut_lineage, metric="planar")
-    samples = gq._samples(spark, sf_dir)
-    root = runner.run_dir(spark, "stream_positions_planar")
-    for p in range(BATCHES):  # a restart from the checkpoint after each range
-        runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, range(p, p + 1))
-        stream = runner.read_files(spark, f"{root}/in", samples.schema)
-        a = stream_arrivals_from_positions(stream, line_arrays(segs), trip_lines, rt.drop("line_id"),
-                                           metric="planar")
+    """The planar variant of the streaming raw-positions path."""
+    return _stream_positions(spark, sf_dir, "planar")
+
+
+@register("stream_arrivals_seeded", gq.EVENTS_SQL)
+def q_stream_arrivals_seeded(spark, sf_dir):
+    """The first half of fx:positions by the batch detector, the second by a stream that starts from the batch's
+    ``vehicle_state``; together they are the arrivals of the whole."""
+    built = gq.runtime(spark, sf_dir)
+    rt, _, lines = built
+    middle = gq._samples(spark, sf_dir).agg(F.floor(F.avg("seq"))).scalar()
+    keys = ["agency", "vehicle_id", "trip_id"]
+    along = gq.samples_on_lines(spark, sf_dir, built).select(*keys, "s_now", "ts_ms", "seq").where(F.col("seq") <= middle)
+    early = cut_lineage(along)
+    state = ar.vehicle_state(early, rt.drop("line_id"), keys, on=["trip_id"])
+    late = gq._samples(spark, sf_dir).where(F.col("seq") > middle)
+    root = runner.run_dir(spark, "stream_seeded")
+    for p in range(2):
+        runner.append_in_order(late, f"{root}/in", "seq", 2, range(p, p + 1))
+        stream = runner.read_files(spark, f"{root}/in", late.schema)
+        a = stream_arrivals_from_positions(stream, trip_table(rt, lines), projection=Projection(gq.STEP_M, "wgs84", gq.DIGITS), initial=state)
         runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
-    return ar.arrival_events(spark.read.parquet(f"{root}/out"))
+    first = ar.detect_arrivals(early, rt.drop("line_id"), keys, on=["trip_id"])
+    return ar.arrival_events(first.unionByName(spark.read.parquet(f"{root}/out").select(*first.columns)))

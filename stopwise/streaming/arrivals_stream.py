@@ -1,26 +1,34 @@
 """Continuous stop-arrival detection with keyed state (Structured Streaming).
 
-``groupBy(key).transformWithStateInPandas``: per (agency, vehicle, trip) key a ValueState
-(progress, next stop index, last ts) survives micro-batches and restarts (RocksDB state
-store + checkpoint). Inside a micro-batch a key's rows are sorted by ``seq`` and the
+``groupBy(key).transformWithStateInPandas``: per (agency, vehicle, trip) key two ValueStates
+survive micro-batches and restarts (RocksDB state store + checkpoint): the vehicle's
+(progress, next stop index, last ts), and what the timetable says of its trip (stop arrays, scheduled
+start, the line's points). The timetable part travels once per key: the first row of a key passes a keyed
+de-dup, meets the static table in a stream-static join and goes to the key's state; the samples
+themselves stay narrow. A new ``version`` of the timetable sends each key's part again.
+
+Inside a micro-batch a key's rows are sorted by ``seq`` and the
 closed form of :mod:`stopwise.operators.arrivals` is applied starting from the stored
 state, so the stream emits exactly what the batch detector emits, provided ``seq``
-does not go backwards between micro-batches of one key.
+does not go backwards between micro-batches of one key. ``initial`` starts a stream from
+the batch's ``vehicle_state``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.arrivals import MAX_SCHEDULE_ANCHOR_GAP_MS, SAME_POSITION_EPS, TOLERANCE_M, attach_runtime
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from ..operators.lines import METRICS
+from ..operators.trips import to_digits
 
 STATE_SCHEMA = T.StructType([T.StructField("progress", T.DoubleType()), T.StructField("next_idx", T.IntegerType()),
                              T.StructField("last_ts", T.LongType())])
@@ -65,39 +73,83 @@ def fold_key(state: tuple | None, s: np.ndarray, t: np.ndarray, seq: np.ndarray,
     return {"i": i, "k": k, "emitted": emitted, "arrival": arrival}, new_state
 
 
+#: What the timetable says of a trip, as far as the static table has it.
+STATIC = ("stop_ids", "stop_seqs", "stop_s", "stop_m", "sched_start_ms", "line_lat", "line_lon")
+#: Lines a worker keeps prepared (bounding tree and all).
+PREPARED_LINES = 2000
+
+
+@dataclass(frozen=True)
+class Projection:
+    """How raw positions (``lat``, ``lon``) become distances along the key's line."""
+    step_m: float = 10.0
+    metric: str = "wgs84"
+    digits: int | None = None
+
+
+_lines: dict = {}
+
+
+def _along(p: Projection, line_lat: Sequence[float], line_lon: Sequence[float], lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    """Distances along a line; lines are prepared once per worker (by their points)."""
+    if line_lat is None or len(line_lat) < 2:
+        return np.zeros(len(lat))
+    key = (p, np.asarray(line_lat).tobytes(), np.asarray(line_lon).tobytes())
+    if key not in _lines:
+        if len(_lines) >= PREPARED_LINES:
+            _lines.clear()
+        _lines[key] = METRICS[p.metric](np.asarray(line_lat, np.float64), np.asarray(line_lon, np.float64), p.step_m)
+    return to_digits(_lines[key].project(lat, lon), p.digits)
+
+
 class ArrivalProcessor(StatefulProcessor):
     """Per-key state handler; the grouping key columns come first in the output."""
 
-    def __init__(self, keys: Sequence[str], seq: str = "seq", s_col: str = "s_now", ts_col: str = "ts_ms",
-                 tolerance_m: float = TOLERANCE_M, max_anchor_gap_ms: int = MAX_SCHEDULE_ANCHOR_GAP_MS):
-        self.keys, self.seq, self.s_col, self.ts_col = list(keys), seq, s_col, ts_col
-        self.tol, self.max_gap = tolerance_m, max_anchor_gap_ms
+    def __init__(self, keys: Sequence[str], static: T.StructType, seq: str = "seq", s_col: str = "s_now", ts_col: str = "ts_ms",
+                 tolerance_m: float = TOLERANCE_M, max_anchor_gap_ms: int = MAX_SCHEDULE_ANCHOR_GAP_MS, projection: Projection | None = None):
+        self.keys, self.static, self.seq, self.s_col, self.ts_col = list(keys), static, seq, s_col, ts_col
+        self.tol, self.max_gap, self.projection = tolerance_m, max_anchor_gap_ms, projection
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("vehicle_state", STATE_SCHEMA)
+        self.trip = handle.getValueState("trip", self.static)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        r = initialState.iloc[0]
+        self.state.update((float(r["progress"]), int(r["next_stop_idx"]), int(r["last_ts_ms"])))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.seq, kind="stable").reset_index(drop=True)
+        wanted = ["lat", "lon"] if self.projection else [self.s_col]
+        parts = []
+        for pdf in rows:
+            known = pdf["from_timetable"].to_numpy(dtype=bool)
+            if known.any():
+                r = pdf.iloc[int(known.argmax())]
+                self.trip.update(tuple(_plain(r[f.name], f.dataType) for f in self.static.fields))
+            if not known.all():
+                parts.append(pdf.loc[~known, [self.seq, self.ts_col, *wanted]])
+        if not parts:
+            return
+        seq, ts = (np.concatenate([p[c].to_numpy(np.int64) for p in parts]) for c in (self.seq, self.ts_col))
+        values = [np.concatenate([p[c].to_numpy(np.float64) for p in parts]) for c in wanted]
+        order = np.argsort(seq, kind="stable")
+        seq, ts, values = seq[order], ts[order], [v[order] for v in values]
+        trip = dict(zip(self.static.names, self.trip.get() if self.trip.exists() else [None] * len(self.static.names), strict=True))
+        s = _along(self.projection, trip["line_lat"], trip["line_lon"], *values) if self.projection else values[0]
         prev = tuple(self.state.get()) if self.state.exists() else None
-        first = pdf.iloc[0]
-        stop_s = np.asarray(first["stop_s"] if first["stop_s"] is not None else [], dtype=np.float64)
-        stop_m = np.asarray(first["stop_m"] if first["stop_m"] is not None else [], dtype=np.float64)
-        sched = first.get("sched_start_ms")
-        sched = -1 if sched is None or pd.isna(sched) else int(sched)
-        res, new_state = fold_key(prev, pdf[self.s_col].to_numpy(np.float64), pdf[self.ts_col].to_numpy(np.int64),
-                                  pdf[self.seq].to_numpy(np.int64), stop_s, stop_m, sched, self.tol, self.max_gap)
+        stop_s, stop_m = (np.asarray(trip[c] if trip[c] is not None else [], dtype=np.float64) for c in ("stop_s", "stop_m"))
+        sched = trip["sched_start_ms"]
+        res, new_state = fold_key(prev, s, ts, seq, stop_s, stop_m, -1 if sched is None else int(sched), self.tol, self.max_gap)
         self.state.update(new_state)
         keep = res["emitted"]
         i, k = res["i"][keep], res["k"][keep]
         if len(i) == 0:
             return
-        ids = np.asarray(first["stop_ids"], dtype=object)
-        seqs = np.asarray(first["stop_seqs"], dtype=np.int64)
         out = {c: pd.Series([key[j]] * len(i), dtype=object) for j, c in enumerate(self.keys)}
-        out[self.seq] = pdf[self.seq].to_numpy(np.int64)[i]
+        out[self.seq] = seq[i]
         out["stop_pos"] = k.astype(np.int32)
-        out["stop_id"] = pd.Series(ids[k], dtype=object)
-        out["stop_sequence"] = seqs[k].astype(np.int32)
+        out["stop_id"] = pd.Series(np.asarray(trip["stop_ids"], dtype=object)[k], dtype=object)
+        out["stop_sequence"] = np.asarray(trip["stop_seqs"], dtype=np.int64)[k].astype(np.int32)
         out["arrival_time_millis"] = res["arrival"][keep].astype(np.int64)
         yield pd.DataFrame(out)
 
@@ -105,6 +157,13 @@ class ArrivalProcessor(StatefulProcessor):
         pass
 
 
+def _plain(value, kind: T.DataType):
+    """A pandas cell as the plain value a state column takes."""
+    if isinstance(kind, T.ArrayType):
+        return None if value is None else [x.item() if isinstance(x, np.generic) else x for x in value]
+    return None if pd.isna(value) else int(value)
+
+
 def output_schema(samples: DataFrame, keys: Sequence[str], seq: str = "seq") -> T.StructType:
     f = {x.name: x for x in samples.schema.fields}
     return T.StructType([T.StructField(k, f[k].dataType) for k in keys] + [
@@ -116,12 +175,20 @@ def output_schema(samples: DataFrame, keys: Sequence[str], seq: str = "seq") ->
 def stream_arrivals(samples: DataFrame, runtime: DataFrame, keys: Sequence[str], *, on: Sequence[str] = (),
                     seq: str = "seq", s_col: str = "s_now", ts_col: str = "ts_ms",
                     tolerance_m: float = TOLERANCE_M,
-                    max_anchor_gap_ms: int = MAX_SCHEDULE_ANCHOR_GAP_MS) -> DataFrame:
-    """Streaming arrivals: stream-static join to the trip stop arrays, then keyed state."""
-    spark = samples.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    d = attach_runtime(samples, runtime, on)
-    proc = ArrivalProcessor(keys, seq, s_col, ts_col, tolerance_m, max_anchor_gap_ms)
+                    max_anchor_gap_ms: int = MAX_SCHEDULE_ANCHOR_GAP_MS, projection: Projection | None = None,
+                    version: str = "1", initial: DataFrame | None = None) -> DataFrame:
+    """Streaming arrivals. ``runtime``: the static table, one row per trip (``on``), with the columns of ``STATIC``
+    that the stream needs (the line's only with a ``projection``).
+
+    ``initial`` (the columns of the batch ``vehicle_state``) is the state of its keys before the first micro-batch."""
+    samples = samples.withColumn("from_timetable", F.lit(False))
+    seen = samples.select(*keys, F.lit(version).alias("_version")).dropDuplicates([*keys, "_version"])
+    have = {f.name: f.dataType for f in runtime.schema.fields}
+    static = T.StructType([T.StructField(c, have[c]) for c in STATIC if c in have])
+    told = attach_runtime(seen, runtime, on).select(*keys, F.lit(True).alias("from_timetable"), *static.names)
+    values = ["lat", "lon"] if projection else [s_col]
+    d = samples.select(*keys, "from_timetable", seq, ts_col, *values).unionByName(told, allowMissingColumns=True)
+    proc = ArrivalProcessor(keys, static, seq, s_col, ts_col, tolerance_m, max_anchor_gap_ms, projection)
     return d.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=output_schema(samples, keys, seq), outputMode="Append",
-        timeMode="None")
+        timeMode="None", initialState=initial.groupBy(*keys) if initial is not None else None)

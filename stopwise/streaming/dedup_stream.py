@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from .arrivals_stream import ROCKSDB
-
 
 def _prev_values(values: np.ndarray, start) -> np.ndarray:
     """Value of the previous element for each position, ``start`` before the first."""
@@ -63,13 +61,11 @@ class VehicleTsDedup(StatefulProcessor):
 
 
 def dedup_snapshots_stream(snapshots: DataFrame) -> DataFrame:
-    snapshots.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return snapshots.groupBy("feed").transformWithStateInPandas(
         statefulProcessor=SnapshotDedup(), outputStructType=snapshots.schema, outputMode="Append", timeMode="None")
 
 
 def dedup_vehicle_ts_stream(entities: DataFrame) -> DataFrame:
-    entities.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     eligible = F.col("vehicle_id").isNotNull() & F.col("entity_ts").isNotNull()
     kept = entities.where(eligible).groupBy("feed", "vehicle_id").transformWithStateInPandas(
         statefulProcessor=VehicleTsDedup(), outputStructType=entities.schema, outputMode="Append", timeMode="None")

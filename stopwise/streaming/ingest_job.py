@@ -14,6 +14,7 @@ from ..sinks.lake import COMMIT_INTERVAL, PARTITION_BY
 from ..sources import feed as fd
 from ..sources.feed import read_landing_folder
 from .dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream
+from .state import state_store
 
 
 def ingest_stream(snapshots: DataFrame, now_s: int) -> DataFrame:
@@ -36,4 +37,5 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
     w = (records.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy(*PARTITION_BY).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    return w.start(table)
+    with state_store(spark):
+        return w.start(table)

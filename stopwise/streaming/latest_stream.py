@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..sinks.latest import TTL_S, cache_key
-from .arrivals_stream import ROCKSDB
 
 
 class LatestWithTtl(StatefulProcessor):
@@ -47,7 +46,6 @@ class LatestWithTtl(StatefulProcessor):
 
 
 def latest_positions_stream(records: DataFrame, ttl_s: int = TTL_S) -> DataFrame:
-    records.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     d = records.withColumn("cache_key", cache_key())
     out = T.StructType(list(d.schema.fields) + [T.StructField("expired", T.BooleanType())])
     return d.groupBy("cache_key").transformWithStateInPandas(

@@ -1,63 +1,29 @@
 """Raw positions to arrivals as one streaming query.
 
-Projection needs each sample's line. A stream cannot cogroup, so each sample is joined
-(stream-static) to its line's segment arrays, one row per line, and ``mapInPandas``
-projects every line's samples of an Arrow batch with the same pruned kernel as the
-batch path. The arrays travel with each row, which is the price of a streaming
-lookup; lines are bounded by the timetable. The keyed-state detector follows.
+Position records go to their key's state as they are (coordinates, time, order); the trip's line and
+stops are in that state already or come with the key's first row, and the handler projects and detects there
+(:mod:`.arrivals_stream`). No line rides on a sample.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators.trips import project_points, project_points_planar
-from .arrivals_stream import stream_arrivals
+from .arrivals_stream import Projection, stream_arrivals
 
-SEG_FIELDS = ["seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "seg_az", "cum_start"]
+KEYS = ("agency", "vehicle_id", "trip_id")
 
 
-def line_arrays(segments: DataFrame, line: str = "line_id") -> DataFrame:
-    """One row per line with its segments as a sorted array of structs."""
-    return segments.groupBy(line).agg(F.sort_array(F.collect_list(F.struct(*SEG_FIELDS))).alias("_segs"))
+def trip_table(runtime: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per trip for the stream: the trip runtime (with ``line_id``) and its line's points."""
+    return runtime.join(lines, "line_id", "left").drop("line_id")
 
 
-def project_stream(samples: DataFrame, lines: DataFrame, out: str = "s_now", line: str = "line_id",
-                   metric: str = "wgs84") -> DataFrame:
-    """Append the distance along the line to a (streaming) DataFrame with lat, lon, line."""
-    kernel = project_points_planar if metric == "planar" else project_points
-    j = samples.join(lines, line, "left")
-    schema = T.StructType([f for f in samples.schema.fields] + [T.StructField(out, T.DoubleType())])
-    cols = samples.columns
-
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            res = np.zeros(len(pdf))
-            for _, idx in pdf.groupby(line, dropna=False, sort=False).indices.items():
-                segs = pdf["_segs"].iloc[idx[0]]
-                if segs is None or len(segs) == 0:
-                    continue
-                seg = pd.DataFrame(list(segs), columns=SEG_FIELDS) if not isinstance(segs[0], dict) \
-                    else pd.DataFrame(list(segs))
-                res[idx] = kernel(pdf["lat"].to_numpy(np.float64)[idx], pdf["lon"].to_numpy(np.float64)[idx], seg)
-            o = pdf[cols].copy()
-            o[out] = res
-            yield o
-
-    return j.mapInPandas(fn, schema)
-
-
-def stream_arrivals_from_positions(positions: DataFrame, lines: DataFrame, trip_lines: DataFrame,
-                                   runtime: DataFrame, keys: Sequence[str] = ("agency", "vehicle_id", "trip_id"),
-                                   metric: str = "wgs84") -> DataFrame:
+def stream_arrivals_from_positions(positions: DataFrame, trips: DataFrame, keys: Sequence[str] = KEYS, *,
+                                   projection: Projection = Projection(), version: str = "1",
+                                   initial: DataFrame | None = None) -> DataFrame:
     """Position records (blank ids as null, trip required) -> projected -> keyed-state arrivals."""
-    p = positions.join(trip_lines, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
-    p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
-    s = project_stream(p, lines, metric=metric).select(*keys, "s_now", "ts_ms", "seq")
-    return stream_arrivals(s, runtime, list(keys), on=["trip_id"])
+    p = positions.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
+    return stream_arrivals(p, trips, list(keys), on=["trip_id"], projection=projection, version=version, initial=initial)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
+from .state import state_store
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -44,21 +45,13 @@ def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: st
                       state_partitions: int | None = None) -> None:
     """Process everything available, exactly once into a file sink, then stop.
 
-    A stateful query fixes its number of state partitions at its first start (stored in
-    the checkpoint). It is sized to the cluster's default parallelism unless given; the
-    session's own setting is restored once the query has taken its copy of the conf.
+    State settings: see :func:`.state.state_store`.
     """
-    spark = stream.sparkSession
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
+    with state_store(stream.sparkSession, state_partitions):
         w = stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode(output_mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         q = w.trigger(availableNow=True).start(out_path)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -1,13 +1,15 @@
-"""Geodesic kernel values, densify/segment equivalence, projection against brute force."""
+"""Geodesic kernel values, projection by the line tree against walking every piece."""
+
+import time
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from stopwise import fixtures as fx
 from stopwise.functions import geodesic as geo
 from stopwise.operators import trips as tp
+from stopwise.operators.lines import Line
 
 from .conftest import SF_SMALL
 
@@ -33,56 +35,92 @@ def test_direct_inverse_round_trip():
     assert np.max(np.abs(s - d)) < 1e-6
 
 
-def test_fused_segments_equal_densify_then_segments(spark):
+def pieces(lat, lon, step):
+    """The densified line's pieces one by one: what the reference walks along."""
+    d, _ = geo.inverse(lat[:-1], lon[:-1], lat[1:], lon[1:])
+    p = [(lat[0], lon[0])]
+    for i in range(len(d)):
+        if d[i] > step > 0:
+            t = np.arange(1, int(np.floor(d[i] / step)) + 1) * step / d[i]
+            p += [(lat[i] + (lat[i + 1] - lat[i]) * x, lon[i] + (lon[i + 1] - lon[i]) * x) for x in t if x < 1]
+        p.append((lat[i + 1], lon[i + 1]))
+    p = np.array(p)
+    s, az = geo.inverse(p[:-1, 0], p[:-1, 1], p[1:, 0], p[1:, 1])
+    keep = s != 0
+    return p[:-1][keep], p[1:][keep], s[keep], az[keep], (np.cumsum(s) - s)[keep]
+
+
+def walk(lat, lon, line_lat, line_lon, step):
+    """Every point against every piece; of scores within a micrometre the first wins."""
+    a, b, length, az, before = pieces(line_lat, line_lon, step)
+    out = []
+    for y, x in zip(lat, lon, strict=True):
+        py, px = np.full(len(a), y), np.full(len(a), x)
+        along = length * np.clip(geo.inverse(a[:, 0], a[:, 1], py, px)[0] / length, 0.0, 1.0)
+        score = geo.inverse(*geo.direct(a[:, 0], a[:, 1], az, along), py, px)[0]
+        lost = np.isnan(score)
+        score[lost] = geo.inverse(b[lost, 0], b[lost, 1], py[lost], px[lost])[0]
+        k = int(np.argmax(score <= score.min() + 1e-6))
+        out.append(before[k] + along[k])
+    return np.array(out)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_line_tree_equals_walking_every_piece(seed):
+    rng = np.random.default_rng(seed)
+    for step in (10.0, 25.0, 400.0, 0.0):
+        m, scale, base = int(rng.integers(2, 30)), [0.0005, 0.005, 0.05][seed % 3], [59.3, 0.0, -45.0, 80.0][seed % 4]
+        la, lo = base + np.cumsum(rng.normal(0, scale, m)), 18 + np.cumsum(rng.normal(0, scale * 2, m))
+        if seed % 3 == 0:      # the line passes the same place twice: first piece wins
+            la[-2:], lo[-2:] = la[:2], lo[:2]
+        if seed % 2 == 0:
+            la[1], lo[1] = la[0], lo[0]                                    # a segment of no length
+        n = 25
+        pla, plo = rng.choice(la, n) + rng.normal(0, 1, n) * scale * rng.choice([0.0, 0.01, 0.3, 3.0], n), rng.choice(lo, n) + rng.normal(0, 1, n) * scale * rng.choice([0.0, 0.01, 0.3, 3.0], n)
+        got = Line(la, lo, step).project(pla, plo)
+        assert np.abs(got - walk(pla, plo, la, lo, step)).max() < 1e-3
+
+
+def test_piece_lengths_add_up_to_the_densified_line(spark):
+    """Totals and starts of segments equal those of densify, then segments."""
     pts = fx.shapes(spark, SF_SMALL).select(F.col("shape_id").alias("line_id"),
                                             F.col("shape_pt_sequence").cast("long").alias("pt_order"), "lat", "lon")
-    extra = spark.createDataFrame([("dup", 0, 59.0, 18.0), ("dup", 1, 59.0, 18.0), ("dup", 2, 59.001, 18.0),
+    extra = spark.createDataFrame([("dup", 0, 59.0, 18.0), ("dup", 1, 59.0, 18.0), ("dup", 2, 59.001, 18.0), ("far", 0, 10.0, 10.0), ("far", 1, 11.0, 11.0),
                                    ("one", 0, 59.0, 18.0)], "line_id string, pt_order long, lat double, lon double")
     pts = pts.unionByName(extra)
-    a = tp.shape_segments(tp.densify_polyline(pts, 10.0)).select("line_id", "a_lat", "a_lon", "b_lat", "b_lon",
-                                                                 "seg_len", "cum_start")
-    b = tp.line_segments(pts, 10.0).select("line_id", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "cum_start")
-    ra = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in a.collect())
-    rb = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in b.collect())
-    assert ra == rb and len(ra) > 100
+    rows = tp.shape_segments(tp.densify_polyline(pts, 10.0)).groupBy("line_id").agg(F.sum("seg_len").alias("n"), F.count(F.lit(1)).alias("k")).collect()
+    lines = {r.line_id: Line(r.line_lat, r.line_lon, 10.0) for r in tp.line_table(pts).collect()}
+    assert lines["one"].n == 0 and {r.line_id for r in rows} == set(lines) - {"one"}
+    for r in rows:
+        assert abs(lines[r.line_id].total.sum() - r.n) < 1e-4 and lines[r.line_id].pieces.sum() == r.k
 
 
-def _brute(lat, lon, seg):
-    seg = seg.sort_values("seg_idx")
-    out = []
-    for P in zip(lat, lon):
-        best, bc = np.inf, 0.0
-        for _, s in seg.iterrows():
-            dap = geo.inverse([s.a_lat], [s.a_lon], [P[0]], [P[1]])[0][0]
-            tm = s.seg_len * max(0.0, min(1.0, dap / s.seg_len))
-            la, lo = geo.direct([s.a_lat], [s.a_lon], [s.seg_az], [tm])
-            d = geo.inverse(la, lo, [P[0]], [P[1]])[0][0]
-            if np.isnan(d):
-                d = geo.inverse([s.b_lat], [s.b_lon], [P[0]], [P[1]])[0][0]
-            if d < best:
-                best, bc = d, s.cum_start + tm
-        out.append(bc)
-    return np.array(out)
+def test_empty_and_single_point_lines_and_missing_coordinates():
+    assert Line([], [], 10.0).project([59.0], [18.0]).tolist() == [0.0]
+    assert Line([59.0], [18.0], 10.0).project([59.0], [18.0]).tolist() == [0.0]
+    assert Line([59.0, 59.1], [18.0, 18.0], 10.0).project([np.nan, 59.0], [18.0, 18.0]).tolist() == [0.0, 0.0]
+    assert Line([59.0, 59.1], [18.0, 18.0], 10.0).project([], []).tolist() == []
 
 
-def test_projection_equals_brute_force():
-    rng = np.random.default_rng(7)
-    for trial in range(12):
-        m = int(rng.integers(1, 30))
-        la = 59.3 + np.cumsum(rng.normal(0, 0.001, m + 1))
-        lo = 18.0 + np.cumsum(rng.normal(0, 0.002, m + 1))
-        if trial % 3 == 0:  # the line passes the same place twice: first segment wins
-            la[-2:], lo[-2:] = la[:2], lo[:2]
-        s, a = geo.inverse(la[:-1], lo[:-1], la[1:], lo[1:])
-        seg = pd.DataFrame({"seg_idx": np.arange(m), "a_lat": la[:-1], "a_lon": lo[:-1], "b_lat": la[1:],
-                            "b_lon": lo[1:], "seg_len": s, "seg_az": a})
-        seg = seg[seg.seg_len != 0].copy()
-        seg["cum_start"] = seg.seg_len.cumsum() - seg.seg_len
-        plat, plon = 59.3 + rng.normal(0, 0.01, 20), 18.0 + rng.normal(0, 0.02, 20)
-        plat[:2], plon[:2] = la[:2], lo[:2]
-        assert np.array_equal(tp.project_points(plat, plon, seg, budget=40), _brute(plat, plon, seg))
-
-
-def test_empty_and_single_point_lines():
-    seg = pd.DataFrame(columns=["seg_idx", "a_lat", "a_lon", "b_lat", "b_lon", "seg_len", "seg_az", "cum_start"])
-    assert list(tp.project_points(np.array([59.0]), np.array([18.0]), seg)) == [0.0]
+def test_long_lines_are_not_walked():
+    """A line of 600 km has 60,000 pieces; a thousand points look at a few of them each."""
+    la, lo = np.linspace(55, 60, 40), 12 + np.sin(np.arange(40)) * 0.3
+    line = Line(la, lo, 10.0)
+    assert line.pieces.sum() > 60_000
+    rng = np.random.default_rng(1)
+    y, x = rng.uniform(55, 60, 1000), rng.uniform(11, 13, 1000)
+    began = time.perf_counter()
+    got = line.project(y, x)
+    assert time.perf_counter() - began < 2.0
+    assert np.abs(got[:15] - walk(y[:15], x[:15], la, lo, 10.0)).max() < 1e-3
+
+
+def test_trips_without_stops_keep_their_schedule(spark):
+    trips = spark.createDataFrame([("T1", None), ("T2", None)], "trip_id string, shape_id string")
+    none = spark.createDataFrame([], "shape_id string, shape_pt_sequence int, lat double, lon double")
+    st = spark.createDataFrame([("T1", "S1", 1)], "trip_id string, stop_id string, stop_sequence int")
+    sp = spark.createDataFrame([("S1", 59.0, 18.0)], "stop_id string, stop_lat double, stop_lon double")
+    sched = spark.createDataFrame([("T2", 5000)], "trip_id string, sched_start_ms long")
+    rt, _, _ = tp.trip_runtime(trips, none, st, sp, sched)
+    got = {r.trip_id: (r.stop_ids, r.sched_start_ms) for r in rt.collect()}
+    assert got == {"T1": (["S1"], -1), "T2": ([], 5000)}

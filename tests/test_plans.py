@@ -31,13 +31,42 @@ def test_scans_read_only_used_columns(spark):
     assert schemas and all(not c.startswith(("o_total", "l_comment", "o_comment", "properties", "event_type")) for x in schemas for c in x.split(","))
 
 
-def test_segments_are_copied_per_line_not_per_sequence_range(spark):
-    """A sixteen times wider sequence range moves no more segment rows."""
+def test_lines_are_copied_per_line_not_per_sequence_range(spark):
+    """A sixteen times wider sequence range moves no more line rows."""
     from stopwise.operators import trips as tp
-    segs = spark.createDataFrame([("a", i, 59 + i / 1000, 18.0, 59 + (i + 1) / 1000, 18.0, 111.2, 0.0, i * 111.2) for i in range(30)],
-                                 "line_id string, seg_idx long, a_lat double, a_lon double, b_lat double, b_lon double, seg_len double, seg_az double, cum_start double")
+    lines = tp.line_table(spark.createDataFrame([("a", i, 59 + i / 1000, 18.0) for i in range(30)], "line_id string, pt_order long, lat double, lon double"))
     for step in (1, 16 << 16):
         pts = spark.createDataFrame([("a" if i % 4 else "b", i * step, 59 + i / 8000, 18.001) for i in range(200)], "line_id string, seq long, lat double, lon double")
-        dealt, copies = tp.deal_lines(pts, segs, "line_id", "seq", 50)
-        assert dealt.count() == 200 and copies.count() == 30 * 3          # 150 points of line a in blocks of 50
-        assert tp.project_along(pts, segs, block_on="seq", block_size=50).count() == 200
+        dealt, copies = tp.deal_lines(pts, lines, "line_id", "seq", 50)
+        assert dealt.count() == 200 and copies.count() == 3               # 150 points of line a in blocks of 50
+        assert tp.project_along(pts, lines, block_on="seq", block_size=50).count() == 200
+
+
+def test_projection_makes_no_piece_rows(spark):
+    """Densified pieces are arithmetic: nothing in the plan generates rows per piece."""
+    import __spark_entry__ as se
+    plan = se.queries()["project_along"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    generated = [x for x in plan.splitlines() if "Generate" in x]
+    assert all("_pblk" in x or "sequence(0" in x for x in generated)      # only the copies of a line that many points share
+
+
+def test_samples_carry_no_line_in_the_stream(spark):
+    """The timetable part of a key travels on its own row: samples have null arrays."""
+    from pyspark.sql import functions as F
+    from stopwise.streaming import arrivals_stream as st
+    samples = spark.createDataFrame([("V", "T", i, float(i), 1000 * i) for i in range(50)], "vehicle_id string, trip_id string, seq long, s_now double, ts_ms long")
+    rt = spark.createDataFrame([("T", ["A"], [1], [5.0], [5.0], -1)], "trip_id string, stop_ids array<string>, stop_seqs array<int>, stop_s array<double>, stop_m array<double>, sched_start_ms long")
+    seen: dict = {}
+    original = type(samples.groupBy("trip_id")).transformWithStateInPandas
+
+    def spy(self, **kw):
+        seen["rows"] = self._df
+        return original(self, **kw)
+
+    type(samples.groupBy("trip_id")).transformWithStateInPandas = spy
+    try:
+        st.stream_arrivals(samples, rt, ["vehicle_id", "trip_id"], on=["trip_id"])
+    finally:
+        type(samples.groupBy("trip_id")).transformWithStateInPandas = original
+    rows = seen["rows"]
+    assert rows.where("from_timetable").count() == 1 and rows.where(~F.col("from_timetable") & F.col("stop_s").isNotNull()).count() == 0

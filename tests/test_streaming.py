@@ -5,6 +5,7 @@ import time
 
 from stopwise.streaming import runner
 from stopwise.streaming.latest_stream import latest_positions_stream
+from stopwise.streaming.state import state_store
 
 SCHEMA = "agency string, vehicle_id string, trip_id string, ts_ms long, seq long"
 
@@ -14,9 +15,10 @@ def test_latest_positions_expire(spark, tmp_path):
     spark.createDataFrame([("SL", "V1", "T1", 1000, 1), ("SL", "V1", "T1", 2000, 2), ("SL", "V2", "T2", 1500, 3)],
                           SCHEMA).coalesce(1).write.parquet(src)
     stream = runner.read_files(spark, src, spark.read.parquet(src).schema)
-    q = (latest_positions_stream(stream, ttl_s=1).writeStream.format("memory").queryName("latest_ttl")
-         .outputMode("update").option("checkpointLocation", str(tmp_path / "ckpt"))
-         .trigger(processingTime="1 second").start())
+    with state_store(spark):
+        q = (latest_positions_stream(stream, ttl_s=1).writeStream.format("memory").queryName("latest_ttl")
+             .outputMode("update").option("checkpointLocation", str(tmp_path / "ckpt"))
+             .trigger(processingTime="1 second").start())
     try:
         # processing-time timers keep the query busy, so poll the sink instead of processAllAvailable()
         deadline = time.time() + 60

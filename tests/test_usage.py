@@ -24,12 +24,12 @@ def test_readme_example_matches_registered_query(spark, tmp_path):
     recs = ingest.require_trip(ingest.blank_to_null(recs))
     g = gtfs.load_gtfs(spark, str(tmp_path / "gtfs"))
     shapes = g["shapes"].withColumnRenamed("shape_pt_lat", "lat").withColumnRenamed("shape_pt_lon", "lon")
-    rt, lines, segs = trips.trip_runtime(g["trips"], shapes, g["stop_times"], g["stops"],
+    rt, of_trip, lines = trips.trip_runtime(g["trips"], shapes, g["stop_times"], g["stops"],
                                          schedule=fx.schedule(spark, SF_SMALL), for_trips=recs,
-                                         materialize=cut_lineage)
-    p = recs.join(lines, "trip_id", "left").withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
+                                         materialize=cut_lineage, digits=3)
+    p = recs.join(of_trip, "trip_id", "left").withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
     p = p.withColumn("line_id", F.coalesce("line_id", F.lit("")))
-    s = trips.project_along(p, segs, block_on="seq")
+    s = trips.project_along(p, lines, block_on="seq", digits=3)
     events = arrivals.arrival_events(arrivals.detect_arrivals(
         s, rt.drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"]))
 
