@@ -6,7 +6,7 @@ clamp(dAP / dAB, 0, 1)`` (radial, not the perpendicular foot), candidate = the p
 score = its distance to P. The strictly smallest score wins, the first piece wins ties, and the result is the
 length of all pieces before it plus ``t * dAB``.
 
-Here the pieces are never made. ``Line`` keeps the original segments:
+Here the pieces are never made. ``Lines`` keeps the original segments:
 
 * piece j of a segment of length d runs from ``t_j = j * step / d`` to ``t_(j+1)`` (the last one to B): arithmetic;
 * the pieces before j add up to the length of the curve from 0 to t_j, whose exact line integral (eight Gauss
@@ -53,20 +53,39 @@ def _circle(chord: np.ndarray, radius: float) -> np.ndarray:
     return 2 * radius * np.arcsin(np.minimum(chord / (2 * radius), 1.0))
 
 
-class Line:
-    """One line. ``lat, lon``: its points in order; segments of no length (or none that converges) are left out."""
+def _running_in(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sum of the values before each one, within consecutive groups, added up in order from zero."""
+    out = np.zeros(len(x))
+    at = start[size > 0]
+    live = size[size > 0]
+    k = 1
+    while (more := live > k).any():                       # the k-th value of every group that has one
+        at, live = at[more], live[more]
+        out[at + k] = out[at + k - 1] + x[at + k - 1]
+        k += 1
+    return out
+
+
+class Lines:
+    """Several lines, prepared together: every step below is one array operation over all of them.
 
-    def __init__(self, lat: np.ndarray, lon: np.ndarray, step: float):
-        lat, lon = np.asarray(lat, np.float64), np.asarray(lon, np.float64)
-        d, _ = geo.inverse(lat[:-1], lon[:-1], lat[1:], lon[1:]) if len(lat) > 1 else (np.empty(0), None)
+    ``lat, lon``: the points of all lines in order; ``first``: where each line begins (and the end of the last).
+    Segments of no length (or none that converges) are left out."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray, first: np.ndarray, step: float):
+        lat, lon, first = np.asarray(lat, np.float64), np.asarray(lon, np.float64), np.asarray(first, np.int64)
+        count = np.diff(first)
+        line = np.repeat(np.arange(len(count)), np.maximum(count - 1, 0))
+        i = np.arange(len(line)) + (first[:-1] - (np.cumsum(np.maximum(count - 1, 0)) - np.maximum(count - 1, 0)))[line]
+        d, _ = geo.inverse(lat[i], lon[i], lat[i + 1], lon[i + 1]) if len(i) else (np.empty(0), None)
         keep = d > 0
-        self.lat, self.lon = lat[:-1][keep], lon[:-1][keep]
-        self.end_lat, self.end_lon = lat[1:][keep], lon[1:][keep]
-        self.d = d[keep]
+        i, line = i[keep], line[keep]
+        self.lat, self.lon, self.end_lat, self.end_lon, self.d = lat[i], lon[i], lat[i + 1] if len(i) else lat[:0], lon[i + 1] if len(i) else lon[:0], d[keep]
         self.step = float(step)
         n = np.where(self.d > step, np.floor(self.d / step), 0).astype(np.int64) if step > 0 else np.zeros(len(self.d), np.int64)
         self.pieces = np.where(n > 0, n - (n * step / self.d >= 1.0), 0).astype(np.int64) + 1
         self.n = len(self.d)
+        self.segments = np.bincount(line, minlength=len(count)).astype(np.int64)
         if not self.n:
             return
         every = np.arange(self.n)
@@ -79,26 +98,30 @@ class Line:
             length, _ = geo.inverse(*a, *b)
             self._before = np.concatenate([[0.0], np.cumsum(length)])
         self.total = self.before(every, self.pieces)
-        self.cum = np.cumsum(self.total) - self.total
+        start = np.cumsum(self.segments) - self.segments              # a line's first segment
+        self.cum = _running_in(self.total, start, self.segments)
         # Longest piece of each segment, and how far the curve between two of its points may leave their chord.
         t = np.linspace(0, 1, 33)[None, :]
         fastest = self._speed(every[:, None], t).max(1) * 1.01
         self.longest = np.where(self.pieces > 1, fastest * np.minimum(step / self.d, 1.0), fastest) if step > 0 else fastest
         high = np.tan(np.radians(np.minimum(np.maximum(np.abs(self.lat), np.abs(self.end_lat)), 89.9)))
         self._bend = 1.6e-7 + 3.2e-7 * high
-        self._fastest = fastest
-        # Spheres over runs of 1, 2, 4 .. segments; each centre lies on the line.
+        self.longest_of_line = np.zeros(len(count))
+        np.maximum.at(self.longest_of_line, line, self.longest)
+        # Spheres over runs of 1, 2, 4 .. segments of a line; each centre lies on the line.
         centre = ecef(*self.at(every, self.pieces // 2))
         half = np.maximum(self.pieces // 2, self.pieces - self.pieces // 2)
-        self.levels = [(centre, half * self.longest + _SLACK)]
-        while len(self.levels[-1][0]) > 1:
-            c, r = self.levels[-1]
-            if len(c) % 2:
-                c, r = np.concatenate([c, c[-1:]]), np.concatenate([r, r[-1:]])
-            gap = np.linalg.norm(c[::2] - c[1::2], axis=1)
-            left, right = np.maximum(r[::2], gap + r[1::2]), np.maximum(r[1::2], gap + r[::2])
-            first = left <= right
-            self.levels.append((np.where(first[:, None], c[::2], c[1::2]), np.where(first, left, right)))
+        self.levels = [(centre, half * self.longest + _SLACK, self.segments)]
+        while self.levels[-1][2].max() > 1:
+            c, r, size = self.levels[-1]
+            up = (size + 1) // 2
+            of = np.repeat(np.arange(len(up)), up)
+            k = np.arange(len(of)) - np.repeat(np.cumsum(up) - up, up)
+            left = (np.cumsum(size) - size)[of] + 2 * k
+            right = np.where(2 * k + 1 < size[of], left + 1, left)
+            gap = np.linalg.norm(c[left] - c[right], axis=1)
+            r_left, r_right = np.maximum(r[left], gap + r[right]), np.maximum(r[right], gap + r[left])
+            self.levels.append((np.where((r_left <= r_right)[:, None], c[left], c[right]), np.minimum(r_left, r_right), up))
 
     def at(self, seg: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Latitude and longitude of where piece j of a segment begins (j = pieces: the segment's end)."""
@@ -126,16 +149,18 @@ class Line:
         arc = t / 2 * (self._speed(seg[:, None], t[:, None] * (_X + 1) / 2) * _W).sum(1)
         return np.where(self.pieces[seg] == 1, np.where(j > 0, self.d[seg], 0.0), arc)
 
-    def project(self, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
-        """Distance along the line of each point; 0.0 on a line without segments."""
-        lat, lon = np.asarray(lat, np.float64), np.asarray(lon, np.float64)
+    def project(self, lat: np.ndarray, lon: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Distance along its line of each point; 0.0 on a line without segments (and for line -1)."""
+        lat, lon, line = np.asarray(lat, np.float64), np.asarray(lon, np.float64), np.asarray(line, np.int64)
         out = np.zeros(len(lat))
         if self.n:
-            for i in range(0, len(lat), POINTS_AT_ONCE):
-                out[i: i + POINTS_AT_ONCE] = self._project(lat[i: i + POINTS_AT_ONCE], lon[i: i + POINTS_AT_ONCE])
+            real = np.flatnonzero((line >= 0) & (self.segments[line] > 0) & ~np.isnan(lat) & ~np.isnan(lon))
+            for i in range(0, len(real), POINTS_AT_ONCE):
+                r = real[i: i + POINTS_AT_ONCE]
+                out[r] = self._project(lat[r], lon[r], line[r])
         return out
 
-    def _project(self, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    def _project(self, lat: np.ndarray, lon: np.ndarray, line: np.ndarray) -> np.ndarray:
         at = ecef(lat, lon)
         most = np.full(len(lat), np.inf)                    # an upper bound of each point's smallest score
 
@@ -143,18 +168,19 @@ class Line:
             """Some piece scores at most the distance to a point of the line, ``gap`` away by chord, plus ``more``."""
             np.minimum.at(most, p, _circle(gap, _TIGHT) + more + _SLACK)
 
-        p, node = np.arange(len(lat)), np.zeros(len(lat), np.int64)
-        longest = float(self.longest.max())
+        # From the top: a node is (line, place in its level).
+        p, k = np.arange(len(lat)), np.zeros(len(lat), np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
-            centre, radius = self.levels[level]
+            centre, radius, size = self.levels[level]
+            node = (np.cumsum(size) - size)[line[p]] + k
             gap = np.linalg.norm(at[p] - centre[node], axis=1)
-            lower(p, gap, longest)
+            lower(p, gap, self.longest_of_line[line[p]])
             keep = gap - radius[node] <= most[p]
-            p, node = p[keep], node[keep]
+            p, k, node = p[keep], k[keep], node[keep]
             if level:
-                p, node = np.repeat(p, 2), np.repeat(2 * node, 2) + np.tile([0, 1], len(node))
-                there = node < len(self.levels[level - 1][0])
-                p, node = p[there], node[there]
+                p, k = np.repeat(p, 2), np.repeat(2 * k, 2) + np.tile([0, 1], len(k))
+                there = k < self.levels[level - 1][2][line[p]]
+                p, k = p[there], k[there]
         # Piece ranges [a, b) of the segments that are left, halved until they are single pieces.
         seg, a, b = node, np.zeros(len(node), np.int64), self.pieces[node]
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -176,8 +202,6 @@ class Line:
             mid = (a + b) // 2
             p, seg = np.repeat(p, 2), np.repeat(seg, 2)
             a, b = np.stack([a, mid], 1).ravel(), np.stack([mid, b], 1).ravel()
-        if not done:                                        # points without coordinates
-            return np.zeros(len(lat))
         p, seg, j, to_end = (np.concatenate(c) for c in zip(*done, strict=True))
         # A piece further away than its own length scores the distance to its end.
         far = np.linalg.norm(at[p] - ecef(*self.at(seg, j)), axis=1) > 2 * self.longest[seg]
@@ -206,31 +230,52 @@ class Line:
         return out
 
 
-class PlanarLine:
+class PlanarLines:
     """The same rule with latitude and longitude taken as a plane: only correctly rounded operations on the
     original segments (no densifying), so that an SQL engine reproduces it bit for bit."""
 
-    def __init__(self, lat: np.ndarray, lon: np.ndarray, step: float = 0.0):
-        lat, lon = np.asarray(lat, np.float64), np.asarray(lon, np.float64)
+    def __init__(self, lat: np.ndarray, lon: np.ndarray, first: np.ndarray, step: float = 0.0):
+        self.lat, self.lon, self.first = np.asarray(lat, np.float64), np.asarray(lon, np.float64), np.asarray(first, np.int64)
+
+    def project(self, lat: np.ndarray, lon: np.ndarray, line: np.ndarray) -> np.ndarray:
+        lat, lon, line = np.asarray(lat, np.float64), np.asarray(lon, np.float64), np.asarray(line, np.int64)
+        out = np.zeros(len(lat))
+        for k in np.unique(line[line >= 0]).tolist():
+            rows = np.flatnonzero(line == k)
+            points = slice(self.first[k], self.first[k + 1])
+            out[rows] = self._one(self.lat[points], self.lon[points], lat[rows], lon[rows])
+        return out
+
+    @staticmethod
+    def _one(lat: np.ndarray, lon: np.ndarray, p_lat: np.ndarray, p_lon: np.ndarray, budget: int = 2_000_000) -> np.ndarray:
         dy, dx = np.diff(lat), np.diff(lon)
         d = np.sqrt(dy * dy + dx * dx)
         keep = d != 0
-        self.lat, self.lon, self.dy, self.dx, self.d = lat[:-1][keep], lon[:-1][keep], dy[keep], dx[keep], d[keep]
-        self.cum = np.concatenate([[0.0], np.cumsum(self.d)[:-1]]) if len(self.d) else self.d
-
-    def project(self, lat: np.ndarray, lon: np.ndarray, budget: int = 2_000_000) -> np.ndarray:
-        out = np.zeros(len(lat))
-        m = len(self.d)
-        rows = max(1, budget // max(m, 1))
-        for i in range(0, len(lat) if m else 0, rows):
-            p, q = lat[i: i + rows, None], lon[i: i + rows, None]
-            dy, dx = p - self.lat, q - self.lon
-            t = np.clip(np.sqrt(dy * dy + dx * dx) / self.d, 0.0, 1.0)
-            cy, cx = self.lat + t * self.dy - p, self.lon + t * self.dx - q
+        lat, lon, dy, dx, d = lat[:-1][keep], lon[:-1][keep], dy[keep], dx[keep], d[keep]
+        out = np.zeros(len(p_lat))
+        if not len(d):
+            return out
+        cum = np.concatenate([[0.0], np.cumsum(d)[:-1]])
+        rows = max(1, budget // len(d))
+        for i in range(0, len(p_lat), rows):
+            p, q = p_lat[i: i + rows, None], p_lon[i: i + rows, None]
+            y, x = p - lat, q - lon
+            t = np.clip(np.sqrt(y * y + x * x) / d, 0.0, 1.0)
+            cy, cx = lat + t * dy - p, lon + t * dx - q
             best = np.argmin(np.sqrt(cy * cy + cx * cx), axis=1)
-            out[i: i + rows] = self.cum[best] + self.d[best] * t[np.arange(len(best)), best]
+            out[i: i + rows] = cum[best] + d[best] * t[np.arange(len(best)), best]
         return out
 
 
 #: Line classes by metric.
-METRICS = {"wgs84": Line, "planar": PlanarLine}
+METRICS = {"wgs84": Lines, "planar": PlanarLines}
+
+
+class Line:
+    """One line of either metric."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray, step: float, metric: str = "wgs84"):
+        self.lines = METRICS[metric](lat, lon, [0, len(lat)], step)
+
+    def project(self, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+        return self.lines.project(lat, lon, np.zeros(len(lat), np.int64))

@@ -6,15 +6,18 @@ trip has no shape points, its stops in sequence (``pseudo_shape``). Lines are ke
 stop projections.
 
 Geodesics run in numpy inside Arrow batches (``functions.geodesic``). The projection
-of many points on a line is a cogroup on (line_id, block): each group holds at most a
-block of points plus the line's row, so one busy trip is spread over many tasks. Points are
+of many points on a line deals both by (line_id, block): a block holds at most so many
+points plus the line's row, so one busy trip is spread over many tasks. Points are
 projected by ``operators.lines``: a bounding tree over the line's original segments.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,7 +174,7 @@ def project_along(points: DataFrame, lines: DataFrame, *, step_m: float = 10.0,
     """Append ``out`` (distance along the densified line) to every row of ``points`` (needs lat, lon, line).
 
     ``lines`` has one row per line (:func:`line_table`); its pieces of ``step_m`` metres are arithmetic inside
-    :class:`.lines.Line`, no row is made for them. Rows are grouped by line; a line with more than ``block_size``
+    :class:`.lines.Lines`, no row is made for them. Rows are dealt by line; a line with more than ``block_size``
     points is dealt over ``ceil(points / block_size)`` blocks by a hash of ``block_on`` (the
     coordinates when None), and its row is sent to each. So a line is copied once plus once per
     ``block_size`` points, whatever the range of ``block_on``. Points whose line has no segments
@@ -179,21 +182,36 @@ def project_along(points: DataFrame, lines: DataFrame, *, step_m: float = 10.0,
     ``metric="planar"`` takes the original segments in the plane.
     """
     pts, side = deal_lines(points, lines, line, block_on, block_size)
-    schema = T.StructType(pts.schema.fields + [T.StructField(out, T.DoubleType())])
-
-    def fn(p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        if len(p) == 0:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        along = np.zeros(len(p))
-        if len(s):
-            geometry = METRICS[metric](s["line_lat"].iloc[0], s["line_lon"].iloc[0], step_m)
-            along = to_digits(geometry.project(p["lat"].to_numpy(dtype=np.float64), p["lon"].to_numpy(dtype=np.float64)), digits)
-        p = p.copy()
-        p[out] = along
-        return p
-
-    res = pts.groupBy(line, "_pblk").cogroup(side.groupBy(line, "_pblk")).applyInPandas(fn, schema)
-    return res.drop("_pblk")
+    schema = T.StructType(points.schema.fields + [T.StructField(out, T.DoubleType())])
+    # One sorted stream per task: a line's row, then its points; lines of a batch are prepared together.
+    both = (pts.withColumn("_point", F.lit(1)).unionByName(side.withColumn("_point", F.lit(0)), allowMissingColumns=True)
+            .repartition(line, "_pblk").sortWithinPartitions(line, "_pblk", "_point"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held_lat, held_lon = None, None, None          # the line that the rows before this batch ended with
+        for b in batches:
+            is_point = b.column("_point").to_numpy().astype(bool)
+            rows = np.flatnonzero(~is_point)
+            names = b.column(line).take(pa.array(rows)).to_pylist()
+            lat, lon = (b.column(c).take(pa.array(rows)) for c in ("line_lat", "line_lon"))
+            size = [len(held_lat) if held_lat is not None else 0, *(pc.list_value_length(lat).fill_null(0).to_pylist())]
+            every_lat = np.concatenate([held_lat if held_lat is not None else np.empty(0), lat.flatten().to_numpy(zero_copy_only=False)])
+            every_lon = np.concatenate([held_lon if held_lon is not None else np.empty(0), lon.flatten().to_numpy(zero_copy_only=False)])
+            first = np.concatenate([[0], np.cumsum(size)])
+            points = b.filter(pa.array(is_point))
+            if points.num_rows:
+                which = np.cumsum(~is_point)[is_point]
+                mine = pc.equal(points.column(line), pa.array([name, *names], b.column(line).type).take(pa.array(which)))
+                which = np.where(mine.fill_null(False).to_numpy(zero_copy_only=False), which, -1)
+                coords = [points.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("lat", "lon")]
+                along = to_digits(METRICS[metric](every_lat, every_lon, first, step_m).project(*coords, which), digits)
+                yield pa.record_batch([*(points.column(f.name) for f in points_schema), pa.array(along)], names=schema.names)
+            if names:
+                name = names[-1]
+                held_lat, held_lon = every_lat[first[-2]:], every_lon[first[-2]:]
+
+    points_schema = points.schema.fields
+    return both.mapInArrow(run, schema)
 
 
 # --- per-trip runtime ---------------------------------------------------------------------------------

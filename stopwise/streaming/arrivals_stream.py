@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.arrivals import MAX_SCHEDULE_ANCHOR_GAP_MS, SAME_POSITION_EPS, TOLERANCE_M, attach_runtime
-from ..operators.lines import METRICS
+from ..operators.lines import Line
 from ..operators.trips import to_digits
 
 STATE_SCHEMA = T.StructType([T.StructField("progress", T.DoubleType()), T.StructField("next_idx", T.IntegerType()),
@@ -98,7 +98,7 @@ def _along(p: Projection, line_lat: Sequence[float], line_lon: Sequence[float],
     if key not in _lines:
         if len(_lines) >= PREPARED_LINES:
             _lines.clear()
-        _lines[key] = METRICS[p.metric](np.asarray(line_lat, np.float64), np.asarray(line_lon, np.float64), p.step_m)
+        _lines[key] = Line(np.asarray(line_lat, np.float64), np.asarray(line_lon, np.float64), p.step_m, p.metric)
     return to_digits(_lines[key].project(lat, lon), p.digits)
 
 
@@ -120,12 +120,13 @@ class ArrivalProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         wanted = ["lat", "lon"] if self.projection else [self.s_col]
-        parts = []
+        parts, told = [], None
         for pdf in rows:
             known = pdf["from_timetable"].to_numpy(dtype=bool)
             if known.any():
                 r = pdf.iloc[int(known.argmax())]
-                self.trip.update(tuple(_plain(r[f.name], f.dataType) for f in self.static.fields))
+                told = tuple(_plain(r[f.name], f.dataType) for f in self.static.fields)
+                self.trip.update(told)
             if not known.all():
                 parts.append(pdf.loc[~known, [self.seq, self.ts_col, *wanted]])
         if not parts:
@@ -134,9 +135,11 @@ class ArrivalProcessor(StatefulProcessor):
         values = [np.concatenate([p[c].to_numpy(np.float64) for p in parts]) for c in wanted]
         order = np.argsort(seq, kind="stable")
         seq, ts, values = seq[order], ts[order], [v[order] for v in values]
-        trip = dict(zip(self.static.names, self.trip.get() if self.trip.exists() else [None] * len(self.static.names), strict=True))
+        told = told or self.trip.get() or [None] * len(self.static.names)
+        trip = dict(zip(self.static.names, told, strict=True))
         s = _along(self.projection, trip["line_lat"], trip["line_lon"], *values) if self.projection else values[0]
-        prev = tuple(self.state.get()) if self.state.exists() else None
+        prev = self.state.get()
+        prev = tuple(prev) if prev is not None else None
         stop_s, stop_m = (np.asarray(trip[c] if trip[c] is not None else [], dtype=np.float64) for c in ("stop_s", "stop_m"))
         sched = trip["sched_start_ms"]
         res, new_state = fold_key(prev, s, ts, seq, stop_s, stop_m, -1 if sched is None else int(sched), self.tol, self.max_gap)

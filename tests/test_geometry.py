@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stopwise import fixtures as fx
 from stopwise.functions import geodesic as geo
 from stopwise.operators import trips as tp
-from stopwise.operators.lines import Line
+from stopwise.operators.lines import METRICS, Line
 
 from .conftest import SF_SMALL
 
@@ -89,7 +89,7 @@ def test_piece_lengths_add_up_to_the_densified_line(spark):
                                    ("one", 0, 59.0, 18.0)], "line_id string, pt_order long, lat double, lon double")
     pts = pts.unionByName(extra)
     rows = tp.shape_segments(tp.densify_polyline(pts, 10.0)).groupBy("line_id").agg(F.sum("seg_len").alias("n"), F.count(F.lit(1)).alias("k")).collect()
-    lines = {r.line_id: Line(r.line_lat, r.line_lon, 10.0) for r in tp.line_table(pts).collect()}
+    lines = {r.line_id: Line(r.line_lat, r.line_lon, 10.0).lines for r in tp.line_table(pts).collect()}
     assert lines["one"].n == 0 and {r.line_id for r in rows} == set(lines) - {"one"}
     for r in rows:
         assert abs(lines[r.line_id].total.sum() - r.n) < 1e-4 and lines[r.line_id].pieces.sum() == r.k
@@ -102,11 +102,43 @@ def test_empty_and_single_point_lines_and_missing_coordinates():
     assert Line([59.0, 59.1], [18.0, 18.0], 10.0).project([], []).tolist() == []
 
 
+@pytest.mark.parametrize("metric", ["wgs84", "planar"])
+def test_lines_prepared_together_equal_lines_alone(metric):
+    rng = np.random.default_rng(5)
+    size = np.array([0, 1, 7, 2, 1, 40, 3, 2, 0, 16])
+    la, lo = 59 + rng.normal(0, 0.01, size.sum()), 18 + rng.normal(0, 0.01, size.sum())
+    first = np.concatenate([[0], np.cumsum(size)])
+    which = rng.integers(-1, len(size), 500)
+    y, x = 59 + rng.normal(0, 0.02, 500), 18 + rng.normal(0, 0.02, 500)
+    got = METRICS[metric](la, lo, first, 10.0).project(y, x, which)
+    for k in range(-1, len(size)):
+        alone = Line(la[first[k]: first[k + 1]], lo[first[k]: first[k + 1]], 10.0, metric).project(y[which == k], x[which == k]) if k >= 0 else 0.0
+        assert (got[which == k] == alone).all()
+
+
+def test_projection_across_batches(spark):
+    """Lines and points cut anywhere by Arrow batches; points on unknown and null lines get 0.0; extra columns stay."""
+    rng = np.random.default_rng(2)
+    lines = [(f"L{k}", i, 59 + k / 10 + i / 100, 18 + float(rng.normal(0, 0.01))) for k in range(9) for i in range(k)]
+    pts = [(f"L{rng.integers(0, 11)}" if i % 13 else None, i, 59 + float(rng.uniform(0, 1)), 18 + float(rng.normal(0, 0.01)), "x") for i in range(600)]
+    lt = tp.line_table(spark.createDataFrame(lines, "line_id string, pt_order long, lat double, lon double"))
+    df = spark.createDataFrame(pts, "line_id string, seq long, lat double, lon double, line_lat string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r.seq: r.s_now for r in tp.project_along(df.drop("line_lat"), lt, block_on="seq", block_size=20).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 600
+    for name, seq, y, x, _ in pts:
+        mine = [(a, b) for n, _, a, b in lines if n == name]
+        assert got[seq] == (Line([a for a, _ in mine], [b for _, b in mine], 10.0).project([y], [x])[0] if len(mine) > 1 else 0.0)
+
+
 def test_long_lines_are_not_walked():
     """A line of 600 km has 60,000 pieces; a thousand points look at a few of them each."""
     la, lo = np.linspace(55, 60, 40), 12 + np.sin(np.arange(40)) * 0.3
     line = Line(la, lo, 10.0)
-    assert line.pieces.sum() > 60_000
+    assert line.lines.pieces.sum() > 60_000
     rng = np.random.default_rng(1)
     y, x = rng.uniform(55, 60, 1000), rng.uniform(11, 13, 1000)
     began = time.perf_counter()
