@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from ..sinks.versions import Conflict, VersionLog
 
 # GTFS table columns in insert order.
 COLUMNS: dict[str, list[str]] = {
@@ -88,6 +89,8 @@ TABLES_PROCESSED = 11
 # Column names of the static files where the tables' differ.
 FILE_NAMES = {"shapes": {"shape_pt_lat": "lat", "shape_pt_lon": "lon"}}
 HEX_CHARS = 10
+MAX_TRIES = 16
+MAX_LABELS = 10_000
 NULL_SPREAD = 4096
 
 Schema = dict[str, DataFrame]
@@ -193,11 +196,56 @@ def apply_deletes(target: Schema, dup: DataFrame) -> Schema:
 
 # --- step 2: id mapping ----------------------------------------------------------------------------
 
-def new_id(table: Column, old: Column, salt: str, run_ms: int) -> Column:
-    h = F.substring(F.md5(F.concat(table, old, F.lit(salt))), 1, HEX_CHARS)
+def new_id(table: Column, old: Column, salt: str, run_ms: int, again: int = 0, hex_chars: int = HEX_CHARS) -> Column:
+    """``ta_<hex of md5(table, old id, salt)>_<run>``; ``again``: number of the try after a collision."""
+    h = F.substring(F.md5(F.concat(table, old, F.lit(salt + (f"#{again}" if again else "")))), 1, hex_chars)
     return F.concat(F.substring(table, 1, 2), F.lit("_"), h, F.lit("_"), F.lit(str(int(run_ms))))
 
 
+def unique_ids(ids: DataFrame, salt: str, run_ms: int, *, taken: DataFrame | None = None, hex_chars: int = HEX_CHARS,
+               store=cut_lineage) -> DataFrame:
+    """(table_name, old_id, new_id) for distinct (table_name, old_id), every new id unique and none of ``taken`` (column ``id``).
+
+    Ids are tried in rounds. Of the ids that get the same new id in a round the first (by table, old id) keeps it, unless an
+    earlier round or ``taken`` has it; the others are hashed again with the round's number. Only those
+    go on, so a round after the first is small: at 40 bits 3,000,000 ids leave a handful for the second.
+    Each round is stored, so its outcome is fixed before the next one looks at it."""
+    used = taken.select(F.col("id").cast("string").alias("_taken")).distinct() if taken is not None else None
+    pending, settled = ids.select("table_name", "old_id"), []
+    for again in range(MAX_TRIES):
+        tried = pending.withColumn("new_id", new_id(F.col("table_name"), F.col("old_id"), salt, run_ms, again, hex_chars))
+        order = Window.partitionBy("new_id").orderBy("table_name", "old_id")
+        tried = tried.withColumn("_ok", F.row_number().over(order) == 1)
+        before = [d.select(F.col("new_id").alias("_taken")) for d in settled] + ([used] if used is not None else [])
+        if before:
+            all_before = before[0]
+            for d in before[1:]:
+                all_before = all_before.unionByName(d)
+            mine = all_before.join(tried.select(F.col("new_id").alias("_taken")).distinct(), "_taken", "left_semi").withColumn("_free", F.lit(False))
+            tried = (tried.join(mine, tried["new_id"] == mine["_taken"], "left")
+                     .withColumn("_ok", F.col("_ok") & F.coalesce(F.col("_free"), F.lit(True))).drop("_taken", "_free"))
+        tried = store(tried)
+        settled.append(tried.where("_ok").drop("_ok"))
+        pending = tried.where("NOT _ok").select("table_name", "old_id")
+        if pending.isEmpty():
+            break
+    else:
+        raise MergeError(f"new ids still collide after {MAX_TRIES} tries", "23505")
+    out = settled[0]
+    for d in settled[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def taken_ids(target: Schema, run_ms: int) -> DataFrame | None:
+    """Ids of the target that a new id of this run could equal (column ``id``): those that end in the run's time."""
+    parts = [target[t].select(F.col(c).cast("string").alias("id")).where(F.col("id").endswith(f"_{int(run_ms)}")) for t, c in MAPPED if t in target]
+    out = parts[0] if parts else None
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 class LazySchema(AbcMapping):
     """A schema whose tables are built on first use (planning a table costs driver time)."""
 
@@ -217,37 +265,38 @@ class LazySchema(AbcMapping):
 
 
 class Mapping:
-    """Id mapping of a source schema, kept per table so a lookup reads only its own table."""
+    """Id mapping of a source schema, kept per table so a lookup reads only its own table.
+
+    Without ``materialize`` it is a lazy plan of first tries (a collision shows in :func:`validate`). With it, all tables are mapped
+    by :func:`unique_ids` and stored once; ``taken`` names ids that must not come up again."""
 
-    def __init__(self, source: Schema, salt: str, run_ms: int, materialize=None):
+    def __init__(self, source: Schema, salt: str, run_ms: int, materialize=None, taken: DataFrame | None = None, hex_chars: int = HEX_CHARS):
         self.source, self.salt, self.run_ms = source, salt, run_ms
-        self.materialize = materialize
+        self.materialize, self.taken, self.hex_chars = materialize, taken, hex_chars
         self.id_cols = {t: c for t, c in MAPPED if t in source}
         self._tables: dict[str, DataFrame] = {}
         self._all: DataFrame | None = None
 
-    def _build(self, t: str) -> DataFrame:
-        c = self.id_cols[t]
-        ids = self.source[t].select(F.col(c).cast("string").alias("old_id")).where(F.col("old_id").isNotNull())
-        return ids.distinct().select(F.lit(t).alias("table_name"), "old_id",
-                                     new_id(F.lit(t), F.col("old_id"), self.salt, self.run_ms).alias("new_id"))
+    def _ids(self, t: str) -> DataFrame:
+        ids = self.source[t].select(F.col(self.id_cols[t]).cast("string").alias("old_id")).where(F.col("old_id").isNotNull())
+        return ids.distinct().select(F.lit(t).alias("table_name"), "old_id")
 
     def table(self, t: str) -> DataFrame:
         """One table's mapping: built on its own (lazy plans), or a filter of the stored
         whole mapping when materialised (one job for all tables)."""
         if t not in self._tables:
             self._tables[t] = (self.all().where(F.col("table_name") == t) if self.materialize
-                               else self._build(t))
+                               else self._ids(t).withColumn("new_id", new_id(F.lit(t), F.col("old_id"), self.salt, self.run_ms, 0, self.hex_chars)))
         return self._tables[t]
 
     def all(self) -> DataFrame:
         """(table_name, old_id, new_id) for every mapped table."""
         if self._all is None:
-            parts = [self._build(t) for t in self.id_cols]
+            parts = [self._ids(t) if self.materialize else self.table(t) for t in self.id_cols]
             m = parts[0]
             for p in parts[1:]:
                 m = m.unionByName(p)
-            self._all = self.materialize(m) if self.materialize else m
+            self._all = unique_ids(m, self.salt, self.run_ms, taken=self.taken, hex_chars=self.hex_chars, store=self.materialize) if self.materialize else m
         return self._all
 
     def lookup(self, table: str) -> DataFrame | None:
@@ -256,9 +305,9 @@ class Mapping:
         return self.table(table).select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new"))
 
 
-def id_mapping(source: Schema, salt: str, run_ms: int) -> DataFrame:
-    """(table_name, old_id, new_id), one row per distinct non-null source id."""
-    return Mapping(source, salt, run_ms).all()
+def id_mapping(source: Schema, salt: str, run_ms: int, *, taken: DataFrame | None = None, hex_chars: int = HEX_CHARS) -> DataFrame:
+    """(table_name, old_id, new_id), one row per distinct non-null source id; new ids are unique."""
+    return Mapping(source, salt, run_ms, cut_lineage, taken, hex_chars).all()
 
 
 def _remap(df: DataFrame, mapping: Mapping, table: str, col: str, how: str) -> DataFrame:
@@ -339,13 +388,26 @@ def remap_transfers(src: DataFrame, mapping: Mapping, max_id: DataFrame | int) -
 
 
 def merge_feed_info(src: DataFrame, tgt: DataFrame, key: list[str]) -> DataFrame:
-    """Source rows whose key is not already in the target (insert ... on conflict do nothing)."""
-    s = src.select(*tgt.columns).join(tgt.select(*key), key, "left_anti")
-    # rows that conflict with each other: one is kept; null keys never conflict
+    """Source rows whose key is not already in the target (insert ... on conflict do nothing).
+
+    Columns that only one side has stay, null in the other's rows. Of source rows with one key the smallest (by all its
+    columns in name order) is kept; rows with a null in the key conflict with nothing."""
+    lost = [k for k in key if k not in src.columns or k not in tgt.columns]
+    if lost:
+        raise MergeError(f"feed_info key column {lost[0]} is missing", "42703")
+    s = src.join(tgt.select(*key), key, "left_anti")
     null_key = F.lit(False)
     for k in key:
         null_key = null_key | F.col(k).isNull()
-    return s.where(~null_key).dropDuplicates(key).unionByName(s.where(null_key))
+    rest = sorted(c for c in src.columns if c not in key)
+    one = s.where(~null_key)
+    if rest:
+        one = one.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r")).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    else:
+        one = one.distinct()
+    out = one.unionByName(s.where(null_key))
+    return out.select(*[F.col(c) if c in src.columns else F.lit(None).cast(tgt.schema[c].dataType).alias(c) for c in tgt.columns],
+                      *[c for c in src.columns if c not in tgt.columns])
 
 
 # --- surrogate keys --------------------------------------------------------------------------------
@@ -357,12 +419,14 @@ def surrogate_ids(df: DataFrame, name: str, order: list[str], offset: DataFrame
     Rows are range-partitioned and sorted by ``order``; ``monotonically_increasing_id``
     then holds (partition id, position in partition). Per-partition counts (one row per
     partition, a bound fixed by the partition count) give each partition its start.
-    ``order`` should be a unique key (ties get ids in an arbitrary but single run order).
+    Rows equal in ``order`` are told apart by a random number, in the ranging too, so that any number of them
+    spreads over tasks (they get ids in an arbitrary but single run order).
     The ranged rows are materialised once: counts and ids taken from two runs of the range
     partitioning could be cut at different, separately sampled borders.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    tied = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
+    ranged = tied.repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
     mid = F.monotonically_increasing_id()
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_pos", mid - F.shiftleft(F.col("_pid").cast("long"), 33))
     ranged = cut_lineage(ranged)
@@ -380,9 +444,30 @@ def surrogate_ids(df: DataFrame, name: str, order: list[str], offset: DataFrame
 
 # --- enum validation -------------------------------------------------------------------------------
 
+def target_labels(target: Schema, labels: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
+    """Label sets by enum type: ``labels`` (the defaults when None) and whatever the target's own rows use, so that a target with
+    extended route types takes more of them. One distinct value per label reaches the driver; a column
+    with more than ``MAX_LABELS`` values is no enum and fails."""
+    out = {k: list(v) for k, v in (labels or DEFAULT_ENUM_LABELS).items()}
+    parts = [target[t].select(F.lit(e).alias("e"), F.col(c).cast("string").alias("v")) for t, cols in ENUM_COLUMNS.items() if t in target
+             for c, e in cols.items() if c in target[t].columns]
+    if parts:
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        for e, n in u.where("v IS NOT NULL").groupBy("e").agg(F.countDistinct("v")).collect():
+            if n > MAX_LABELS:
+                raise MergeError(f"enum {e} has {n} labels in the target", "22P02")
+        for e, v in u.where("v IS NOT NULL").distinct().collect():
+            if v not in out.setdefault(e, []):
+                out[e].append(v)
+    return out
+
+
 def enum_check(df: DataFrame, table: str, labels: dict[str, list[str]] | None = None) -> DataFrame:
-    """Add ``_enum_bad``: names of enum columns whose non-null value is not a label (empty = valid)."""
-    labels = labels or DEFAULT_ENUM_LABELS
+    """Add ``_enum_bad``: names of enum columns whose non-null value is not a label (empty = valid).
+    A type that ``labels`` does not name takes the default labels."""
+    labels = DEFAULT_ENUM_LABELS | (labels or {})
     cols = ENUM_COLUMNS.get(table, {})
     bad = [F.when(F.col(c).isNotNull() & ~F.col(c).cast("string").isin(labels[t]), F.lit(c))
            for c, t in cols.items() if c in df.columns]
@@ -428,7 +513,7 @@ def plan_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sc
     if both("agency"):
         dup = duplicate_agencies(source, target)
         kept = apply_deletes(target, dup)
-    mapping = Mapping(source, salt, run_ms, materialize)
+    mapping = Mapping(source, salt, run_ms, materialize, taken_ids(target, run_ms) if materialize else None)
     maxes = max_surrogates(target) if any(t in target for t in ("shapes", "frequencies", "transfers")) else None
     mx = lambda c: maxes.select(c) if maxes is not None else 0
 
@@ -559,7 +644,7 @@ def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sch
               ) -> tuple[Schema, DataFrame]:
     """Plan, stage every table (with ``staging_dir``), validate, then hand them out (all or nothing).
 
-    With a staging folder each id mapping is materialised once (all remaps read it) and
+    The id mapping is made unique and stored once (all remaps read it). With a staging folder
     each new table is written once; validation reads the staged rows. Returns ``(tables,
     report)``. On any failure the target tables come back unchanged and the report has
     status ``error``; staged files are left for inspection. ``result`` receives the plan.
@@ -567,7 +652,7 @@ def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sch
     try:
         res = plan_merge(spark, source, target, source_schema=source_schema, target_schema=target_schema,
                          run_ms=run_ms, salt=salt, feed_info_key=feed_info_key, enum_labels=enum_labels,
-                         materialize=cut_lineage if staging_dir else None)
+                         materialize=cut_lineage)
         if result is not None:
             result.append(res)
         if staging_dir:
@@ -590,17 +675,38 @@ def run_merge(spark: SparkSession, source: Schema, target: Schema, *, source_sch
 
 # --- publishing ------------------------------------------------------------------------------------
 
-def publish(spark: SparkSession, pointer: str, run_ms: int, staging_dir: str, tables: list[str]) -> None:
-    """Make a staged merge the current version: one row is appended to the ``pointer`` folder.
+def publish(spark: SparkSession, pointer: str, run_ms: int, staging_dir: str, tables: list[str], expected: int | None = None) -> int:
+    """Make a staged merge the current version, if the current one is still ``expected`` (the version the merge read;
+    0: none yet; None: whatever is there now). Returns the new version, raises :class:`Conflict` for the writer that came second.
 
-    The row's file appears by a single rename when the write commits, so readers see either
-    all tables of the old version or all of the new one."""
-    row = spark.createDataFrame([(run_ms, staging_dir, tables)], "run_ms long, staging_dir string, tables array<string>")
-    row.coalesce(1).write.mode("append").json(pointer)
+    The version's manifest appears in one step, so readers see either all tables of the old version
+    or all of the new one; older versions stay readable."""
+    log = VersionLog(spark, pointer)
+    base = (log.latest() or 0) if expected is None else expected
+    return log.commit(base + 1, {"run_ms": run_ms, "staging_dir": staging_dir, "tables": list(tables), "previous": base})
 
 
-def published(spark: SparkSession, pointer: str) -> Schema:
-    """The tables of the latest published version."""
-    versions = spark.read.schema("run_ms long, staging_dir string, tables array<string>").json(pointer)
-    v = versions.agg(F.max_by(F.struct("staging_dir", "tables"), "run_ms").alias("v")).first().v
-    return {t: spark.read.parquet(f"{v.staging_dir.rstrip('/')}/{t}").drop(ORIGIN) for t in v.tables}
+def published(spark: SparkSession, pointer: str, version: int | None = None) -> Schema:
+    """The tables of a published version (the latest when None)."""
+    v = VersionLog(spark, pointer).read(version)
+    if v is None:
+        raise KeyError(f"nothing is published in {pointer}")
+    return {t: spark.read.parquet(f"{v['staging_dir'].rstrip('/')}/{t}").drop(ORIGIN) for t in v["tables"]}
+
+
+def merge_into_published(spark: SparkSession, source: Schema, pointer: str, *, staging_dir: str, run_ms: int, **kw) -> tuple[Schema, DataFrame]:
+    """Merge ``source`` into the latest published version and publish the result: one transaction.
+
+    When another writer published meanwhile, nothing is applied: the current tables come back with an error report
+    (code 40001), and the merge may be run again on them."""
+    base = VersionLog(spark, pointer).latest() or 0
+    target = published(spark, pointer, base) if base else {}
+    tables, report = run_merge(spark, source, target, run_ms=run_ms, staging_dir=staging_dir, **kw)
+    if report.first()["status"] != "success":
+        return tables, report
+    try:
+        publish(spark, pointer, run_ms, staging_dir, list(tables), expected=base)
+    except Conflict as e:
+        message = f"version {e.version} was published by another writer"
+        return published(spark, pointer), error_report(spark, message, "40001", kw.get("source_schema"), kw.get("target_schema"))
+    return tables, report

@@ -144,3 +144,89 @@ def test_publish_swaps_all_tables_at_once(spark, tmp_path):
     # a failing merge publishes nothing, so the current version stays
     _, report = mg.run_merge(spark, src, tgt, source_schema="a", target_schema="a", run_ms=RUN + 2, salt=SALT)
     assert report.first().status == "error" and mg.published(spark, pointer)["trips"].count() == tables["trips"].count()
+
+
+def test_colliding_ids_are_hashed_again(spark):
+    ids = spark.range(0, 900).select(F.lit("trips").alias("table_name"), F.concat(F.lit("T"), F.col("id")).alias("old_id"))
+    taken = ids.limit(0).select(F.lit("x").alias("id")).unionByName(
+        ids.where("old_id IN ('T1', 'T2')").select(mg.new_id(F.lit("trips"), F.col("old_id"), SALT, RUN, 0, 3).alias("id")))
+    rows = mg.unique_ids(ids, SALT, RUN, taken=taken, hex_chars=3).collect()
+    new = {r.old_id: r.new_id for r in rows}
+    assert len(rows) == 900 and len(set(new.values())) == 900            # 900 ids in 4096 places
+    assert not set(new.values()) & {r.id for r in taken.collect()}
+    again = {r.old_id: r.new_id for r in mg.unique_ids(ids, SALT, RUN, taken=taken, hex_chars=3).collect()}
+    assert again == new
+    # ids that do not collide keep their first try
+    first = {r.old_id: r.n for r in ids.select("old_id", mg.new_id(F.lit("trips"), F.col("old_id"), SALT, RUN, 0, 3).alias("n")).collect()}
+    assert sum(first[k] == new[k] for k in new) > 650
+    with pytest.raises(mg.MergeError, match="collide"):
+        mg.unique_ids(ids.limit(20), SALT, RUN, hex_chars=1)              # 20 ids in 16 places
+
+
+def test_a_merge_with_collisions_succeeds(spark, monkeypatch):
+    monkeypatch.setattr(mg.Mapping.__init__, "__defaults__", (None, None, 4))
+    src, tgt = _split(spark)
+    tables, report = mg.run_merge(spark, src, tgt, source_schema="a", target_schema="b", run_ms=RUN, salt=SALT, feed_info_key=["feed_publisher_name"])
+    assert report.first().status == "success"
+    assert tables["trips"].groupBy("trip_id").count().where("count > 1").isEmpty()
+
+
+def test_second_writer_gets_a_conflict(spark, tmp_path):
+    src, _ = _split(spark)
+    pointer = f"{tmp_path}/log"
+    base = {t: src[t] for t in ("agency", "routes")}
+    for t, d in base.items():
+        d.withColumn(mg.ORIGIN, F.lit("kept")).write.parquet(f"{tmp_path}/v1/{t}")
+    assert mg.publish(spark, pointer, RUN, f"{tmp_path}/v1", list(base), expected=0) == 1
+    new = {"agency": spark.createDataFrame([("Z", "Zed")], "agency_id string, agency_name string"),
+           "routes": spark.createDataFrame([("RZ", "Z", "1700")], "route_id string, agency_id string, route_type string")}
+    kw = dict(source_schema="a", target_schema="b", salt=SALT, enum_labels={"route_type_val": ["0", "1", "2", "3", "1700"]})
+    # another writer publishes between this merge's read and its own publish
+    original = mg.run_merge
+
+    def slow(*args, **kwargs):
+        out = original(*args, **kwargs)
+        mg.publish(spark, pointer, RUN + 5, f"{tmp_path}/v1", list(base), expected=1)
+        return out
+    mg.run_merge = slow
+    try:
+        tables, report = mg.merge_into_published(spark, new, pointer, staging_dir=f"{tmp_path}/lost", run_ms=RUN + 1, **kw)
+    finally:
+        mg.run_merge = original
+    r = report.first()
+    assert r.status == "error" and r.error_detail == "40001" and tables["agency"].count() == base["agency"].count()
+    # run again on the version that won
+    tables, report = mg.merge_into_published(spark, new, pointer, staging_dir=f"{tmp_path}/v3", run_ms=RUN + 2, **kw)
+    assert report.first().status == "success"
+    assert mg.published(spark, pointer)["agency"].count() == base["agency"].count() + 1
+    assert mg.published(spark, pointer, 1)["agency"].count() == base["agency"].count()
+    with pytest.raises(KeyError):
+        mg.published(spark, pointer, 9)
+
+
+def test_feed_info_keeps_columns_of_both_sides(spark):
+    src = spark.createDataFrame([("p", "1", "x"), ("p", "2", "a"), (None, "3", "n"), (None, "3", "n"), ("q", "4", "y")], "feed_publisher_name string, feed_version string, feed_contact string")
+    tgt = spark.createDataFrame([("q", "en")], "feed_publisher_name string, feed_lang string")
+    got = mg.merge_feed_info(src, tgt, ["feed_publisher_name"])
+    assert got.columns == ["feed_publisher_name", "feed_lang", "feed_version", "feed_contact"]
+    assert sorted(map(tuple, got.collect()), key=str) == [("p", None, "2", "a"), (None, None, "3", "n"), (None, None, "3", "n")]
+    with pytest.raises(mg.MergeError, match="missing"):
+        mg.merge_feed_info(src.drop("feed_publisher_name"), tgt, ["feed_publisher_name"])
+
+
+def test_labels_come_from_the_target_too(spark):
+    tgt = {"routes": spark.createDataFrame([("R1", "1702"), ("R2", None)], "route_id string, route_type string")}
+    labels = mg.target_labels(tgt)
+    src = spark.createDataFrame([("A", "1702"), ("B", "1703"), ("C", "3"), ("D", None)], "route_id string, route_type string")
+    ok, bad = mg.enum_cast(src, "routes", labels)
+    assert {r.route_id for r in ok.collect()} == {"A", "C", "D"} and [r._enum_bad for r in bad.collect()] == [["route_type"]]
+
+
+def test_surrogates_of_equal_rows_are_dense_and_spread(spark):
+    df = spark.range(0, 60_000, 1, 6).select(F.lit("same").alias("k"), F.lit(1).alias("n"))
+    out = mg.surrogate_ids(df, "sid", ["k", "n"], 100, partitions=8).withColumn("pid", F.spark_partition_id())
+    assert tuple(out.agg(F.min("sid"), F.max("sid"), F.countDistinct("sid")).first()) == (101, 60_100, 60_000)
+    sizes = [r["count"] for r in mg.surrogate_ids(df, "sid", ["k", "n"], 0, partitions=8).withColumn("b", F.floor((F.col("sid") - 1) / 7500)).groupBy("b").count().collect()]
+    assert len(sizes) == 8
+    pieces = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(8, "k", "n", "_tie").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(pieces) >= 6 and max(r["count"] for r in pieces) < 60_000 / 3
