@@ -31,7 +31,7 @@ def _events_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``i`` = 1-based position within the user (row_number over user_id by
     event_id), computed with the block-split scan so one busy user is not one task."""
     e = _read(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return ordered_prefix(e, ["user_id"], "event_id").withColumnRenamed("row_no", "i")
+    return ordered_prefix(e, ["user_id"], "event_id", dense=True).withColumnRenamed("row_no", "i")
 
 
 def _keys_below(spark, sf_dir, name: str, key: str) -> Column:

@@ -77,10 +77,10 @@ def stop_runtime(stops: DataFrame, by: Sequence[str], *, stop_id: str = "stop_id
 def vehicle_progress(samples: DataFrame, keys: Sequence[str], *, seq: str = "seq", s_col: str = "s_now",
                      ts_col: str = "ts_ms", block_size: int = DEFAULT_BLOCK, with_blocks: bool = False):
     """Add ``progress`` (P_i), ``progress_prev`` (P_{i-1}, null for the first sample),
-    ``ts_prev`` (previous sample's ts) and ``row_no``. ``with_blocks`` keeps the (key, block)
+    ``ts_prev`` (previous sample's ts) and ``row_no``. ``seq`` is the broker offset (dense). ``with_blocks`` keeps the (key, block)
     columns and also returns the blocks (see :func:`ordered_prefix`)."""
     res = ordered_prefix(samples, keys, seq, max_of=[s_col], lag_of=[ts_col], block_size=block_size,
-                         keep_key=with_blocks, with_blocks=with_blocks)
+                         keep_key=with_blocks, with_blocks=with_blocks, dense=True)
     d, blocks = res if with_blocks else (res, None)
     first = F.col("row_no") == 1
     d = (d.withColumn("progress", F.greatest(F.lit(0.0), F.col(f"{s_col}_run_max")))

@@ -19,7 +19,7 @@ FEED_AGENCY = "SL"
 UNKNOWN_ID = "unknown"
 KEY_SEPARATOR = "|"
 
-# Snapshots per block of the snapshot scan; entity rows are blocked by snapshot number too.
+# Snapshots per block of the snapshot scan.
 SNAPSHOT_BLOCK = 1 << 16
 
 POSITION_COLUMNS = ["agency", "vehicle_id", "trip_id", "latitude", "longitude", "ts_ms", "time_local",
@@ -73,8 +73,7 @@ def dedup_vehicle_ts(entities: DataFrame) -> DataFrame:
     eligible = F.col("vehicle_id").isNotNull() & F.col("entity_ts").isNotNull()
     el = entities.where(eligible)
     rest = entities.where(~eligible)
-    prev = previous_in_order(el, ["feed", "vehicle_id"], ["snapshot_no", "entity_idx"], ["entity_ts"],
-                             block_size=SNAPSHOT_BLOCK)
+    prev = previous_in_order(el, ["feed", "vehicle_id"], ["snapshot_no", "entity_idx"], ["entity_ts"])
     kept = prev.where(F.col("entity_ts_prev").isNull() | (F.col("entity_ts_prev") != F.col("entity_ts")))
     return kept.drop("entity_ts_prev", "row_no").unionByName(rest)
 
