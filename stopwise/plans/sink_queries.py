@@ -12,9 +12,12 @@ from ..sinks import lake as lk
 from ..sinks import latest as lt
 from ..sinks import ndjson as nd
 from ..sinks.events import event_key
+from ..sinks.lake_schema import SchemaTable
+from ..sinks.latest_table import LatestTable
 from ..sources import positions as ps
 from ..streaming import runner
 from ..streaming.arrivals_stream import stream_arrivals
+from ..streaming.latest_stream import latest_in_event_time
 from .arrival_queries import FEED_AGENCY, KEYS, ON, TOLERANCE, _inputs, _sql as _arr_sql
 from .oracle import with_fx
 from .registry import register
@@ -125,16 +128,92 @@ def q_lake_identity_dedup(spark, sf_dir):
 
 
 @register("evolve_schema", _rsql(
-    f"SELECT {_REC_COLS} FROM rec WHERE seq % 2 = 0 UNION ALL BY NAME "
-    f"SELECT {_REC_COLS}, CAST(seq % 360 AS DOUBLE) AS bearing FROM rec WHERE seq % 2 = 1"))
+    f"SELECT {_REC_COLS} FROM rec WHERE seq % 3 = 0 UNION ALL BY NAME "
+    f"SELECT {_REC_COLS}, CAST(seq % 360 AS DOUBLE) AS bearing FROM rec WHERE seq % 3 = 1 UNION ALL BY NAME "
+    f"SELECT {_REC_COLS}, CAST(seq AS DOUBLE) / 4 AS bearing, seq * 4294967296 AS odometer FROM rec WHERE seq % 3 = 2 UNION ALL BY NAME "
+    f"SELECT {_REC_COLS}, CAST(seq % 7 AS BIGINT) AS odometer FROM rec WHERE seq % 30 = 1"))
 def q_evolve_schema(spark, sf_dir):
-    """Two schema versions appended to one lake table; the new column reads as null for old rows."""
+    """Four appends through the schema log: a new float column, the same as double, a new long column, the same as int
+    (cast up). Older files are read through the wider types, without a look at any footer."""
     rec = _records(spark, sf_dir)
-    path = runner.run_dir(spark, "evolve") + "/positions"
-    lk.append_batch(rec.where(F.col("seq") % 2 == 0), path)
-    lk.append_batch(rec.where(F.col("seq") % 2 == 1).withColumn("bearing", (F.col("seq") % 360).cast("double")), path)
-    cols = [c.strip() for c in _REC_COLS.split(",")] + ["bearing"]
-    return lk.read_lake(spark, path).select(*cols)
+    table = SchemaTable(spark, runner.run_dir(spark, "evolve"), ["agency"])
+    part = F.col("seq") % 3
+    table.append(rec.where(part == 0))
+    table.append(rec.where(part == 1).withColumn("bearing", (F.col("seq") % 360).cast("float")))
+    table.append(rec.where(part == 2).withColumn("bearing", F.col("seq").cast("double") / 4).withColumn("odometer", F.col("seq") * 4294967296))
+    table.append(rec.where(F.col("seq") % 30 == 1).withColumn("odometer", (F.col("seq") % 7).cast("int")))
+    return table.read().select(*[c.strip() for c in _REC_COLS.split(",")], "bearing", "odometer")
+
+
+@register("latest_positions_upsert", _rsql(_LATEST))
+def q_latest_positions_upsert(spark, sf_dir):
+    """The latest positions kept by a stream: four ordered micro-batches with restarts, the last one applied twice; equals the batch result."""
+    rec = _records(spark, sf_dir).select("agency", "vehicle_id", "trip_id", "latitude", "longitude", "ts_ms", "seq")
+    root = runner.run_dir(spark, "latest")
+    table = LatestTable(spark, f"{root}/table", buckets=16)
+    for p in range(4):
+        runner.append_in_order(rec, f"{root}/in", "seq", 4, range(p, p + 1))
+        q = table.start(runner.read_files(spark, f"{root}/in", rec.schema), f"{root}/ckpt", available_now=True)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    if table.upsert(rec, 3):      # batch 3 again: nothing may change
+        raise RuntimeError("a batch was applied twice")
+    return table.read()
+
+
+@register("latest_positions_expiry", with_fx(
+    "SELECT cache_key, ts_ms, ts_ms + 120000 AS expired_at_ms FROM (SELECT 'vehpos:SL:' || trip_id AS cache_key, ts_ms, max(ts_ms) OVER () AS newest, "
+    "lead(ts_ms) OVER (PARTITION BY trip_id ORDER BY ts_ms, seq) AS following FROM fx_positions) q "
+    "WHERE following - ts_ms > 120000 OR (following IS NULL AND ts_ms + 120000 <= newest)", "fx_positions"))
+def q_latest_positions_expiry(spark, sf_dir):
+    """Every expiry of a latest position, in event time: four micro-batches of time ranges with restarts in between."""
+    rec = _records(spark, sf_dir).select("agency", "vehicle_id", "trip_id", "ts_ms", "seq")
+    root = runner.run_dir(spark, "expiry")
+    for p in range(4):
+        runner.append_in_order(rec, f"{root}/in", "ts_ms", 4, range(p, p + 1))
+        stream = latest_in_event_time(runner.read_files(spark, f"{root}/in", rec.schema))
+        runner.run_available_now(stream, f"{root}/out", f"{root}/ckpt")
+    return spark.read.schema("cache_key string, ts_ms long, expired_at_ms long").parquet(f"{root}/out")
+
+
+# Records in four time ranges; every tenth of the first range comes with the last (too late), a fifth of all
+# comes twice in its range, another fifth again with the next range.
+_ARRIVALS = {
+    "edges": "SELECT min(ts_ms) AS lo, (max(ts_ms) - min(ts_ms)) // 4 + 1 AS width FROM fx_positions",
+    "timed": "SELECT p.agency, p.vehicle_id, p.ts_ms, p.seq, CAST(floor((p.ts_ms - lo) / width) AS BIGINT) AS part FROM fx_positions p, edges",
+    "sent": ("SELECT agency, vehicle_id, ts_ms, seq, CASE WHEN part = 0 AND seq % 10 = 3 THEN 3 ELSE part END AS batch, 0 AS copy FROM timed UNION ALL "
+             "SELECT agency, vehicle_id, ts_ms, seq, part, 1 FROM timed WHERE seq % 5 = 0 AND NOT (part = 0 AND seq % 10 = 3) UNION ALL "
+             "SELECT agency, vehicle_id, ts_ms, seq, part + 1, 2 FROM timed WHERE seq % 5 = 1 AND part < 3 AND NOT (part = 0 AND seq % 10 = 3)"),
+    "marks": "SELECT b AS batch, (SELECT max(ts_ms) - 600000 FROM sent s WHERE s.batch < b) AS mark FROM range(4) r(b)",
+    "judged": "SELECT sent.*, coalesce(ts_ms <= mark, FALSE) AS late FROM sent JOIN marks USING (batch)",
+}
+
+
+@register("lake_identity_dedup_stream", with_fx(
+    "SELECT 'kept' AS what, agency, vehicle_id, ts_ms, CAST(1 AS BIGINT) AS n FROM judged WHERE NOT late GROUP BY agency, vehicle_id, ts_ms UNION ALL "
+    "SELECT 'late' AS what, NULL AS agency, NULL AS vehicle_id, NULL AS ts_ms, CAST(count(*) AS BIGINT) AS n FROM judged WHERE late", "fx_positions", extra=_ARRIVALS))
+def q_lake_identity_dedup_stream(spark, sf_dir):
+    """Repeated and late records through the streaming de-dup, four micro-batches with restarts: what is kept, and how
+    many rows lateness dropped (from the query's progress)."""
+    rec = fx.positions(spark, sf_dir).select("agency", "vehicle_id", "ts_ms", "seq")
+    edges = rec.agg(F.min("ts_ms").alias("lo"), F.expr("(max(ts_ms) - min(ts_ms)) div 4 + 1").alias("width"))
+    timed = with_scalars(rec, edges).withColumn("part", F.floor((F.col("ts_ms") - F.col("lo")) / F.col("width"))).drop("lo", "width")
+    held = (F.col("part") == 0) & (F.col("seq") % 10 == 3)
+    sent = (timed.withColumn("batch", F.when(held, 3).otherwise(F.col("part")))
+            .unionByName(timed.where((F.col("seq") % 5 == 0) & ~held).withColumn("batch", F.col("part")))
+            .unionByName(timed.where((F.col("seq") % 5 == 1) & (F.col("part") < 3) & ~held).withColumn("batch", F.col("part") + 1)))
+    root = runner.run_dir(spark, "dedup")
+    late = 0
+    for p in range(4):
+        sent.where(F.col("batch") == p).drop("batch", "part").write.mode("append").parquet(f"{root}/in")
+        stream = runner.read_files(spark, f"{root}/in", rec.schema).withColumn("event_time", F.timestamp_millis("ts_ms"))
+        progress = runner.run_available_now(lk.identity_dedup_stream(stream, "event_time"), f"{root}/out", f"{root}/ckpt")
+        late += sum(op["numRowsDroppedByWatermark"] for x in progress for op in x["stateOperators"])
+    kept = spark.read.parquet(f"{root}/out").select(F.lit("kept").alias("what"), "agency", "vehicle_id", "ts_ms", F.lit(1).cast("long").alias("n"))
+    nothing = F.lit(None)
+    return kept.unionByName(spark.range(1).select(F.lit("late").alias("what"), nothing.cast("string").alias("agency"), nothing.cast("string").alias("vehicle_id"),
+                                                  nothing.cast("long").alias("ts_ms"), F.lit(late).cast("long").alias("n")))
 
 
 @register("write_arrivals", _arr_sql(

@@ -1,6 +1,9 @@
 """Latest position per cache key as a stream, entries expiring 120 s after their last write.
 
-Keyed ValueState plus one processing-time timer per key: every record updates its key
+:func:`latest_in_event_time` counts those seconds in the records' own time: a watermark and event-time timers
+make the expiries a function of the data, whatever the micro-batches and restarts were.
+
+:func:`latest_positions_stream` counts them by the clock. Keyed ValueState plus one processing-time timer per key: every record updates its key
 and is emitted as the key's new value (``expired`` = false); when a key receives no
 record for the TTL its timer fires, the state is cleared and a tombstone (``expired`` =
 true) is emitted. A key-value sink applies the stream as upserts and deletes, e.g.
@@ -11,8 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -45,6 +50,51 @@ class LatestWithTtl(StatefulProcessor):
         yield pd.DataFrame(row)
 
 
+class LatestInEventTime(StatefulProcessor):
+    """Folds a key's records in event-time order. An entry that no later record follows within the TTL expires at its time plus the
+    TTL: seen inside a micro-batch when the next record is further away, else by the key's timer."""
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_write", T.StructType([T.StructField("ts_ms", T.LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        ts = np.sort(np.concatenate([pdf["ts_ms"].to_numpy(np.int64) for pdf in rows]))
+        held = self.last.get()
+        if held is not None:
+            if ts[0] < held[0]:                              # older than what is there: it does not come back
+                ts = np.concatenate([[held[0]], ts[ts > held[0]]])
+            else:
+                ts = np.concatenate([[held[0]], ts])
+            self.handle.deleteTimer(int(held[0]) + self.ttl_ms)
+        gone = ts[:-1][np.diff(ts) > self.ttl_ms]
+        self.last.update((int(ts[-1]),))
+        self.handle.registerTimer(int(ts[-1]) + self.ttl_ms)
+        if len(gone):
+            yield self._expired(key, gone)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = self.last.get()
+        self.last.clear()
+        if held is not None:
+            yield self._expired(key, np.array([held[0]], np.int64))
+
+    def _expired(self, key, ts: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"cache_key": [key[0]] * len(ts), "ts_ms": ts, "expired_at_ms": ts + self.ttl_ms})
+
+
+def latest_in_event_time(records: DataFrame, ttl_s: int = TTL_S, delay: str = "0 seconds") -> DataFrame:
+    """Expiries (cache_key, ts_ms, expired_at_ms) of a stream of records; records more than ``delay`` late are dropped."""
+    d = (records.withColumn("event_time", F.timestamp_millis("ts_ms")).withWatermark("event_time", delay)
+         .select(cache_key().alias("cache_key"), "ts_ms", "event_time"))
+    return d.groupBy("cache_key").transformWithStateInPandas(
+        statefulProcessor=LatestInEventTime(ttl_s * 1000), outputStructType="cache_key string, ts_ms long, expired_at_ms long",
+        outputMode="Append", timeMode="EventTime")
+
+
 def latest_positions_stream(records: DataFrame, ttl_s: int = TTL_S) -> DataFrame:
     d = records.withColumn("cache_key", cache_key())
     out = T.StructType(list(d.schema.fields) + [T.StructField("expired", T.BooleanType())])

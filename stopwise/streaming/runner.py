@@ -6,6 +6,7 @@ fresh sub-folder per run, so nothing on a single machine's local disk is assumed
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +43,8 @@ def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", fil
 
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
                       partition_by: list[str] | None = None, output_mode: str = "append",
-                      state_partitions: int | None = None) -> None:
-    """Process everything available, exactly once into a file sink, then stop.
+                      state_partitions: int | None = None) -> list[dict]:
+    """Process everything available, exactly once into a file sink, then stop. Returns the progress of its micro-batches.
 
     State settings: see :func:`.state.state_store`.
     """
@@ -55,3 +56,4 @@ def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: st
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    return [json.loads(p.json) for p in q.recentProgress]
