@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions.timecols import local_time_columns, local_time_sql
 from ..operators import ingest as ing
+from ..session import cut_lineage
 from ..sources import feed as fd
 from ..sources import gtfs as gl
 from ..sources import positions as ps
+from ..sources.snapshot_source import read_snapshots
 from ..streaming import runner
 from .ingest_queries import NOW_S, _KEPT, _KEY, _RECORD
 from .oracle import with_fx
@@ -29,17 +31,41 @@ _ENC = ("CASE snapshot_no % 4 WHEN 0 THEN 'identity' WHEN 1 THEN 'gzip' ELSE 'de
 
 
 @register("feed_snapshot_source", with_fx(
-    f"SELECT DISTINCT feed, snapshot_no, {_ENC} AS content_encoding FROM fx_feed_entities", "fx_feed_entities"))
+    f"SELECT feed, snapshot_no, {_ENC} AS content_encoding, header_ts, CAST(count(*) AS BIGINT) AS entities FROM fx_feed_entities GROUP BY ALL", "fx_feed_entities"))
 def q_feed_snapshot_source(spark, sf_dir):
-    return _landing(spark, sf_dir).select("feed", "snapshot_no", "content_encoding")
-
-
-@register("decode_body", with_fx(
-    f"SELECT DISTINCT feed, snapshot_no, {_ENC} AS content_encoding, header_ts FROM fx_feed_entities",
-    "fx_feed_entities"))
+    """Raw snapshot files as a stream that keeps the feed's own position: half of them land, the query runs and stops, the
+    rest lands, it goes on from its checkpoint. Every snapshot once, its body decoded and parsed."""
+    root = runner.run_dir(spark, "snapshots")
+    snaps = cut_lineage(fd.encode_snapshots(fx.feed_entities(spark, sf_dir)))
+    middle = snaps.agg(F.floor(F.avg("snapshot_no"))).scalar()
+    for half in (F.col("snapshot_no") <= middle, F.col("snapshot_no") > middle):
+        fd.write_landing_files(snaps.where(half), f"{root}/in")
+        runner.run_available_now(read_snapshots(spark, f"{root}/in"), f"{root}/out", f"{root}/ckpt")
+    p = fd.parse_snapshots(fd.decode_body(spark.read.parquet(f"{root}/out"), "AUTO"))
+    return p.select("feed", "snapshot_no", "content_encoding", "header_ts", F.size("entities").cast("long").alias("entities"))
+
+
+_MODES = ("AUTO", "TRY_SMART", "GZIP", "DEFLATE", "NONE")
+# The body rotates over identity, gzip, zlib and raw deflate; which of them a mode can read.
+_READS = {"AUTO": "TRUE", "TRY_SMART": "snapshot_no % 4 <> 3", "GZIP": "snapshot_no % 4 = 1", "DEFLATE": "snapshot_no % 4 IN (2, 3)", "NONE": "snapshot_no % 4 = 0"}
+
+
+@register("decode_body", with_fx(" UNION ALL ".join(
+    f"SELECT DISTINCT '{m}' AS mode, feed, snapshot_no, {_ENC} AS content_encoding, {c} AS readable, CASE WHEN {c} THEN header_ts END AS header_ts "
+    f"FROM fx_feed_entities" for m, c in _READS.items()), "fx_feed_entities"))
 def q_decode_body(spark, sf_dir):
-    p = fd.parse_snapshots(fd.decode_body(_landing(spark, sf_dir), "AUTO"))
-    return p.select("feed", "snapshot_no", "content_encoding", "header_ts")
+    """Every snapshot body in every decoding mode: whether the payload is the snapshot that was encoded, and its header time."""
+    landed = _landing(spark, sf_dir)
+    plain = fd.decode_body(landed, "AUTO").select(F.col("feed").alias("f"), F.col("snapshot_no").alias("n"), F.sha2("payload", 256).alias("want"))
+    parts = []
+    for m in _MODES:
+        p = fd.parse_snapshots(fd.decode_body(landed, m)).join(plain, (F.col("feed") == F.col("f")) & (F.col("snapshot_no") == F.col("n")))
+        same = F.coalesce(F.sha2("payload", 256) == F.col("want"), F.lit(False))
+        parts.append(p.select(F.lit(m).alias("mode"), "feed", "snapshot_no", "content_encoding", same.alias("readable"), F.when(same, F.col("header_ts")).alias("header_ts")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u
 
 
 _ENT = ("feed, snapshot_no, header_ts, entity_idx, entity_id, vehicle_id, entity_ts, CAST(CAST(lat AS FLOAT) AS DOUBLE) "

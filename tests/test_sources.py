@@ -84,3 +84,40 @@ def test_parse_lines_keeps_bad_apart(spark):
     lines = spark.createDataFrame([('{"agency":"SL","ts_ms":5}',), ('{"agency":',), ("not json",)], "value string")
     good, bad = ps.parse_lines(lines, ps.POSITION_SCHEMA)
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_snapshot_stream_goes_on_behind_its_offset(spark, tmp_path):
+    """Fetch order by number, a bounded batch, restart from the checkpoint; earlier files may be gone, late ones are not read."""
+    import json
+    import os
+
+    from stopwise.sources.snapshot_source import SnapshotReader, read_snapshots
+    from stopwise.streaming import runner
+    root, out, ckpt = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/ckpt"
+    for feed in ("a", "b"):
+        (root / feed).mkdir(parents=True)
+    stale = 10**9
+    for i in (3, 1, 2):          # landed out of order, with misleading file times
+        p = root / "a" / f"{i:012d}.pb"
+        p.write_bytes(RAW)
+        os.utime(p, (stale - i, stale - i))
+    (root / "b" / "7.gz").write_bytes(gzip.compress(RAW))
+    (root / "a" / "README").write_text("no snapshot")
+    runner.run_available_now(read_snapshots(spark, str(root)), out, ckpt)
+    got = {(r.feed, r.snapshot_no, r.content_encoding, bytes(r.body)) for r in spark.read.parquet(out).collect()}
+    assert got == {("a", i, "identity", RAW) for i in (1, 2, 3)} | {("b", 7, "gzip", (root / "b" / "7.gz").read_bytes())}
+    for p in (root / "a").iterdir():
+        p.rename(tmp_path / p.name)                                   # archived
+    (root / "a" / "000000000002.pb").write_bytes(RAW)                 # late: its number is behind the offset
+    (root / "a" / "000000000010.pb").write_bytes(b"broken")
+    runner.run_available_now(read_snapshots(spark, str(root)), out, ckpt)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 5 and ("a", 10) in {(r.feed, r.snapshot_no) for r in rows}
+    offsets = sorted(int(f) for f in os.listdir(f"{ckpt}/offsets") if f.isdigit())
+    last = json.loads((tmp_path / "ckpt" / "offsets" / str(offsets[-1])).read_text().splitlines()[-1])
+    assert last["a"] == {"snapshot_no": 10, "header_ts": None} and last["b"] == {"snapshot_no": 7, "header_ts": 1700000000}
+    # one batch takes at most so many snapshots of a feed
+    (root / "b" / "8.pb").write_bytes(RAW)
+    (root / "b" / "9.pb").write_bytes(RAW)
+    reader = SnapshotReader(str(root), 2)
+    assert reader.latestOffset()["b"]["snapshot_no"] == 8 and reader.latestOffset()["b"]["snapshot_no"] == 9
