@@ -1,6 +1,6 @@
 """Streaming de-duplication with keyed state (transformWithStateInPandas).
 
-* snapshots: keyed by feed, state = last non-zero header ts;
+* snapshots: keyed by feed, state = last non-zero header ts; only (feed, snapshot_no, header_ts) goes there;
 * vehicle timestamps: keyed by (feed, vehicle), state = last entity ts; rows without a
   vehicle id or timestamp bypass the state (a stateless branch unioned back).
 
@@ -20,28 +20,25 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
-def _prev_values(values: np.ndarray, start) -> np.ndarray:
-    """Value of the previous element for each position, ``start`` before the first."""
-    return np.concatenate([[start], values[:-1]])
-
-
 class SnapshotDedup(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_header_ts", T.StructType([T.StructField("ts", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("snapshot_no", kind="stable")
-        last = self.last.get()[0] if self.last.exists() else -1
-        h = pdf["header_ts"].to_numpy(np.int64)
-        nz = pd.Series(np.where(h > 0, h, np.nan))
-        # last non-zero header ts before each snapshot (state value before the first)
-        before = nz.shift(1).ffill().fillna(last).to_numpy()
-        drop = (h > 0) & (h == before)
+        parts = [(p["snapshot_no"].to_numpy(np.int64), p["header_ts"].to_numpy(np.int64)) for p in rows]
+        no, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(no, kind="stable")
+        no, h = no[order], h[order]
+        held = self.last.get()
+        # last non-zero header ts before each snapshot (the state's before the first)
+        at = np.maximum.accumulate(np.where(h > 0, np.arange(len(h)), -1))
+        at = np.concatenate([[-1], at[:-1]])
+        before = np.where(at >= 0, h[np.maximum(at, 0)], held[0] if held is not None else -1)
+        keep = ~((h > 0) & (h == before))
         if (h > 0).any():
             self.last.update((int(h[h > 0][-1]),))
-        out = pdf[~drop]
-        if len(out):
-            yield out
+        if keep.any():
+            yield pd.DataFrame({"feed": [key[0]] * int(keep.sum()), "snapshot_no": no[keep], "header_ts": h[keep]})
 
 
 class VehicleTsDedup(StatefulProcessor):
@@ -51,18 +48,44 @@ class VehicleTsDedup(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["snapshot_no", "entity_idx"], kind="stable")
         ts = pdf["entity_ts"].to_numpy(np.int64)
-        start = self.last.get()[0] if self.last.exists() else None
-        prev = _prev_values(ts.astype(object), start)
-        drop = np.array([p is not None and p == t for p, t in zip(prev, ts)], dtype=bool)
+        held = self.last.get()
+        keep = np.concatenate([[held is None or held[0] != ts[0]], ts[1:] != ts[:-1]])
         self.last.update((int(ts[-1]),))
-        out = pdf[~drop]
-        if len(out):
-            yield out
+        if keep.any():
+            yield pdf[keep]
+
+
+class Verdict(StatefulProcessor):
+    """Rows of a snapshot pass when the snapshot's verdict came with them; nothing is kept between micro-batches."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held, passes = [], False
+        for pdf in rows:
+            verdict = pdf["verdict"].to_numpy(dtype=bool)
+            passes |= bool(verdict.any())
+            if not verdict.all():
+                held.append(pdf.loc[~verdict].drop(columns="verdict"))
+        if passes:
+            yield from held
 
 
 def dedup_snapshots_stream(snapshots: DataFrame) -> DataFrame:
-    return snapshots.groupBy("feed").transformWithStateInPandas(
-        statefulProcessor=SnapshotDedup(), outputStructType=snapshots.schema, outputMode="Append", timeMode="None")
+    """The kept snapshots as (feed, snapshot_no, header_ts): all that a feed's one state sees of them."""
+    narrow = snapshots.select("feed", F.col("snapshot_no").cast("long").alias("snapshot_no"), F.col("header_ts").cast("long").alias("header_ts"))
+    return narrow.groupBy("feed").transformWithStateInPandas(
+        statefulProcessor=SnapshotDedup(), outputStructType=narrow.schema, outputMode="Append", timeMode="None")
+
+
+def keep_snapshots_stream(snapshots: DataFrame) -> DataFrame:
+    """The kept snapshots with all their columns. Only their numbers and header times go through the feed's state; the rest
+    is grouped by snapshot, where the verdict meets it within the micro-batch."""
+    verdict = dedup_snapshots_stream(snapshots).select("feed", "snapshot_no", F.lit(True).alias("verdict"))
+    both = snapshots.withColumn("verdict", F.lit(False)).unionByName(verdict, allowMissingColumns=True)
+    return both.groupBy("feed", "snapshot_no").transformWithStateInPandas(
+        statefulProcessor=Verdict(), outputStructType=snapshots.schema, outputMode="Append", timeMode="None")
 
 
 def dedup_vehicle_ts_stream(entities: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import ingest as ing
 from ..sinks.lake import COMMIT_INTERVAL, PARTITION_BY
 from ..sources import feed as fd
 from ..sources.feed import read_landing_folder
-from .dedup_stream import dedup_snapshots_stream, dedup_vehicle_ts_stream
+from .dedup_stream import dedup_vehicle_ts_stream, keep_snapshots_stream
 from .state import state_store
 
 
@@ -21,7 +21,7 @@ def ingest_stream(snapshots: DataFrame, now_s: int) -> DataFrame:
     """Snapshot stream -> position records: decode, parse, snapshot de-dup (state per
     feed), explode, filter, vehicle de-dup (state per feed and vehicle), record."""
     parsed = fd.parse_snapshots(fd.decode_body(snapshots)).where("parse_error IS NULL")
-    snaps = dedup_snapshots_stream(parsed.select("feed", "snapshot_no", "header_ts", "entities"))
+    snaps = keep_snapshots_stream(parsed.select("feed", "snapshot_no", "header_ts", "entities"))
     ents = fd.explode_feed(snaps.withColumn("parse_error", F.lit(None).cast("string")))
     ents = ing.filter_vehicle_entities(ents).drop("has_vehicle")
     return ing.position_record(dedup_vehicle_ts_stream(ents), now_s=now_s, keep=("snapshot_no", "entity_idx"))
