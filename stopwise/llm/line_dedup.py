@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import linking
-from .shared import stored
+from .shared import release, stored
 
 SHINGLE = 12
 BANDS, ROWS = 10, 3
@@ -92,13 +92,15 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
         x = content.select(F.col("node").alias("a"), F.col("items").alias("x"))
         y = content.select(F.col("node").alias("b"), F.col("items").alias("y"))
         common = F.size(F.array_intersect("x", "y"))
-        return pairs.join(x, "a").join(y, "b").where(b * common >= a * (F.size("x") + F.size("y") - common)).select("a", "b")
+        out = stored(pairs.join(x, "a").join(y, "b").where(b * common >= a * (F.size("x") + F.size("y") - common)).select("a", "b"), "line-links")
+        release(content)
+        return out
 
     def traits(nodes: DataFrame) -> DataFrame:
         # The set's size and its parity sketch: bit j is the parity of the hashes that fall on j.
         one = items(nodes).select("node", F.explode("items").alias("h"))
         word = lambda w: F.expr(f"bit_xor(if(shiftright(h, 6) & {SKETCH_WORDS - 1} = {w}, shiftleft(1L, cast(h & 63 as int)), 0L))")
-        return one.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[word(w).alias(f"p{w}") for w in range(SKETCH_WORDS)])
+        return stored(one.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[word(w).alias(f"p{w}") for w in range(SKETCH_WORDS)]), "line-traits")
 
     def fit(x: str, y: str) -> Column:
         n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
@@ -113,7 +115,7 @@ def fuzzy_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, line_no, kept, first_doc_id, first_line_no) of every line with a word."""
     lines = _lines(docs, id_col, text_col)
     found = stored(lines.select("doc_id", "row", "line_no", _node().alias("node")), "lines")
-    label = stored(line_components(lines, least), "line-components")
+    label = line_components(lines, least)
     place = F.struct("doc_id", "row", "line_no")
     per_node = found.groupBy("node").agg(F.min(place).alias("first")).join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
     first = per_node.groupBy("c").agg(F.min("first").alias("first"))

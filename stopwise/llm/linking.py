@@ -10,14 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import release, stored
 
 # A table of ids up to this many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 # A node that has more rows of other components to look at than this, and than so many times
-# its size, gets a cheaper allocation.
+# its size, gets a cheaper allocation. A look is a comparison of sketches inside a join (about 20 ns); a node's full
+# index has about three rows per element, which cost some 2 us each to sign, store, rank and join.
 PLAIN_COST = 64
-PLAIN_SIZES = 2
+PLAIN_SIZES = 200
+# Star rounds at most, and the share of tested pairs that must link for another one. They only spare later work: what they leave apart is searched whole.
+STAR_ROUNDS = 4
+STAR_GAIN = 50
 
 
 def bounded(rows: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
@@ -43,13 +47,16 @@ def components(links: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         pointed = down.join(least, "a")
         small = pointed.select(F.col("b").alias("a"), F.col("m").alias("b")).union(pointed.select("a", F.col("m").alias("b")))
-        edges = stored(small.where("a <> b").distinct(), "edges")
+        edges, before = stored(small.where("a <> b").distinct(), "edges"), edges
+        release(before)
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if seen == state:
             break
         seen = state
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+    out = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).groupBy("node").agg(F.min("component").alias("component")), "components")
+    release(edges)
+    return out
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
@@ -85,17 +92,19 @@ def probing(members: DataFrame) -> DataFrame:
 Fit = Callable[[str, str], Column]       # two aliases -> whether their nodes may link, from the columns of ``known``
 
 
-def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, fit: Fit) -> DataFrame:
+def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, fit: Fit, held: list[DataFrame]) -> DataFrame:
     """Candidate pairs (a, b) of different components, from a full index and the cheapest allocation per node.
 
     ``index``: (sig, node, scheme, segment, deleted, need), one-deletion rows of every
     segment included. Allocation 1 of a segment finds the nodes with the same part,
     allocation 2 also those whose part differs by one element; allocations of a node add up to
-    ``need``. Costs are the numbers of rows found, other components only."""
+    ``need``. Costs are the numbers of rows found, other components only. The stored index joins ``held``, to be released
+    when the pairs are written."""
     sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
     is_full, is_deleted = F.when(~F.col("deleted"), 1).otherwise(0), F.when(F.col("deleted"), 1).otherwise(0)
     rows = stored(index.join(label, "node").withColumns({
         "full_cost": F.sum(is_full).over(sig) - F.sum(is_full).over(same), "deleted_cost": F.sum(is_deleted).over(sig) - F.sum(is_deleted).over(same)}), "full-index")
+    held.append(rows)
     one = F.sum(F.when(~F.col("deleted"), F.col("full_cost")).otherwise(0))
     two = one + F.sum(F.when(F.col("deleted"), F.col("full_cost")).otherwise(F.col("deleted_cost")))
     per_part = rows.groupBy("node", "scheme", "segment").agg(one.alias("one"), two.alias("two"), F.first("need").alias("need"))
@@ -112,22 +121,41 @@ def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, f
     return x.join(y, fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def star_candidates(members: DataFrame, label: DataFrame, salt: int) -> DataFrame:
+    """Candidate pairs (a, b) that may join components: in every signature one node of each component against one hub.
+
+    Node and hub are drawn by a salted hash among those that probe, so another round tries others. At most one pair
+    per row; hubs are minima of aggregates, so a signature that very many nodes share is never gathered."""
+    c = F.coalesce(F.col("component"), F.col("node"))
+    reps = (members.join(label, "node", "left").groupBy("sig", c.alias("c"))
+            .agg(F.min(F.struct((~F.col("probes")).alias("quiet"), F.xxhash64("node", F.lit(salt)).alias("drawn"), F.col("node"))).alias("r")))
+    hubs = (reps.groupBy("sig").agg(F.min(F.struct(F.col("r.quiet"), F.xxhash64("c", F.lit(salt)).alias("drawn"), F.col("r.node"))).alias("hub"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1 and not hub.quiet").select("sig", F.col("hub.node").alias("hub")))
+    return (reps.join(hubs, "sig").where("r.node <> hub")
+            .select(F.least("hub", "r.node").alias("a"), F.greatest("hub", "r.node").alias("b")).distinct())
+
+
 def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit, verify: Callable[[DataFrame, DataFrame], DataFrame],
-            full_index: Callable[[DataFrame], DataFrame] | None = None, fine: Fit | None = None) -> DataFrame:
-    """Verified links (a, b) that connect every pair of nodes that shares a signature and verifies.
+            full_index: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None, fine: Fit | None = None) -> DataFrame:
+    """Verified links (a, b), stored, that connect every pair of nodes that shares a signature and verifies.
 
     ``rows``: (sig, node, meta), see :func:`probing`. ``traits`` gives (node, n, short columns) of
-    nodes; pairs whose traits do not ``fit`` cannot link and are left out inside the candidate
+    nodes, stored; pairs whose traits do not ``fit`` cannot link and are left out inside the candidate
     joins, those that do not pass ``fine`` (columns q...) right after. ``verify(pairs, known)`` returns the pairs
-    that link. Round one tests each node against its signature's hub only, so a signature that
-    many copies share costs one pair per copy. Nodes that this connects need no further
-    tests among themselves. Round two tests what nodes find in other components by their own
-    signatures, if that is at most ``PLAIN_COST`` rows or twice the node's size ``n`` (about
-    the rows of its full index): a number linear in the input. Pairs of two more expensive nodes
-    come from ``allocated_candidates`` (without a full index, from their signatures too). Every
-    candidate pair that links ends in one component."""
-    members = stored(probing(stored(shared_signatures(rows), "shared")), "members")
-    known = stored(traits(members.select("node").distinct()), "traits")
+    that link, stored. Star rounds come first: round one tests each node against its signature's hub, the next ones a node of each
+    component that shares a signature with another (:func:`star_candidates`), until a round joins less than one in ``STAR_GAIN``
+    of them. A signature that many copies share, and a family that links, costs about one pair per node that way; nodes
+    that this connects need no further tests among themselves.
+
+    What is still apart is searched whole: nodes find others by their own
+    signatures, if that is at most ``PLAIN_COST`` rows or ``PLAIN_SIZES`` times the node's size ``n`` (about the
+    price of its full index): a number linear in the input. Pairs of two more expensive nodes
+    come from ``allocated_candidates`` (``full_index`` returns the index and a stored table to release after it is read; without one,
+    from their signatures too). Every candidate pair that links ends in one component."""
+    shared = stored(shared_signatures(rows), "shared")
+    members = stored(probing(shared), "members")
+    release(shared)
+    known = traits(members.select("node").distinct())
     narrow = known.select(*[c for c, kind in known.dtypes if kind != "binary"])
     short = narrow.select(*[c for c in narrow.columns if not c.startswith("q")])
 
@@ -138,22 +166,44 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
 
     star = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     tested = stored(fitting(star), "pairs")
-    links = stored(verify(tested, known), "links")
+    links = verify(tested, known)
     label = components(links)
+    for salt in range(1, STAR_ROUNDS):
+        pairs = stored(fitting(star_candidates(members, label, salt).join(tested, ["a", "b"], "left_anti")), "pairs")
+        new = verify(pairs, known)
+        tested, old = stored(tested.union(pairs), "tested"), (tested, pairs)
+        release(*old)
+        gained = new.count()
+        if gained:
+            links, old = stored(links.union(new), "links"), (links, new)
+            release(*old, label)
+            label = components(links)
+        if gained * STAR_GAIN < tested.count():
+            break
     sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
     rest = (members.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
             .withColumn("others", F.count(F.lit(1)).over(sig) - F.count(F.lit(1)).over(same)).where("others > 0"))
+    rest = stored(rest.select("sig", "node", "probes", "c", "others"), "rest")
+    release(members)
     cost = rest.groupBy("node").agg(F.sum(F.when(F.col("probes"), F.col("others")).otherwise(0)).alias("cost"))
-    traits_of = [c for c in short.columns if c != "node"]
-    open_ = stored(rest.join(cost, "node").join(short, "node").select(
-        "sig", "node", "probes", "c", (F.col("cost") <= F.greatest(F.lit(PLAIN_COST), PLAIN_SIZES * F.col("n"))).alias("plain"), *traits_of), "open")
+    plain = (F.col("cost") <= F.greatest(F.lit(PLAIN_COST), PLAIN_SIZES * F.col("n"))).alias("plain")
+    judged = stored(cost.join(short, "node").select("node", plain, *[c for c in short.columns if c != "node"]), "judged")
+    open_ = rest.join(judged, "node")
     x, y = open_.where("probes and plain" if full_index else "probes").alias("x"), open_.alias("y")
     pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & fit("x", "y"))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+    held = []
     if full_index is not None:
-        dear = stored(open_.where("not plain").select("node", "c").distinct(), "dear")
+        dear = stored(rest.join(judged.where("not plain").select("node"), "node", "left_semi").select("node", "c").distinct(), "dear")
+        held.append(dear)
         if not dear.isEmpty():
-            pairs = pairs.union(allocated_candidates(full_index(dear.select("node")), dear, short, fit)).distinct()
+            index, sets = full_index(dear.select("node"))
+            pairs = pairs.union(allocated_candidates(index, dear, short, fit, held)).distinct()
+            release(sets)
     pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    more = stored(verify(stored(fitting(pairs) if fine else pairs, "pairs"), known), "links")
-    return links.union(more)
+    wanted = stored(fitting(pairs) if fine else pairs, "pairs")
+    release(rest, judged, tested, *held)
+    more = verify(wanted, known)
+    out = stored(links.union(more), "links")
+    release(wanted, more, links, known, label)
+    return out

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from . import linking
 from . import textkernel as tk
-from .shared import concat_runs, ship_package, sliced, stored
+from .shared import concat_runs, release, ship_package, sliced, stored
 
 GROWTH = 1.5
 SKETCH_WORDS, FINE_WORDS = 8, 32
@@ -256,9 +256,13 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                         n = n[n > 0]
                         yield pa.record_batch(give(names(h, n), h, n))
         out = stored(texts.join(linking.bounded(keys), "key", "left_semi").select("text").mapInArrow(run, ddl), "sets")
+        release(keys)
         # Rows that repeat an id give a node twice, or another text's.
         counted = out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("node").alias("nodes")).first()
-        return out if counted["rows"] == counted["nodes"] else stored(out.dropDuplicates(["node"]), "sets")
+        if counted["rows"] != counted["nodes"]:
+            out, twice = stored(out.dropDuplicates(["node"]), "sets"), out
+            release(twice)
+        return out
 
     def exact_sets(nodes: DataFrame) -> DataFrame:
         def give(node: np.ndarray, h: np.ndarray, n: np.ndarray) -> dict:
@@ -310,9 +314,11 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
             return bool(t.linked(common, m + n - common))
         likely = stored(filtered(pairs, known, "wide", near), "likely")
         content = exact_sets(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        return filtered(likely, content, "items", linked)
+        out = stored(filtered(likely, content, "items", linked), "links")
+        release(likely, content)
+        return out
 
-    def full_index(nodes: DataFrame) -> DataFrame:
+    def full_index(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for part in sliced(b, 512):
@@ -321,7 +327,8 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                     node = part.column("node").to_numpy()[s.who]
                     yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node), "scheme": pa.array(s.scheme), "segment": pa.array(s.segment),
                                            "deleted": pa.array(s.deleted), "need": pa.array(s.need)})
-        return exact_sets(nodes).mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long")
+        sets = exact_sets(nodes)
+        return sets.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long"), sets
 
     links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, meta long"), traits, fit, verify, full_index, fine)
     label = linking.components(links)

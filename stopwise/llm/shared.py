@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, ship_package, table_path
 
-__all__ = ["stored", "scratch", "documents", "labels", "batch_of", "sliced", "table_path", "ship_package"]
+__all__ = ["stored", "release", "scratch", "documents", "labels", "sliced", "table_path", "ship_package"]
+
+SWEEP_S = 3.0
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -21,11 +25,35 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here, lost executors lose nothing."""
+    """Write ``df`` to the shared folder and read it back: lineage ends here, lost executors lose nothing.
+
+    The table stays until :func:`release` drops it (or the folder's owner cleans up after the job)."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+_last_sweep = [0.0]
+
+
+def release(*frames: DataFrame) -> None:
+    """Drop stored tables whose successor is written; nothing lazy may read them any more.
+
+    Spark deletes shuffle files when the driver's collector finds their plans gone, which a
+    driver with little garbage does rarely: at most every ``SWEEP_S`` seconds it is asked to."""
+    for df in frames:
+        path = df.__dict__.pop("stored_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+    if frames and time.monotonic() - _last_sweep[0] > SWEEP_S:
+        _last_sweep[0] = time.monotonic()
+        gc.collect()
+        frames[0].sparkSession._jvm.System.gc()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,12 +70,6 @@ def crc_fold(doc_id: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % mod
 
 
-def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
-    """A record batch from numpy arrays or Arrow arrays, cast to ``schema``."""
-    return pa.record_batch([pa.array(columns[f.name]).cast(f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray))
-                            else columns[f.name].cast(f.type) for f in schema], schema=schema)
-
-
 def sliced(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
