@@ -32,6 +32,7 @@ from .shared import ship_package
 MARK = "▁".encode()
 UNKNOWN = -30.0
 CHUNK = 4 << 20
+LONG_WORD, LONG_BLOCK = 512, 1 << 16
 _A = 0x9E3779B97F4A7C15
 
 
@@ -142,6 +143,40 @@ def count_tokens(buffer: np.ndarray, starts: np.ndarray, lengths: np.ndarray, vo
     return result
 
 
+def count_long(word: np.ndarray, vocab: Vocabulary) -> int:
+    """Tokens of one long byte word: the pieces that end at each byte are looked up for ``LONG_BLOCK`` bytes at a time, then one
+    forward pass goes over those that exist. The same scores, sums and ties as on the trie."""
+    best, tokens = [0.0], [0]
+    for lo in range(0, len(word), LONG_BLOCK):
+        ends = np.arange(lo, min(lo + LONG_BLOCK, len(word)))
+        acc, power = np.zeros(len(ends), np.uint64), 1
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in range(1, vocab.longest + 1):
+            inside = ends - k + 1 >= 0
+            acc = acc + np.where(inside, tk._BYTE[word[np.maximum(ends - k + 1, 0)]], np.uint64(0)) * np.uint64(power)
+            power = power * _A % 2**64
+            value = vocab.score(tk.mix(acc + np.uint64(k)))
+            if k == 1:
+                value = np.maximum(value, UNKNOWN)
+            at = np.flatnonzero(inside & (value > -np.inf))
+            found.append((at, np.full(len(at), k), value[at]))
+        at, size, value = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((size, at))
+        pieces = zip(at[order].tolist(), size[order].tolist(), value[order].tolist(), strict=True)
+        here, top, count = 0, -np.inf, 0
+        for i, k, v in pieces:
+            if i != here:
+                best.append(top)
+                tokens.append(count)
+                here, top, count = i, -np.inf, 0
+            total = best[lo + i + 1 - k] + v
+            if total >= top:
+                top, count = total, tokens[lo + i + 1 - k] + 1
+        best.append(top)
+        tokens.append(count)
+    return tokens[-1]
+
+
 def chunk_counts(c: tk.Chunk, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(words, tokens) of each text of a chunk."""
     starts, ends = c.runs(tk.NON_SPACE)
@@ -158,11 +193,13 @@ def chunk_counts(c: tk.Chunk, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray
     back = np.repeat(np.cumsum(n) - n, n)
     buffer[np.repeat(offs + m, n) + rows - back] = c.data[np.repeat(s, n) + rows - back]
     tokens = np.empty(len(s), np.int64)
-    # Words of like length share a table; a very long word gets a table of its own size.
+    # Words of like length share a table; a very long word goes on its own.
     size = n + m
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        tokens[i] = count_long(buffer[offs[i]: offs[i] + size[i]], vocab)
     band = np.maximum(np.ceil(np.log2(size)).astype(np.int64), 5) if len(size) else size
     for b in np.unique(band):
-        at = np.flatnonzero(band == b)
+        at = np.flatnonzero((band == b) & (size <= LONG_WORD))
         tokens[at] = count_tokens(buffer, offs[at], size[at], vocab)
     words = c.per_text(starts)
     total = np.concatenate([[0], np.cumsum(tokens[inverse])])

@@ -201,3 +201,20 @@ def test_toxicity_edges(spark):
         got = toxicity.score(docs, net).collect()
         assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
     assert toxicity.score(docs.limit(0), net).count() == 0
+
+
+def test_long_words_count_alike_and_fast():
+    """A long word's own forward pass equals the trie's, ties included; a megabyte takes seconds."""
+    import time
+
+    from stopwise.llm.queries import MODEL_FILE
+    vocab = token_trie.Vocabulary.of(token_trie.read_pieces(MODEL_FILE))
+    rng = np.random.default_rng(8)
+    for size, letters in ((1, b"ab"), (30, b"abcderi"), (700, b"etaoin shrdlu"), (3000, b"aaab"), (900, bytes(range(128, 256)))):
+        word = np.frombuffer(token_trie.MARK + bytes(rng.choice(np.frombuffer(letters, np.uint8), size)), np.uint8)
+        trie = token_trie.count_tokens(word, np.array([0]), np.array([len(word)]), vocab)[0]
+        assert token_trie.count_long(word, vocab) == trie
+    word = rng.choice(np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8), 1 << 20)
+    began = time.perf_counter()
+    assert token_trie.count_long(word, vocab) > 300_000
+    assert time.perf_counter() - began < 30

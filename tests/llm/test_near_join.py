@@ -62,6 +62,8 @@ def family(rng, size, copies, edits):
 @pytest.mark.parametrize("plain_cost", [0, 64])
 def test_components_equal_brute_force(spark, monkeypatch, plain_cost):
     monkeypatch.setattr(linking, "PLAIN_COST", plain_cost)
+    if not plain_cost:
+        monkeypatch.setattr(linking, "PLAIN_SIZES", 0)          # everything that is still apart goes through the full index
     rng = random.Random(plain_cost)
     texts = []
     for size, copies, edits in ((12, 15, 2), (40, 25, 3), (150, 30, 8), (600, 12, 30)):
@@ -77,6 +79,48 @@ def test_components_equal_brute_force(spark, monkeypatch, plain_cost):
             assert (got[i].n_shingles, got[i].component_id) == (len(s), c)
 
 
+@pytest.mark.parametrize("sizes", [0, 200])
+def test_a_family_near_the_threshold(spark, monkeypatch, sizes):
+    """300 sets of one family, most pairs just apart: no link is lost, whichever way they are searched, and neither the
+    star rounds' pairs nor the index grow with the square of the family."""
+    monkeypatch.setattr(linking, "PLAIN_SIZES", sizes)
+    monkeypatch.setattr(linking, "PLAIN_COST", 0)
+    made = {}
+    original = linking.stored
+
+    def counting(df, name, compression="snappy"):
+        out = original(df, name, compression)
+        made.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(linking, "stored", counting)
+    rng = random.Random(11)
+    texts = family(rng, 140, 299, 8)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(i, t, 7) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.component_id for r in near_join.near_classes(df).collect()}
+    _, want = brute(rows, 3, 90, 100)
+    assert [got[i] for i, _ in rows] == want and 20 < len(set(want)) < 280
+    assert made["full-index"][0] < 300 * 140 * 4 if sizes == 0 else "full-index" not in made
+    rounds = made["pairs"][:-1]
+    assert all(n <= made["members"][0] for n in rounds) and len(rounds) <= linking.STAR_ROUNDS
+
+
+def test_star_candidates_are_at_most_one_per_row(spark):
+    members = spark.createDataFrame([(s, n, (n + s) % 3 > 0) for s in range(6) for n in range(40) if (n * 7 + s) % 4], "sig long, node long, probes boolean")
+    label = spark.createDataFrame([(n, n % 5) for n in range(0, 40, 2)], "node long, component long")
+    component = {n: n % 5 if n % 2 == 0 else n for n in range(40)}
+    rows = {(r.sig, r.node): r.probes for r in members.collect()}
+    seen = set()
+    for salt in range(3):
+        pairs = [(r.a, r.b) for r in linking.star_candidates(members, label, salt).collect()]
+        assert 0 < len(pairs) <= len(rows) and len(set(pairs)) == len(pairs)
+        for a, b in pairs:
+            assert component[a] != component[b] and a < b
+            assert any((s, a) in rows and (s, b) in rows and (rows[s, a] or rows[s, b]) for s in range(6))
+        seen |= set(pairs)
+    assert len(seen) > len(pairs)                                # another round tries others
+
+
 def test_every_linked_pair_shares_a_probed_signature():
     rng = np.random.default_rng(3)
     t = near_join.Threshold(90, 100)
