@@ -189,8 +189,11 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
     plain = (F.col("cost") <= F.greatest(F.lit(PLAIN_COST), PLAIN_SIZES * F.col("n"))).alias("plain")
     judged = stored(cost.join(short, "node").select("node", plain, *[c for c in short.columns if c != "node"]), "judged")
     open_ = rest.join(judged, "node")
-    x, y = open_.where("probes and plain" if full_index else "probes").alias("x"), open_.alias("y")
-    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & fit("x", "y"))
+    asks = F.col("probes") & F.col("plain") if full_index else F.col("probes")
+    open_ = open_.withColumn("asks", asks)
+    x, y = open_.where("asks").alias("x"), open_.alias("y")
+    once = ~F.col("y.asks") | (F.col("x.node") < F.col("y.node"))       # where both ask, one of them does
+    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & once & fit("x", "y"))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     held = []
     if full_index is not None:
