@@ -25,7 +25,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the discriminant, fitted on all labelled rows of ``docs``, scores 0.3 or more.
 
-    No document moves: the model travels to the tasks and filters rows where they are."""
+    No document moves: the model travels to the tasks and filters rows where they are. A null or empty text is scored like
+    any other (its statistics are zero)."""
     model = quality.train(quality.featurize(docs), labels(spark, sf_dir))
     return quality.keep(docs, model, 0.3)
 
@@ -49,7 +50,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which a twentieth or more of the words lies in 13-word passages of the benchmark."""
+    """Drop documents of which a twentieth or more of the words lies in 13-word passages of the benchmark. Null and empty
+    texts have no words and stay."""
     docs = keyed(docs)
     index = phrase_index.build_index(docs, id_col=KEY)
     found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
@@ -76,6 +78,6 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot): sixteen shards of near-equal bytes."""
+    """(doc_id, size, text_crc32, shard, slot): sixteen shards of near-equal bytes; a null text has size 1."""
     rows = kd_shards.with_slots(kd_shards.assign(kd_shards.slim(docs), SHARDS))
     return rows.select("doc_id", "size", "text_crc32", "shard", "slot")

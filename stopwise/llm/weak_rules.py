@@ -8,8 +8,8 @@ and the share of good documents. A document's posterior probability of being goo
 decides, instead of "all rules must pass".
 
 Defined results: a null or empty text has no words: every rate rule abstains; an empty
-table gives an empty result; equal rows get equal verdicts; extra columns pass through
-unread.
+table gives an empty result; equal rows get equal verdicts; extra columns are ignored and not
+returned.
 """
 
 from __future__ import annotations

@@ -1,5 +1,4 @@
 import random
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +12,10 @@ from . import brute
 
 # ---------------------------------------------------------------- fuzzy lines
 
-def pieces(line):
-    return {line.lower()[m.start(): m.start() + line_dedup.SHINGLE] for m in re.finditer(r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", line.lower())}
+def full_shingles(line):
+    """Shingles at every position of the lower-cased line."""
+    low = line.lower()
+    return {low[i: i + line_dedup.SHINGLE] for i in range(max(len(low) - line_dedup.SHINGLE + 1, 1))}
 
 
 def test_fuzzy_lines_equal_brute_force(spark):
@@ -34,7 +35,7 @@ def test_fuzzy_lines_equal_brute_force(spark):
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, line_no int")
     got = {(r.doc_id, r.line_no): (r.kept, r.first_doc_id, r.first_line_no) for r in line_dedup.fuzzy_lines(df).collect()}
     occ = [(i, k, line) for i, t in docs for k, line in enumerate((t or "").split("\n")) if brute.words(line)]
-    sets = [pieces(line) for _, _, line in occ]
+    sets = [full_shingles(line) for _, _, line in occ]
     parent = list(range(len(occ)))
 
     def root(x):
@@ -53,11 +54,6 @@ def test_fuzzy_lines_equal_brute_force(spark):
     assert cut[900] is None and "Common LINE here" in cut[0] and "Common LINE here" not in cut[1]
 
 
-def full_shingles(line):
-    low = line.lower()
-    return {low[i: i + line_dedup.SHINGLE] for i in range(max(len(low) - line_dedup.SHINGLE + 1, 1))}
-
-
 def test_fuzzy_lines_equal_brute_force_on_every_position(spark):
     """Lines without spaces, long words and code points beyond 16 bits, compared beyond their first 12 code points."""
     rng = random.Random(8)
