@@ -74,8 +74,10 @@ STATE_DDL = "node int, right_node int, dim int, depth int, v0 long, v1 long, v2
 
 def _with_state(rows: DataFrame, nodes: list[Node]) -> DataFrame:
     """Join the nodes' state (one row per node, at most one per shard) and add ``dimval`` and ``searched``."""
-    state = rows.sparkSession.createDataFrame([(n.number, n.number + n.shards // 2, n.dimension, len(n.found), *(n.found + [None] * 3)[:3], n.lo, n.hi,
-                                                n.width, n.goal - n.below, n.keeps) for n in nodes], STATE_DDL)
+    kinds = [c.strip().split(" ") for c in STATE_DDL.split(",")]
+    told = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(
+        (n.number, n.number + n.shards // 2, n.dimension, len(n.found), *(n.found + [None] * 3)[:3], n.lo, n.hi, n.width, n.goal - n.below, n.keeps), kinds, strict=True)]) for n in nodes]
+    state = rows.sparkSession.range(1).select(F.inline(F.array(*told)))        # literals of the plan: no Python on the executors
     dimval = F.element_at(F.array(*[F.col(d) for d in DIMENSIONS]), F.col("dim") + 1)
     searched = (F.when(F.col("depth") == 0, F.col("dimval"))
                 .when((F.col("depth") == 1) & (F.col("dimval") == F.col("v0")), F.col("place"))

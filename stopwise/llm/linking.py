@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import release, stored
+from .shared import release, stored, sweep
 
 # A table of ids up to this many rows (16 bytes each) may be broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
@@ -153,6 +153,7 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
     come from ``allocated_candidates`` (``full_index`` returns the index and a stored table to release after it is read; without one,
     from their signatures too). Every candidate pair that links ends in one component."""
     shared = stored(shared_signatures(rows), "shared")
+    sweep(shared.sparkSession)                 # the largest shuffle of all goes before the next ones come
     members = stored(probing(shared), "members")
     release(shared)
     known = traits(members.select("node").distinct())

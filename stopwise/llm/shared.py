@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, ship_package, table_path
 
-__all__ = ["stored", "release", "scratch", "documents", "labels", "sliced", "table_path", "ship_package"]
+__all__ = ["stored", "release", "sweep", "scratch", "documents", "labels", "sliced", "table_path", "ship_package"]
 
 SWEEP_S = 3.0
 
@@ -51,9 +51,14 @@ def release(*frames: DataFrame) -> None:
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
     if frames and time.monotonic() - _last_sweep[0] > SWEEP_S:
-        _last_sweep[0] = time.monotonic()
-        gc.collect()
-        frames[0].sparkSession._jvm.System.gc()
+        sweep(frames[0].sparkSession)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    _last_sweep[0] = time.monotonic()
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

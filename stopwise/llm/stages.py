@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import curriculum, kd_shards, linking, near_join, phrase_index, quality
-from .shared import labels, stored, table_path
+from .shared import labels, release, stored, table_path
 
 KEY, POSITION = "__stage_key", "__stage_position"
 SHARDS = 16
@@ -42,6 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     dropped = stored(near.join(groups, "component").where("key <> first.key")
                      .select(F.col("key").alias(KEY)).distinct(), "dropped")
     twice = stored(near.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias(KEY)), "repeated")
+    release(near)
     kept = docs.join(linking.bounded(dropped), KEY, "left_anti")
     if not twice.isEmpty():
         twice = linking.bounded(twice)
@@ -56,6 +57,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     index = phrase_index.build_index(docs, id_col=KEY)
     found = phrase_index.phrase_matches(index, spark.read.parquet(table_path(sf_dir, "benchmark")))
     bad = stored(phrase_index.contamination(index, found).where("contaminated").select(F.col("doc_id").alias(KEY)).distinct(), "contaminated")
+    release(index)
     return docs.join(linking.bounded(bad), KEY, "left_anti").drop(KEY)
 
 
