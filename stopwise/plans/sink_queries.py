@@ -71,6 +71,30 @@ def q_ndjson_dump(spark, sf_dir):
                                                     F.lit('","encoding":"base64"}'))).alias("bytes_form_ok"))
 
 
+@register("ndjson_dump_stream", _rsql(
+    "SELECT '{\"topic\":\"" + TOPIC + "\",\"partition\":0,\"offset\":' || seq || ',\"timestamp\":' || ts_ms "
+    "|| ',\"key\":\"' || record_key || '\",\"value\":{\"agency\":\"' || agency || '\",\"vehicle_id\":\"' || vehicle_id || '\",\"trip_id\":' "
+    "|| CASE WHEN seq % 37 = 0 THEN 'null' ELSE '\"' || trip_id || '\"' END || ',\"ts_ms\":' || ts_ms || '}}' AS line FROM rec"))
+def q_ndjson_dump_stream(spark, sf_dir):
+    """The dump as a running sink: three ordered micro-batches with restarts, the last one written twice; whole lines compared."""
+    rec = _records(spark, sf_dir).select("record_key", "agency", "vehicle_id", F.when(F.col("seq") % 37 != 0, F.col("trip_id")).alias("trip_id"), "ts_ms", "seq")
+    root = runner.run_dir(spark, "dump_stream")
+    path = f"{root}/vehpos.ndjson"
+
+    def told(df):
+        return nd.dump_lines(df, topic=TOPIC, offset="seq", timestamp="ts_ms", key="record_key")
+    for p in range(3):
+        runner.append_in_order(rec, f"{root}/in-{p}", "seq", 3, range(p, p + 1))
+        rec_in = spark.read.schema(rec.schema).parquet(f"{root}/in-{p}")
+        rec_in.write.mode("append").parquet(f"{root}/in")
+        q = nd.dump_stream(told(runner.read_files(spark, f"{root}/in", rec.schema)), path, f"{root}/ckpt", available_now=True)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    nd.write_batch(told(rec_in), 2, path)          # batch 2 again, as after a failure
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 _LATEST = ("SELECT 'vehpos:SL:' || trip_id AS cache_key, arg_max(agency, seq) AS agency, "
            "arg_max(vehicle_id, seq) AS vehicle_id, arg_max(trip_id, seq) AS trip_id, "
            "arg_max(latitude, seq) AS latitude, arg_max(longitude, seq) AS longitude, arg_max(ts_ms, seq) AS ts_ms, "

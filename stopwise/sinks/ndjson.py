@@ -3,7 +3,8 @@
 Nested structs become objects in field order, nulls stay ``null``, binary values become
 ``{"data": <base64>, "encoding": "base64"}`` (the key order the reference's hash map
 produces), dates and timestamps their string form; numbers (decimals too), arrays and maps pass as they are.
-Lines are appended as text part files under a folder whose name ends in ``.ndjson``.
+Lines are appended as text part files under a folder whose name ends in ``.ndjson``. The streaming dump
+writes a sub-folder per micro-batch and overwrites it when the batch runs again, so every line is there once.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -44,7 +46,24 @@ def dump_lines(df: DataFrame, *, topic: str | Column, partition: int | str | Col
     return df.select(F.col(offset).alias("offset"), F.to_json(env, JSON_OPTIONS).alias("line"))
 
 
-def append_ndjson(lines: DataFrame, path: str) -> None:
+def _checked(path: str) -> str:
     if not path.rstrip("/").endswith(".ndjson"):
         raise ValueError("dump target must end in .ndjson")
-    lines.select("line").write.mode("append").text(path)
+    return path.rstrip("/")
+
+
+def append_ndjson(lines: DataFrame, path: str) -> None:
+    lines.select("line").write.mode("append").text(_checked(path))
+
+
+def write_batch(lines: DataFrame, batch_id: int, path: str) -> None:
+    """One micro-batch's lines; a record without a line (one that could not be told as JSON) is left out, the rest goes on."""
+    lines.where(F.col("line").isNotNull()).select("line").write.mode("overwrite").text(f"{_checked(path)}/batch={batch_id:012d}")
+
+
+def dump_stream(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False, trigger: str = "10 seconds") -> StreamingQuery:
+    """Keep a dump of a stream of :func:`dump_lines`; read it back with ``spark.read.text(path)`` (column ``batch`` besides)."""
+    target = _checked(path)
+    w = lines.writeStream.foreachBatch(lambda df, i: write_batch(df, i, target)).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
