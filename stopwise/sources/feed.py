@@ -2,8 +2,8 @@
 
 The HTTP poller of the reference is replaced by a landing folder (or table) of fetched
 snapshot bodies; one row per snapshot ``(feed, snapshot_no, fetched_at, body,
-content_encoding)``. Decoding and protobuf parsing are Arrow-batched pandas UDFs over
-the binary column (Python's gzip/zlib and the protobuf runtime); the explode into one
+content_encoding)``. Decoding and protobuf parsing are Arrow UDFs over
+the binary column (Python's gzip/zlib and the protobuf runtime), entities as Arrow columns; the explode into one
 row per entity is Spark's. A snapshot that cannot be decoded yields no entities and
 an error text, never a failed query.
 """
@@ -14,10 +14,13 @@ import gzip
 import os
 import zlib
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import gtfs_rt
 
@@ -34,6 +37,9 @@ ENTITY_TYPE = T.StructType([
 PARSED_TYPE = T.StructType([T.StructField("header_ts", T.LongType()),
                             T.StructField("entities", T.ArrayType(ENTITY_TYPE)),
                             T.StructField("error", T.StringType())])
+_ENTITY = pa.struct(list(to_arrow_schema(ENTITY_TYPE)))
+#: Snapshots of a batch that are parsed to Arrow together.
+SNAPSHOTS_AT_ONCE = 256
 DECODED_TYPE = T.StructType([T.StructField("payload", T.BinaryType()), T.StructField("error", T.StringType())])
 
 
@@ -59,17 +65,17 @@ def read_landing_folder(spark: SparkSession, path: str, stream: bool = False, fi
         enc.alias("content_encoding"))
 
 
-@F.pandas_udf(DECODED_TYPE)
-def _decode_udf(body: pd.Series, enc: pd.Series, mode: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(DECODED_TYPE)
+def _decode_udf(body: pa.Array, enc: pa.Array, mode: pa.Array) -> pa.Array:
     out, err = [], []
-    for b, e, m in zip(body, enc, mode):
+    for b, e, m in zip(body, enc, mode, strict=True):
         try:
-            out.append(gtfs_rt.decompress(bytes(b), e, m))
+            out.append(gtfs_rt.decompress(bytes(b.as_py()), e.as_py(), m.as_py()))
             err.append(None)
         except (OSError, EOFError, zlib.error, ValueError) as x:
             out.append(None)
             err.append(f"{type(x).__name__}: {x}")
-    return pd.DataFrame({"payload": out, "error": err})
+    return pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.array(err, pa.string())], DECODED_TYPE.names)
 
 
 def decode_body(snapshots: DataFrame, mode: str = "AUTO") -> DataFrame:
@@ -78,21 +84,31 @@ def decode_body(snapshots: DataFrame, mode: str = "AUTO") -> DataFrame:
     return d.withColumn("payload", F.col("_d.payload")).withColumn("decode_error", F.col("_d.error")).drop("_d")
 
 
-@F.pandas_udf(PARSED_TYPE)
-def _parse_udf(payload: pd.Series) -> pd.DataFrame:
+def _parsed(payloads: pa.Array) -> pa.Array:
     hs, ents, errs = [], [], []
-    for p in payload:
-        if p is None:
+    for p in payloads:
+        if not p.is_valid:
             hs.append(None), ents.append(None), errs.append("no payload")
             continue
         try:
-            h, rows = gtfs_rt.decode_snapshot(bytes(p))
-            hs.append(h)
-            ents.append([dict(zip(ENTITY_TYPE.names, r)) for r in rows])
+            h, rows = gtfs_rt.decode_snapshot(p.as_py())
+            # As Arrow at once: a snapshot that does not fit the columns is a bad one too, and no entity stays a Python object.
+            columns = zip(*rows, strict=True) if rows else [()] * len(ENTITY_TYPE)
+            ent = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENTITY, strict=True)], fields=list(_ENTITY))
+            hs.append(pa.scalar(h, pa.int64()).as_py())
+            ents.append(ent)
             errs.append(None)
         except Exception as x:  # noqa: BLE001 - any parse failure makes the snapshot bad, not the query
             hs.append(None), ents.append(None), errs.append(f"{type(x).__name__}: {x}")
-    return pd.DataFrame({"header_ts": hs, "entities": ents, "error": errs})
+    size = np.array([0] + [0 if e is None else len(e) for e in ents]).cumsum()
+    flat = pa.concat_arrays([e for e in ents if e is not None]) if any(e is not None for e in ents) else pa.array([], _ENTITY)
+    lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), flat, mask=pa.array([e is None for e in ents], pa.bool_()))
+    return pa.StructArray.from_arrays([pa.array(hs, pa.int64()), lists, pa.array(errs, pa.string())], PARSED_TYPE.names)
+
+
+@F.arrow_udf(PARSED_TYPE)
+def _parse_udf(payload: pa.Array) -> pa.Array:
+    return pa.concat_arrays([_parsed(payload.slice(i, SNAPSHOTS_AT_ONCE)) for i in range(0, max(len(payload), 1), SNAPSHOTS_AT_ONCE)])
 
 
 def parse_snapshots(decoded: DataFrame) -> DataFrame:
@@ -119,12 +135,13 @@ def bad_snapshots(parsed: DataFrame) -> DataFrame:
 
 # --- building snapshots (landing data derived from entity tables) ------------------------------------
 
-@F.pandas_udf(T.BinaryType())
-def _encode_udf(header_ts: pd.Series, entities: pd.Series, encoding: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def _encode_udf(header_ts: pa.Array, entities: pa.Array, encoding: pa.Array) -> pa.Array:
     out = []
-    for h, es, enc in zip(header_ts, entities, encoding):
-        rows = sorted((dict(e) for e in es), key=lambda r: r["entity_idx"])
-        raw = gtfs_rt.encode_snapshot(None if pd.isna(h) else int(h), rows)
+    for h, es, enc in zip(header_ts, entities, encoding, strict=True):    # one snapshot's entities are Python objects at a time
+        rows = sorted(es.as_py(), key=lambda r: r["entity_idx"])
+        raw = gtfs_rt.encode_snapshot(h.as_py(), rows)
+        enc = enc.as_py()
         if enc == "gzip":
             raw = gzip.compress(raw, mtime=0)
         elif enc == "deflate":
@@ -133,7 +150,7 @@ def _encode_udf(header_ts: pd.Series, entities: pd.Series, encoding: pd.Series)
             c = zlib.compressobj(wbits=-zlib.MAX_WBITS)
             raw = c.compress(raw) + c.flush()
         out.append(raw)
-    return pd.Series(out)
+    return pa.array(out, pa.binary())
 
 
 def encode_snapshots(entities: DataFrame, fetched_at_ms: int = 1704067200000) -> DataFrame:

@@ -121,3 +121,32 @@ def test_snapshot_stream_goes_on_behind_its_offset(spark, tmp_path):
     (root / "b" / "9.pb").write_bytes(RAW)
     reader = SnapshotReader(str(root), 2)
     assert reader.latestOffset()["b"]["snapshot_no"] == 8 and reader.latestOffset()["b"]["snapshot_no"] == 9
+
+
+def test_entities_do_not_stay_python_objects():
+    """Parsing and encoding a batch needs memory for its Arrow columns, not for a dict per entity."""
+    import tracemalloc
+
+    import pyarrow as pa
+    ents = [{"entity_idx": i, "entity_id": f"e{i}", "has_vehicle": True, "vehicle_id": f"V{i}", "entity_ts": i, "lat": 1.0, "lon": 2.0, "trip_id": f"T{i}"}
+            for i in range(20)]
+    raw = gtfs_rt.encode_snapshot(1, ents)
+    n = 5000
+    tracemalloc.start()
+    try:
+        out = fd._parse_udf.func(pa.array([raw] * (n - 2) + [b"broken", None]))
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+        tracemalloc.reset_peak()
+        bodies = fd._encode_udf.func(pa.array([1] * n), pa.array([ents], pa.list_(fd._ENTITY)).take(pa.array([0] * n)), pa.array(["identity"] * n))
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+    finally:
+        tracemalloc.stop()
+    assert out[0].as_py() == {"header_ts": 1, "entities": ents, "error": None}
+    assert out[n - 2]["entities"].as_py() is None and out[n - 2]["error"].as_py() and out[n - 1]["error"].as_py() == "no payload"
+    assert bodies[n - 1].as_py() == raw
+
+
+def test_a_snapshot_with_a_time_that_fits_no_column_is_a_bad_one():
+    import pyarrow as pa
+    out = fd._parse_udf.func(pa.array([gtfs_rt.encode_snapshot(2**63, []), gtfs_rt.encode_snapshot(5, [])]))
+    assert out[0]["error"].as_py() and out[1].as_py() == {"header_ts": 5, "entities": [], "error": None}
