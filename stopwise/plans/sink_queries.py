@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from ..functions.scalars import with_scalars
 from ..functions.timecols import local_time_columns, local_time_sql
 from ..operators import arrivals as ar
+from ..session import cut_lineage
 from ..sinks import lake as lk
 from ..sinks import latest as lt
 from ..sinks import ndjson as nd
@@ -194,6 +195,7 @@ def q_latest_positions_expiry(spark, sf_dir):
     """Every expiry of a latest position, in event time: four micro-batches of time ranges with restarts in between."""
     rec = _records(spark, sf_dir).select("agency", "vehicle_id", "trip_id", "ts_ms", "seq")
     root = runner.run_dir(spark, "expiry")
+    rec = runner.staged(rec, root)
     for p in range(4):
         runner.append_in_order(rec, f"{root}/in", "ts_ms", 4, range(p, p + 1))
         stream = latest_in_event_time(runner.read_files(spark, f"{root}/in", rec.schema))
@@ -250,6 +252,7 @@ def q_write_arrivals(spark, sf_dir):
     """Streaming arrival events written exactly once (file sink + checkpoint) with a JSON key."""
     samples, rt = _inputs(spark, sf_dir)
     root = runner.run_dir(spark, "arrivals_out")
+    samples, rt = runner.staged(samples, root), cut_lineage(rt)
     for p in range(2):  # a restart from the checkpoint in between
         runner.append_in_order(samples, f"{root}/in", "seq", 2, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", samples.schema)

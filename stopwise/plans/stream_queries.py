@@ -32,6 +32,7 @@ def q_stream_arrivals(spark, sf_dir):
     rt = cut_lineage(rt)
     root = runner.run_dir(spark, "stream_arrivals")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
+    samples = runner.staged(samples, root)
     for p in range(BATCHES):
         runner.append_in_order(samples, src, "seq", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, src, samples.schema)
@@ -44,8 +45,8 @@ def q_stream_arrivals(spark, sf_dir):
 
 @register("stream_dedup_snapshots", _ing_sql("SELECT feed, snapshot_no, header_ts FROM kept", "snaps", "nz", "kept"))
 def q_stream_dedup_snapshots(spark, sf_dir):
-    snaps = ing.snapshots_of(fx.feed_entities(spark, sf_dir))
     root = runner.run_dir(spark, "stream_snapshots")
+    snaps = runner.staged(ing.snapshots_of(fx.feed_entities(spark, sf_dir)), root)
     for p in range(BATCHES):  # a restart from the checkpoint after each range
         runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, range(p, p + 1))
         runner.run_available_now(dedup_snapshots_stream(runner.read_files(spark, f"{root}/in", snaps.schema)),
@@ -58,6 +59,7 @@ def q_stream_dedup_vehicle_ts(spark, sf_dir):
     e = fx.feed_entities(spark, sf_dir)
     f = ing.filter_vehicle_entities(ing.keep_snapshots(e, ing.dedup_snapshots(ing.snapshots_of(e)))).drop("has_vehicle")
     root = runner.run_dir(spark, "stream_vehicle_ts")
+    f = runner.staged(f, root)
     for p in range(BATCHES):  # a restart from the checkpoint after each range
         runner.append_in_order(f, f"{root}/in", "snapshot_no", BATCHES, range(p, p + 1))
         runner.run_available_now(dedup_vehicle_ts_stream(runner.read_files(spark, f"{root}/in", f.schema)),
@@ -74,8 +76,8 @@ def q_stream_ingest_positions(spark, sf_dir):
     """Encoded snapshots (derived from fx:feed_entities) streamed in four ordered micro-batches,
     with a restart after each, through the whole ingest; must equal the batch
     ``ingest_positions``."""
-    snaps = fd.encode_snapshots(fx.feed_entities(spark, sf_dir))
     root = runner.run_dir(spark, "stream_ingest")
+    snaps = runner.staged(fd.encode_snapshots(fx.feed_entities(spark, sf_dir)), root)
     for p in range(BATCHES):  # a restart from the checkpoint after each range
         runner.append_in_order(snaps, f"{root}/in", "snapshot_no", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", snaps.schema)
@@ -90,8 +92,8 @@ def _stream_positions(spark, sf_dir, metric="wgs84"):
     rt, _, lines = gq.runtime(spark, sf_dir, metric)
     trips = cut_lineage(trip_table(rt, lines))
     how = Projection(gq.STEP_M, metric, gq.DIGITS if metric == "wgs84" else None)
-    samples = gq._samples(spark, sf_dir)
     root = runner.run_dir(spark, "stream_positions")
+    samples = runner.staged(gq._samples(spark, sf_dir), root)
     for p in range(BATCHES):  # a restart from the checkpoint after each range
         runner.append_in_order(samples, f"{root}/in", "seq", BATCHES, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", samples.schema)
@@ -118,17 +120,19 @@ def q_stream_arrivals_seeded(spark, sf_dir):
     ``vehicle_state``; together they are the arrivals of the whole."""
     built = gq.runtime(spark, sf_dir)
     rt, _, lines = built
-    middle = gq._samples(spark, sf_dir).agg(F.floor(F.avg("seq"))).scalar()
+    root = runner.run_dir(spark, "stream_seeded")
+    samples = runner.staged(gq._samples(spark, sf_dir), root)
+    middle = samples.agg(F.floor(F.avg("seq"))).scalar()
     keys = ["agency", "vehicle_id", "trip_id"]
     along = gq.samples_on_lines(spark, sf_dir, built).select(*keys, "s_now", "ts_ms", "seq").where(F.col("seq") <= middle)
     early = cut_lineage(along)
     state = ar.vehicle_state(early, rt.drop("line_id"), keys, on=["trip_id"])
-    late = gq._samples(spark, sf_dir).where(F.col("seq") > middle)
-    root = runner.run_dir(spark, "stream_seeded")
+    late = samples.where(F.col("seq") > middle)
+    trips = cut_lineage(trip_table(rt, lines))
     for p in range(2):
         runner.append_in_order(late, f"{root}/in", "seq", 2, range(p, p + 1))
         stream = runner.read_files(spark, f"{root}/in", late.schema)
-        a = stream_arrivals_from_positions(stream, trip_table(rt, lines), projection=Projection(gq.STEP_M, "wgs84", gq.DIGITS), initial=state)
+        a = stream_arrivals_from_positions(stream, trips, projection=Projection(gq.STEP_M, "wgs84", gq.DIGITS), initial=state)
         runner.run_available_now(a, f"{root}/out", f"{root}/ckpt")
     first = ar.detect_arrivals(early, rt.drop("line_id"), keys, on=["trip_id"])
     return ar.arrival_events(first.unionByName(spark.read.parquet(f"{root}/out").select(*first.columns)))

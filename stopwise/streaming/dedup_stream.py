@@ -1,7 +1,7 @@
 """Streaming de-duplication with keyed state (transformWithStateInPandas).
 
 * snapshots: keyed by feed, state = last non-zero header ts; only (feed, snapshot_no, header_ts) goes there;
-* vehicle timestamps: keyed by (feed, vehicle), state = last entity ts; rows without a
+* vehicle timestamps: by (feed, vehicle), state = last entity ts, held by the bucket (:mod:`.buckets`); rows without a
   vehicle id or timestamp bypass the state (a stateless branch unioned back).
 
 Inside a micro-batch each key's rows are put in feed order before the fold, so the
@@ -14,11 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from .buckets import BUCKET, PACKED, bucket_of, groups, key_tuples, pack, unpack
+
+#: Snapshots are dealt into so many groups to meet their verdicts: a group's rows are in memory together.
+SNAPSHOT_BUCKETS = 4096
+VEHICLE = ("feed", "vehicle_id")
+_HELD = pa.schema([("feed", pa.string()), ("vehicle_id", pa.string()), ("ts", pa.int64())])
 
 class SnapshotDedup(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -43,16 +50,22 @@ class SnapshotDedup(StatefulProcessor):
 
 class VehicleTsDedup(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_entity_ts", T.StructType([T.StructField("ts", T.LongType())]))
+        self.last = handle.getValueState("last_entity_ts", PACKED)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["snapshot_no", "entity_idx"], kind="stable")
-        ts = pdf["entity_ts"].to_numpy(np.int64)
-        held = self.last.get()
-        keep = np.concatenate([[held is None or held[0] != ts[0]], ts[1:] != ts[:-1]])
-        self.last.update((int(ts[-1]),))
+        pdf = pd.concat(list(rows), ignore_index=True).drop(columns=BUCKET, errors="ignore")
+        names, order, at = groups(key_tuples(pdf[c] for c in VEHICLE), pdf["snapshot_no"].to_numpy(), pdf["entity_idx"].to_numpy())
+        ts = pdf["entity_ts"].to_numpy(np.int64)[order]
+        state = self.last.get()
+        table = unpack(bytes(state[0])) if state is not None else _HELD.empty_table()
+        held = dict(zip(key_tuples(table[c] for c in VEHICLE), table["ts"].to_pylist(), strict=True))
+        first = at[:-1]
+        keep = np.concatenate([[True], ts[1:] != ts[:-1]])
+        keep[first] = [held.get(name) != t for name, t in zip(names, ts[first].tolist(), strict=True)]
+        held.update(zip(names, ts[at[1:] - 1].tolist(), strict=True))
+        self.last.update((pack(pa.table([*zip(*held)] + [list(held.values())], schema=_HELD)),))
         if keep.any():
-            yield pdf[keep]
+            yield pdf.iloc[order[keep]]
 
 
 class Verdict(StatefulProcessor):
@@ -62,14 +75,16 @@ class Verdict(StatefulProcessor):
         pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held, passes = [], False
+        held, passed = [], set()
         for pdf in rows:
             verdict = pdf["verdict"].to_numpy(dtype=bool)
-            passes |= bool(verdict.any())
+            passed.update(key_tuples(pdf.loc[verdict, c] for c in ("feed", "snapshot_no")))
             if not verdict.all():
-                held.append(pdf.loc[~verdict].drop(columns="verdict"))
-        if passes:
-            yield from held
+                held.append(pdf.loc[~verdict].drop(columns=["verdict", BUCKET], errors="ignore"))
+        for pdf in held:
+            passes = np.fromiter((k in passed for k in key_tuples(pdf[c] for c in ("feed", "snapshot_no"))), bool, len(pdf))
+            if passes.any():
+                yield pdf[passes]
 
 
 def dedup_snapshots_stream(snapshots: DataFrame) -> DataFrame:
@@ -83,13 +98,14 @@ def keep_snapshots_stream(snapshots: DataFrame) -> DataFrame:
     """The kept snapshots with all their columns. Only their numbers and header times go through the feed's state; the rest
     is grouped by snapshot, where the verdict meets it within the micro-batch."""
     verdict = dedup_snapshots_stream(snapshots).select("feed", "snapshot_no", F.lit(True).alias("verdict"))
+    snapshots = snapshots.withColumn("snapshot_no", F.col("snapshot_no").cast("long"))   # hashed alike on both sides
     both = snapshots.withColumn("verdict", F.lit(False)).unionByName(verdict, allowMissingColumns=True)
-    return both.groupBy("feed", "snapshot_no").transformWithStateInPandas(
+    return both.withColumn(BUCKET, bucket_of(("feed", "snapshot_no"), SNAPSHOT_BUCKETS)).groupBy(BUCKET).transformWithStateInPandas(
         statefulProcessor=Verdict(), outputStructType=snapshots.schema, outputMode="Append", timeMode="None")
 
 
 def dedup_vehicle_ts_stream(entities: DataFrame) -> DataFrame:
     eligible = F.col("vehicle_id").isNotNull() & F.col("entity_ts").isNotNull()
-    kept = entities.where(eligible).groupBy("feed", "vehicle_id").transformWithStateInPandas(
+    kept = entities.where(eligible).withColumn(BUCKET, bucket_of(VEHICLE)).groupBy(BUCKET).transformWithStateInPandas(
         statefulProcessor=VehicleTsDedup(), outputStructType=entities.schema, outputMode="Append", timeMode="None")
     return kept.unionByName(entities.where(~eligible))

@@ -20,6 +20,12 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/stopwise/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, root: str) -> DataFrame:
+    """``df`` written once below ``root`` and read back: ranges cut from it do not compute it again."""
+    df.write.parquet(f"{root}/whole")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/whole")
+
+
 def append_in_order(df: DataFrame, path: str, order_col: str, parts: int, which: range | None = None,
                     fmt: str = "parquet") -> None:
     """Append ranges ``which`` (default all) of ``parts`` consecutive ranges of ``order_col`` to
