@@ -110,6 +110,9 @@ KEYS = {"routes": "route_id", "stops": "stop_id", "calendar": "service_id", "cal
 CORRUPT = "_corrupt_record"
 #: A quoted value with more line breaks than this is an unbalanced quote; its lines are rejected one by one.
 MAX_RECORD_LINES = 1000
+#: Foreign keys: up to so many referenced keys are broadcast (about 100 bytes each); more are joined in tasks of so many rows.
+BROADCAST_KEYS = 1_000_000
+ROWS_PER_TASK = 1_000_000
 
 
 @dataclass
@@ -279,24 +282,44 @@ def write_gtfs(tables: dict[str, DataFrame], folder: str) -> None:
         out.write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(folder, f"{t}.txt"))
 
 
+def _sizes(tables: dict[str, DataFrame], keys: list[tuple[str, str, str, str]]) -> dict[tuple[str, str], tuple[int, int]]:
+    """(table, column) -> values, and about how many different ones: one pass over each table, for the plan only."""
+    sizes = {}
+    for t in tables:
+        columns = sorted({c for a, c, _, _ in keys if a == t} | {c for _, _, a, c in keys if a == t})
+        if columns:
+            n = tables[t].agg(*[F.count(c) for c in columns], *[F.approx_count_distinct(c) for c in columns]).first()
+            sizes |= {(t, c): (n[i], n[i + len(columns)]) for i, c in enumerate(columns)}
+    return sizes
+
+
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Dangling foreign keys: (relation, orphan_rows) for every relation whose tables are
-    loaded; null references are not orphans. One anti join per relation, unioned."""
+    loaded; null references are not orphans. One anti join per relation, unioned.
+
+    Up to ``BROADCAST_KEYS`` referenced keys are broadcast: the references stay where they are. More are dealt
+    with their references over tasks of about ``ROWS_PER_TASK`` rows. Left alone, Spark merges the
+    partitions of keys, which compress well, until one task sorts tens of millions of them."""
     spark = next(iter(tables.values())).sparkSession
-    parts = []
-    for t, c, rt, rc in FOREIGN_KEYS:
-        if t in tables and rt in tables and c in tables[t].columns:
-            ref = tables[rt].select(F.col(rc).alias("_ref")).where(F.col("_ref").isNotNull()).distinct()
-            src = tables[t].select(F.col(c).alias("_ref")).where(F.col("_ref").isNotNull())
-            parts.append(src.join(ref, "_ref", "left_anti").select(F.lit(f"{t}.{c}->{rt}.{rc}").alias("relation")))
-    names = [f"{t}.{c}->{rt}.{rc}" for t, c, rt, rc in FOREIGN_KEYS
-             if t in tables and rt in tables and c in tables[t].columns]
-    if not parts:
+    keys = [(t, c, rt, rc) for t, c, rt, rc in FOREIGN_KEYS if t in tables and rt in tables and c in tables[t].columns]
+    if not keys:
         return spark.createDataFrame([], "relation string, orphan_rows long")
+    sizes = _sizes(tables, keys)
+    parts = []
+    for t, c, rt, rc in keys:
+        ref = tables[rt].select(F.col(rc).alias("_ref")).where(F.col("_ref").isNotNull())
+        src = tables[t].select(F.col(c).alias("_ref")).where(F.col("_ref").isNotNull())
+        (known, different), rows = sizes[rt, rc], sizes[t, c][0]
+        if different <= BROADCAST_KEYS:
+            ref = F.broadcast(ref.distinct())
+        else:
+            tasks = -(-(known + rows) // ROWS_PER_TASK)
+            ref, src = ref.repartition(tasks, "_ref"), src.repartition(tasks, "_ref")
+        parts.append(src.join(ref, "_ref", "left_anti").select(F.lit(f"{t}.{c}->{rt}.{rc}").alias("relation")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     counts = u.groupBy("relation").agg(F.count(F.lit(1)).alias("orphan_rows"))
-    all_rel = spark.createDataFrame([(n,) for n in names], "relation string")
+    all_rel = spark.createDataFrame([(f"{t}.{c}->{rt}.{rc}",) for t, c, rt, rc in keys], "relation string")
     return all_rel.join(counts, "relation", "left").select(
         "relation", F.coalesce(F.col("orphan_rows"), F.lit(0)).cast("long").alias("orphan_rows"))

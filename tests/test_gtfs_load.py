@@ -109,3 +109,24 @@ def test_round_trip_and_empty(spark, tmp_path):
     assert f.tables["agency"].count() == 0 and f.tables["routes"].count() == 0
     assert gl.read_feed(spark, str(tmp_path / "none"), require_dependencies=False).rejects.count() == 0
     assert f.tables["stops"].where(F.col("stop_id") == "S1").count() == 1
+
+
+def _orphan_tables(spark):
+    trips = spark.createDataFrame([(f"T{i % 900}" if i % 50 else None, "C1") for i in range(1000)], "trip_id string, service_id string")
+    times = spark.createDataFrame([(f"T{i % 1100}" if i % 7 else None,) for i in range(3000)], "trip_id string")
+    calendar = spark.createDataFrame([("C1",), ("C1",), (None,)], "service_id string")
+    return {"trips": trips, "stop_times": times, "calendar": calendar}
+
+
+def test_many_keys_are_joined_in_tasks_of_bounded_size(spark, monkeypatch):
+    known = {f"T{i % 900}" for i in range(1000) if i % 50}
+    want = {"trips.service_id->calendar.service_id": 0, "stop_times.trip_id->trips.trip_id": sum(1 for i in range(3000) if i % 7 and f"T{i % 1100}" not in known)}
+    monkeypatch.setattr(gl, "BROADCAST_KEYS", 100)
+    monkeypatch.setattr(gl, "ROWS_PER_TASK", 400)
+    got = gl.orphan_report(_orphan_tables(spark))
+    rows = 980 + sum(1 for i in range(3000) if i % 7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {-(-rows // 400)}), ") == 2 and "REPARTITION_BY_NUM" in plan and "BroadcastHashJoin" in plan
+    assert {r.relation: r.orphan_rows for r in got.collect()} == want
+    monkeypatch.undo()
+    assert {r.relation: r.orphan_rows for r in gl.orphan_report(_orphan_tables(spark)).collect()} == want
