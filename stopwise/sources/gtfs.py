@@ -132,13 +132,15 @@ class Loaded:
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """``value, file, block, pos``: lines with their file, their split's first byte and their order in the split."""
     raw = spark.read.option("lineSep", "\n").text(path)
-    return raw.select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"),
+    value = F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
+    return raw.select(value.alias("value"), F.col("_metadata.file_path").alias("file"),
                       F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
 
 
 def _odd(value: str = "value") -> Column:
     """1 when a line holds an odd number of quotes."""
-    return ((F.length(value) - F.length(F.replace(F.col(value), F.lit('"'), F.lit("")))) % 2).cast("int")
+    quotes = F.length(value) - F.length(F.replace(F.col(value), F.lit('"'), F.lit("")))
+    return F.when(F.contains(F.col(value), F.lit('"')), (quotes % 2).cast("int")).otherwise(0)
 
 
 def header_names(line: str | None) -> list[str]:
@@ -190,11 +192,12 @@ def _seconds(time: Column) -> Column:
 
 
 def _parsed(table: str, records: DataFrame, header: list[str]) -> DataFrame:
-    """Typed columns, ``extra``, ``file``, ``bad_columns`` and the record's text, from the records of files with one header."""
+    """Typed columns, ``extra``, ``file``, ``fits``, ``bad_columns`` and the record's text, from the records of files with one header."""
     schema = T.StructType([T.StructField(f"c{i}", S) for i in range(max(len(header), 1))] + [T.StructField(CORRUPT, S)])
     row = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "quote": '"'})
     at = {n: F.col(f"r.c{i}") for i, n in enumerate(header)}
-    records = records.select("file", "value", row.alias("r"))
+    # A generated column: a filter on it stays above it. One on a projected column is moved below, where every condition parses the text again.
+    records = records.select("file", "value", F.explode(F.array(row)).alias("r"))
     columns, bad = [], [F.when(F.col(f"r.{CORRUPT}").isNotNull() | F.col("r").isNull(), F.lit("*"))]
     for name, kind in SCHEMAS[table]:
         text = at.get(name, F.lit(None).cast(S))
@@ -214,7 +217,7 @@ def _parsed(table: str, records: DataFrame, header: list[str]) -> DataFrame:
     known = {n for n, _ in SCHEMAS[table]}
     unknown = [n for n in header if n not in known]
     extra = F.map_from_arrays(F.array(*(F.lit(n) for n in unknown)), F.array(*(at[n] for n in unknown))) if unknown else F.lit(None).cast("map<string,string>")
-    return records.select(*columns, extra.alias("extra"), "file", F.array_distinct(F.array_compact(F.array(*bad))).alias("bad_columns"), F.col("value").alias(CORRUPT))
+    return records.select(*columns, extra.alias("extra"), "file", F.coalesce(*bad).isNull().alias("fits"), F.array_distinct(F.array_compact(F.array(*bad))).alias("bad_columns"), F.col("value").alias(CORRUPT))
 
 
 def _load_table(spark: SparkSession, table: str, path: str) -> tuple[DataFrame, list[str]]:
@@ -258,9 +261,9 @@ def read_feed(spark: SparkSession, folder: str, require_dependencies: bool = Tru
         problems = check_dependencies(set(rows))
         if problems:
             raise MissingDependency("; ".join(problems))
-    fits = {t: df.where(F.size("bad_columns") == 0) for t, df in rows.items()}
+    fits = {t: df.where("fits") for t, df in rows.items()}
     kept = {t: [c for c, _ in SCHEMAS[t]] + list(TIMES.get(t, {}).values()) for t in rows}
-    rejects = [df.where(F.size("bad_columns") > 0).select(F.lit(t).alias("table_name"), "file", "bad_columns", CORRUPT) for t, df in rows.items()]
+    rejects = [df.where("not fits").select(F.lit(t).alias("table_name"), "file", "bad_columns", CORRUPT) for t, df in rows.items()]
     rejected = rejects[0] if rejects else spark.createDataFrame([], f"table_name string, file string, bad_columns array<string>, {CORRUPT} string")
     for r in rejects[1:]:
         rejected = rejected.unionByName(r)

@@ -111,6 +111,16 @@ def test_round_trip_and_empty(spark, tmp_path):
     assert f.tables["stops"].where(F.col("stop_id") == "S1").count() == 1
 
 
+def test_a_record_is_parsed_once(spark, tmp_path):
+    """No filter parses the text again for each of its conditions."""
+    f = gl.read_feed(spark, feed(tmp_path, stop_times="trip_id,arrival_time,stop_id,stop_sequence\r\nT1,08:00:00,S1,1\r\nT1,8 am,S1,2\r\nT1,08:00:15\r,S1,x\r\n"))
+    for df in (f.tables["stop_times"], f.rejects.where("table_name = 'stop_times'")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv") == 1
+    assert [(r.trip_id, r.arrival_seconds, r.stop_sequence) for r in f.tables["stop_times"].collect()] == [("T1", 28800, 1)]
+    assert sorted(tuple(r.bad_columns) for r in f.rejects.collect()) == [("arrival_time",), ("stop_sequence",)]
+
+
 def _orphan_tables(spark):
     trips = spark.createDataFrame([(f"T{i % 900}" if i % 50 else None, "C1") for i in range(1000)], "trip_id string, service_id string")
     times = spark.createDataFrame([(f"T{i % 1100}" if i % 7 else None,) for i in range(3000)], "trip_id string")
