@@ -249,16 +249,16 @@ def trip_runtime(trips: DataFrame, shapes: DataFrame, stop_times: DataFrame, sto
     ``for_trips`` (a DataFrame with ``trip_id``) limits the work to the trips samples ask
     for, like a memo filled on demand; shapes and stop times are cut to those trips first.
     Stops are projected once per distinct (line, stop point).
-    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the lines and to
+    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the wanted trips, the lines and
     the finished runtime, so each is computed once and later plans start from stored data.
     """
+    keep = materialize or (lambda d: d)
     if for_trips is not None:
-        wanted = for_trips.select("trip_id").where(F.col("trip_id").isNotNull()).distinct()
-        trips = trips.join(wanted, "trip_id", "left_semi")
+        wanted = keep(for_trips.select("trip_id").where(F.col("trip_id").isNotNull()).distinct())
+        trips = keep(trips.join(wanted, "trip_id", "left_semi"))
         stop_times = stop_times.join(wanted, "trip_id", "left_semi")
         shapes = shapes.join(trips.select("shape_id").where(F.col("shape_id").isNotNull()).distinct(),
                              "shape_id", "left_semi")
-    keep = materialize or (lambda d: d)
     ts = keep(trip_stops(stop_times, stops))
     of_trip = keep(line_of_trip(trips, shapes))
     pts = line_points(trips, shapes, ts)

@@ -141,12 +141,12 @@ def _samples(spark, sf_dir):
 DIGITS = 3      # distances along a line in whole millimetres
 
 
-def runtime(spark, sf_dir, metric="wgs84"):
-    """Trip runtime for the trips that fx:positions ask for, stored (checkpointed to the
+def runtime(spark, sf_dir, metric="wgs84", samples=None):
+    """Trip runtime for the trips that fx:positions (or ``samples``, the same rows stored) ask for, stored (checkpointed to the
     shared folder) as the reference keeps it in memory: computed once, read many times."""
     return tp.trip_runtime(fx.trips(spark, sf_dir), fx.shapes(spark, sf_dir), fx.stop_times(spark, sf_dir),
                            fx.stops(spark, sf_dir), fx.schedule(spark, sf_dir), densify_step_m=STEP_M,
-                           for_trips=_samples(spark, sf_dir), materialize=cut_lineage, metric=metric,
+                           for_trips=samples if samples is not None else _samples(spark, sf_dir), materialize=cut_lineage, metric=metric,
                            digits=DIGITS if metric == "wgs84" else None)
 
 
@@ -256,10 +256,10 @@ def q_trip_runtime(spark, sf_dir):
     return z.select("trip_id", "line_id", "stop_pos", F.col("z.stop_ids").alias("stop_id"), F.col("z.stop_s").alias("stop_s"), "sched_start_ms")
 
 
-def samples_on_lines(spark, sf_dir, built=None, metric="wgs84"):
-    """fx:positions with ids blanked to null, trip required, projected on their trip's line."""
-    _, of_trip, lines = built or runtime(spark, sf_dir, metric)
-    p = _samples(spark, sf_dir)
+def samples_on_lines(spark, sf_dir, built=None, metric="wgs84", samples=None):
+    """fx:positions (or ``samples``, the same rows stored) with ids blanked to null, trip required, projected on their trip's line."""
+    _, of_trip, lines = built or runtime(spark, sf_dir, metric, samples)
+    p = samples if samples is not None else _samples(spark, sf_dir)
     p = p.join(of_trip, "trip_id", "left").withColumn("line_id", F.coalesce("line_id", F.lit("")))
     p = p.withColumnRenamed("latitude", "lat").withColumnRenamed("longitude", "lon")
     return tp.project_along(p, lines, step_m=STEP_M, block_on="seq", metric=metric, digits=DIGITS if metric == "wgs84" else None)
@@ -397,9 +397,12 @@ EVENTS_SQL = _sql(_EVENTS, *_GEO_FX, extra={**_WGS, **_ON_SAMPLES, **_ON_STOPS,
 
 
 def events_from_positions(spark, sf_dir, metric="wgs84"):
-    """Stops projected on each trip's line, per-trip stop arrays, samples projected, then the batch detector."""
-    built = runtime(spark, sf_dir, metric)
-    s = samples_on_lines(spark, sf_dir, built, metric).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq")
+    """Stops projected on each trip's line, per-trip stop arrays, samples projected, then the batch detector.
+
+    Samples are stored before and after their projection: the trips, the lines and the detector's scans read them several times."""
+    samples = cut_lineage(_samples(spark, sf_dir))
+    built = runtime(spark, sf_dir, metric, samples)
+    s = cut_lineage(samples_on_lines(spark, sf_dir, built, metric, samples).select("agency", "vehicle_id", "trip_id", "s_now", "ts_ms", "seq"))
     return ar.arrival_events(ar.detect_arrivals(s, built[0].drop("line_id"), ["agency", "vehicle_id", "trip_id"], on=["trip_id"]))
 
 

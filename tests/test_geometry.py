@@ -156,3 +156,14 @@ def test_trips_without_stops_keep_their_schedule(spark):
     rt, _, _ = tp.trip_runtime(trips, none, st, sp, sched)
     got = {r.trip_id: (r.stop_ids, r.sched_start_ms) for r in rt.collect()}
     assert got == {"T1": (["S1"], -1), "T2": ([], 5000)}
+
+
+def test_samples_are_made_once(spark):
+    """The detector's scans read stored samples, not the events and their projection again and again."""
+    from stopwise.plans import geo_queries as gq
+
+    from .conftest import SF_SMALL
+    found = gq.events_from_positions(spark, SF_SMALL, "planar")
+    assert not [f for f in found.inputFiles() if "events" in f]
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() > 0
