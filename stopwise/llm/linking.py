@@ -60,33 +60,34 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
-    """(sig, node, meta, others) of signatures that two or more nodes have; a row occurs once.
+    """(sig, node, meta, others) of signatures that two or more nodes have, not all of them low; a row occurs once.
 
-    One shuffle by signature. ``others``: how many other nodes have it."""
-    by_sig = Window.partitionBy("sig")
-    return (rows.repartition("sig").withColumns({"lo": F.min("node").over(by_sig), "hi": F.max("node").over(by_sig)}).where("lo < hi")
-            .groupBy("sig", "node").agg(F.max("meta").alias("meta"))
-            .withColumn("others", F.count(F.lit(1)).over(by_sig) - 1))
+    One shuffle by signature. ``others``: how many other nodes have it; two low rows do not count for each other."""
+    by_sig, low = Window.partitionBy("sig"), F.shiftright("meta", 1).bitwiseAND(1)
+    met = rows.repartition("sig").withColumns({"lo": F.min("node").over(by_sig), "hi": F.max("node").over(by_sig), "all_low": F.min(low).over(by_sig)})
+    return (met.where("lo < hi and all_low = 0").groupBy("sig", "node").agg(F.max("meta").alias("meta"))
+            .withColumn("others", F.when(low == 1, F.sum(1 - low).over(by_sig)).otherwise(F.count(F.lit(1)).over(by_sig) - 1)))
 
 
 def probing(members: DataFrame) -> DataFrame:
-    """(sig, node, probes, hub): which rows probe, and the smallest probing node of each signature that has one.
+    """(sig, node, low, probes, hub, hub_low): which rows probe, and a hub for each signature that has one: the smallest
+    probing node, one whose row is not low if there is any.
 
-    ``meta`` is 4 * spare + 2 * scheme + first: a node's rows of one scheme may leave out
+    ``meta`` is 4 * spare + 2 * low + first: a node's rows of one scheme (low or not) may leave out
     ``spare`` units, dearest first. The rows with ``first`` (one segment and its one-deletion
     neighbourhood) are worth two units together, every other row one."""
-    scheme, first, spare = F.shiftright("meta", 1).bitwiseAND(1), F.col("meta").bitwiseAND(1), F.shiftright("meta", 2)
-    rows = members.withColumns({"scheme": scheme, "first": first})
-    part = Window.partitionBy("node", "scheme", "first")
+    low, first, spare = F.shiftright("meta", 1).bitwiseAND(1), F.col("meta").bitwiseAND(1), F.shiftright("meta", 2)
+    rows = members.withColumns({"low": low, "first": first})
+    part = Window.partitionBy("node", "low", "first")
     rows = rows.withColumn("cost", F.when(F.col("first") == 1, F.sum("others").over(part)).otherwise(F.col("others")))
     # Units up to and including this row and its equals; the first segment's rows come together and count two.
-    dearest = Window.partitionBy("node", "scheme").orderBy(F.col("cost").desc(), "first")
+    dearest = Window.partitionBy("node", "low").orderBy(F.col("cost").desc(), "first")
     units = F.sum(1 - F.col("first")).over(dearest) + 2 * F.max("first").over(dearest)
     probes = units > spare
     by_sig = Window.partitionBy("sig")
-    hub = F.min(F.struct((~F.col("probes")).alias("quiet"), F.col("node"))).over(by_sig)
+    hub = F.min(F.struct((~F.col("probes")).alias("quiet"), F.col("low"), F.col("node"))).over(by_sig)
     return (rows.withColumn("probes", probes).withColumn("hub", hub).where("not hub.quiet")
-            .select("sig", "node", "probes", F.col("hub.node").alias("hub")))
+            .select("sig", "node", F.col("low").cast("int").alias("low"), "probes", F.col("hub.node").alias("hub"), F.col("hub.low").cast("int").alias("hub_low")))
 
 
 Fit = Callable[[str, str], Column]       # two aliases -> whether their nodes may link, from the columns of ``known``
@@ -95,15 +96,18 @@ Fit = Callable[[str, str], Column]       # two aliases -> whether their nodes ma
 def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, fit: Fit, held: list[DataFrame]) -> DataFrame:
     """Candidate pairs (a, b) of different components, from a full index and the cheapest allocation per node.
 
-    ``index``: (sig, node, scheme, segment, deleted, need), one-deletion rows of every
+    ``index``: (sig, node, scheme, segment, deleted, low, need), one-deletion rows of every
     segment included. Allocation 1 of a segment finds the nodes with the same part,
     allocation 2 also those whose part differs by one element; allocations of a node add up to
     ``need``. Costs are the numbers of rows found, other components only. The stored index joins ``held``, to be released
     when the pairs are written."""
     sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
-    is_full, is_deleted = F.when(~F.col("deleted"), 1).otherwise(0), F.when(F.col("deleted"), 1).otherwise(0)
-    rows = stored(index.join(label, "node").withColumns({
-        "full_cost": F.sum(is_full).over(sig) - F.sum(is_full).over(same), "deleted_cost": F.sum(is_deleted).over(sig) - F.sum(is_deleted).over(same)}), "full-index")
+
+    def found(deleted: bool) -> Column:
+        one = F.when(F.col("deleted") == deleted, 1).otherwise(0)
+        own = F.when(F.col("low"), 0).otherwise(one)
+        return F.when(F.col("low"), F.sum(own).over(sig) - F.sum(own).over(same)).otherwise(F.sum(one).over(sig) - F.sum(one).over(same))
+    rows = stored(index.join(label, "node").withColumns({"full_cost": found(False), "deleted_cost": found(True)}), "full-index")
     held.append(rows)
     one = F.sum(F.when(~F.col("deleted"), F.col("full_cost")).otherwise(0))
     two = one + F.sum(F.when(F.col("deleted"), F.col("full_cost")).otherwise(F.col("deleted_cost")))
@@ -117,7 +121,7 @@ def allocated_candidates(index: DataFrame, label: DataFrame, known: DataFrame, f
     live = rows.where("full_cost > 0 or deleted_cost > 0")
     probes = live.join(chosen, ["node", "scheme", "segment"]).where("v = 2 or not deleted")
     x, y = probes.join(known, "node").alias("x"), live.join(known, "node").alias("y")
-    fits = fit("x", "y") & (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & ~(F.col("x.deleted") & F.col("y.deleted")) & ((F.col("x.v") == 2) | ~F.col("y.deleted"))
+    fits = fit("x", "y") & (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & ~(F.col("x.deleted") & F.col("y.deleted")) & ~(F.col("x.low") & F.col("y.low")) & ((F.col("x.v") == 2) | ~F.col("y.deleted"))
     return x.join(y, fits).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
@@ -125,13 +129,14 @@ def star_candidates(members: DataFrame, label: DataFrame, salt: int) -> DataFram
     """Candidate pairs (a, b) that may join components: in every signature one node of each component against one hub.
 
     Node and hub are drawn by a salted hash among those that probe, so another round tries others. At most one pair
-    per row; hubs are minima of aggregates, so a signature that very many nodes share is never gathered."""
+    per row, two low rows never; hubs are minima of aggregates, so a signature that very many nodes share is never gathered."""
+    low = F.col("low") if "low" in members.columns else F.lit(0)
     c = F.coalesce(F.col("component"), F.col("node"))
     reps = (members.join(label, "node", "left").groupBy("sig", c.alias("c"))
-            .agg(F.min(F.struct((~F.col("probes")).alias("quiet"), F.xxhash64("node", F.lit(salt)).alias("drawn"), F.col("node"))).alias("r")))
-    hubs = (reps.groupBy("sig").agg(F.min(F.struct(F.col("r.quiet"), F.xxhash64("c", F.lit(salt)).alias("drawn"), F.col("r.node"))).alias("hub"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1 and not hub.quiet").select("sig", F.col("hub.node").alias("hub")))
-    return (reps.join(hubs, "sig").where("r.node <> hub")
+            .agg(F.min(F.struct((~F.col("probes")).alias("quiet"), low.alias("low"), F.xxhash64("node", F.lit(salt)).alias("drawn"), F.col("node"))).alias("r")))
+    hubs = (reps.groupBy("sig").agg(F.min(F.struct(F.col("r.quiet"), F.col("r.low"), F.xxhash64("c", F.lit(salt)).alias("drawn"), F.col("r.node"))).alias("hub"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1 and not hub.quiet").select("sig", F.col("hub.node").alias("hub"), F.col("hub.low").alias("hub_low")))
+    return (reps.join(hubs, "sig").where("r.node <> hub and r.low + hub_low < 2")
             .select(F.least("hub", "r.node").alias("a"), F.greatest("hub", "r.node").alias("b")).distinct())
 
 
@@ -165,7 +170,7 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
         return (pairs.join(narrow.alias("x"), F.col("a") == F.col("x.node"))
                 .join(narrow.alias("y"), (F.col("b") == F.col("y.node")) & both).select("a", "b"))
 
-    star = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    star = members.where("node <> hub and low + hub_low < 2").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     tested = stored(fitting(star), "pairs")
     links = verify(tested, known)
     label = components(links)
@@ -183,8 +188,9 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
             break
     sig, same = Window.partitionBy("sig"), Window.partitionBy("sig", "c")
     rest = (members.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
-            .withColumn("others", F.count(F.lit(1)).over(sig) - F.count(F.lit(1)).over(same)).where("others > 0"))
-    rest = stored(rest.select("sig", "node", "probes", "c", "others"), "rest")
+            .withColumn("others", F.when(F.col("low") == 1, F.sum(1 - F.col("low")).over(sig) - F.sum(1 - F.col("low")).over(same))
+                        .otherwise(F.count(F.lit(1)).over(sig) - F.count(F.lit(1)).over(same))).where("others > 0"))
+    rest = stored(rest.select("sig", "node", "low", "probes", "c", "others"), "rest")
     release(members)
     cost = rest.groupBy("node").agg(F.sum(F.when(F.col("probes"), F.col("others")).otherwise(0)).alias("cost"))
     plain = (F.col("cost") <= F.greatest(F.lit(PLAIN_COST), PLAIN_SIZES * F.col("n"))).alias("plain")
@@ -194,7 +200,7 @@ def resolve(rows: DataFrame, traits: Callable[[DataFrame], DataFrame], fit: Fit,
     open_ = open_.withColumn("asks", asks)
     x, y = open_.where("asks").alias("x"), open_.alias("y")
     once = ~F.col("y.asks") | (F.col("x.node") < F.col("y.node"))       # where both ask, one of them does
-    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & once & fit("x", "y"))
+    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") != F.col("y.c")) & (F.col("x.low") + F.col("y.low") < 2) & once & fit("x", "y"))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     held = []
     if full_index is not None:

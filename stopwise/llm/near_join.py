@@ -7,14 +7,15 @@ differ in at most H = floor((b - a) (n1 + n2) / (a + b)) elements.
 *Segments by size band.* Set sizes fall into geometric bands. Band ``b`` cuts the universe
 of hashes into ``m = H(b) + 1`` segments, H(b) being the largest difference of a pair whose
 smaller set is in the band. A set signs under its own band and, if a smaller set of the band
-below can still reach it, under that one too, so each pair meets under the smaller set's band.
+below can still reach it, under that one too (a low row), so each pair meets under the smaller set's band;
+two low rows need not meet, since their pair has a band of its own.
 
 *Index.* For every segment the part of the set in it is signed, empty parts included. For
 segment 0 the one-deletion neighbourhood is indexed too: parts that differ by one element
 there still meet, so that segment counts two in the pigeonhole sum.
 
 *Cost-based allocation.* A set of size n only needs allocations that add up to its own
-H(n) + 1; bands have an eighth more segments than that needs. All parts are indexed, and the
+H(n) + 1, under the band below, where its partners are no larger than that band's top, less; bands have an eighth more segments than that needs. All parts are indexed, and the
 measured length of a part's posting list is its cost: a set leaves out the dearest parts it can
 spare (empty parts, parts of passages that many documents share). Two rows of a signature make
 a candidate only if one of them probes. Sets that still probe expensively (families of similar
@@ -130,6 +131,7 @@ class Signatures:
     scheme: np.ndarray     # band
     segment: np.ndarray
     deleted: np.ndarray
+    low: np.ndarray        # signed under the band below the set's own
     need: np.ndarray       # what the set's allocations must add up to
     spare: np.ndarray      # what they add up to beyond that if every segment probes
 
@@ -144,14 +146,15 @@ def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Sig
     reach = np.array([t.partner(int(u)) for u in tops], np.int64)
     band = np.searchsorted(tops, n)
     below = (band > 0) & (n <= reach[np.maximum(band - 1, 0)])
-    need = ((t.b - t.a) * (n + n * t.b // t.a)) // (t.a + t.b) + 1
     ends = np.cumsum(n)
     out: list[tuple] = []
-    for scheme, who in ((band, np.flatnonzero(n > 0)), (band - 1, np.flatnonzero(below & (n > 0)))):
+    for scheme, who, low in ((band, np.flatnonzero(n > 0), False), (band - 1, np.flatnonzero(below & (n > 0)), True)):
         who = who[segments[scheme[who]] > 1]         # one segment: only equal sets link
         if not len(who):
             continue
         m, size, sch = segments[scheme[who]], n[who], scheme[who]
+        partner = tops[sch] if low else size * t.b // t.a        # largest set it can link with under this band
+        need = ((t.b - t.a) * (size + partner)) // (t.a + t.b) + 1
         x = h[concat_runs(ends[who] - size, size)]
         seg = ((x >> np.uint64(32)) * np.repeat(m, size).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
         base = np.concatenate([[0], np.cumsum(m)])
@@ -163,16 +166,15 @@ def sign(h: np.ndarray, n: np.ndarray, t: Threshold, every: bool = False) -> Sig
         number = np.arange(int(base[-1])) - base[owner]
         tag = tk.mix((sch[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
         # Segment 0 counts two, so all segments together are worth m + 1.
-        spare = m + 1 - need[who]
-        out.append((who[owner], tk.mix(sums + tag), sch[owner], number, np.zeros(len(owner), bool), spare[owner]))
+        spare = m + 1 - need
+        out.append((who[owner], tk.mix(sums + tag), sch[owner], number, np.zeros(len(owner), bool), np.full(len(owner), low), need[owner], spare[owner]))
         at = np.arange(len(x)) if every else np.flatnonzero(seg == 0)
         sl = slot[at]
-        out.append((who[owner[sl]], tk.mix(sums[sl] - v[at] + tag[sl]), sch[owner[sl]], number[sl], np.ones(len(at), bool), spare[owner[sl]]))
+        out.append((who[owner[sl]], tk.mix(sums[sl] - v[at] + tag[sl]), sch[owner[sl]], number[sl], np.ones(len(at), bool), np.full(len(at), low), need[owner[sl]], spare[owner[sl]]))
     if not out:
         none = np.empty(0, np.int64)
-        out = [(none, none.view(np.uint64), none, none, none.astype(bool), none)]
-    who, sig, scheme, segment, deleted, spare = (np.concatenate([o[i] for o in out]) for i in range(6))
-    return Signatures(who, sig, scheme, segment, deleted, need[who], spare)
+        out = [(none, none.view(np.uint64), none, none, none.astype(bool), none.astype(bool), none, none)]
+    return Signatures(*(np.concatenate([o[i] for o in out]) for i in range(8)))
 
 
 def parity_sketches(sets: list[np.ndarray], words: int) -> np.ndarray:
@@ -240,8 +242,8 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                 signed = np.concatenate([signed, node[new]])
                 h, n, node = h[np.repeat(new, n)], n[new], node[new]
                 s = sign(h, n, t)
-                # spare, band parity and segment 0 in one number
-                meta = s.spare * 4 + (s.scheme & 1) * 2 + (s.segment == 0)
+                # spare, low and segment 0 in one number
+                meta = s.spare * 4 + s.low * 2 + (s.segment == 0)
                 yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node[s.who]), "meta": pa.array(meta)})
 
     def sets_of(nodes: DataFrame, give, ddl: str) -> DataFrame:
@@ -326,9 +328,9 @@ def near_classes(docs: DataFrame, k: int = 3, threshold: Threshold | None = None
                     s = sign(np.concatenate(sets), np.array([len(x) for x in sets], np.int64), t, every=True)
                     node = part.column("node").to_numpy()[s.who]
                     yield pa.record_batch({"sig": pa.array(s.sig.view(np.int64)), "node": pa.array(node), "scheme": pa.array(s.scheme), "segment": pa.array(s.segment),
-                                           "deleted": pa.array(s.deleted), "need": pa.array(s.need)})
+                                           "deleted": pa.array(s.deleted), "low": pa.array(s.low), "need": pa.array(s.need)})
         sets = exact_sets(nodes)
-        return sets.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, need long"), sets
+        return sets.mapInArrow(run, "sig long, node long, scheme long, segment long, deleted boolean, low boolean, need long"), sets
 
     links = linking.resolve(texts.select("text").mapInArrow(signatures, "sig long, node long, meta long"), traits, fit, verify, full_index, fine)
     label = linking.components(links)

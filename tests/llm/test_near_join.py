@@ -172,3 +172,19 @@ def test_chunks_keep_texts_whole():
     got = [(c.lo, c.hi, bytes(c.data).decode()) for c in tk.chunks(texts, 16)]
     assert [x[:2] for x in got] == [(0, 3), (3, 4), (4, 5)]
     assert "".join(x[2] for x in got) == "ab cd" + "x" * 5000 + "ef"
+
+
+def test_low_rows_leave_out_what_they_can_spare_and_do_not_meet_each_other(spark):
+    t = near_join.Threshold(80, 100)
+    rng = np.random.default_rng(11)
+    tops = near_join.band_tops(t, 2000)
+    for top in (94, 711, 1066):
+        assert top in tops
+        n = t.partner(top)                                # the largest set that also signs under that band
+        s = near_join.sign(np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)), np.array([n]), t)
+        low = s.scheme == np.searchsorted(tops, top)
+        assert (s.low == low).all() and low.any() and (s.spare[low] > 0).all()
+        assert (s.need[low] == t.difference(n + top) + 1).all()
+    rows = spark.createDataFrame([(1, 10, 2), (1, 11, 2), (2, 10, 2), (2, 11, 2), (2, 12, 0), (3, 10, 0), (3, 12, 0)], "sig long, node long, meta long")
+    got = {(r.sig, r.node): r.others for r in linking.shared_signatures(rows).collect()}
+    assert got == {(2, 10): 1, (2, 11): 1, (2, 12): 2, (3, 10): 1, (3, 12): 1}
