@@ -34,10 +34,10 @@ SHINGLE = 12
 BANDS, ROWS = 10, 3
 SKETCH_WORDS = 4         # a power of two
 WORD = r"[^\x20\x09-\x0D]"
-# A line is read in stretches of STRETCH shingle starts, each with the code points its last
-# shingle reaches: finding a position walks the text, so it must not start at the line's head.
-STRETCH = 32
-STRETCHES = rf"(?s)(?=(\A.{{1,{STRETCH + SHINGLE - 1}}}|.{{{SHINGLE},{STRETCH + SHINGLE - 1}}})).{{1,{STRETCH}}}"
+# Code points have four bytes in UTF-32, so a shingle is cut out without a walk through the text.
+POINT = 4
+# A row stands for so many shingle starts: their least hashes are taken before a line's minima are touched.
+STEP = 4
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,12 +51,23 @@ def _node() -> Column:
     return F.xxhash64("line")
 
 
-def shingle_hashes(lines: DataFrame) -> DataFrame:
-    """(node, h): a row per shingle of every line, repeats included."""
-    parts = lines.select(_node().alias("node"), F.explode(F.regexp_extract_all("line", F.lit(STRETCHES), F.lit(1))).alias("part"))
-    starts = F.sequence(F.lit(1), F.greatest(F.char_length("part") - (SHINGLE - 1), F.lit(1)))
-    return (parts.select("node", "part", F.explode(starts).alias("at"))
-            .select("node", F.xxhash64(F.substring("part", F.col("at"), F.lit(SHINGLE))).alias("h")))
+def _wide(line: Column) -> Column:
+    return F.encode(line, "UTF-32")
+
+
+def _starts(wide: Column) -> Column:
+    """How many shingles a line in UTF-32 has, repeats included."""
+    return F.greatest((F.octet_length(wide) / POINT).cast("int") - (SHINGLE - 1), F.lit(1))
+
+
+def _shingle(wide: Column, at: Column) -> Column:
+    """The hash of the shingle that starts at code point ``at``, from 0."""
+    return F.xxhash64(F.substring(wide, at * POINT + 1, F.lit(SHINGLE * POINT)))
+
+
+def shingle_hashes(wide: Column) -> Column:
+    """The hashes of all shingles of a line in UTF-32, repeats included. ``wide`` is read for each: a stored column, not an expression."""
+    return F.transform(F.sequence(F.lit(0), _starts(wide) - 1), lambda at: _shingle(wide, at))
 
 
 def _multiply_adds() -> list[tuple[int, int]]:
@@ -70,9 +81,12 @@ def _multiply_adds() -> list[tuple[int, int]]:
 
 def band_rows(lines: DataFrame) -> DataFrame:
     """(sig, node, meta): one row per band of every distinct line."""
-    one = shingle_hashes(lines).select("node", F.shiftrightunsigned("h", 33).alias("h"))
-    # 31-bit hashes and factors: no product leaves 64 bits.
-    drawn = [(F.col("h") * F.lit(f).cast("long") + F.lit(s).cast("long")).bitwiseAND(F.lit(2**31 - 1).cast("long")) for f, s in _multiply_adds()]
+    wide = lines.select(_node().alias("node"), _wide(F.col("line")).alias("wide")).withColumn("last", _starts(F.col("wide")) - 1)
+    steps = wide.select("node", "wide", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("at"))
+    # 31-bit hashes and factors: no product leaves 64 bits. The last step's surplus starts repeat the last shingle.
+    one = steps.select("node", *[F.shiftrightunsigned(_shingle(F.col("wide"), F.least(F.col("at") + i, F.col("last"))), 33).alias(f"h{i}") for i in range(STEP)])
+    drawn = [F.least(*[(F.col(f"h{i}") * F.lit(f).cast("long") + F.lit(s).cast("long")).bitwiseAND(F.lit(2**31 - 1).cast("long")) for i in range(STEP)])
+             for f, s in _multiply_adds()]
     minima = one.groupBy("node").agg(*[F.min(d).alias(f"m{i}") for i, d in enumerate(drawn)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
     return minima.select(F.explode(bands).alias("sig"), "node", F.lit(0).cast("long").alias("meta"))
@@ -82,25 +96,26 @@ def line_components(lines: DataFrame, least: tuple[int, int] = (8, 10)) -> DataF
     """(node, component) of the nodes that are linked to another: Jaccard similarity a / b or more."""
     a, b = least
 
-    def items(nodes: DataFrame) -> DataFrame:
-        ids = linking.bounded(stored(nodes, "line-ids"))
-        chosen = lines.withColumn("node", _node()).join(ids, "node", "left_semi").dropDuplicates(["node"])
-        return shingle_hashes(chosen).groupBy("node").agg(F.collect_set("h").alias("items"))
-
     def verify(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        content = stored(items(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "line-sets")
-        x = content.select(F.col("node").alias("a"), F.col("items").alias("x"))
-        y = content.select(F.col("node").alias("b"), F.col("items").alias("y"))
-        common = F.size(F.array_intersect("x", "y"))
-        out = stored(pairs.join(x, "a").join(y, "b").where(b * common >= a * (F.size("x") + F.size("y") - common)).select("a", "b"), "line-links")
-        release(content)
-        return out
+        def side(name: str) -> DataFrame:
+            return known.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("wide").alias(f"wide_{name}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        common = F.size(F.array_intersect(shingle_hashes(F.col("wide_a")), shingle_hashes(F.col("wide_b"))))
+        # common / (total - common) >= a / b
+        return stored(both.where((a + b) * common >= a * (F.col("na") + F.col("nb"))).select("a", "b"), "line-links")
 
     def traits(nodes: DataFrame) -> DataFrame:
-        # The set's size and its parity sketch: bit j is the parity of the hashes that fall on j.
-        one = items(nodes).select("node", F.explode("items").alias("h"))
+        # The set's size, its parity sketch (bit j is the parity of the hashes that fall on j) and the line in UTF-32.
+        ids = stored(nodes, "line-ids")
+        chosen = stored(lines.withColumn("node", _node()).join(linking.bounded(ids), "node", "left_semi").groupBy("node")
+                        .agg(F.max("line").alias("line")).select("node", _wide(F.col("line")).alias("wide")), "line-texts")
+        release(ids)
+        one = chosen.select("node", F.explode(F.array_distinct(shingle_hashes(F.col("wide")))).alias("h"))
         word = lambda w: F.expr(f"bit_xor(if(shiftright(h, 6) & {SKETCH_WORDS - 1} = {w}, shiftleft(1L, cast(h & 63 as int)), 0L))")
-        return stored(one.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[word(w).alias(f"p{w}") for w in range(SKETCH_WORDS)]), "line-traits")
+        sketch = one.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[word(w).alias(f"p{w}") for w in range(SKETCH_WORDS)])
+        out = stored(sketch.join(chosen, "node"), "line-traits")
+        release(chosen)
+        return out
 
     def fit(x: str, y: str) -> Column:
         n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")

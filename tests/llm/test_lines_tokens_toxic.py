@@ -95,6 +95,21 @@ def test_short_lines_at_the_threshold_share_a_band(spark):
     assert found >= 0.99 * len(pairs)            # 0.9992 are expected, 0.969 of dependent minima
 
 
+def test_fuzzy_lines_never_shuffle_shingle_sets(spark, monkeypatch):
+    plans = {}
+    keep = line_dedup.stored
+
+    def stored(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name, *rest)
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    text = "a line of some words that two documents hold, but for its end"
+    df = spark.createDataFrame([(1, text + " a"), (2, text + " b"), (3, "\U0001F600" * 20 + "x"), (4, "\U0001F600" * 20 + "y")], "doc_id long, text string")
+    got = {r.doc_id: r.first_doc_id for r in line_dedup.fuzzy_lines(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}            # 3 and 4 have 1 of 3 shingles in common
+    assert {"line-traits", "line-links"} <= plans.keys() and not any("collect_" in p for p in plans.values())
+
+
 def test_no_lines(spark):
     assert line_dedup.fuzzy_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
