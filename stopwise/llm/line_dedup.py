@@ -2,12 +2,12 @@
 
 A line's set holds its character shingles: the ``SHINGLE`` code points that start at each
 position, in lower case; a shorter line is one shingle. Lines that are equal, letter case
-aside, are one node. Every node has ``BANDS * ROWS`` minima, each of its shingle hashes under
-another multiply-add; nodes that agree on a band are candidates. With independent minima a pair
+aside, are one node. Every node has ``BANDS * ROWS`` minima, each of one of ``HASHES`` 64-bit
+hashes of its shingles, turned by another number of bits, so that other bits come first; nodes that agree on a band are candidates. With independent minima a pair
 at similarity 0.8 agrees on at least one of 10 bands of 3 with probability 0.9992; these minima,
-simulated on 40,000 random pairs per size (10,000 of the largest), gave 0.9994 for 4 of 5 common
-shingles, 0.9992 for 8 of 10, 0.9991 for 16 of 20, 0.9994 for 40 of 50, 0.9991 for 80 of 100 and
-0.9993 for 200 of 250. Pairs that must differ in too
+simulated on 40,000 random pairs per size (20,000 and 6,000 of the largest), gave 0.9994 for 4 of 5 common
+shingles, 0.9992 for 8 of 10, 0.9994 for 16 of 20, 0.9994 for 40 of 50, 0.9995 for 80 of 100,
+0.9990 for 200 of 250 and 0.9995 for 800 of 1000. Pairs that must differ in too
 many shingles by their parity sketches (two sketches differ in at most as many bits as the
 sets have elements apart) are left out inside the candidate joins; the others are verified by exact Jaccard similarity of the shingle sets, and verified links form components
 (``linking``). Of each component the first occurrence is kept: smallest doc_id, then row,
@@ -32,11 +32,12 @@ from .shared import release, stored
 
 SHINGLE = 12
 BANDS, ROWS = 10, 3
+HASHES = 3
 SKETCH_WORDS = 4         # a power of two
 WORD = r"[^\x20\x09-\x0D]"
 # Code points have four bytes in UTF-32, so a shingle is cut out without a walk through the text.
 POINT = 4
-# A row stands for so many shingle starts: their least hashes are taken before a line's minima are touched.
+# A row stands for so many shingle starts, a power of two: their least hashes are taken before a line's minima are touched.
 STEP = 4
 
 
@@ -66,28 +67,36 @@ def _shingle(wide: Column, at: Column) -> Column:
 
 
 def shingle_hashes(wide: Column) -> Column:
-    """The hashes of all shingles of a line in UTF-32, repeats included. ``wide`` is read for each: a stored column, not an expression."""
-    return F.transform(F.sequence(F.lit(0), _starts(wide) - 1), lambda at: _shingle(wide, at))
+    """The hashes of all shingles of a line in UTF-32, repeats included. A lambda copies a column's bytes each time it
+    reads them; those of its own variable, here the only element of an array, it does not."""
+    return F.transform(F.array(wide), lambda w: F.transform(F.sequence(F.lit(0), _starts(w) - 1), lambda at: _shingle(w, at)))[0]
 
 
-def _multiply_adds() -> list[tuple[int, int]]:
-    """Fixed pseudo-random (odd factor, summand) of 31 bits, one pair per minimum."""
-    x, out = 0x2545F491, []
-    for _ in range(2 * BANDS * ROWS):
-        x = (x * 1664525 + 1013904223) % 2**32
-        out.append((x ^ (x >> 13)) % 2**31)
-    return [(f | 1, s) for f, s in zip(out[:BANDS * ROWS], out[BANDS * ROWS:], strict=True)]
+def _turned(x: Column, bits: int) -> Column:
+    return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
+
+
+def _less(x: Column, y: Column) -> Column:
+    """The smaller of two longs without a branch, which random values would mispredict, and without checked arithmetic."""
+    x_first = F.shiftright(F.shiftleft((x < y).cast("long"), 63), 63)
+    return y.bitwiseXOR(x.bitwiseXOR(y).bitwiseAND(x_first))
 
 
 def band_rows(lines: DataFrame) -> DataFrame:
     """(sig, node, meta): one row per band of every distinct line."""
     wide = lines.select(_node().alias("node"), _wide(F.col("line")).alias("wide")).withColumn("last", _starts(F.col("wide")) - 1)
     steps = wide.select("node", "wide", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("at"))
-    # 31-bit hashes and factors: no product leaves 64 bits. The last step's surplus starts repeat the last shingle.
-    one = steps.select("node", *[F.shiftrightunsigned(_shingle(F.col("wide"), F.least(F.col("at") + i, F.col("last"))), 33).alias(f"h{i}") for i in range(STEP)])
-    drawn = [F.least(*[(F.col(f"h{i}") * F.lit(f).cast("long") + F.lit(s).cast("long")).bitwiseAND(F.lit(2**31 - 1).cast("long")) for i in range(STEP)])
-             for f, s in _multiply_adds()]
-    minima = one.groupBy("node").agg(*[F.min(d).alias(f"m{i}") for i, d in enumerate(drawn)])
+    # The last step's surplus starts repeat the last shingle.
+    first = steps.select("node", *[_shingle(F.col("wide"), F.least(F.col("at") + i, F.col("last"))).alias(f"h0_{i}") for i in range(STEP)])
+    one = first.select("*", *[F.xxhash64(F.lit(k), F.col(f"h0_{i}")).alias(f"h{k}_{i}") for k in range(1, HASHES) for i in range(STEP)])
+    turns = BANDS * ROWS // HASHES
+
+    def drawn(j: int) -> Column:
+        values = [_turned(F.col(f"h{j // turns}_{i}"), j % turns * 64 // turns) for i in range(STEP)]
+        while len(values) > 1:
+            values = [_less(x, y) for x, y in zip(values[::2], values[1::2], strict=True)]
+        return values[0]
+    minima = one.groupBy("node").agg(*[F.min(drawn(j)).alias(f"m{j}") for j in range(BANDS * ROWS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
     return minima.select(F.explode(bands).alias("sig"), "node", F.lit(0).cast("long").alias("meta"))
 

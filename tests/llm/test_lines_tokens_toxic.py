@@ -1,8 +1,10 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stopwise.llm import line_dedup, token_trie, toxicity, textkernel as tk
 from stopwise.llm.queries import MODEL_FILE
@@ -110,6 +112,29 @@ def test_fuzzy_lines_never_shuffle_shingle_sets(spark, monkeypatch):
     assert {"line-traits", "line-links"} <= plans.keys() and not any("collect_" in p for p in plans.values())
 
 
+def test_hashing_a_long_line_is_linear(spark):
+    """A line of 300,000 code points: a copy of its bytes per shingle would be 360 GB."""
+    line = "".join(random.Random(4).choice("abcdefgh ") for _ in range(300_000))
+    df = spark.createDataFrame([(line,), (line[:300],)], "line string").select(line_dedup._wide(F.col("line")).alias("wide")).cache()
+    assert df.count() == 2
+    began = time.monotonic()
+    got = [r.n for r in df.select(F.size(line_dedup.shingle_hashes(F.col("wide"))).alias("n")).collect()]
+    took = time.monotonic() - began
+    df.unpersist()
+    assert got == [300_000 - 11, 300 - 11] and took < 15
+
+
+def test_minima_are_taken_without_checked_arithmetic(spark):
+    plan = line_dedup.band_rows(spark.createDataFrame([("a line",)], "line string"))._jdf.queryExecution().optimizedPlan().toString()
+    minima = next(x for x in plan.splitlines() if "min(" in x).partition("min(")[2]
+    assert not any(x in minima for x in (" * ", " + ", " - ", "least("))
+    values = [-2**63, -2**63 + 1, -5, -1, 0, 1, 7, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([(x, y) for x in values for y in values], "x long, y long")
+    for r in df.select("x", "y", line_dedup._less(F.col("x"), F.col("y")).alias("m"), line_dedup._turned(F.col("x"), 6).alias("t")).collect():
+        u = r.x % 2**64
+        assert r.m == min(r.x, r.y) and r.t % 2**64 == (u << 6 | u >> 58) % 2**64
+
+
 def test_no_lines(spark):
     assert line_dedup.fuzzy_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
