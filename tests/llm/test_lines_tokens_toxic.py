@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stopwise.llm import line_dedup, token_trie, toxicity, textkernel as tk
+from stopwise.llm import line_dedup, linking, token_trie, toxicity, textkernel as tk
 from stopwise.llm.queries import MODEL_FILE
 
 from . import brute
@@ -135,6 +135,22 @@ def test_minima_are_taken_without_checked_arithmetic(spark):
         assert r.m == min(r.x, r.y) and r.t % 2**64 == (u << 6 | u >> 58) % 2**64
 
 
+def test_sketches_tell_long_lines_apart(spark, monkeypatch):
+    """Twelve lines of 700 shingles that share 525 (similarity 0.6) meet in bands; no pair gets as far as the exact test."""
+    rng = random.Random(6)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    made, keep, head = {}, linking.stored, draw(536)
+
+    def stored(df, name, *rest):
+        out = keep(df, name, *rest)
+        made.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(linking, "stored", stored)
+    df = spark.createDataFrame([(i, head + draw(175)) for i in range(12)], "doc_id long, text string")
+    assert {r.doc_id: r.first_doc_id for r in line_dedup.fuzzy_lines(df).collect()} == {i: i for i in range(12)}
+    assert made["members"][0] > 0 and sum(made["pairs"]) == 0
+
+
 def test_no_lines(spark):
     assert line_dedup.fuzzy_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
