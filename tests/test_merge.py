@@ -1,5 +1,7 @@
 """Merge invariants: failures change nothing, ids stay consistent, counts add up."""
 
+from hashlib import md5
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +165,29 @@ def test_colliding_ids_are_hashed_again(spark):
         mg.unique_ids(ids.limit(20), SALT, RUN, hex_chars=1)              # 20 ids in 16 places
 
 
+def test_ids_are_hashed_again_until_all_are_settled(spark):
+    ids = spark.range(0, 250).select(F.when(F.col("id") % 3 == 0, "stops").otherwise("stop_areas").alias("table_name"), F.concat(F.lit("S"), F.col("id")).alias("old_id"))
+    taken = spark.createDataFrame([(f"st_{k:02x}_{RUN}",) for k in (0, 17, 255)] + [("st_zz_1",), (None,)], "id string")
+
+    def tried(table, old, again):
+        return f"st_{md5((table + old + SALT + (f'#{again}' if again else '')).encode()).hexdigest()[:2]}_{RUN}"
+    want, gone, pending, again = {}, {r.id for r in taken.collect()}, sorted(map(tuple, ids.collect())), 0
+    while pending:                                                          # 250 ids in 253 places, round by round
+        for k in pending:
+            if (new := tried(*k, again)) not in gone:
+                want[k] = new
+                gone.add(new)
+        pending, again = [k for k in pending if k not in want], again + 1
+    assert again > 100
+    got = mg.unique_ids(ids, SALT, RUN, taken=taken, hex_chars=2).collect()
+    assert len(got) == 250 and {(r.table_name, r.old_id): r.new_id for r in got} == want
+    # an id more than there are new ids: no number of tries can do
+    full = spark.range(0, 16).select(F.lit("trips").alias("table_name"), F.concat(F.lit("T"), F.col("id")).alias("old_id"))
+    assert mg.unique_ids(full, SALT, RUN, hex_chars=1).select("new_id").distinct().count() == 16
+    with pytest.raises(mg.MergeError, match="16 ids tr_, 1 hexadecimal digits leave 15"):
+        mg.unique_ids(full, SALT, RUN, taken=spark.createDataFrame([(f"tr_a_{RUN}",)], "id string"), hex_chars=1)
+
+
 def test_a_merge_with_collisions_succeeds(spark, monkeypatch):
     monkeypatch.setattr(mg.Mapping.__init__, "__defaults__", (None, None, 4))
     src, tgt = _split(spark)
